@@ -5,8 +5,8 @@ import math
 from pyspark.sql import functions as F
 
 from riskweave import constants as C
-from riskweave.functions.coerce import as_col, safe_num
-from riskweave.functions.rounding import clamp, round_exact
+from riskweave.functions.coerce import as_col
+from riskweave.functions.rounding import round_sql
 
 
 def whole_days(earlier, later):
@@ -28,10 +28,13 @@ def as_of_lit(as_of):
     return F.lit(as_of).cast("timestamp_ntz")
 
 
-def decay(col, as_of, half_life=C.HALF_LIFE_DAYS):
+def decay(name, as_of, half_life=C.HALF_LIFE_DAYS):
     """Half-life weight of an age in whole days, 4 places; unknown age is 0.5."""
-    raw = F.exp(F.lit(-math.log(2)) * age_days(col, as_of) / F.lit(float(half_life)))
-    return F.coalesce(round_exact(raw, 4), F.lit(0.5))
+    now = f"TIMESTAMP_NTZ '{as_of}'"
+    day = lambda t: f"({t} - CAST(CAST({t} AS DATE) AS TIMESTAMP_NTZ))"
+    age = f"(datediff({now}, `{name}`) - IF({day(f'`{name}`')} > {day(now)}, 1, 0))"
+    raw = f"exp({-math.log(2)!r}D * {age} / {float(half_life)!r}D)"
+    return F.expr(f"coalesce({round_sql(raw, 4)}, 0.5D)")
 
 
 def severity_ordinal(col):
@@ -60,9 +63,3 @@ def level_at_or_above(col, low=C.BAND_LOW, high=C.BAND_HIGH):
     """Level words of the drill-down, where a value on the boundary takes the higher word."""
     x = as_col(col)
     return F.when(x >= high, "HIGH").when(x >= low, "MEDIUM").otherwise("LOW")
-
-
-__all__ = [
-    "age_days", "as_of_lit", "clamp", "decay", "is_major", "level_at_or_above", "risk_band",
-    "round_exact", "safe_num", "severity_ordinal", "whole_days",
-]

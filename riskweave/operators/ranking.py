@@ -1,29 +1,24 @@
 """Ranked deduplication, latest rows, top-k, sorts.
 
-One survivor per key is an aggregate (`min_by`/`max_by` over a struct), which combines on the map
-side, so a key that holds a third of the rows still sends one row per input partition. Top-k keeps
-`row_number <= k`, which Spark limits per input partition before the shuffle.
+Rankings keep `row_number <= k`, which Spark applies per input partition before the shuffle as well
+as after it, so a key that holds a third of the rows still sends k rows per input partition.
 """
 
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def ordering(cols):
-    return F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(f"o{i}") for i, c in enumerate(cols)])
-
-
 def pick_per_key(df, keys, order, largest):
-    """The row with the smallest or largest ordering per key; make `order` unique within a key."""
-    rest = [c for c in df.columns if c not in keys]
-    if not rest:
-        return df.distinct()
-    choose = F.max_by if largest else F.min_by
+    """The row with the smallest or largest ordering per key; make `order` unique within a key.
+
+    The leading hash makes the sort compare one long instead of long shared name prefixes.
+    """
+    cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    cols = [c.desc() if largest else c.asc() for c in cols]
+    rank = F.row_number().over(W.partitionBy("_h", *keys).orderBy(*cols))
     return (
-        df.groupBy(*keys)
-        .agg(choose(F.struct(*[F.col(c) for c in rest]), ordering(order)).alias("_row"))
-        .select(*keys, "_row.*")
-        .select(*df.columns)
+        df.withColumn("_h", F.xxhash64(*keys)).withColumn("_rank", rank)
+        .filter(F.col("_rank") == 1).drop("_h", "_rank")
     )
 
 
@@ -61,6 +56,7 @@ def dedup_highest(vulns, ties=("advisory_id", "source")):
 
 def topk(df, group, order, k, name="rn"):
     """First k rows per group; `order` holds sort columns that are unique within a group."""
+    order = [F.col(c) if isinstance(c, str) else c for c in order]
     ranked = df.withColumn(name, F.row_number().over(W.partitionBy(*group).orderBy(*order)))
     return ranked.filter(F.col(name) <= k)
 

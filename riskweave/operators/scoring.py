@@ -45,41 +45,50 @@ def feature_view(repo):
         F.col("mean_days_close_security").alias("mean_sec_close_days"))
 
 
+def rounded(df, digits, **formulas):
+    """Add SQL formulas as columns, each rounded on its own exact value."""
+    raw = df.withColumns({f"_x_{n}": F.expr(f) for n, f in formulas.items()})
+    return raw.withColumns({n: round_exact(f"_x_{n}", digits) for n in formulas}).drop(*[f"_x_{n}" for n in formulas])
+
+
 def governance(df, name="governance_composite"):
     """Mean of the four text signals as risk; higher is worse."""
-    one = F.lit(1.0)
-    raw = ((one - F.col("doc_quality_score")) * 0.25 + (one - F.col("security_guidance_score")) * 0.25
-           + (one - F.col("trust_coverage_score")) * 0.25 + F.col("incident_sentiment_score") * 0.25)
-    return df.withColumn("_g", clamp(raw, 0, 1)).withColumn(name, round_exact("_g", 4)).drop("_g")
+    return rounded(df, 4, **{name: (
+        "greatest(0D, least(1D, (1D - doc_quality_score) * 0.25D + (1D - security_guidance_score) * 0.25D"
+        " + (1D - trust_coverage_score) * 0.25D + incident_sentiment_score * 0.25D))")})
+
+
+POSTURE = ("cvss_normalized * 0.30D + exploit_maturity_score * 0.25D + epss_score * 0.20D"
+           " + severity_ordinal_norm * 0.15D + (1D - temporal_decay) * 0.10D")
+MATURITY = ("repo_maturity_score * 0.50D + (1D - mean_sec_close_days_norm) * 0.30D"
+            " + (1D - days_since_release_norm) * 0.20D")
+KEV_SEVERITY = ("is_kev_present * 0.6D"
+                " + least(CAST(critical_cve_count AS DOUBLE) / greatest(cve_count, 1), 1D) * 0.4D")
+PATCH_VELOCITY = "(1D - mean_sec_close_days_norm) * 0.7D + has_security_policy * 0.3D"
 
 
 def posture_index(df):
-    raw = (F.col("cvss_normalized") * 0.30 + F.col("exploit_maturity_score") * 0.25
-           + F.col("epss_score") * 0.20 + F.col("severity_ordinal_norm") * 0.15
-           + (F.lit(1.0) - F.col("temporal_decay")) * 0.10)
-    return df.withColumn("_x", raw).withColumn("security_posture_index", round_exact("_x", 4)).drop("_x")
+    return rounded(df, 4, security_posture_index=POSTURE)
 
 
 def maturity_index(df, maturity_as_risk=False):
     """Higher is better as the index formula has it; `maturity_as_risk` flips the sign."""
-    one = F.lit(1.0)
-    raw = (F.col("repo_maturity_score") * 0.50 + (one - F.col("mean_sec_close_days_norm")) * 0.30
-           + (one - F.col("days_since_release_norm")) * 0.20)
-    if maturity_as_risk:
-        raw = one - raw
-    return df.withColumn("_x", raw).withColumn("operational_maturity_index", round_exact("_x", 4)).drop("_x")
+    return rounded(df, 4, operational_maturity_index=f"1D - ({MATURITY})" if maturity_as_risk else MATURITY)
 
 
 def aux_indices(df):
     """Reliability, exploited-severity and patch-velocity indices."""
-    share = F.least(F.col("critical_cve_count") / F.greatest("cve_count", F.lit(1)), F.lit(1.0))
-    return df.withColumns({
-        "_k": F.col("is_kev_present") * 0.6 + share * 0.4,
-        "_p": (F.lit(1.0) - F.col("mean_sec_close_days_norm")) * 0.7 + F.col("has_security_policy") * 0.3,
-    }).withColumns({
-        "reliability_index": F.col("operational_risk_score"),
-        "kev_severity_index": round_exact("_k", 4), "patch_velocity_index": round_exact("_p", 4),
-    }).drop("_k", "_p")
+    out = rounded(df, 4, kev_severity_index=KEV_SEVERITY, patch_velocity_index=PATCH_VELOCITY)
+    return out.withColumn("reliability_index", F.col("operational_risk_score"))
+
+
+def all_indices(df, maturity_as_risk=False):
+    """The six indices in two projections; governance must be there."""
+    out = rounded(
+        df, 4, security_posture_index=POSTURE, kev_severity_index=KEV_SEVERITY, patch_velocity_index=PATCH_VELOCITY,
+        operational_maturity_index=f"1D - ({MATURITY})" if maturity_as_risk else MATURITY)
+    return out.withColumns({"reliability_index": F.col("operational_risk_score"),
+                            "governance_index": F.col("governance_composite")})
 
 
 def data_confidence(df, min_cves=C.MIN_CVES_FULL):
@@ -166,27 +175,22 @@ def score(features, policies, as_of):
     terms = compose_weights(policies).select(
         "run_id", "org_name", "compensating_controls", *[f"w_{d}" for d in C.DIMENSIONS])
     df = features.join(terms, "run_id")
-    product = {d: F.coalesce(F.col(INDEX_OF[d]), F.lit(0.0)) for d in C.DIMENSIONS}
-    df = df.withColumns({f"_d_{d}": product[d] * F.col(f"w_{d}") * 100.0 for d in C.DIMENSIONS})
-    raw = None
-    for d in C.DIMENSIONS:
-        term = F.col(f"w_{d}") * product[d]
-        raw = term if raw is None else raw + term
-    df = df.withColumn("_raw", raw * 100.0)
-    df = df.withColumns({f"{d}_score": round_exact(f"_d_{d}", 1) for d in C.DIMENSIONS})
-    df = df.withColumn("raw_score", round_exact("_raw", 1))
+    part = {d: f"coalesce({INDEX_OF[d]}, 0D)" for d in C.DIMENSIONS}
+    df = df.withColumns({
+        **{f"_d_{d}": F.expr(f"{part[d]} * w_{d} * 100D") for d in C.DIMENSIONS},
+        "_raw": F.expr("(" + " + ".join(f"w_{d} * {part[d]}" for d in C.DIMENSIONS) + ") * 100D")})
+    df = df.withColumns({**{f"{d}_score": round_exact(f"_d_{d}", 1) for d in C.DIMENSIONS},
+                         "raw_score": round_exact("_raw", 1)})
     df = df.withColumn("_disc", discounted(F.col("raw_score"), F.col("compensating_controls")))
     df = df.withColumn("discounted_score", round_exact("_disc", 1))
     thin = F.coalesce("data_confidence", F.lit("insufficient_data")) == "insufficient_data"
-    df = df.withColumn("_pen", F.when(thin, F.col("discounted_score") * C.CONFIDENCE_PENALTY)
-                       .otherwise(F.col("discounted_score")))
-    df = df.withColumn("_pen", clamp(F.col("_pen"), 0, 100))
-    df = df.withColumn("final_risk_score", round_exact("_pen", 1))
-    return df.withColumns({
-        "scored_at": as_of_lit(as_of), "ospc_org_name": F.col("org_name"),
-        "active_controls": F.array_join("compensating_controls", ","),
-    }).drop("_raw", "_disc", "_pen", *[f"_d_{d}" for d in C.DIMENSIONS], *[f"w_{d}" for d in C.DIMENSIONS],
-            "compensating_controls", "org_name")
+    df = df.withColumn("_cut", F.col("discounted_score") * C.CONFIDENCE_PENALTY)
+    df = df.withColumn("_pen", clamp(F.when(thin, round_exact("_cut", 1)).otherwise(F.col("discounted_score")), 0, 100))
+    df = df.withColumns({
+        "final_risk_score": round_exact("_pen", 1), "scored_at": as_of_lit(as_of), "ospc_org_name": F.col("org_name"),
+        "active_controls": F.array_join("compensating_controls", ",")})
+    return df.drop("_raw", "_disc", "_cut", "_pen", "compensating_controls", "org_name",
+                   *[f"{p}_{d}" for p in ("_d", "w") for d in C.DIMENSIONS])
 
 
 def bind_policies(policies, run_id):

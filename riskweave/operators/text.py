@@ -15,13 +15,19 @@ from riskweave.operators.ranking import first_seen, topk
 MASK_BITS = 62
 
 
-def hit_mask(text, phrase_sets):
-    """Bit i is set when any phrase of set i occurs as a substring of the (lower-case) text."""
+def quoted(word):
+    return "'" + word.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def hit_mask(name, phrase_sets):
+    """Bit i is set when any phrase of set i occurs as a substring of the (lower-case) text column."""
+    if not phrase_sets:
+        return F.lit(0).cast("bigint")
     bits = []
     for i, phrases in enumerate(phrase_sets):
-        found = reduce(lambda a, b: a | b, [F.contains(text, F.lit(p)) for p in phrases])
-        bits.append(F.when(found, F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint"))
-    return reduce(lambda a, b: a.bitwiseOR(b), bits)
+        found = " OR ".join(f"contains(`{name}`, {quoted(p)})" for p in phrases)
+        bits.append(f"IF({found}, {1 << i}L, 0L)")
+    return F.expr(" | ".join(bits))
 
 
 def grouped_hits(docs, group, phrase_sets):
@@ -32,7 +38,7 @@ def grouped_hits(docs, group, phrase_sets):
     """
     blocks = [phrase_sets[i:i + MASK_BITS] for i in range(0, len(phrase_sets), MASK_BITS)]
     low = docs.withColumn("_low", F.lower("text"))
-    masks = low.select(*group, *[F.coalesce(hit_mask(F.col("_low"), b), F.lit(0)).alias(f"_m{i}")
+    masks = low.select(*group, *[hit_mask("_low", b).alias(f"_m{i}")
                                  for i, b in enumerate(blocks)])
     hits = masks.groupBy(*group).agg(*[F.bit_or(f"_m{i}").alias(f"_m{i}") for i in range(len(blocks))])
     return hits, [f"_m{i}" for i in range(len(blocks))]

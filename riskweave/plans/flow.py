@@ -5,8 +5,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from riskweave import constants as C
-from riskweave.functions.risk import clamp
-from riskweave.functions.rounding import round_exact
+from riskweave.functions.rounding import clamp, round_exact
 from riskweave.operators import aggregates as A
 from riskweave.operators import model_features as M
 from riskweave.operators import scoring as S
@@ -24,8 +23,7 @@ def text_features(docs, frameworks, lexicon, doc_terms=C.DOC_QUALITY_TERMS, guid
     of = lambda name: F.col("collection") == name
     has_text = F.coalesce(F.length("text"), F.lit(0)) > 0
     low = docs.withColumn("_low", F.lower("text"))
-    mask = lambda sets: F.coalesce(X.hit_mask(F.col("_low"), sets), F.lit(0).cast("bigint")) if sets else (
-        F.lit(0).cast("bigint"))
+    mask = lambda sets: X.hit_mask("_low", sets)
     none = F.lit(0).cast("bigint")
     masks = low.select(
         "service_name",
@@ -55,17 +53,12 @@ def text_features(docs, frameworks, lexicon, doc_terms=C.DOC_QUALITY_TERMS, guid
 
 def assemble(services, vuln, repo, incident, text):
     """One row per service: four per-service aggregates joined to the service list, gaps filled."""
-    parts = (
-        (vuln, A.VULN_ZEROS, None), (repo, S.REPO_ZEROS, "has_repo"),
-        (incident, A.INCIDENT_ZEROS, "has_incidents"), (text, TEXT_ZEROS, None))
+    flagged = lambda df, name: df.withColumn(name, F.lit(True))
     out = services
-    for df, zeros, flag in parts:
-        side = df.withColumn(flag, F.lit(True)) if flag else df
+    for side in (vuln, flagged(repo, "has_repo"), flagged(incident, "has_incidents"), text):
         out = out.join(side, "service_name", "left")
-        out = out.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in zeros.items()})
-        if flag:
-            out = out.withColumn(flag, F.coalesce(flag, F.lit(False)))
-    return out
+    return out.fillna({**A.VULN_ZEROS, **S.REPO_ZEROS, **A.INCIDENT_ZEROS, **TEXT_ZEROS,
+                       "has_repo": False, "has_incidents": False})
 
 
 def service_features(services, vulns, repo, incidents, docs, frameworks, lexicon, as_of, run_id,
@@ -75,9 +68,7 @@ def service_features(services, vulns, repo, incidents, docs, frameworks, lexicon
     df = assemble(
         services, A.vuln_features(vulns, as_of), S.repo_features(S.feature_view(newest)),
         A.incident_features(incidents, as_of), text_features(docs, frameworks, lexicon, **text_options))
-    df = S.governance(df)
-    df = S.aux_indices(S.maturity_index(S.posture_index(df)))
-    df = df.withColumn("governance_index", F.col("governance_composite"))
+    df = S.all_indices(S.governance(df))
     return S.data_confidence(df).withColumn("run_id", F.lit(run_id)).drop("has_repo", "has_incidents", "has_docs")
 
 

@@ -3,13 +3,23 @@
 from pyspark.sql import functions as F
 
 
+_schemas = {}
+
+
+def read_parquet(spark, path):
+    """Parquet scan; the schema of a path is inferred once per process, not at every use."""
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
+
+
 def read_table(spark, name, source):
     """Full scan of one table: a folder of parquet files, a catalog name, or JDBC options."""
     if isinstance(source, dict):
         return spark.read.format("jdbc").options(dbtable=name, **source).load()
     if source is None:
         return spark.table(name)
-    return spark.read.parquet(f"{source}/{name}.parquet")
+    return read_parquet(spark, f"{source}/{name}.parquet")
 
 
 def scan(df, cols, predicate=None):
