@@ -14,7 +14,8 @@ VULN = """vuln AS (SELECT 'src' || CAST(l_linenumber % 3 AS VARCHAR) AS source,
  ELSE 'LOW' END AS severity, l_quantity / 5.0::DOUBLE AS cvss_v3_score, l_discount * 5 AS epss_score,
  CASE WHEN l_returnflag = 'R' AND l_quantity >= 48 THEN 1 ELSE 0 END AS is_kev,
  'CWE-' || CAST(l_partkey % 40 AS VARCHAR) AS cwe_id,
- CAST(l_shipdate AS TIMESTAMP) + INTERVAL 8120 DAYS AS published_at
+ CAST(l_shipdate AS TIMESTAMP) + INTERVAL 8120 DAYS AS published_at,
+ CASE WHEN l_linestatus = 'F' THEN 'npm' ELSE 'PyPI' END AS ecosystem
  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey)"""
 
 INC = """inc AS (SELECT s_name AS service_name, CAST(event_id AS VARCHAR) AS incident_id,

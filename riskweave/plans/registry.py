@@ -1,8 +1,8 @@
 """All registered queries and their reference SQL."""
 
-from riskweave.plans import suite_policy
+from riskweave.plans import suite_model, suite_policy
 
-SUITES = (suite_policy,)
+SUITES = (suite_policy, suite_model)
 QUERIES = {name: fn for s in SUITES for name, fn in s.QUERIES.items()}
 
 

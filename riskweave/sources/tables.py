@@ -62,6 +62,7 @@ def vulnerabilities(spark, sf):
         F.when((F.col("l_returnflag") == "R") & (qty >= 48), 1).otherwise(0).alias("is_kev"),
         F.concat(F.lit("CWE-"), (F.col("l_partkey") % 40).cast("string")).alias("cwe_id"),
         (F.col("l_shipdate") + F.expr("INTERVAL 8120 DAYS")).alias("published_at"),
+        F.when(F.col("l_linestatus") == "F", "npm").otherwise("PyPI").alias("ecosystem"),
     )
 
 
