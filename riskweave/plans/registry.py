@@ -1,8 +1,8 @@
 """All registered queries and their reference SQL."""
 
-from riskweave.plans import suite_model, suite_policy
+from riskweave.plans import suite_model, suite_policy, suite_tables
 
-SUITES = (suite_policy, suite_model)
+SUITES = (suite_policy, suite_model, suite_tables)
 QUERIES = {name: fn for s in SUITES for name, fn in s.QUERIES.items()}
 
 
