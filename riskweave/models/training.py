@@ -101,7 +101,7 @@ def cv_auc(df, estimator, key, label="label", k=5):
                         evaluator=BinaryClassificationEvaluator(labelCol=label), numFolds=k, foldCol="fold",
                         parallelism=4)
     fit = cv.fit(folded)
-    return fit.avgMetrics[0], fit.stdMetrics[0]
+    return float(fit.avgMetrics[0]), float(fit.stdMetrics[0])
 
 
 def importances(spark, model, cols, n=15):

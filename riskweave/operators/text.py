@@ -261,7 +261,7 @@ PAGE_RULES = {
 }
 
 
-def extract_pages(pages, rules="docs"):
+def extract_pages(pages, rules="docs", topics=C.COMPLIANCE_PATTERNS):
     """Title and main text of every page; short pages drop out, trust pages also need a topic."""
     skip, ids, classes, boilerplate, floor = PAGE_RULES[rules]
 
@@ -276,7 +276,7 @@ def extract_pages(pages, rules="docs"):
     out = out.withColumn("text", keep_lines(F.col("text"), boilerplate)).filter(F.length("text") >= floor)
     out = out.withColumn("title", F.coalesce("title", F.coalesce(F.try_parse_url("url", F.lit("PATH")), F.lit(""))))
     if rules == "trust":
-        out = tag_frameworks(out.filter(F.col("text").rlike(any_case(C.COMPLIANCE_PATTERNS))))
+        out = tag_frameworks(out.filter(F.col("text").rlike(any_case(topics))))
     return out
 
 
@@ -309,18 +309,29 @@ def extract_blocks(pages, limit=50):
     return out.select("page_id", "url", F.posexplode("blocks").alias("block_index", "text"))
 
 
+# where links are looked for, in this order: main part, a documentation menu, the whole body
+LINK_REGIONS = (
+    r"(?is)<main\b[^>]*>(.*?)</main>",
+    r"(?is)<nav\b[^>]*aria-label\s*=\s*[\"'][^\"']*(?:doc|sec|toc)[^\"']*[\"'][^>]*>(.*?)</nav>",
+    r"(?is)<body\b[^>]*>(.*)",
+)
+
+
 def extract_links(pages, cap=20):
     """Links of a page to its own host, fragments cut, in first-seen order, the page itself first."""
     host = F.try_parse_url("url", F.lit("HOST"))
     base = F.regexp_extract("url", r"^(https?://[^/?#]+)", 1)
     folder = F.regexp_replace(F.regexp_replace("url", r"[?#].*$", ""), r"(?<=[^/:])/[^/]*$", "")
-    own = pages.select("page_id", "url", host.alias("host"), base.alias("base"), folder.alias("folder"),
+    bare = F.regexp_replace(F.regexp_replace("html", r"(?s)<!--.*?-->", ""), r"(?is)<script\b.*?</script>", "")
+    pages = pages.select("page_id", "url", bare.alias("html"))
+    region = F.coalesce(*[filled(F.regexp_extract("html", p, 1)) for p in LINK_REGIONS])
+    own = pages.withColumn("html", region).select("page_id", "url", host.alias("host"), base.alias("base"), folder.alias("folder"),
                        F.regexp_extract("url", r"^(https?):", 1).alias("scheme"),
                        F.regexp_replace("url", r"[?#].*$", "").alias("bare"),
                        F.regexp_extract_all("html", F.lit(r"(?i)<a\s[^>]*?href\s*=\s*[\"']([^\"']*)[\"']"), F.lit(1))
                        .alias("hrefs"))
     raw = own.select("*", F.posexplode("hrefs").alias("pos", "href"))
-    cut = F.split_part("href", F.lit("#"), F.lit(1))
+    cut = F.split_part(F.replace("href", F.lit("&amp;"), F.lit("&")), F.lit("#"), F.lit(1))
     full = (
         F.when(cut == "", F.split_part("url", F.lit("#"), F.lit(1)))
         .when(cut.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), cut)

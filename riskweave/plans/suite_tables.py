@@ -46,12 +46,12 @@ def features_roundtrip(spark, sf):
 
 
 def raw_landing(spark, sf):
-    """Landed raw records by source, service and day, counted after reading them back."""
+    """Landed raw records by source and day, counted after reading them back."""
     v = T.vulnerabilities(spark, sf).select(
         "source", "service_name", "cve_id", "advisory_id", "cvss_v3_score",
         F.date_format(F.date_trunc("year", "published_at"), "yyyy-MM-dd").alias("ingest_date"))
     path = scratch_path(spark, "raw")
-    outputs.land_raw(v.repartition("source", "service_name"), path)
+    outputs.land_raw(v, path)
     back = outputs.read_raw(spark, path, v.schema)
     return back.groupBy("source", "service_name", F.col("ingest_date").cast("string").alias("ingest_date")).agg(
         F.count("*").alias("n"), F.sum(F.col("cvss_v3_score").cast("decimal(18,6)")).cast("double").alias("total"))

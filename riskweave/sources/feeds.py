@@ -86,10 +86,13 @@ def read_feed(spark, path, feed, multi_line=True):
     return pages.select(F.explode(field).alias("item")).select("item.*")
 
 
-def read_salesforce(spark, path):
-    """A list of incidents, or an object with the list under `data` or `incidents`; one document per file."""
+def read_salesforce(spark, path, whole=True):
+    """A list of incidents, or an object with the list under `data` or `incidents`.
+
+    One document per file, or with `whole=False` one per line.
+    """
     items = f"array<{as_struct(SALESFORCE_INCIDENT)}>"
-    text = spark.read.option("wholetext", "true").text(path)
+    text = spark.read.option("wholetext", str(whole).lower()).text(path)
     doc = text.select(F.try_parse_json("value").alias("v"))
     pick = lambda where: F.try_variant_get("v", where, "variant")
     body = F.coalesce(pick("$.data"), pick("$.incidents"), F.col("v"))

@@ -6,9 +6,13 @@ from riskweave import constants as C
 from riskweave.functions.coerce import enforce
 
 
-def land_raw(df, path):
-    """Raw records as JSON lines by source, service and day, before any merge."""
-    df.write.mode("append").partitionBy("source", "service_name", "ingest_date").json(path)
+def land_raw(df, path, by=("source", "ingest_date")):
+    """Raw records as JSON lines by source and day, before any merge.
+
+    The service stays a column: a folder per service does not hold up with many services. Add
+    `service_name` to `by` for that layout. Rows are written where they are, without a shuffle.
+    """
+    df.write.mode("append").partitionBy(*by).json(path)
 
 
 def read_raw(spark, path, schema):
