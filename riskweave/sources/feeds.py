@@ -99,10 +99,15 @@ def read_salesforce(spark, path, whole=True):
     return doc.select(F.explode(F.from_json(F.to_json(body), items)).alias("item")).select("item.*")
 
 
-def read_atom(spark, path):
-    """Entries of an Atom or RSS-like XML file, with or without the namespace prefix."""
-    plain = spark.read.format("xml").option("rowTag", "entry").schema(ATOM_ENTRY).load(path)
-    prefixed = (
-        spark.read.format("xml").option("rowTag", "atom:entry").option("ignoreNamespace", "true")
-        .schema(ATOM_ENTRY).load(path))
-    return plain.unionByName(prefixed)
+def read_atom(spark, path, prefix=None):
+    """Entries of an Atom feed: without a namespace, with a default one, or with a prefix on every tag.
+
+    Prefixed entries are cut at their end tag, which keeps large files splittable, and lose the
+    prefix before they are parsed.
+    """
+    if prefix is None:
+        return spark.read.format("xml").option("rowTag", "entry").schema(ATOM_ENTRY).load(path)
+    pieces = spark.read.option("lineSep", f"</{prefix}:entry>").text(path)
+    body = F.nullif(F.regexp_extract("value", f"(?s)<{prefix}:entry[^>]*>(.*)$", 1), F.lit(""))
+    plain = F.concat(F.lit("<entry>"), F.regexp_replace(body, f"<(/?){prefix}:", "<$1"), F.lit("</entry>"))
+    return pieces.select(F.from_xml(plain, ATOM_ENTRY).alias("e")).filter(F.col("e").isNotNull()).select("e.*")
