@@ -165,16 +165,26 @@ INDEX_OF = {
 }
 
 
+TERMS = ("org_name", "compensating_controls", *[f"w_{d}" for d in C.DIMENSIONS])
+
+
 def score(features, policies, as_of):
     """Score rows of every (run, policy) pair, joined on run_id.
 
-    `policies` names the run each organisation's policy applies to; a policy without a `run_id`
-    column is bound to a run first (see `bind_policies`). Weights are composed on the policy rows,
-    before the join.
+    `policies` names the run each organisation's policy applies to. Weights are composed on the
+    policy rows, before the join.
     """
-    terms = compose_weights(policies).select(
-        "run_id", "org_name", "compensating_controls", *[f"w_{d}" for d in C.DIMENSIONS])
-    df = features.join(terms, "run_id")
+    return _scored(features.join(compose_weights(policies).select("run_id", *TERMS), "run_id"), as_of)
+
+
+def score_run(features, policy, as_of):
+    """Score rows of one run under its one policy, which travels as a scalar subquery and not as a join."""
+    terms = compose_weights(policy).select(F.struct(*TERMS).alias("p")).scalar()
+    df = features.withColumn("_p", terms)
+    return _scored(df.withColumns({t: F.col(f"_p.{t}") for t in TERMS}).drop("_p"), as_of)
+
+
+def _scored(df, as_of):
     part = {d: f"coalesce({INDEX_OF[d]}, 0D)" for d in C.DIMENSIONS}
     df = df.withColumns({
         **{f"_d_{d}": F.expr(f"{part[d]} * w_{d} * 100D") for d in C.DIMENSIONS},

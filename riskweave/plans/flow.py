@@ -72,9 +72,9 @@ def service_features(services, vulns, repo, incidents, docs, frameworks, lexicon
     return S.data_confidence(df).withColumn("run_id", F.lit(run_id)).drop("has_repo", "has_incidents", "has_docs")
 
 
-def policy_scores(features, policies, as_of):
-    """Score rows of a run, best first left to the report."""
-    return S.score(features, policies, as_of)
+def policy_scores(features, policy, as_of):
+    """Score rows of a run under its policy, best first left to the report."""
+    return S.score_run(features, policy, as_of)
 
 
 def model_frame(vulns, repo, incidents, entity_order, thresholds=C.HIGH_RISK_THRESHOLDS, top=20, casefold=False,

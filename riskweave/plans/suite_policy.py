@@ -69,10 +69,10 @@ def features(spark, sf):
 def run_policy(spark, sf):
     """The policy of the run: the named frameworks and controls, under the first customer's name."""
     first = T.read_table(spark, "customer", sf).agg(F.min_by("c_name", "c_custkey").alias("org_name"))
-    return S.bind_policies(first.select(
+    return first.select(
         "org_name", F.array(*[F.lit(f) for f in FRAMEWORKS]).alias("regulatory_frameworks"),
         F.array(*[F.lit(c) for c in CONTROLS]).alias("compensating_controls"),
-        F.lit(None).cast("map<string,double>").alias("dimension_weight_overrides")), RUN)
+        F.lit(None).cast("map<string,double>").alias("dimension_weight_overrides"))
 
 
 def scores(spark, sf):

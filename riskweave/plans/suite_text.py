@@ -178,9 +178,10 @@ def nodes_sql(e):
 
 
 def unescape(e):
-    for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&#x27;", "''"), ("&nbsp;", " "), ("&amp;", "&")):
-        e = f"replace({e}, '{a}', '{b}')" if a != "&nbsp;" else f"replace({e}, '{a}', chr(160))"
-    return e
+    """The character references of the pages; a text cut off in the middle of one still counts."""
+    for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&#x27;", "''")):
+        e = f"replace({e}, '{a}', '{b}')"
+    return f"regexp_replace(replace({e}, '&nbsp;', chr(160)), '&amp;?', '&', 'g')"
 
 
 def oracles():

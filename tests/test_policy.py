@@ -250,3 +250,13 @@ def test_decay_formula_matches_python(spark):
     df = spark.createDataFrame([(d, ago(d)) for d in range(0, 900, 37)], "a int, t timestamp_ntz")
     for a, got in rows(df.select("a", risk.decay("t", AS_OF))):
         assert got == round(math.exp(-math.log(2) * a / 365), 4)
+
+
+def test_one_run_and_joined_scores_agree(spark, inputs):
+    f = flow.service_features(**inputs, frameworks=["SOC2"], lexicon=X.lexicon_frame(spark), as_of=AS_OF, run_id="r")
+    p = spark.createDataFrame([("org", ["SOC2", "GDPR"], ["waf_deployed"], {"governance": .4})], POLICY)
+    joined = S.score(f, S.bind_policies(p, "r"), AS_OF)
+    single = flow.policy_scores(f, p, AS_OF)
+    cols = ("service_name", "raw_score", "final_risk_score", "ospc_org_name", "active_controls")
+    assert sorted(rows(joined, *cols)) == sorted(rows(single, *cols))
+    assert "Nested" not in single._jdf.queryExecution().executedPlan().toString()
