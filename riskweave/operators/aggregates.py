@@ -119,8 +119,11 @@ def incident_agg(incidents):
         F.coalesce(F.sum("duration_minutes"), F.lit(0)).cast("bigint").alias("total_downtime"))
 
 
-def vuln_agg(vulns, casefold=False):
-    """Vulnerability inputs of the model; no dedup, NULLs skipped, lower-case severities counted."""
+def vuln_agg(vulns, casefold=False, cwes=()):
+    """Vulnerability inputs of the model; no dedup, NULLs skipped, lower-case severities counted.
+
+    `cwes` adds one count column per listed weakness in the same pass over the rows.
+    """
     sev = F.lower("severity") if casefold else F.col("severity")
     return vulns.groupBy("service_name").agg(
         F.count("cve_id").alias("total_vulns"),
@@ -128,7 +131,12 @@ def vuln_agg(vulns, casefold=False):
         exact_mean("cvss_v3_score").alias("mean_cvss"),
         F.max("cvss_v3_score").cast("double").alias("max_cvss"),
         F.coalesce(F.sum(F.col("is_kev").cast("int")), F.lit(0)).alias("exploit_count"),
-        exact_mean("epss_score").alias("mean_epss"))
+        exact_mean("epss_score").alias("mean_epss"),
+        *category_counts("cwe_id", cwes))
+
+
+def category_counts(col, values):
+    return [count_where(F.col(col) == v).alias(f"{col}_{v}") for v in values]
 
 
 REPO_MEANS = ("commit_count_90d", "contributor_count_90d", "open_issues", "security_issues_open",
@@ -144,7 +152,7 @@ def repo_agg(repo):
 def onehot_counts(df, key, col, values):
     """One count column per listed category, in one aggregation; rows of other categories are left out."""
     wanted = df.filter(F.col(col).isin(*values))
-    return wanted.groupBy(key).agg(*[F.count_if(F.col(col) == v).alias(f"{col}_{v}") for v in values])
+    return wanted.groupBy(key).agg(*category_counts(col, values))
 
 
 def entity_list(vulns, order):

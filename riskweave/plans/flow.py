@@ -81,9 +81,7 @@ def model_frame(vulns, repo, incidents, entity_order, thresholds=C.HIGH_RISK_THR
                 codes=True):
     """Model input of every service. The most frequent weakness names (at most `top`) become columns."""
     names = [r[0] for r in top_categories(vulns, "cwe_id", top).select("cwe_id").collect()]
-    aggs = [A.repo_agg(repo), A.incident_agg(incidents), A.vuln_agg(vulns, casefold)]
-    if names:
-        aggs.append(A.onehot_counts(vulns, "service_name", "cwe_id", names))
-    df = M.join_features(A.entity_list(vulns, entity_order), *aggs)
+    df = M.join_features(A.entity_list(vulns, entity_order), A.repo_agg(repo), A.incident_agg(incidents),
+                         A.vuln_agg(vulns, casefold, names))
     df = M.high_risk(M.compound_features(df), thresholds)
     return M.encode_flags(M.encode(df, ["ecosystem", "vendor"])) if codes else df

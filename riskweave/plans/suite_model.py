@@ -122,8 +122,7 @@ def label_band_counts(spark, sf):
 
 
 def risk_area_drilldown(spark, sf):
-    areas = M.risk_areas(frame(spark, sf), WEIGHTS)
-    return areas.join(M.risk_totals(areas), "service_name")
+    return M.risk_areas(frame(spark, sf), WEIGHTS)
 
 
 def risk_drivers_top10(spark, sf):

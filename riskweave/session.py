@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # texts and pages go to Python whole, so batches are kept short
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
