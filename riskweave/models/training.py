@@ -95,6 +95,13 @@ def with_score(model, df, name):
     return out.withColumn(name, vector_to_array("probability")[1]).drop("probability", *extra)
 
 
+def score_all(models, df):
+    """Class-1 probability of each fitted model as a column; `models` maps column name to model."""
+    for name, model in models.items():
+        df = with_score(model, df, name)
+    return df
+
+
 def cv_auc(df, estimator, key, label="label", k=5):
     """(mean, standard deviation) of the fold AUCs; the folds are written once for all fits."""
     slim = df.select(*key, "features", label, "class_weight")

@@ -180,3 +180,17 @@ def normalize_gcp(raw):
         F.lit("gcp"), F.col("id"), F.when(F.col("severity") == "high", "major").otherwise("minor"),
         F.when(filled("end").isNotNull(), "resolved").otherwise("investigating"), norm_timestamp("begin"),
         norm_timestamp("end"), none("int"), F.coalesce(F.array_join("affected_products", ", "), F.lit(""))))
+
+
+def normalize_commits(raw):
+    """Commit rows of repository histories: author login and commit time."""
+    return raw.select("repo", F.col("author.login").alias("author"),
+                      norm_timestamp(F.col("commit.author.date")).alias("committed_at"))
+
+
+def normalize_issues(raw, label="security"):
+    """Issue rows with their dates, state and whether they carry the label."""
+    return raw.select(
+        "repo", "number", "title", "body", "state", norm_timestamp("created_at").alias("created_at"),
+        norm_timestamp("closed_at").alias("closed_at"),
+        F.coalesce(F.exists("labels", lambda x: x["name"] == label), F.lit(False)).alias("is_security"))

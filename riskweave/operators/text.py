@@ -365,6 +365,35 @@ def statuspage_text(name, updates):
     return F.concat(F.lit("Incident: "), F.coalesce(name, F.lit("")), F.lit("\n\n"), F.array_join(lines, "\n\n"))
 
 
+def incident_text(raw, source):
+    """(id, text) of a feed's incidents: the text each feed offers, kept when long enough."""
+    blank = lambda c: F.coalesce(c, F.lit(""))
+    para = lambda a, b: F.concat(blank(a), F.lit("\n\n"), blank(b))
+    rows = raw
+    if source == "statuspage":
+        text = statuspage_text(F.col("name"), F.col("incident_updates"))
+    elif source == "azure":
+        text = para(F.col("title"), F.col("summary"))
+    elif source == "salesforce":
+        text = F.concat(F.lit("Salesforce Incident "), F.col("id"), F.lit(": "), blank(F.col("message")))
+    elif source == "aws":
+        text = blank(F.col("eventDescription.latestDescription"))
+        rows = raw.withColumn("id", F.element_at(F.split("eventArn", "/"), -1))
+    else:
+        told = F.array_join(F.transform("updates", lambda u: F.coalesce(u["text"], F.lit(""))), " ")
+        rows = raw.filter(F.coalesce(told, F.lit("")) != "")
+        text = para(F.col("external_desc"), told)
+    return keep_incident_text(rows.select("id", text.alias("text")), source)
+
+
+def advisory_text(nodes):
+    """Summary and description of each advisory once, under the id `ghsa::<advisory>`."""
+    adv = F.col("advisory")
+    text = F.concat(F.coalesce(adv["summary"], F.lit("")), F.lit("\n\n"), F.coalesce(adv["description"], F.lit("")))
+    rows = nodes.select(F.concat(F.lit("ghsa::"), adv["ghsaId"]).alias("id"), text.alias("text"))
+    return first_seen(rows.filter(F.length(strip("text")) > 0), ["id"], ["text"])
+
+
 def issue_text(issues, order, cap=50):
     """Title and body of the first 50 issues of a repository, those of 50 characters or more."""
     first = topk(issues, ["repo"], order, cap)

@@ -3,8 +3,11 @@
 from pyspark.sql import functions as F
 
 from riskweave.operators import filters as D
+from riskweave.operators import aggregates as A
 from riskweave.operators import normalize as N
+from riskweave.operators import text as X
 from riskweave.plans import oracle as O
+from riskweave.plans.suite_text import strip
 from riskweave.session import scratch_path
 from riskweave.sources import feeds, policies as P, tables as T
 
@@ -215,9 +218,47 @@ def policy_files(spark, sf):
         "valid", F.col("valid").cast("bigint"))
 
 
+def incident_texts(spark, sf):
+    """Incident texts of four feeds, the feed beside the text."""
+    talk = T.read_table(spark, "conversations", sf)
+    key = F.concat(text("conv_id"), F.lit("-"), text("turn"))
+    azure = talk.select(key.alias("id"), F.col("role").alias("title"), F.substring("text", 1, 30).alias("summary"))
+    sales = talk.select(key.alias("id"), F.substring("text", 1, 10).alias("message"))
+    aws = talk.select(F.concat(F.lit("arn/"), key).alias("eventArn"), st(
+        latestDescription=F.when(F.col("role") == "user", F.col("text"))).alias("eventDescription"))
+    gcp = talk.select(key.alias("id"), F.lit("desc").alias("external_desc"), F.when(
+        F.col("role") == "user", F.array(st(text=F.col("text")), st(text=F.lit("end")))).alias("updates"))
+    parts = [X.incident_text(df, s).select("id", F.md5("text").alias("digest"), F.lit(s).alias("feed"))
+             for df, s in ((azure, "azure"), (sales, "salesforce"), (aws, "aws"), (gcp, "gcp"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+def advisory_texts(spark, sf):
+    return X.advisory_text(ghsa_nodes(spark, sf))
+
+
+def github_activity(spark, sf):
+    """Repository statistics from commit and issue payloads."""
+    li, o = T.read_table(spark, "lineitem", sf), T.read_table(spark, "orders", sf)
+    z = lambda c: F.concat(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))
+    repo = lambda c: F.concat(F.lit("org/repo"), text(c)).alias("repo")
+    commits = N.normalize_commits(li.select(
+        repo("l_suppkey"), F.when(F.col("l_linestatus") == "F", st(login=F.concat(F.lit("u"), text("l_linenumber")))).alias("author"),
+        st(author=st(date=z("l_shipdate"))).alias("commit")))
+    issues = N.normalize_issues(o.select(
+        repo("o_custkey"), F.col("o_orderkey").alias("number"), F.lit("t").alias("title"), F.lit("b").alias("body"),
+        F.when(F.col("o_orderstatus") == "O", "open").otherwise("closed").alias("state"), z("o_orderdate").alias("created_at"),
+        F.when(F.col("o_orderstatus") != "O", z(F.col("o_orderdate") + F.expr("INTERVAL 36 HOURS"))).alias("closed_at"),
+        F.array(st(name=F.lit("bug")), st(name=F.when(F.col("o_orderpriority") == "1-URGENT", "security").otherwise("ui"))).alias("labels")))
+    releases = o.select(repo("o_custkey"), F.col("o_orderdate").alias("published_at"))
+    out = A.repo_stats(commits, issues, releases, "2001-06-01 00:00:00", 720)
+    return out.withColumn("days_since_last_release", F.col("days_since_last_release").cast("bigint"))
+
+
 QUERIES = {f.__name__: f for f in (
     nvd_normalize, feed_json, nested_filter, kev_normalize, ghsa_normalize, osv_normalize, epss_normalize, statuspage_normalize,
-    aws_normalize, feed_atom, feed_salesforce, gcp_normalize, policy_files)}
+    aws_normalize, feed_atom, feed_salesforce, gcp_normalize, policy_files,
+    incident_texts, advisory_texts, github_activity)}
 
 
 def oracles():
@@ -280,5 +321,22 @@ def oracles():
                                f"orders WHERE {p} <> '4-NOT SPECIFIED'"),
         "gcp_normalize": inc("'gcp'", eid, "CASE WHEN event_type = 'error' THEN 'major' ELSE 'minor' END", "CASE WHEN event_type = 'view' THEN 'resolved' ELSE 'investigating' END",
                              iso(ev), f"CASE WHEN event_type = 'view' THEN {iso(ev)} END", "NULL", "event_type || ', ' || CAST(user_id AS VARCHAR)", "events"),
+        "incident_texts": f"""WITH k AS (SELECT CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS id, role, text FROM conversations),
+ t AS (SELECT id, {strip("role || chr(10) || chr(10) || left(text, 30)")} AS x, 'azure' AS feed, 31 AS least FROM k UNION ALL
+ SELECT id, {strip("'Salesforce Incident ' || id || ': ' || left(text, 10)")}, 'salesforce', 31 FROM k UNION ALL
+ SELECT id, {strip("text")}, 'aws', 1 FROM k WHERE role = 'user' UNION ALL
+ SELECT id, {strip("'desc' || chr(10) || chr(10) || text || ' end'")}, 'gcp', 1 FROM k WHERE role = 'user')
+ SELECT id, md5(x) AS digest, feed FROM t WHERE length(x) >= least""",
+        "advisory_texts": "SELECT DISTINCT 'ghsa::GHSA-' || CAST(o_orderkey AS VARCHAR) AS id, 's' || chr(10) || chr(10) || 'd' AS text FROM orders",
+        "github_activity": f"""WITH lo AS (SELECT TIMESTAMP '2001-06-01 00:00:00' - INTERVAL 720 DAYS AS t),
+ c AS (SELECT l_suppkey AS k, count(*) AS n, count(DISTINCT CASE WHEN l_linestatus = 'F' THEN l_linenumber END) AS a FROM lineitem
+ WHERE CAST(l_shipdate AS TIMESTAMP) >= (SELECT t FROM lo) GROUP BY 1),
+ i AS (SELECT o_custkey AS k, count(*) FILTER (WHERE o_orderstatus = 'O') AS o, CASE WHEN count(*) FILTER (WHERE o_orderstatus <> 'O') > 0 THEN 1.5 END AS d
+ FROM orders WHERE o_orderpriority = '1-URGENT' AND {odate} >= (SELECT t FROM lo) GROUP BY 1),
+ r AS (SELECT o_custkey AS k, max({odate}) AS m FROM orders GROUP BY 1)
+ SELECT 'org/repo' || CAST(k AS VARCHAR) AS repo, coalesce(n, 0) AS commit_count_90d, coalesce(a, 0) AS contributor_count_90d,
+ coalesce(o, 0) AS security_issues_open, CAST(d AS DOUBLE) AS mean_days_close_security,
+ CAST({O.days_between('m', "TIMESTAMP '2001-06-01 00:00:00'")} AS BIGINT) AS days_since_last_release
+ FROM c FULL JOIN i USING (k) FULL JOIN r USING (k)""",
         "policy_files": "SELECT c_name AS org_name, CAST(CASE WHEN c_custkey % 4 = 0 THEN 0 ELSE 1 END AS BIGINT) AS valid FROM customer",
     }

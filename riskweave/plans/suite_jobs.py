@@ -46,6 +46,11 @@ def boosted_scores(spark, sf):
     return L.with_score(L.gbt_estimator().fit(df), df, "gbt_risk_score").select("service_name", "gbt_risk_score")
 
 
+def boosted_importances(spark, sf):
+    df, cols = prepared(spark, sf)
+    return L.importances(spark, L.gbt_estimator().fit(df), cols)
+
+
 def neural_scores(spark, sf):
     df, cols = prepared(spark, sf)
     return L.with_score(L.mlp_pipeline(len(cols)).fit(df), df, "nn_risk_score").select("service_name", "nn_risk_score")
@@ -127,7 +132,7 @@ def flag_stream(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    model_scores, forest_importances, boosted_scores, neural_scores, cross_validation, standardized, split_sizes,
+    model_scores, forest_importances, boosted_scores, boosted_importances, neural_scores, cross_validation, standardized, split_sizes,
     isolation_trees, landed_stream, dedup_stream, upsert_stream, flag_stream)}
 
 
