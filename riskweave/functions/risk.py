@@ -16,6 +16,14 @@ def whole_days(earlier, later):
     return F.datediff(end, start) - F.when(wrapped, 1).otherwise(0)
 
 
+def seconds_between(start, end):
+    """Seconds from one zone-less timestamp to another as an exact decimal, whatever the session zone."""
+    a, b = as_col(start), as_col(end)
+    second = lambda t: F.extract(F.lit("SECOND"), t)
+    return (F.datediff(b, a).cast("bigint") * 86400 + (F.hour(b) - F.hour(a)) * 3600
+            + (F.minute(b) - F.minute(a)) * 60 + (second(b) - second(a))).cast("decimal(18,6)")
+
+
 def time_of_day(ts):
     return ts - ts.cast("date").cast("timestamp_ntz")
 

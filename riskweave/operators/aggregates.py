@@ -171,14 +171,12 @@ def repo_stats(commits, issues, releases, as_of, days=C.LOOKBACK_DAYS):
     by_commit = commits.filter(F.col("committed_at") >= since).groupBy("repo").agg(
         F.count("*").alias("commit_count_90d"),
         F.count_distinct(F.nullif("author", F.lit(""))).alias("contributor_count_90d"))
-    # day fractions come from whole seconds, so the sum is exact
-    secs = F.unix_seconds(F.col("closed_at").cast("timestamp")) - F.unix_seconds(
-        F.col("created_at").cast("timestamp"))
+    secs = risk.seconds_between("created_at", "closed_at")
     security = issues.filter((F.col("created_at") >= since) & F.col("is_security"))
     closed = F.when(F.col("state") == "closed", secs)
     by_issue = security.groupBy("repo").agg(
         F.count_if(F.col("state") == "open").alias("security_issues_open"),
-        (F.sum(closed) / F.nullif(F.count(closed), F.lit(0)) / 86400.0).alias("close_days"))
+        (F.sum(closed).cast("double") / F.nullif(F.count(closed), F.lit(0)) / 86400.0).alias("close_days"))
     by_release = releases.groupBy("repo").agg(F.max("published_at").alias("last_release"))
     out = by_commit.join(by_issue, "repo", "full_outer").join(by_release, "repo", "full_outer")
     return out.select(

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from riskweave.functions.coerce import filled, map_severity, norm_timestamp, strip
+from riskweave.functions.risk import seconds_between
 from riskweave.operators.filters import not_withdrawn, usable_matches
 
 VULN_COLUMNS = ("source", "cve_id", "advisory_id", "service_name", "ecosystem", "severity", "cvss_v3_score",
@@ -123,9 +124,10 @@ def normalize_epss(raw):
 
 
 def minutes_between(start, end):
-    """Whole minutes, truncated toward zero."""
-    seconds = F.unix_seconds(end.cast("timestamp")) - F.unix_seconds(start.cast("timestamp"))
-    return F.when(seconds >= 0, F.floor(seconds / 60)).otherwise(F.ceil(seconds / 60)).cast("int")
+    """Whole minutes between two ISO texts at their full precision, truncated toward zero."""
+    when = lambda text: F.rtrim(F.replace(text, F.lit("Z"), F.lit(" "))).try_cast("timestamp_ntz")
+    minutes = seconds_between(when(start), when(end)) / 60
+    return F.when(minutes >= 0, F.floor(minutes)).otherwise(F.ceil(minutes)).cast("int")
 
 
 def incident(service, id_, severity, status, started, resolved, minutes, components):
@@ -140,7 +142,7 @@ def normalize_statuspage(raw, service):
     names = F.array_join(F.transform("components", lambda c: F.coalesce(c["name"], F.lit(""))), ", ")
     return raw.select(*incident(
         F.lit(service), F.col("id"), severity, F.coalesce(filled("status"), F.lit("resolved")), start, end,
-        minutes_between(start, end), F.left(F.coalesce(names, F.lit("")), F.lit(1024))))
+        minutes_between(F.col("created_at"), F.col("resolved_at")), F.left(F.coalesce(names, F.lit("")), F.lit(1024))))
 
 
 def normalize_aws(raw, service):
@@ -172,7 +174,7 @@ def normalize_salesforce(raw, service):
         F.lit(service), F.col("id"),
         F.when(F.lower("messageType").isin("major", "core", "incident"), "major").otherwise("minor"),
         F.when(filled("resolvedAt").isNotNull(), "resolved").otherwise("investigating"), start, end,
-        minutes_between(start, end), F.left(affected, F.lit(1024))))
+        minutes_between(created, ended), F.left(affected, F.lit(1024))))
 
 
 def normalize_gcp(raw):

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from riskweave import constants as C
 from riskweave.functions.coerce import norm_ecosystem
+from riskweave.functions.risk import seconds_between
 from riskweave.operators.ranking import first_seen
 
 REGISTRY = (
@@ -130,8 +131,7 @@ def windows(span, max_days=C.WINDOW_DAYS, start="start", end="end"):
 
 def window_index(col, start, max_days=C.WINDOW_DAYS):
     """Index of the window a timestamp falls in, by arithmetic instead of a range join."""
-    seconds = max_days * 86400 + 1
-    return F.floor((F.unix_seconds(col.cast("timestamp")) - F.unix_seconds(start.cast("timestamp"))) / seconds)
+    return F.floor(seconds_between(start, col) / (max_days * 86400 + 1))
 
 
 def candidate_urls(registry_repos):

@@ -54,7 +54,7 @@ def test_azure_atom_with_and_without_prefix(spark, prefix):
 
 
 def test_statuspage_minutes_truncate(spark):
-    raw = parse(spark, feeds.STATUSPAGE_INCIDENT, '{"id":"1","impact":"critical","status":"","created_at":"2024-01-01T00:00:00Z","resolved_at":"2024-01-01T00:01:59Z"}',
+    raw = parse(spark, feeds.STATUSPAGE_INCIDENT, '{"id":"1","impact":"critical","status":"","created_at":"2024-01-01T00:00:00.900Z","resolved_at":"2024-01-01T00:02:00.100Z"}',
                 '{"id":"2","impact":"none","status":"x","created_at":"2024-01-01T00:01:59Z","resolved_at":"2024-01-01T00:00:00Z","components":[{"name":"a"},{"name":"b"}]}')
     assert rows(N.normalize_statuspage(raw, "s"), "severity", "status", "duration_minutes", "affected_components") == [
         ("major", "resolved", 1, ""), ("maintenance", "x", -1, "a, b")]
