@@ -72,7 +72,7 @@ def ensure_table(spark, sf):
     from pyspark.sql.types import StructType
 
     name = f"services_{uuid4().hex}"
-    outputs.ensure_table(spark, name, StructType.fromDDL("name string, vendor string"))
+    outputs.ensure_table(spark, name, StructType.fromDDL("name string, vendor string"), scratch_path(spark, "services"))
     outputs.ensure_table(spark, name, StructType.fromDDL("name string, vendor string, service_tier int"))
     wide = StructType.fromDDL("name string, vendor string, service_tier int")
     rows = T.read_table(spark, "supplier", sf).select(F.col("s_name").alias("name"), F.col("s_nationkey").alias("service_tier"))

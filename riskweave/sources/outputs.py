@@ -73,10 +73,11 @@ def dashboard(df, weights, as_of):
                      ).orderBy(F.col("lr_risk_score").desc(), "service_name")
 
 
-def ensure_table(spark, name, schema):
+def ensure_table(spark, name, schema, location=None):
     """Create a table if it is absent, add the columns it lacks, keep what it has."""
+    where = f" LOCATION '{location}'" if location else ""
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet{where}")
     have = {c.lower() for c in spark.table(name).columns}
     extra = [f for f in schema.fields if f.name.lower() not in have]
     if extra:
