@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from riskweave.llm import bpe, exact_dedup, html_text, tables
+from riskweave.llm import bpe, exact_dedup, html_text, jaccard, tables
 
 
 def op1_html_extraction(spark, sf):
@@ -18,6 +18,10 @@ OP2_SQL = """SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS gr
  FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))"""
 
 
+def op3_ngram_jaccard_join(spark, sf):
+    return jaccard.near_duplicates(spark, tables.read(spark, sf, "documents"), k=3, p=90, q=100)
+
+
 def tokenizer(path=None):
     """(tokens by id, split pattern) of the rank file at `path`, or of the installed multilingual one."""
     import public_tokenizers
@@ -34,5 +38,5 @@ def op7_byte_bpe(spark, sf):
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_exact_dedup, op7_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_exact_dedup, op3_ngram_jaccard_join, op7_byte_bpe)}
 ORACLES = {"op2_exact_dedup": OP2_SQL}
