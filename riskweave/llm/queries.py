@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from riskweave.llm import bpe, exact_dedup, html_text, jaccard, substring_dedup, tables
+from riskweave.llm import bpe, exact_dedup, html_text, jaccard, sharding, substring_dedup, tables
 
 
 def op1_html_extraction(spark, sf):
@@ -22,6 +22,10 @@ def op3_ngram_jaccard_join(spark, sf):
     return jaccard.near_duplicates(spark, tables.read(spark, sf, "documents"), k=3, p=90, q=100)
 
 
+def op4_sharding(spark, sf):
+    return sharding.assign_shards(spark, tables.read(spark, sf, "documents"), shards=24)
+
+
 def op5_substring_dedup(spark, sf):
     return substring_dedup.remove_repeats(spark, tables.read(spark, sf, "documents"), length=20)
 
@@ -42,5 +46,5 @@ def op7_byte_bpe(spark, sf):
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_exact_dedup, op3_ngram_jaccard_join, op5_substring_dedup, op7_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_exact_dedup, op3_ngram_jaccard_join, op4_sharding, op5_substring_dedup, op7_byte_bpe)}
 ORACLES = {"op2_exact_dedup": OP2_SQL}
