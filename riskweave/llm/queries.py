@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from riskweave.llm import bpe, exact_dedup, html_text, jaccard, sharding, substring_dedup, tables
+from riskweave.llm import bpe, exact_dedup, html_text, jaccard, line_dedup, mixing, sharding, substring_dedup, tables
 
 
 def op1_html_extraction(spark, sf):
@@ -46,5 +46,30 @@ def op7_byte_bpe(spark, sf):
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_exact_dedup, op3_ngram_jaccard_join, op4_sharding, op5_substring_dedup, op7_byte_bpe)}
-ORACLES = {"op2_exact_dedup": OP2_SQL}
+def op8_source_mixing(spark, sf):
+    return mixing.mix_sources(spark, tables.read(spark, sf, "documents")).drop("digest")
+
+
+def op9_line_dedup(spark, sf):
+    return line_dedup.repeated_lines(tables.read(spark, sf, "documents")).select(
+        "doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP9_SQL = """WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+ unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents WHERE text <> ''),
+r AS (SELECT doc_id, pos, line, lead(line, 1) OVER w AS b, lead(line, 2) OVER w AS c FROM l
+ WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+s AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY line, b, c ORDER BY doc_id, pos) AS nth FROM r
+ WHERE c IS NOT NULL),
+g AS (SELECT DISTINCT doc_id, pos + k AS pos FROM s, (SELECT unnest(range(3)) AS k) WHERE nth > 1),
+j AS (SELECT l.doc_id, l.pos, l.line, g.pos IS NOT NULL AS gone FROM l LEFT JOIN g USING (doc_id, pos)),
+a AS (SELECT doc_id, count(*) AS n, count(*) FILTER (WHERE gone) AS r,
+ coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS kept FROM j GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0) AS n_lines, coalesce(r, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN a USING (doc_id)"""
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_html_extraction, op2_exact_dedup, op3_ngram_jaccard_join, op4_sharding, op5_substring_dedup, op7_byte_bpe,
+    op8_source_mixing, op9_line_dedup)}
+ORACLES = {"op2_exact_dedup": OP2_SQL, "op9_line_dedup": OP9_SQL}
