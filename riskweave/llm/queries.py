@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from riskweave.llm import bpe, exact_dedup, html_text, jaccard, line_dedup, mixing, sharding, substring_dedup, tables
+from riskweave.llm import ann, bpe, exact_dedup, html_text, jaccard, line_dedup, mixing, sharding, substring_dedup, tables
 
 
 def op1_html_extraction(spark, sf):
@@ -69,7 +69,11 @@ SELECT d.doc_id, coalesce(n, 0) AS n_lines, coalesce(r, 0) AS n_removed, sha256(
 FROM documents d LEFT JOIN a USING (doc_id)"""
 
 
+def op10_nearest_neighbours(spark, sf):
+    return ann.search(spark, tables.read(spark, sf, "embeddings"), F.pmod(F.col("key"), F.lit(20)) == 0)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_exact_dedup, op3_ngram_jaccard_join, op4_sharding, op5_substring_dedup, op7_byte_bpe,
-    op8_source_mixing, op9_line_dedup)}
+    op8_source_mixing, op9_line_dedup, op10_nearest_neighbours)}
 ORACLES = {"op2_exact_dedup": OP2_SQL, "op9_line_dedup": OP9_SQL}
