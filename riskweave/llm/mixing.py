@@ -140,7 +140,7 @@ def mixed_documents(spark, df, key="doc_id", text="text", source="source", seed=
     times = mix_sources(spark, df, key, text, source, seed).where("size > 0").select(
         F.col("digest").alias("_digest"), F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("_times"))
     times = times.groupBy("_digest").agg(F.max("_times").alias("_times")).where("_times > 0")
-    tagged = df.withColumn("_digest", F.xxhash64(
-        F.lit(seed), F.col(key).cast("string"), F.coalesce(F.col(text), F.lit(""))))
-    return tagged.join(times, "_digest").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(
-        *[tagged[c] for c in df.columns])
+    tagged = df.select(F.struct("*").alias("_row"), F.xxhash64(
+        F.lit(seed), F.col(key).cast("string"), F.coalesce(F.col(text), F.lit(""))).alias("_digest"))
+    copies = tagged.join(times, "_digest").select("_row", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    return copies.select("_row.*")

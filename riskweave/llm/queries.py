@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from riskweave.llm import ann, bpe, exact_dedup, html_text, jaccard, line_dedup, mixing, sharding, substring_dedup, tables
+from riskweave.llm import ann, bpe, exact_dedup, html_text, jaccard, language, line_dedup, mixing, sharding, substring_dedup, tables
 
 
 def op1_html_extraction(spark, sf):
@@ -30,6 +30,18 @@ def op5_substring_dedup(spark, sf):
     return substring_dedup.remove_repeats(spark, tables.read(spark, sf, "documents"), length=20)
 
 
+def op6_language_id(spark, sf):
+    """Language of every page; the text model is fitted on the labelled documents."""
+    pages = tables.read(spark, sf, "pages")
+    model = language.fit(spark, tables.read(spark, sf, "documents"))
+    declared = F.lower(F.regexp_extract("html", r"(?i)<html[^>]*\slang\s*=\s*[\"']?([A-Za-z]+)", 1))
+    plain = F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1\s*>|<[^>]*>", " ")
+    found = language.identify(
+        spark, model, pages.select("page_id", "url", declared.alias("declared"), plain.alias("text")),
+        "page_id", "text", declared="declared", url="url")
+    return found.select("page_id", "lang", F.round("confidence", 6).alias("confidence"), "n_trigrams", "accepted")
+
+
 def tokenizer(path=None):
     """(tokens by id, split pattern) of the rank file at `path`, or of the installed multilingual one."""
     import public_tokenizers
@@ -74,6 +86,7 @@ def op10_nearest_neighbours(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_html_extraction, op2_exact_dedup, op3_ngram_jaccard_join, op4_sharding, op5_substring_dedup, op7_byte_bpe,
+    op1_html_extraction, op2_exact_dedup, op3_ngram_jaccard_join, op4_sharding, op5_substring_dedup, op6_language_id,
+    op7_byte_bpe,
     op8_source_mixing, op9_line_dedup, op10_nearest_neighbours)}
 ORACLES = {"op2_exact_dedup": OP2_SQL, "op9_line_dedup": OP9_SQL}
