@@ -1,0 +1,398 @@
+"""Every operator against brute force on small fixtures: nulls, empty and long texts, ties, repeats, extra columns."""
+
+import collections
+import hashlib
+import itertools
+import math
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from riskweave.llm import (ann, bpe, exact_dedup, html_text, jaccard, language, line_dedup, mixing, queries, sharding,
+                           substring_dedup)
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, key string, cls string, size string, _key string"
+
+
+def words_of(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def corpus():
+    rng = random.Random(4)
+    vocab = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 6))) for _ in range(300)]
+    prose = lambda n: " ".join(rng.choice(vocab) for _ in range(n))
+    passage = prose(30)
+    texts = [prose(60) for _ in range(12)]
+    for base in texts[:4]:
+        for edits in (1, 2, 3, 5, 9):
+            w = base.split()
+            for _ in range(edits):
+                w[rng.randrange(len(w))] = rng.choice(vocab)
+            texts.append(" ".join(w))
+    texts += [prose(15) + " " + passage + " " + prose(8) for _ in range(5)] + [texts[0], texts[0], "A b", "a B", "x"]
+    texts += [None, "", "   \n\t ", "same same " * 40, "same same " * 35, prose(6000), passage + "\n" + passage,
+              "é ü ñ 漢字 \U0001f600", "JUNK!! " * 25]
+    return [(i, t, "en", "s%d" % (i % 3)) for i, t in enumerate(texts)]
+
+
+@pytest.fixture(scope="module")
+def rows():
+    return corpus()
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    return spark.createDataFrame([(*r, "x", "y", None, "z") for r in rows], SCHEMA).repartition(5).cache()
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+# -- exact copies --------------------------------------------------------------------------------
+
+
+def weak(text):
+    return F.substring(F.unhex(F.md5(text)), 1, 1)
+
+
+@pytest.mark.parametrize("hashed", [exact_dedup.content_hash, weak])
+def test_exact_dedup_compares_bytes(docs, rows, hashed):
+    groups = collections.defaultdict(list)
+    for i, t, *_ in rows:
+        groups[t or ""].append(i)
+    got = {r.doc_id: (r.keep_id, r.group_size, r.kept, r.text_sha256)
+           for r in exact_dedup.exact_dedup(docs, hashed=hashed).collect()}
+    assert got == {i: (max(g), len(g), i == max(g), hashlib.sha256(t.encode()).hexdigest())
+                   for t, g in groups.items() for i in g}
+
+
+def test_exact_dedup_nulls_repeats_and_plan(spark, none):
+    df = spark.createDataFrame([(None, "a"), (None, "a"), (3, "b"), (3, "b"), (None, "b"), (1, None), (2, "")],
+                               "doc_id bigint, text string")
+    got = sorted(map(str, (tuple(r)[:4] for r in exact_dedup.exact_dedup(df).collect())))
+    assert got == sorted(map(str, [(None, None, 2, True)] * 2 + [(3, 3, 3, True)] * 2 + [
+        (None, 3, 3, False), (1, 2, 2, False), (2, 2, 2, True)]))
+    assert exact_dedup.exact_dedup(none).count() == 0
+    plan = exact_dedup.exact_dedup(df)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    kept = exact_dedup.drop_copies(df)
+    assert kept.columns == df.columns and kept.count() == 5
+
+
+# -- near copies ---------------------------------------------------------------------------------
+
+
+def near_by_hand(rows, k, p, q=100):
+    fold = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    sets = {}
+    for i, t, *_ in rows:
+        w = words_of((t or "").translate(fold))
+        sets[i] = {tuple(w[j:j + k]) for j in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set()
+    label = {i: i for i in sets}
+    links = [(a, b) for a, b in itertools.combinations(sets, 2)
+             if sets[a] and sets[b] and q * len(sets[a] & sets[b]) >= p * len(sets[a] | sets[b])]
+    for _ in range(len(sets)):
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    return {i: (len(s), label[i]) for i, s in sets.items()}
+
+
+@pytest.mark.parametrize("k,p", [(3, 90), (5, 80), (3, 70), (2, 50)])
+def test_jaccard_components(spark, docs, rows, k, p):
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(spark, docs, k=k, p=p).collect()}
+    assert got == near_by_hand(rows, k, p)
+
+
+def test_jaccard_large_bucket_of_unlinked_members(spark):
+    """Copies that share segments but mostly do not link are compared by blocks of sketches."""
+    rng = random.Random(1)
+    base = ["w%d" % i for i in range(150)]
+    rows = []
+    for i in range(130):
+        w = list(base)
+        for _ in range(rng.choice([1, 2, 3, 4, 6])):
+            w[rng.randrange(150)] = "e%d" % rng.randrange(10**6)
+        rows.append((i, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(spark, df).collect()}
+    assert got == near_by_hand(rows, 3, 90)
+
+
+def test_sketch_bounds_the_difference():
+    rng = np.random.default_rng(5)
+    for n, gone in ((40, 3), (400, 30), (3, 1)):
+        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        b = np.unique(np.concatenate((a[gone:], rng.integers(0, 2**63, gone).astype(np.uint64))))
+        x, y = (int.from_bytes(jaccard.sketch(s), "big") for s in (a, b))
+        assert (x ^ y).bit_count() <= len(np.setxor1d(a, b))
+
+
+@pytest.mark.parametrize("p", [90, 80, 50])
+def test_linked_sets_share_a_segment(p):
+    """Any two sets of the threshold's similarity have a key in common, small sets included."""
+    rng, bands = np.random.default_rng(p), jaccard.Bands(p, 100)
+    for _ in range(400):
+        n = int(rng.choice([1, 2, 5, 9, 10, 12, 19, 40, 90, 300]))
+        a = np.unique(rng.integers(1, 2**63, n).astype(np.uint64))
+        drop, add = rng.integers(0, n // 2 + 1), rng.integers(0, n // 2 + 1)
+        b = np.unique(np.concatenate((a[drop:], rng.integers(1, 2**63, add).astype(np.uint64))))
+        both = len(np.intersect1d(a, b))
+        if len(b) and 100 * both >= p * (len(a) + len(b) - both):
+            assert np.intersect1d(jaccard.segment_keys(a, bands), jaccard.segment_keys(b, bands)).size
+
+
+def test_jaccard_nulls_and_empty(spark, none):
+    df = spark.createDataFrame([(None, "a b c d"), (4, "a b c d"), (4, "a b c d"), (9, None), (None, "q w e")],
+                               "doc_id bigint, text string")
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.near_duplicates(spark, df).collect()),
+                 key=str)
+    assert got == sorted([(None, 2, 4), (4, 2, 4), (4, 2, 4), (9, 0, 9), (None, 1, None)], key=str)
+    assert jaccard.near_duplicates(spark, none).count() == 0
+
+
+# -- repeated passages and lines -----------------------------------------------------------------
+
+
+def repeats_by_hand(rows, length):
+    seen, out = set(), {}
+    for i, t, *_ in sorted(rows):
+        w = words_of(t)
+        keep = [True] * len(w)
+        for p in range(len(w) - length + 1):
+            if (g := tuple(w[p:p + length])) in seen:
+                keep[p:p + length] = [False] * length
+            seen.add(g)
+        left = " ".join(x for x, k in zip(w, keep) if k)
+        out[i] = (len(w), keep.count(False), hashlib.sha256(left.encode()).hexdigest())
+    return out
+
+
+@pytest.mark.parametrize("length", [20, 5, 2])
+def test_repeated_passages(spark, docs, rows, length):
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256)
+           for r in substring_dedup.remove_repeats(spark, docs, length=length).collect()}
+    assert got == repeats_by_hand(rows, length)
+
+
+def test_equal_windows_have_equal_symbols():
+    import pyarrow as pa
+    from riskweave.llm import words
+    rng = random.Random(2)
+    core = [rng.choice("abc") for _ in range(26)]
+    texts = [" ".join([rng.choice("abcd") for _ in range(rng.randint(0, 9))] + core + [rng.choice("abcd") for _ in range(4)])
+             for _ in range(50)]
+    w = words.Words(pa.array(texts))
+    _, own, symbol = substring_dedup.window_symbols(w, 20)
+    table = collections.defaultdict(set)
+    for a, b in zip(own.tolist(), symbol.tolist()):
+        table[a].add(b)
+    assert all(len(v) == 1 for v in table.values())
+
+
+def test_repeats_nulls_and_empty(spark, none):
+    t = " ".join("abcdefghijklmnopqrstuvwxy")
+    df = spark.createDataFrame([(None, t), (2, t), (2, t), (5, None), (1, "z " + t)], "doc_id bigint, text string")
+    got = sorted(((r.doc_id, r.n_words, r.n_removed) for r in substring_dedup.remove_repeats(spark, df).collect()), key=str)
+    assert got == sorted([(None, 25, 25), (2, 25, 25), (2, 25, 25), (5, 0, 0), (1, 26, 0)], key=str)
+    assert substring_dedup.remove_repeats(spark, none).count() == 0
+
+
+def test_repeated_lines(spark, none):
+    rng = random.Random(3)
+    run = [f"boiler {i}" for i in range(5)]
+    rows = [(i, "\n".join([rng.choice("abc") for _ in range(rng.randint(0, 6))] + run[rng.randint(0, 2):] + [str(i)] * 4))
+            for i in range(40)] + [(50, None), (51, ""), (52, "\n\n\n\n\n"), (53, "one"), (54, "x\n" * 300)]
+    seen, want = set(), {}
+    for i, t in rows:
+        lines = t.split("\n") if t else []
+        gone = set()
+        for p in range(len(lines) - 2):
+            if (g := tuple(lines[p:p + 3])) in seen:
+                gone |= {p, p + 1, p + 2}
+            seen.add(g)
+        want[i] = (len(lines), len(gone), "\n".join(x for j, x in enumerate(lines) if j not in gone))
+    df = spark.createDataFrame([(*r, 0) for r in rows], "doc_id bigint, text string, print int").repartition(4)
+    out = line_dedup.repeated_lines(df)
+    assert {r.doc_id: (r.n_lines, r.n_removed, r.kept) for r in out.collect()} == want
+    plan = out._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    assert line_dedup.repeated_lines(none).count() == 0
+
+
+# -- shards and mixes ----------------------------------------------------------------------------
+
+
+def test_differencing_halves_and_is_tight():
+    assert sorted(np.bincount(sharding.differencing([8, 7, 6, 5, 4], 2), weights=[8, 7, 6, 5, 4])) == [14, 16]
+    sizes = np.random.default_rng(0).integers(1, 9000, 4000)
+    sums = np.bincount(sharding.differencing(sizes, 24), weights=sizes)
+    assert sums.max() - sums.min() <= 3
+
+
+@pytest.mark.parametrize("block,finest", [(20_000, 1024), (7, 2)])
+def test_shards(spark, docs, rows, block, finest):
+    if block == 7:
+        sized = docs.select(F.coalesce(F.md5("text"), F.lit("")).alias("item"), (F.coalesce(
+            F.octet_length("text"), F.lit(0)) + 8).cast("long").alias("size")).groupBy("item").agg(F.sum("size").alias("size"))
+        placed = sharding.group_shards(spark, sized, 4, block, finest).collect()
+        assert len(placed) == len({r.item for r in placed}) == sized.count() and {r.shard for r in placed} == {0, 1, 2, 3}
+        return
+    got = sharding.assign_shards(spark, docs, shards=4).collect()
+    assert sorted(r.doc_id for r in got) == [r[0] for r in rows]
+    text = {r[0]: r[1] for r in rows}
+    assert all(r.size == len((text[r.doc_id] or "").encode()) + 8 and r.law == "bytes" and r.grown_shard is None for r in got)
+    by = collections.defaultdict(set)
+    for r in got:
+        by[text[r.doc_id] or ""].add(r.shard)
+    assert all(len(v) == 1 for v in by.values())
+    for s in range(4):
+        own = [r for r in got if r.shard == s]
+        assert sorted(r.slot for r in own) == list(range(len(own)))
+
+
+def test_shards_of_nothing_and_null_keys(spark, none):
+    assert sharding.assign_shards(spark, none).count() == 0
+    df = spark.createDataFrame([(None, "a"), (None, "a"), (1, None)], "doc_id bigint, text string")
+    assert sorted(r.size for r in sharding.assign_shards(spark, df, shards=2).collect()) == [8, 9, 9]
+
+
+def test_sainte_lague_is_the_highest_quotients():
+    rng = np.random.default_rng(8)
+    for _ in range(40):
+        votes, seats = rng.integers(0, 90, 6).astype(float), int(rng.integers(0, 60))
+        caps = rng.integers(0, 30, 6)
+        quotients = sorted(((-v / (2 * s + 1), i) for i, v in enumerate(votes) if v for s in range(caps[i])))[:seats]
+        assert mixing.sainte_lague(votes, seats, caps).tolist() == np.bincount(
+            [i for _, i in quotients], minlength=6).tolist()
+
+
+def test_mix(spark, docs, rows, none):
+    got = {r.doc_id: r for r in mixing.mix_sources(spark, docs).collect()}
+    again = {r.doc_id: r for r in mixing.mix_sources(spark, docs.repartition(3)).collect()}
+    assert got == again and len(got) == len(rows)
+    size = {i: len(words_of(t)) for i, t, *_ in rows}
+    total = {s: sum(size[i] for i, _, _, x in rows if x == s) for s in ("s0", "s1", "s2")}
+    assert all(r.size == size[i] and 0 <= r.taken <= 3 * r.size and r.source_size == total["s%d" % (i % 3)]
+               for i, r in got.items())
+    assert sum({r.source_size: r.target for r in got.values()}.values()) == pytest.approx(sum(total.values()))
+    for s in range(3):
+        own = [r for i, r in got.items() if i % 3 == s]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 3 * mixing.BLOCK
+    assert mixing.mix_sources(spark, none).count() == 0
+    assert mixing.mixed_documents(spark, docs).columns == docs.columns
+
+
+def test_mix_caps_targets_and_null_source(spark):
+    rows = [(1, "a b c", "a"), (2, "w " * 1000, "b"), (3, "", "c"), (4, "x y", None), (None, "z z", None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = {r.doc_id: (r.size, r.source_size, r.target) for r in mixing.mix_sources(spark, df).collect()}
+    # weights a 1, b 2, c 3, null 1: a, c and null stop at three times their own
+    assert got == {1: (3, 3, 9.0), 2: (1000, 1000, 986.0), 3: (0, 0, 0.0), 4: (2, 4, 12.0), None: (2, 4, 12.0)}
+
+
+# -- tokens, pages, languages, neighbours ----------------------------------------------------------
+
+
+@pytest.mark.parametrize("most", [bpe.COMMON_WORDS, 3])
+def test_bpe_equals_the_library(spark, docs, rows, none, most):
+    import tiktoken
+    tokens, pattern = queries.tokenizer()
+    enc = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks={b: i for i, b in tokens.items()}, special_tokens={})
+    hard = ["<|endoftext|> don't  stop now\u0085\x1c x", "ﬁ́ \U0001e900 ࡰ\U00031350 Ɤ", "a" * 700,
+            "\r\n\r\n  \t", "12٣½Ⅷ", "!!!???...", "​­﻿"]
+    extra = spark.createDataFrame([(1000 + i, t) for i, t in enumerate(hard)] + [(None, "null key")],
+                                  "doc_id bigint, text string")
+    df = docs.select("doc_id", "text").union(extra).union(extra)
+    want = {r[0]: r[1] for r in rows} | {1000 + i: t for i, t in enumerate(hard)} | {None: "null key"}
+    got = bpe.encode(spark, df, tokens, pattern, most=most).collect()
+    assert len(got) == len(rows) + 2 * len(hard) + 2
+    for r in got:
+        assert list(r.ids) == enc.encode_ordinary(want[r.doc_id] or ""), want[r.doc_id]
+        assert bytes(r.decoded) == (want[r.doc_id] or "").encode()
+    assert bpe.encode(spark, none, tokens, pattern).count() == 0
+
+
+PAGE = """<!DOCTYPE html><html lang=en><head><title>T &amp; t</title><style>p{}</style><script>var a="<p>no</p>";</script>
+</head><body><header><h1>Site</h1></header><nav><ul><li><a href=/a>Menu</a></ul></nav><div class="cookie-notice">We use
+cookies</div><aside>Side</aside><main><article><h1>Head &eacute;&#33;</h1><p>One   <b>two</b>
+three<p>Four &lt;five&gt;<form><input value=x>Sign up</form><div class="ad">Buy</div><p>Six</article>
+<section id="comments"><p>First!</p></section></main><footer>&copy; us</footer>"""
+
+
+def test_pages(spark):
+    long = "<article>" + "<p>" + "word " * 30000 + "</p></article>"
+    plain = "<body><div class=menu>a b c</div><p>" + "Some long sentence of content. " * 5 + "</p><p>" + "More of it. " * 9
+    rows = [(1, "u", PAGE), (2, None, None), (3, "u", ""), (None, "u", "<nav>x</nav>"), (5, "u", long), (6, "u", plain),
+            (7, "u", "just text"), (7, "u", "just text"), (8, "u", "<p>a<script>")]
+    got = html_text.extract_main_text(spark.createDataFrame([(*r, "t") for r in rows], "page_id int, url string, html string, text string"))
+    by = {r.page_id: (r.url, r.text, r.n_chars) for r in got.collect()}
+    assert got.count() == 9 and by[1][1] == "Head é!\nOne two three\nFour <five>\nSix" and by[1][2] == 37
+    assert by[2] == (None, "", 0) and by[3] == ("u", "", 0) and by[None][1] == ""
+    assert by[5][1] == ("word " * 30000).strip() and by[7][1] == "just text" and by[8][1] == "a"
+    assert by[6][1] == ("Some long sentence of content. " * 5).strip() + "\n" + ("More of it. " * 9).strip()
+
+
+def test_language_held_out(spark, none):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language.fit(spark, docs.where("doc_id % 2 = 0"))
+    got = language.identify(spark, model, docs.where("doc_id % 2 = 1").select("doc_id", "text"), "doc_id", "text")
+    both = got.join(docs.select("doc_id", F.col("lang").alias("truth")), "doc_id")
+    assert both.where("lang = truth").count() >= 0.99 * both.count()
+    assert language.identify(spark, model, none, "doc_id", "text", declared="lang", host="source").count() == 0
+    assert language.fit(spark, none).languages == []
+    odd = spark.createDataFrame([(1, None, None, None), (2, "", "xx", ""), (None, "!!! 123", "en", "s"), (4, "the and of", None, "s"),
+                                 (4, "the and of", None, "s")], "doc_id bigint, text string, lang string, source string")
+    out = language.identify(spark, model, odd, "doc_id", "text", declared="lang", host="source").collect()
+    assert sorted(((r.doc_id, r.accepted) for r in out), key=str) == sorted(
+        [(1, False), (2, False), (None, False), (4, True), (4, True)], key=str)
+    kept = language.accepted_documents(spark, docs)
+    assert kept.columns == docs.columns and kept.count() >= 999
+
+
+def test_address_parts(spark):
+    df = spark.createDataFrame([("https://User:p@M.Shop.example.DE:8080/fr/x",), ("no url",), (None,)], "url string")
+    got = [tuple(r) for r in df.select(*language.address(F.col("url"))).collect()]
+    assert got == [("m.shop.example.de", "example.de", "de"), ("", "", ""), (None, None, None)]
+
+
+def test_neighbours_exact_when_all_are_visited(spark):
+    rng = np.random.default_rng(6)
+    vectors = [(i, rng.standard_normal(8).astype(float).tolist()) for i in range(300)]
+    vectors += [(i, vectors[40][1]) for i in range(300, 340)]  # ties
+    odd = [(400, None), (401, [0.0] * 8), (402, [math.nan] * 8), (403, [1.0, None] * 4), (404, [math.inf] * 8), (405, []),
+           (420, [1.0, 2.0])]
+    df = spark.createDataFrame([(*r, 0, "x") for r in vectors + odd], "vec_id bigint, embedding array<double>, label int, part string")
+    is_query = F.col("key") % 20 == 0
+    got = collections.defaultdict(list)
+    for r in ann.search(spark, df, is_query, recall=1.0, block=64).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.rank, r.vec_id, round(r.score, 9)))
+    x = dict(vectors)
+    for q in [i for i in x if i % 20 == 0]:
+        best = sorted((-round(float(np.dot(x[q], x[i])), 9), i) for i in x if i != q)[:20]
+        assert got[q] == [(n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    assert len(got) == 17
+
+
+def test_neighbours_recall(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    got = ann.search(spark, df, F.col("key") % 20 == 0).toPandas()
+    table = df.toPandas().sort_values("vec_id")
+    x, ids, hit = np.stack(table.embedding.to_numpy()).astype(float), table.vec_id.to_numpy(), 0
+    for q in np.flatnonzero(ids % 20 == 0):
+        s = x @ x[q]
+        s[q] = -9
+        hit += len(set(got[got.query_id == ids[q]].vec_id) & set(ids[np.argsort(-s, kind="stable")[:20]]))
+    assert hit >= 0.9 * len(got)
+
+
+def test_neighbours_few_or_none(spark):
+    kind = "vec_id bigint, embedding array<float>"
+    one = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5])], kind)
+    assert [tuple(r) for r in ann.search(spark, one, F.col("key") % 20 == 0).collect()] == [(0, 1, 1, 0.5)]
+    assert ann.search(spark, spark.createDataFrame([], kind), F.col("key") % 20 == 0).count() == 0
