@@ -10,7 +10,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from riskweave.functions.ordered import hashed_row_number
-from riskweave.operators.model_features import apply_weights, feature_columns, readable_name
+from riskweave.operators.model_features import apply_weights, feature_columns, with_display_names
 from riskweave.session import written
 
 SEED = 42
@@ -116,8 +116,9 @@ def cv_auc(df, estimator, key, label="label", k=5):
 def importances(spark, model, cols, n=15):
     """The n most important inputs with their display names."""
     pairs = sorted(zip(cols, model.featureImportances.toArray().tolist()), key=lambda p: (-p[1], p[0]))[:n]
-    return spark.createDataFrame([(i + 1, c, readable_name(c), v) for i, (c, v) in enumerate(pairs)],
-                                 "rank int, feature string, display string, importance double")
+    rows = spark.createDataFrame([(i + 1, c, v) for i, (c, v) in enumerate(pairs)],
+                                 "rank int, feature string, importance double")
+    return with_display_names(rows).select("rank", "feature", "display", "importance")
 
 
 def prepare(frame, weights, label="high_risk"):

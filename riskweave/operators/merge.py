@@ -4,7 +4,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from riskweave.operators.ranking import latest
+from riskweave.operators.ranking import first_seen, latest
 
 
 def _keys_present(keys):
@@ -19,25 +19,24 @@ def upsert(target, updates, keys, order):
     Rows with a NULL in the key never match, as under a unique index, and skip the join altogether.
     """
     supplied = [c for c in updates.columns if c in target.columns]
-    order_cols = [c if isinstance(c, str) else c for c in order]
-    ready = updates.filter(_keys_present(keys))
-    fresh = latest(ready, keys, order_cols).select(*supplied, F.lit(True).alias("_new"))
-    old = target.filter(_keys_present(keys)).alias("t")
-    joined = old.join(fresh.alias("u"), keys, "full_outer")
-    merged = joined.select(*[
-        F.col(c) if c in keys
-        else F.when(F.col("u._new"), F.col(f"u.{c}")).otherwise(F.col(f"t.{c}")).alias(c) if c in supplied
+    # one pass over each side: a row with a NULL in its key gets a negative or positive number of its own
+    own = lambda sign: F.when(~_keys_present(keys), (F.monotonically_increasing_id() + 1) * sign).otherwise(F.lit(0))
+    fresh = latest(updates.withColumn("_solo", own(1)), [*keys, "_solo"], list(order)).select(
+        *supplied, "_solo", F.lit(True).alias("_new"))
+    old = target.withColumn("_solo", own(-1))
+    match = reduce(lambda a, b: a & b, [F.col(f"t.{k}").eqNullSafe(F.col(f"u.{k}")) for k in [*keys, "_solo"]])
+    joined = old.alias("t").join(fresh.alias("u"), match, "full_outer")
+    return joined.select(*[
+        F.when(F.col("u._new"), F.col(f"u.{c}")).otherwise(F.col(f"t.{c}")).alias(c) if c in supplied
         else F.col(f"t.{c}")
         for c in target.columns
     ])
-    loose_old = target.filter(~_keys_present(keys))
-    loose_new = updates.filter(~_keys_present(keys)).select(*supplied)
-    return merged.unionByName(loose_old).unionByName(loose_new, allowMissingColumns=True).select(*target.columns)
 
 
-def insert_ignore(target, new, keys):
-    """Add keys that are not there yet; the rest of the batch is ignored."""
-    fresh = new.dropDuplicates(keys).join(target.select(*keys), keys, "left_anti")
+def insert_ignore(target, new, keys, order=None):
+    """Add keys that are not there yet, the first row of each by `order` (all columns if none); ignore the rest."""
+    once = first_seen(new, keys, list(order or new.columns))
+    fresh = once.join(target.select(*keys), keys, "left_anti")
     return target.unionByName(fresh.select(*[c for c in new.columns if c in target.columns]),
                               allowMissingColumns=True)
 
@@ -52,11 +51,16 @@ def upsert_scores(target, scored):
     return upsert(target, scored, ["run_id", "service_name"], ["scored_at"])
 
 
-def upsert_chunks(target, chunks, prune_stale=False):
+def upsert_chunks(target, chunks, prune_stale=False, order=None):
     """Text chunks by (collection, chunk_id).
 
-    A shorter new version leaves the old version's higher chunks in place unless `prune_stale`.
+    With `order`, a column that is one value per ingested version and rises, a batch may hold several versions
+    of a document and all chunks come from the newest; without, it holds one version of each. A shorter new
+    version leaves the old version's higher chunks in place unless `prune_stale`.
     """
+    if order is not None:
+        newest = chunks.groupBy("collection", "doc_key").agg(F.max(order).alias("_last"))
+        chunks = chunks.join(newest, ["collection", "doc_key"]).filter(F.col(order) == F.col("_last")).drop("_last")
     merged = upsert(target, chunks, ["collection", "chunk_id"], ["total_chunks", "text"])
     if not prune_stale:
         return merged

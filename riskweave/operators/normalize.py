@@ -142,7 +142,7 @@ def normalize_statuspage(raw, service):
     names = F.array_join(F.transform("components", lambda c: F.coalesce(c["name"], F.lit(""))), ", ")
     return raw.select(*incident(
         F.lit(service), F.col("id"), severity, F.coalesce(filled("status"), F.lit("resolved")), start, end,
-        minutes_between(F.col("created_at"), F.col("resolved_at")), F.left(F.coalesce(names, F.lit("")), F.lit(1024))))
+        minutes_between(F.col("created_at"), F.col("resolved_at")), F.coalesce(names, F.lit(""))))
 
 
 def normalize_aws(raw, service):
@@ -157,10 +157,10 @@ def normalize_aws(raw, service):
 def normalize_azure(entries):
     """Status entries; each is a resolved major incident."""
     ref = F.coalesce("id", F.lit(""))
-    short = F.coalesce(filled(F.element_at(F.split(ref, "/"), -1)), F.left(ref, F.lit(50)))
+    short = F.coalesce(filled(F.element_at(F.split(ref, "/"), -1)), ref)
     return entries.select(*incident(
         F.lit("azure"), short, F.lit("major"), F.lit("resolved"), norm_timestamp("published"),
-        none("timestamp_ntz"), none("int"), F.left(F.coalesce("title", F.lit("")), F.lit(256))))
+        none("timestamp_ntz"), none("int"), F.coalesce("title", F.lit(""))))
 
 
 def normalize_salesforce(raw, service):
@@ -174,7 +174,7 @@ def normalize_salesforce(raw, service):
         F.lit(service), F.col("id"),
         F.when(F.lower("messageType").isin("major", "core", "incident"), "major").otherwise("minor"),
         F.when(filled("resolvedAt").isNotNull(), "resolved").otherwise("investigating"), start, end,
-        minutes_between(created, ended), F.left(affected, F.lit(1024))))
+        minutes_between(created, ended), affected))
 
 
 def normalize_gcp(raw):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from riskweave import constants as C
 from riskweave.functions.coerce import norm_ecosystem
 from riskweave.functions.risk import seconds_between
-from riskweave.operators.ranking import first_seen
+from riskweave.operators.ranking import first_seen, latest
 
 REGISTRY = (
     "service string, nvd_keywords array<string>, kev_vendors array<string>,"
@@ -61,9 +61,9 @@ def unregistered(df, services):
     return df.select("service_name").distinct().join(services.select("service_name"), "service_name", "left_anti")
 
 
-def enrich_epss(vulns, epss, sources=("osv",)):
-    """Exploit probability by CVE id for the listed sources; other rows keep theirs."""
-    scores = epss.select("cve_id", F.col("epss_score").alias("_epss")).dropDuplicates(["cve_id"])
+def enrich_epss(vulns, epss, sources=("osv",), order=("epss_score",)):
+    """Exploit probability by CVE id, the last of an id by `order`, for the listed sources; other rows keep theirs."""
+    scores = latest(epss, ["cve_id"], list(order)).select("cve_id", F.col("epss_score").alias("_epss"))
     mine = F.col("source").isin(*sources)
     return (
         vulns.join(scores, "cve_id", "left")
@@ -97,13 +97,15 @@ def contained(haystacks, needles):
 def match_aliases(kev, aliases):
     """Catalogue entries tagged with every service whose alias is part of the vendor or the product.
 
-    `aliases` has service, alias; service `all` takes every entry. Texts are matched once per
-    distinct value, whatever number of rows carries it.
+    `aliases` has service, alias; service `all`, and one with an empty alias (part of every text), takes every
+    entry. Texts are matched once per distinct value, whatever number of rows carries it.
     """
+    whole = (F.lower("service") == "all") | (F.col("alias") == "")
+    takers = aliases.filter(whole).select("service").distinct()
     rows = kev.withColumns({"_v": F.lower(F.coalesce("vendorProject", F.lit(""))),
                             "_p": F.lower(F.coalesce("product", F.lit("")))})
     texts = rows.select(F.explode(F.array("_v", "_p")).alias("text")).distinct()
-    words = aliases.filter(F.lower("service") != "all").select("service", F.lower("alias").alias("needle")).distinct()
+    words = aliases.join(takers, "service", "left_anti").select("service", F.lower("alias").alias("needle")).distinct()
     hits = contained(texts, words.select("needle").distinct()).join(words, "needle").select("text", "service").distinct()
     pairs = rows.select("_v", "_p").distinct()
     tagged = (
@@ -112,8 +114,7 @@ def match_aliases(kev, aliases):
         .distinct()
     )
     named = rows.join(tagged, ["_v", "_p"]).select(*kev.columns, "service")
-    everyone = aliases.filter(F.lower("service") == "all").agg(
-        F.collect_set("service").alias("_s")).select("_s").scalar()
+    everyone = takers.agg(F.collect_set("service").alias("_s")).select("_s").scalar()
     rest = kev.withColumn("service", F.explode(everyone))
     return named.unionByName(rest)
 

@@ -106,12 +106,13 @@ def tag_frameworks(df, col="text", name="frameworks"):
     return df.withColumn(name, F.array_compact(F.array(*tags)))
 
 
-def service_blobs(docs, order, k=10, group=("service_name", "collection")):
-    """The first k documents of a group joined by spaces (the number a text query returns)."""
-    best = topk(docs.filter(F.coalesce(F.length("text"), F.lit(0)) > 0), list(group), order, k)
-    rows = F.array_sort(F.collect_list(F.struct("rn", "text")))
-    return best.groupBy(*group).agg(
-        F.array_join(F.transform(rows, lambda r: r["text"]), " ").alias("blob"), F.count("*").alias("docs"))
+def service_texts(docs, k=None, order=None, group=("service_name", "collection")):
+    """The documents of every group that have text, one row each, so no task holds the text of a group.
+
+    With k, only the first k of a group by `order`, say by falling relevance, with their rank as `rn`.
+    """
+    live = docs.filter(F.coalesce(F.length("text"), F.lit(0)) > 0)
+    return live if k is None else topk(live, list(group), order, k)
 
 
 # -- sentiment -------------------------------------------------------------------------------------
@@ -280,7 +281,7 @@ def extract_pages(pages, rules="docs", topics=C.COMPLIANCE_PATTERNS):
     return out
 
 
-def incident_blocks_of(html, limit):
+def incident_blocks_of(html, limit=None):
     parser = page_parts(html, frozenset())
     blocks = {}
     for path, text in parser.parts:
@@ -296,8 +297,8 @@ def incident_blocks_of(html, limit):
     return out
 
 
-def extract_blocks(pages, limit=50):
-    """Text of the first 50 incident blocks of each status page."""
+def extract_blocks(pages, limit=None):
+    """Text of the incident blocks of each status page, of the first `limit` if given."""
 
     def parse(batches):
         for pdf in batches:
@@ -317,34 +318,60 @@ LINK_REGIONS = (
 )
 
 
-def extract_links(pages, cap=20):
-    """Links of a page to its own host, fragments cut, in first-seen order, the page itself first."""
-    host = F.try_parse_url("url", F.lit("HOST"))
-    base = F.regexp_extract("url", r"^(https?://[^/?#]+)", 1)
-    folder = F.regexp_replace(F.regexp_replace("url", r"[?#].*$", ""), r"(?<=[^/:])/[^/]*$", "")
+AUTHORITY = r"(?i)^https?://([^/?#]*)"
+HREF = r"""(?i)<a\s[^>]*?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+REFERENCES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&amp;", "&"))
+
+
+def resolved(link):
+    """A link with `.` and `..` segments of its path taken away, as browsers resolve them."""
+    head = F.regexp_extract(link, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    tail = F.regexp_extract(link, r"^[^?#]*(.*)$", 1)
+    path = F.substr(link, F.length(head) + 1, F.length(link) - F.length(head) - F.length(tail))
+    parts = F.split(path, "/")
+    last = F.element_at(parts, -1)
+    kept = F.aggregate(
+        F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), F.array().cast("array<string>"),
+        lambda acc, p: F.when(p == ".", acc).when(p == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
+        .otherwise(F.concat(acc, F.array(p))))
+    closed = F.when(last.isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    plain = F.concat(head, F.when(F.size(closed) > 0, F.concat(F.lit("/"), F.array_join(closed, "/"))).otherwise(F.lit("")), tail)
+    return F.when((head != "") & path.rlike(r"(^|/)\.\.?(/|$)"), plain).otherwise(link)
+
+
+def extract_links(pages, cap=None):
+    """Links of a page to its own host and port, fragments cut, in first-seen order, the page itself first.
+
+    All links, or the first `cap`. Everything happens inside the row: no shuffle.
+    """
+    url = F.col("url")
+    base = F.regexp_extract(url, r"^(https?://[^/?#]+)", 1)
+    folder = F.regexp_replace(F.regexp_replace(url, r"[?#].*$", ""), r"(?<=[^/:])/[^/]*$", "")
     bare = F.regexp_replace(F.regexp_replace("html", r"(?s)<!--.*?-->", ""), r"(?is)<script\b.*?</script>", "")
-    pages = pages.select("page_id", "url", bare.alias("html"))
     region = F.coalesce(*[filled(F.regexp_extract("html", p, 1)) for p in LINK_REGIONS])
-    own = pages.withColumn("html", region).select("page_id", "url", host.alias("host"), base.alias("base"), folder.alias("folder"),
-                       F.regexp_extract("url", r"^(https?):", 1).alias("scheme"),
-                       F.regexp_replace("url", r"[?#].*$", "").alias("bare"),
-                       F.regexp_extract_all("html", F.lit(r"(?i)<a\s[^>]*?href\s*=\s*[\"']([^\"']*)[\"']"), F.lit(1))
-                       .alias("hrefs"))
-    raw = own.select("*", F.posexplode("hrefs").alias("pos", "href"))
-    cut = F.split_part(F.replace("href", F.lit("&amp;"), F.lit("&")), F.lit("#"), F.lit(1))
-    full = (
-        F.when(cut == "", F.split_part("url", F.lit("#"), F.lit(1)))
-        .when(cut.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), cut)
-        .when(cut.startswith("//"), F.concat(F.col("scheme"), F.lit(":"), cut))
-        .when(cut.startswith("/"), F.concat(F.col("base"), cut))
-        .when(cut.startswith("?"), F.concat(F.col("bare"), cut))
-        .otherwise(F.concat(F.col("folder"), F.lit("/"), cut)))
-    links = raw.select("page_id", (F.col("pos") + 1).alias("pos"), F.col("host"), full.alias("link"))
-    links = links.filter(F.col("link").startswith("http")
-                         & (F.try_parse_url("link", F.lit("HOST")) == F.col("host"))).drop("host")
-    selves = pages.select("page_id", F.lit(0).alias("pos"), F.col("url").alias("link"))
-    once = first_seen(links.unionByName(selves), ["page_id", "link"], ["pos"])
-    return topk(once, ["page_id"], ["pos"], cap).select("page_id", (F.col("rn") - 1).alias("link_index"), "link")
+    tags = F.regexp_extract_all(region, F.lit(HREF), F.lit(0))
+
+    def full(tag):
+        value = F.concat(*[F.regexp_extract(tag, HREF, g) for g in (1, 2, 3)])
+        for name, char in REFERENCES:
+            value = F.replace(value, F.lit(name), F.lit(char))
+        cut = F.split_part(value, F.lit("#"), F.lit(1))
+        return resolved(
+            F.when(cut == "", F.split_part(url, F.lit("#"), F.lit(1)))
+            .when(cut.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), cut)
+            .when(cut.startswith("//"), F.concat(F.regexp_extract(url, r"^(https?):", 1), F.lit(":"), cut))
+            .when(cut.startswith("/"), F.concat(base, cut))
+            .when(cut.startswith("?"), F.concat(F.regexp_replace(url, r"[?#].*$", ""), cut))
+            .otherwise(F.concat(folder, F.lit("/"), cut)))
+
+    own = F.regexp_extract(url, AUTHORITY, 1)
+    same = lambda link: link.startswith("http") & (F.regexp_extract(link, AUTHORITY, 1) == own)
+    found = F.array_distinct(F.concat(F.array(url), F.filter(F.transform(F.coalesce(
+        tags, F.array().cast("array<string>")), full), same)))
+    if cap is not None:
+        found = F.slice(found, 1, cap)
+    return pages.select("page_id", "url", bare.alias("html")).select(
+        "page_id", F.posexplode(found).alias("link_index", "link"))
 
 
 # -- text assembly ---------------------------------------------------------------------------------
@@ -394,9 +421,9 @@ def advisory_text(nodes):
     return first_seen(rows.filter(F.length(strip("text")) > 0), ["id"], ["text"])
 
 
-def issue_text(issues, order, cap=50):
-    """Title and body of the first 50 issues of a repository, those of 50 characters or more."""
-    first = topk(issues, ["repo"], order, cap)
+def issue_text(issues, order=None, cap=None):
+    """Title and body of the issues of a repository, those of 50 characters or more; of the first `cap` if given."""
+    first = issues if cap is None else topk(issues, ["repo"], order, cap)
     text = strip(F.concat(F.coalesce("title", F.lit("")), F.lit("\n\n"), F.coalesce("body", F.lit(""))))
     return first.withColumn("text", text).filter(F.length("text") >= 50).drop("rn", "title", "body")
 

@@ -23,25 +23,27 @@ def text_features(docs, frameworks, lexicon, doc_terms=C.DOC_QUALITY_TERMS, guid
     of = lambda name: F.col("collection") == name
     has_text = F.coalesce(F.length("text"), F.lit(0)) > 0
     low = docs.withColumn("_low", F.lower("text"))
-    mask = lambda sets: X.hit_mask("_low", sets)
     none = F.lit(0).cast("bigint")
+    kinds = {"d": ("documentation", [[w] for w in doc_words]), "g": ("advisory_text", [[w] for w in guide_words]),
+             "t": ("trust_disclosures", X.framework_sets(wanted))}
+    parts = {f"{k}{i}": F.when(of(name), X.hit_mask("_low", sets[i * X.MASK_BITS:(i + 1) * X.MASK_BITS])).otherwise(none)
+             for k, (name, sets) in kinds.items() for i in range(max(1, -(-len(sets) // X.MASK_BITS)))}
     masks = low.select(
-        "service_name",
-        F.when(of("documentation"), mask([[w] for w in doc_words])).otherwise(none).alias("d"),
-        F.when(of("advisory_text"), mask([[w] for w in guide_words])).otherwise(none).alias("g"),
-        F.when(of("trust_disclosures"), mask(X.framework_sets(wanted))).otherwise(none).alias("t"),
+        "service_name", *[c.alias(n) for n, c in parts.items()],
         (has_text & F.col("collection").isin("documentation", "advisory_text", "trust_disclosures")).alias("h"),
         (of("incident_postmortems") & (F.length(X.strip(F.coalesce("text", F.lit("")))) > 0)).alias("live"))
     seen = masks.groupBy("service_name").agg(
-        F.bit_or("d").alias("d"), F.bit_or("g").alias("g"), F.bit_or("t").alias("t"),
+        *[F.bit_or(n).alias(n) for n in parts],
         F.bool_or("h").alias("has_docs"), F.count_if("live").alias("live"))
     moods = X.compound_sums(docs.filter(of("incident_postmortems")), lexicon)
     out = seen.join(moods, "service_name", "left")
     found = reduce(lambda a, b: a + b, [
-        F.getbit("t", F.lit(i)).cast("int") * frameworks.count(f) for i, f in enumerate(wanted)], F.lit(0))
+        F.getbit(f"t{i // X.MASK_BITS}", F.lit(i % X.MASK_BITS)).cast("int") * frameworks.count(f)
+        for i, f in enumerate(wanted)], F.lit(0))
+    seen_of = lambda k: reduce(lambda a, b: a + b, [F.bit_count(n) for n in parts if n[0] == k])
     mean = F.coalesce("compound_sum", F.lit(0.0)) / F.col("live")
     out = out.withColumns({
-        "_d": F.bit_count("d") / float(len(doc_words)), "_g": F.bit_count("g") / float(len(guide_words)),
+        "_d": seen_of("d") / float(len(doc_words)), "_g": seen_of("g") / float(len(guide_words)),
         "_t": found / float(max(len(frameworks), 1)),
         "_s": F.when(F.col("live") > 0, clamp((F.lit(1.0) - mean) / 2.0, 0, 1)).otherwise(F.lit(0.0))})
     return out.select(
@@ -77,7 +79,7 @@ def policy_scores(features, policy, as_of):
     return S.score_run(features, policy, as_of)
 
 
-def model_frame(vulns, repo, incidents, entity_order, thresholds=C.HIGH_RISK_THRESHOLDS, top=20, casefold=False,
+def model_frame(vulns, repo, incidents, entity_order, top, thresholds=C.HIGH_RISK_THRESHOLDS, casefold=False,
                 codes=True):
     """Model input of every service. The most frequent weakness names (at most `top`) become columns."""
     names = [r[0] for r in top_categories(vulns, "cwe_id", top).select("cwe_id").collect()]

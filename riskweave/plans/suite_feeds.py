@@ -222,8 +222,8 @@ def incident_texts(spark, sf):
     """Incident texts of four feeds, the feed beside the text."""
     talk = T.read_table(spark, "conversations", sf)
     key = F.concat(text("conv_id"), F.lit("-"), text("turn"))
-    azure = talk.select(key.alias("id"), F.col("role").alias("title"), F.substring("text", 1, 30).alias("summary"))
-    sales = talk.select(key.alias("id"), F.substring("text", 1, 10).alias("message"))
+    azure = talk.select(key.alias("id"), F.col("role").alias("title"), F.col("text").alias("summary"))
+    sales = talk.select(key.alias("id"), F.col("text").alias("message"))
     aws = talk.select(F.concat(F.lit("arn/"), key).alias("eventArn"), st(
         latestDescription=F.when(F.col("role") == "user", F.col("text"))).alias("eventDescription"))
     gcp = talk.select(key.alias("id"), F.lit("desc").alias("external_desc"), F.when(
@@ -322,8 +322,8 @@ def oracles():
         "gcp_normalize": inc("'gcp'", eid, "CASE WHEN event_type = 'error' THEN 'major' ELSE 'minor' END", "CASE WHEN event_type = 'view' THEN 'resolved' ELSE 'investigating' END",
                              iso(ev), f"CASE WHEN event_type = 'view' THEN {iso(ev)} END", "NULL", "event_type || ', ' || CAST(user_id AS VARCHAR)", "events"),
         "incident_texts": f"""WITH k AS (SELECT CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS id, role, text FROM conversations),
- t AS (SELECT id, {strip("role || chr(10) || chr(10) || left(text, 30)")} AS x, 'azure' AS feed, 31 AS least FROM k UNION ALL
- SELECT id, {strip("'Salesforce Incident ' || id || ': ' || left(text, 10)")}, 'salesforce', 31 FROM k UNION ALL
+ t AS (SELECT id, {strip("role || chr(10) || chr(10) || text")} AS x, 'azure' AS feed, 31 AS least FROM k UNION ALL
+ SELECT id, {strip("'Salesforce Incident ' || id || ': ' || text")}, 'salesforce', 31 FROM k UNION ALL
  SELECT id, {strip("text")}, 'aws', 1 FROM k WHERE role = 'user' UNION ALL
  SELECT id, {strip("'desc' || chr(10) || chr(10) || text || ' end'")}, 'gcp', 1 FROM k WHERE role = 'user')
  SELECT id, md5(x) AS digest, feed FROM t WHERE length(x) >= least""",

@@ -59,7 +59,7 @@ def entity_list(spark, sf):
 
 def frame(spark, sf, codes=False):
     return flow.model_frame(T.vulnerabilities(spark, sf), T.repo_health(spark, sf), T.incidents(spark, sf),
-                            ENTITY_ORDER, casefold=True, codes=codes)
+                            ENTITY_ORDER, top=20, casefold=True, codes=codes)
 
 
 BASE = ("commit_count_90d", "contributor_count_90d", "open_issues", "security_issues_open",

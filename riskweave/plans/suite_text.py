@@ -42,8 +42,8 @@ def framework_tags(spark, sf):
 
 
 def service_blobs(spark, sf):
-    blobs = X.service_blobs(T.documents(spark, sf), ["doc_id"])
-    return blobs.select(*GROUP, "docs", F.md5("blob").alias("digest"))
+    """Every document with text under its service and collection."""
+    return X.service_texts(T.documents(spark, sf)).select(*GROUP, "doc_id", F.md5("text").alias("digest"))
 
 
 def line_filter(spark, sf):
@@ -73,10 +73,10 @@ def statuspage_text(spark, sf):
 
 
 def issue_text(spark, sf):
-    """Issue texts of the first 50 turns of each speaker role."""
+    """Issue texts of all turns of each speaker role."""
     talk = T.read_table(spark, "conversations", sf).select(
         F.col("role").alias("repo"), "conv_id", "turn", F.col("role").alias("title"), F.col("text").alias("body"))
-    return X.issue_text(talk, ["conv_id", "turn"]).select("repo", "conv_id", "turn", F.md5("text").alias("digest"))
+    return X.issue_text(talk).select("repo", "conv_id", "turn", F.md5("text").alias("digest"))
 
 
 def description_fallback(spark, sf):
@@ -213,7 +213,7 @@ def oracles():
     docs_cte, docs_ok = page([*skip.split("|"), "header"], C.DOCS_BOILERPLATE, 200)
     trust_cte, trust_ok = page(skip.split("|"), C.TRUST_BOILERPLATE, 150)
     gone = "regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '(?is)<script\\b.*?</script>', '', 'g')"
-    host = lambda c: f"regexp_extract({c}, '^https?://([^/?#:]+)', 1)"
+    host = lambda c: f"regexp_extract({c}, '^https?://([^/?#]*)', 1)"
     links = f"""hp AS (SELECT page_id, url, regexp_extract({gone}, '(?is)<body\\b[^>]*>(.*)', 1) AS body FROM pages),
  hr AS (SELECT page_id, url, generate_subscripts(h, 1) AS pos, split_part(replace(unnest(h), '&amp;', '&'), '#', 1) AS cut FROM
  (SELECT page_id, url, regexp_extract_all(body, '(?i)<a\\s[^>]*?href\\s*=\\s*["'']([^"'']*)["'']', 1) AS h FROM hp)),
@@ -235,8 +235,7 @@ def oracles():
         "framework_coverage": O.with_(O.DOCS) + f""" SELECT service_name, collection, {O.rnd(f'({cov}) / {len(ASKED)}.0::DOUBLE', 4)} AS coverage
  FROM docs GROUP BY ALL""",
         "framework_tags": f"SELECT doc_id, array_to_string(list_filter([{tags}], lambda x: x IS NOT NULL), ',') AS frameworks FROM documents",
-        "service_blobs": O.with_(O.DOCS) + """ SELECT service_name, collection, count(*) AS docs, md5(string_agg(text, ' ' ORDER BY doc_id)) AS digest
- FROM (SELECT * FROM docs WHERE length(text) > 0 QUALIFY row_number() OVER (PARTITION BY service_name, collection ORDER BY doc_id) <= 10) GROUP BY ALL""",
+        "service_blobs": O.with_(O.DOCS) + """ SELECT service_name, collection, doc_id, md5(text) AS digest FROM docs WHERE length(text) > 0""",
         "line_filter": f"SELECT doc_id, md5({lines_sql('text', PATTERNS)}) AS digest FROM documents",
         "topic_gate": f"SELECT doc_id FROM documents WHERE regexp_matches(text, '{topics}')",
         "length_floor": "SELECT doc_id FROM documents WHERE length(text) >= 200",
@@ -250,8 +249,8 @@ def oracles():
  AS incident_sentiment_score FROM n LEFT JOIN c USING (service_name, collection)""",
         "statuspage_text": f"""WITH t AS (SELECT conv_id, turn, {strip("'Incident: ' || role || chr(10) || chr(10) || '[' || role || '] ' || text || chr(10) || chr(10) || '[] done'")} AS x
  FROM conversations) SELECT conv_id, turn, md5(x) AS digest FROM t WHERE length(x) > 100""",
-        "issue_text": f"""WITH t AS (SELECT role AS repo, conv_id, turn, {strip("role || chr(10) || chr(10) || text")} AS x FROM conversations
- QUALIFY row_number() OVER (PARTITION BY role ORDER BY conv_id, turn) <= 50) SELECT repo, conv_id, turn, md5(x) AS digest FROM t WHERE length(x) >= 50""",
+        "issue_text": f"""WITH t AS (SELECT role AS repo, conv_id, turn, {strip("role || chr(10) || chr(10) || text")} AS x FROM conversations)
+ SELECT repo, conv_id, turn, md5(x) AS digest FROM t WHERE length(x) >= 50""",
         "description_fallback": f"""WITH d AS (SELECT 'CVE-' || CAST(o_orderkey AS VARCHAR) AS cve_id,
  CASE WHEN o_orderstatus = 'F' OR {note} = '5-LOW' THEN {note} END AS a,
  CASE WHEN o_totalprice < 300000 AND {note} <> '2-HIGH' THEN 'second' END AS b, CASE WHEN o_totalprice < 400000 THEN {note} END AS c FROM orders)
@@ -264,8 +263,7 @@ def oracles():
         "page_text": f"WITH {docs_cte} SELECT page_id, title, md5(text) AS digest FROM pt WHERE {docs_ok}",
         "trust_pages": f"""WITH {trust_cte} SELECT page_id, title, array_to_string(list_filter([{tags}], lambda x: x IS NOT NULL), ',') AS frameworks
  FROM pt WHERE {trust_ok} AND regexp_matches(text, '{"(?i)" + "|".join((*C.COMPLIANCE_PATTERNS, *TOPICS))}')""",
-        "page_links": f"""WITH {links} SELECT page_id, link, row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1 AS link_index FROM fs
- QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY pos) <= 20""",
+        "page_links": f"""WITH {links} SELECT page_id, link, row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1 AS link_index FROM fs""",
         "incident_blocks": f"""SELECT conv_id * 10000 + turn AS page_id, CAST(0 AS BIGINT) AS block_index, md5({strip('role')} || chr(10) || {strip('text')}) AS digest
  FROM conversations""",
     }

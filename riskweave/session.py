@@ -1,5 +1,7 @@
 """Session settings and the shared scratch folder."""
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -27,13 +29,16 @@ def build(app="riskweave", master=None, **extra):
 
 
 def shared_dir(spark):
-    """The folder all executors see: `spark.checkpoint.dir`, or a local one where it is unset."""
+    """The folder all executors see: `spark.checkpoint.dir`. Only a local master gets a local one where it is unset."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None)
     if named is None:
         named = spark.sparkContext.getCheckpointDir()
     if named is None:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="riskweave-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
 

@@ -3,14 +3,9 @@
 from pyspark.sql import functions as F
 
 
-_schemas = {}
-
-
 def read_parquet(spark, path):
-    """Parquet scan; the schema of a path is inferred once per process, not at every use."""
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    """Parquet scan with the schema the files have now."""
+    return spark.read.parquet(path)
 
 
 def read_table(spark, name, source):

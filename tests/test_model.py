@@ -60,9 +60,10 @@ def test_risk_areas_against_plain_python(spark, frame):
     assert ("s1", "CWE-79", "Cross-Site Scripting (XSS)") in named and not any(c == "CWE-1" for _, c, _ in named)
 
 
-def test_names_and_weights():
-    assert M.readable_name("cwe_id_CWE-79,CWE-9") == "Cross-Site Scripting (XSS) + CWE-9"
-    assert M.readable_name("open_vulns") == "Open High/Critical Vulns" and M.readable_name("x") == "x"
+def test_names_and_weights(spark):
+    names = spark.createDataFrame([("cwe_id_CWE-79,CWE-9",), ("open_vulns",), ("x",)], "feature string")
+    assert [r[0] for r in rows(M.with_display_names(names), "display")] == [
+        "Cross-Site Scripting (XSS) + CWE-9", "Open High/Critical Vulns", "x"]
     w = M.feature_weights(["open_vulns", "vendor_enc", "cwe_id_X", "avg_severity"], WEIGHTS)
     assert w["open_vulns"] == .2 and w["vendor_enc"] == pytest.approx(1 / 6) and w["cwe_id_X"] == .1 and w["avg_severity"] == .1
     assert sum(M.normalised_weights({k: 2.0 for k in WEIGHTS}).values()) == pytest.approx(1)

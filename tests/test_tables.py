@@ -1,11 +1,13 @@
 import datetime
 
+import pytest
 from conftest import AS_OF, ago, rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from riskweave import session
 from riskweave.functions import coerce as K
 from riskweave.operators import filters as D
 from riskweave.operators import merge as B
@@ -57,6 +59,48 @@ def test_stale_chunks_stay_unless_pruned(spark):
     assert sorted(rows(B.upsert_chunks(old, new, prune_stale=True), "chunk_id", "text")) == [("1::0", "n"), ("2::0", "o")]
 
 
+def test_chunks_come_from_one_version(spark):
+    schema = "collection string, doc_key string, chunk_id string, chunk_index int, total_chunks int, text string, seq int"
+    old = spark.createDataFrame([], schema)
+    new = spark.createDataFrame([("d", "1", f"1::{i}", i, 2, t, n) for n, pair in enumerate(("za", "bz")) for i, t in enumerate(pair)], schema)
+    assert sorted(rows(B.upsert_chunks(old, new, order="seq"), "chunk_id", "text")) == [("1::0", "b"), ("1::1", "z")]
+
+
+def test_first_row_is_added_and_last_score_counts(spark):
+    new = spark.createDataFrame([(1, "b", 2), (1, "a", 1), (2, "c", 3)], "k int, v string, n int").repartition(3)
+    assert sorted(rows(B.insert_ignore(new.filter("k = 2"), new, ["k"], ["n"]), "k", "v")) == [(1, "a"), (2, "c")]
+    v = spark.createDataFrame([("osv", "C1", .1)], "source string, cve_id string, epss_score double")
+    e = spark.createDataFrame([("C1", .9, 1), ("C1", .3, 2)], "cve_id string, epss_score double, seq int")
+    assert rows(G.enrich_epss(v, e, order=("seq",)), "epss_score") == [(.3,)]
+
+
+def test_upsert_keeps_null_keys_in_one_pass(spark):
+    old = spark.createDataFrame([(1, "a"), (None, "b"), (None, "b")], "k int, v string")
+    new = spark.createDataFrame([(1, "c"), (2, "d"), (None, "e"), (None, "e")], "k int, v string")
+    out = B.upsert(old, new, ["k"], ["v"])
+    assert sorted(rows(out), key=str) == sorted(
+        [(1, "c"), (2, "d"), (None, "b"), (None, "b"), (None, "e"), (None, "e")], key=str)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 2 and "Union" not in plan
+
+
+def test_empty_alias_takes_every_entry(spark):
+    kev = spark.createDataFrame([("acme", "x"), (None, "y")], "vendorProject string, product string")
+    aliases = spark.createDataFrame([("s", ""), ("s", "acme"), ("t", "ACM"), ("all", "-")], "service string, alias string")
+    assert sorted(r[0] for r in rows(G.match_aliases(kev, aliases), "service")) == ["all", "all", "s", "s", "t"]
+
+
+def test_scratch_needs_a_shared_folder_off_local():
+    class Off:
+        class sparkContext:
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+            getConf = staticmethod(lambda: {})
+        conf = {}
+    with pytest.raises(ValueError):
+        session.shared_dir(Off)
+
+
 def test_lookback_null_rules(spark):
     df = spark.createDataFrame([(1, ago(10)), (2, ago(180)), (3, ago(181)), (4, None)], "i int, t timestamp_ntz")
     assert sorted(r[0] for r in rows(D.lookback(df, "t", AS_OF))) == [1, 2, 4]

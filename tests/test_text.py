@@ -9,6 +9,7 @@ from riskweave import constants as C
 from riskweave.operators import filters as D
 from riskweave.operators import similarity as S
 from riskweave.operators import text as X
+from riskweave.plans import flow
 
 DOC = "doc_id bigint, service_name string, collection string, text string"
 
@@ -34,8 +35,20 @@ def test_density_rounds_to_four_places_and_takes_many_words(spark):
 def test_phrase_over_a_document_boundary_needs_the_joined_text(spark):
     d = docs(spark, "grant access", "control lists")
     assert rows(X.keyword_density(d, ["access control"]), "density") == [(0.0,)]
-    blob = X.service_blobs(d, ["doc_id"]).select(F.lit("s").alias("service_name"), F.col("blob").alias("text"))
-    assert rows(X.keyword_density(blob, ["access control"]), "density") == [(1.0,)]
+    joined = docs(spark, " ".join(r[0] for r in rows(X.service_texts(d).orderBy("doc_id"), "text")))
+    assert rows(X.keyword_density(joined, ["access control"]), "density") == [(1.0,)]
+
+
+def test_all_texts_of_a_service_and_the_first_on_request(spark):
+    d = docs(spark, *[f"text {i}" for i in range(11)], "", None)
+    assert X.service_texts(d).count() == 11
+    assert sorted(r[0] for r in rows(X.service_texts(d, 2, [F.col("doc_id").desc()]), "text")) == ["text 10", "text 9"]
+
+
+def test_text_scores_over_any_number_of_terms(spark):
+    d = docs(spark, " ".join(f"w{i:02d}" for i in range(65))).withColumn("collection", F.lit("documentation"))
+    got = flow.text_features(d, [f"FW{i}" for i in range(70)], X.lexicon_frame(spark), [f"w{i:02d}" for i in range(130)], ["w01"])
+    assert rows(got, "doc_quality_score", "trust_coverage_score") == [(.5, 0.0)]
 
 
 @pytest.mark.parametrize("texts,asked,want", [
@@ -125,7 +138,13 @@ def test_links(spark):
     assert got == ["https://h.example/docs/a.html", "https://h.example/docs/b.html", "https://h.example/c", "https://h.example/d",
                    "https://h.example/docs/a.html?p=1&q=2"]
     many = "<body>" + "".join(f"<a href='/p{i}'>x</a>" for i in range(40)) + "</body>"
-    assert X.extract_links(page(spark, many)).count() == 20
+    assert X.extract_links(page(spark, many)).count() == 41 and X.extract_links(page(spark, many), 20).count() == 20
+    odd = ("<body><a href=https://h.example:8443/p>1</a><a href=plain>2</a><a href='../up/./x?a=../b'>3</a><a href='/a/../..'>4</a>"
+           "<a href='q&quot;&lt;'>5</a></body>")
+    assert [r[0] for r in rows(X.extract_links(page(spark, odd)).orderBy("link_index"), "link")][1:] == [
+        "https://h.example/docs/plain", "https://h.example/up/x?a=../b", "https://h.example/", 'https://h.example/docs/q"<']
+    plan = X.extract_links(page(spark, odd))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
     first = "<body><a href='/out'>x</a><main><a href='/in'>x</a></main></body>"
     assert [r[0] for r in rows(X.extract_links(page(spark, first)).orderBy("link_index"), "link")][1:] == ["https://h.example/in"]
 
@@ -133,6 +152,7 @@ def test_links(spark):
 def test_incident_blocks():
     html = "<div class='incident-list'>" + "".join(
         f"<div class='incident'><h3 class='incident-title'> T{i} </h3><p class='update'>b<i>{i}</i></p></div>" for i in range(60)) + "</div>"
+    assert len(X.incident_blocks_of(html)) == 61
     got = X.incident_blocks_of(html, 50)
     assert got[0] == "T0\nb0" and got[1] == "T0\nb0" and got[2] == "T1\nb1" and len(got) == 50
 
@@ -164,4 +184,5 @@ def test_incident_and_issue_texts(spark):
     df = spark.createDataFrame([("n", [("s", "b"), (None, "c")])], "name string, u array<struct<status:string,body:string>>")
     assert rows(df.select(X.statuspage_text(F.col("name"), F.col("u"))))[0][0] == "Incident: n\n\n[s] b\n\n[] c"
     issues = spark.createDataFrame([("r", i, "t" * (60 if i % 2 else 10), None) for i in range(80)], "repo string, number int, title string, body string")
-    assert sorted(r[0] for r in rows(X.issue_text(issues, ["number"]), "number")) == [i for i in range(50) if i % 2]
+    assert sorted(r[0] for r in rows(X.issue_text(issues, ["number"], 50), "number")) == [i for i in range(50) if i % 2]
+    assert sorted(r[0] for r in rows(X.issue_text(issues), "number")) == [i for i in range(80) if i % 2]
