@@ -1,9 +1,4 @@
-"""Exact top-k cosine search.
-
-Query batches of a checked size travel with the tasks and each vector batch is multiplied against
-them in place. Larger query sets are cut into blocks on both sides and every pair of blocks meets
-in one cogroup; only the k best of a pair leave it. Both ways are exact.
-"""
+"""Exact top-k cosine search: blocks of a fixed number of bytes on both sides, every pair meets in one cogroup."""
 
 import numpy as np
 import pandas as pd
@@ -11,8 +6,7 @@ from pyspark.sql import functions as F
 
 from riskweave.operators.ranking import topk
 
-BATCH_ROWS = 4096
-BLOCK_ROWS = 2048
+BLOCK_BYTES = 64 << 20  # of vectors in one block; query blocks have an eighth
 
 
 def unit(matrix):
@@ -25,47 +19,40 @@ def stack(series):
 
 
 def best_of(query_ids, queries, doc_ids, docs, k):
-    """The k most similar documents of each query within one batch; ties by document id."""
-    sims = queries @ docs.T
-    rows = []
-    for i, qid in enumerate(query_ids):
-        order = np.lexsort((doc_ids, -sims[i]))[:k]
-        rows.append(pd.DataFrame({"query_id": qid, "vec_id": doc_ids[order], "similarity": sims[i][order]}))
-    out = pd.concat(rows, ignore_index=True)
-    # dot products differ in the last bits between batch shapes
-    out["similarity"] = out["similarity"].round(9)
-    return out
+    """The k most similar documents of each query within one block; ties by document id.
+
+    Dot products differ in the last bits between block shapes, so they are rounded before they are ranked.
+    """
+    order = np.argsort(doc_ids, kind="stable")
+    doc_ids, docs, k = doc_ids[order], docs[order], min(k, len(doc_ids))
+    found = []
+    for first in range(0, len(queries), 256):
+        sims = np.round(queries[first:first + 256] @ docs.T, 9)
+        least = np.partition(sims, sims.shape[1] - k, axis=1)[:, sims.shape[1] - k]
+        for i, row in enumerate(sims):
+            near = np.flatnonzero(row >= least[i])
+            top = near[np.lexsort((near, -row[near]))[:k]]
+            found.append((np.full(len(top), query_ids[first + i]), doc_ids[top], row[top]))
+    return pd.DataFrame(dict(zip(("query_id", "vec_id", "similarity"), map(np.concatenate, zip(*found)))))
 
 
 OUT = "query_id bigint, vec_id bigint, similarity double"
 
 
-def topk_similar(queries, vectors, k=10, batch_rows=BATCH_ROWS, block_rows=BLOCK_ROWS):
-    """Per query the k nearest vectors by cosine, ties by vector id."""
-    probe = queries.select("query_id", "embedding").limit(batch_rows + 1).toPandas()
-    if len(probe) <= batch_rows:
-        local = _against_batch(probe, vectors, k)
-    else:
-        local = _block_pairs(queries, vectors, k, block_rows)
-    return topk(local, ["query_id"], [F.col("similarity").desc(), "vec_id"], k, name="rank")
-
-
-def _against_batch(probe, vectors, k):
-    if probe.empty:
-        return vectors.sparkSession.createDataFrame([], OUT)
-    ids, mat = probe["query_id"].to_numpy(), stack(probe["embedding"])
-
-    def search(batches):
-        for pdf in batches:
-            if len(pdf):
-                yield best_of(ids, mat, pdf["vec_id"].to_numpy(), stack(pdf["embedding"]), k)
+def topk_similar(queries, vectors, k=10, block_bytes=BLOCK_BYTES):
+    """Per query the k nearest vectors by cosine, ties by vector id.
 
-    return vectors.select("vec_id", "embedding").mapInPandas(search, OUT)
+    One plan for all sizes: with b bytes a block, every query row is copied (vector bytes / b) times and every vector
+    (query bytes * 8 / b) times, and k rows leave a pair of blocks for each of its queries.
+    """
+    size = lambda df: df.agg(F.count("*"), F.coalesce(F.max(F.size("embedding")), F.lit(1))).first()
+    (nq, width), (nv, wide) = size(queries), size(vectors)
+    rows = max(1, block_bytes // (8 * max(width, wide, 1)))
+    local = _block_pairs(queries, vectors, k, -(-nq // max(1, rows // 8)) or 1, -(-nv // rows) or 1)
+    return topk(local, ["query_id"], [F.col("similarity").desc(), "vec_id"], k, name="rank")
 
 
-def _block_pairs(queries, vectors, k, block_rows):
-    nq = -(-queries.count() // block_rows)
-    nv = max(1, -(-vectors.count() // block_rows))
+def _block_pairs(queries, vectors, k, nq, nv):
     every = lambda n, name: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
     left = queries.select("query_id", "embedding", F.pmod(F.xxhash64("query_id"), F.lit(nq)).cast("int").alias("qb"),
                           every(nv, "vb"))

@@ -114,9 +114,9 @@ def dedup_stream(spark, sf):
 def upsert_stream(spark, sf):
     """Continuous upsert with flags set after each merge; equals the batch result."""
     path, schema = stream_input(spark, sf)
-    table = N.VersionedTable(spark, scratch_path(spark, "target"), schema)
+    table = N.KeyedTable(spark, scratch_path(spark, "target"), schema, ["source", "advisory_id"])
     s = N.land_stream(spark, path, schema, "parquet")
-    N.upsert_stream(s, table, ["source", "advisory_id"], list(UPDATE_ORDER), scratch_path(spark, "cp"),
+    N.upsert_stream(s, table, list(UPDATE_ORDER), scratch_path(spark, "cp"),
                     kev=catalogue(spark, sf)).awaitTermination()
     return table.read().select("source", "advisory_id", "service_name", "cvss_v3_score", F.col("is_kev").cast("bigint").alias("is_kev"))
 

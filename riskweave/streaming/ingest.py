@@ -1,8 +1,11 @@
 """Incremental landing, overlap dedup, continuous upsert and flagging."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from riskweave.operators.merge import flag_kev, upsert
+from riskweave.session import written
 
 
 def land_stream(spark, path, schema, fmt="json", files_per_trigger=1000):
@@ -16,54 +19,50 @@ def dedup_stream(df, keys, delay="2 days", event_time="modified_at"):
         event_time, delay).dropDuplicatesWithinWatermark(keys)
 
 
-class VersionedTable:
-    """A keyed table as numbered parquet folders; batch n writes version n from the one before.
+class KeyedTable:
+    """A keyed parquet table in hash buckets of its key, of which a batch rewrites only those it touches.
 
-    A batch that runs again reads the same input version and overwrites its own, so retries change
-    nothing, and a folder being read is never written.
+    The merged buckets are staged in the shared folder and then put in place by a dynamic partition overwrite, which
+    takes the old files of these buckets away. `_batch` is the number of the batch that wrote a row.
     """
 
-    def __init__(self, spark, path, schema):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+    def __init__(self, spark, path, schema, keys, buckets=64):
+        empty = spark.createDataFrame([], schema)
+        self.spark, self.path, self.keys, self.buckets = spark, path.rstrip("/"), list(keys), buckets
+        self.columns = empty.columns
+        self.stored = empty.select("*", F.lit(0).cast("bigint").alias("_batch"), F.lit(0).alias("_bucket")).schema
+        self.spark.createDataFrame([], self.stored).write.mode("ignore").partitionBy("_bucket").parquet(self.path)
 
-    def folder(self, version):
-        return f"{self.path}/v{version:012d}"
+    def bucket(self):
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
 
-    def _exists(self, folder):
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        done = jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
-        return done.getFileSystem(conf).exists(done)
+    def _files(self):
+        return self.spark.read.schema(self.stored).parquet(self.path)
 
-    def latest(self, below=None):
-        """Number of the newest complete version (below a batch), or -1."""
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(conf)
-        if not fs.exists(root):
-            return -1
-        names = [s.getPath().getName() for s in fs.listStatus(root)]
-        numbers = [int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit()]
-        done = [n for n in numbers if (below is None or n < below) and self._exists(self.folder(n))]
-        return max(done, default=-1)
+    def read(self):
+        return self._files().select(*self.columns)
 
-    def read(self, version=None):
-        version = self.latest() if version is None else version
-        if version < 0:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self.folder(version))
+    def merge(self, batch, number, order, finish=lambda df: df):
+        """Latest-wins upsert of a batch. A batch that runs again gives the same table: what it added without
+        a key is taken out first, and keyed rows are set to the same values."""
+        touched = [r[0] for r in batch.select(self.bucket().alias("b")).distinct().collect()]  # at most `buckets` numbers
+        keyless = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in self.keys])
+        old = self._files().filter(F.col("_bucket").isin(touched)).filter(
+            ~(keyless & (F.col("_batch") == number))).drop("_bucket")
+        new = batch.withColumn("_batch", F.lit(number).cast("bigint"))
+        merged = finish(upsert(old, new, self.keys, order)).withColumn("_bucket", self.bucket())
+        staged = written(self.spark, merged, "merged")
+        staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(self.path)
 
-    def write(self, df, version):
-        df.write.mode("overwrite").parquet(self.folder(version))
 
+def upsert_stream(df, table, order, checkpoint, kev=None):
+    """Continuous latest-wins upsert; with a catalogue, merged rows are flagged in the same step.
 
-def upsert_stream(df, table, keys, order, checkpoint, kev=None):
-    """Continuous latest-wins upsert; with a catalogue, flags are set again after every merge."""
+    Rows of buckets that no batch touches keep their flags: run `flag_kev` over the table when the catalogue grows.
+    """
 
     def merge(batch, number):
-        merged = upsert(table.read(table.latest(below=number)), batch, keys, order)
-        if kev is not None:
-            merged = flag_kev(merged, kev)
-        table.write(merged, number)
+        table.merge(batch, number, order, (lambda rows: flag_kev(rows, kev)) if kev is not None else lambda rows: rows)
 
     return df.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(
         availableNow=True).start()

@@ -169,13 +169,13 @@ def vectors(spark, n, name, seed, dim=8):
     return data, spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], f"{name} bigint, embedding array<float>")
 
 
-@pytest.mark.parametrize("batch_rows", [100, 3])
-def test_similarity_equals_brute_force_on_both_ways(spark, batch_rows):
+@pytest.mark.parametrize("block_bytes", [64 << 20, 8 * 8 * 16])
+def test_similarity_equals_brute_force_over_blocks(spark, block_bytes):
     q, qdf = vectors(spark, 7, "query_id", 1)
     v, vdf = vectors(spark, 300, "vec_id", 2)
     unit = lambda m: m.astype(float) / np.linalg.norm(m.astype(float), axis=1, keepdims=True)
     sims = unit(q) @ unit(v).T
-    got = rows(S.topk_similar(qdf, vdf, 5, batch_rows=batch_rows, block_rows=4 if batch_rows == 3 else 64), "query_id", "rank", "vec_id")
+    got = rows(S.topk_similar(qdf, vdf, 5, block_bytes=block_bytes), "query_id", "rank", "vec_id")
     want = [(i, r + 1, int(j)) for i in range(7) for r, j in enumerate(np.argsort(-sims[i])[:5])]
     assert sorted(got) == sorted(want)
 
