@@ -1,12 +1,13 @@
 """Spark ML models over the weighted feature frame."""
 
+import statistics
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (
     GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from riskweave.functions.ordered import hashed_row_number
@@ -102,15 +103,21 @@ def score_all(models, df):
     return df
 
 
-def cv_auc(df, estimator, key, label="label", k=5):
-    """(mean, standard deviation) of the fold AUCs; the folds are written once for all fits."""
-    slim = df.select(*key, "features", label, "class_weight")
-    folded = written(df.sparkSession, stratified_folds(slim, label, key, k), "folds")
-    cv = CrossValidator(estimator=estimator, estimatorParamMaps=ParamGridBuilder().build(),
-                        evaluator=BinaryClassificationEvaluator(labelCol=label), numFolds=k, foldCol="fold",
-                        parallelism=4)
-    fit = cv.fit(folded)
-    return float(fit.avgMetrics[0]), float(fit.stdMetrics[0])
+def cv_auc(df, makers, key, label="label", k=5):
+    """(model, mean, standard deviation) of the fold AUCs of every model.
+
+    `makers` maps a name to a function from the number of training rows to an estimator: penalty and class weights
+    are those of the four fifths that a fit sees. The folds are written once for all fits.
+    """
+    folded = written(df.sparkSession, stratified_folds(df.select(*key, "features", label), label, key, k), "folds")
+    judge, scores = BinaryClassificationEvaluator(labelCol=label), {name: [] for name in makers}
+    for fold in range(k):
+        train = balance(folded.filter(F.col("fold") != fold), label).cache()
+        n, test = train.count(), folded.filter(F.col("fold") == fold)
+        for name, make in makers.items():
+            scores[name].append(judge.evaluate(make(n).fit(train).transform(test)))
+        train.unpersist()
+    return [(name, statistics.fmean(s), statistics.pstdev(s)) for name, s in scores.items()]
 
 
 def importances(spark, model, cols, n=15):

@@ -31,6 +31,7 @@ def model_scores(spark, sf):
     """Logistic regression score, band and anomaly score of every service."""
     df, _ = prepared(spark, sf)
     train, _ = L.stratified_split(df, "label", KEY)
+    train = L.balance(train.drop("class_weight"))  # weights of the rows that are fitted
     scored = L.with_score(L.lr_pipeline(train.count()).fit(train), df, "lr_risk_score")
     out = I.anomaly_scores(scored.select("service_name", "features", "lr_risk_score"), I.fit_iforest(train))
     return out.withColumn("risk_level", risk.risk_band("lr_risk_score"))
@@ -59,11 +60,8 @@ def neural_scores(spark, sf):
 def cross_validation(spark, sf):
     """Fold AUC of the logistic regression and the random forest."""
     df, _ = prepared(spark, sf)
-    df = written(spark, df.select("service_name", "features", "label", "class_weight"), "cv")
-    n = df.count()
-    rows = [(name, *L.cv_auc(df, est, KEY)) for name, est in
-            (("Logistic Regression", L.lr_pipeline(n)), ("Random Forest", L.rf_estimator()))]
-    return spark.createDataFrame(rows, "model string, cv_auc double, cv_std double")
+    makers = {"Logistic Regression": L.lr_pipeline, "Random Forest": lambda n: L.rf_estimator()}
+    return spark.createDataFrame(L.cv_auc(df, makers, KEY), "model string, cv_auc double, cv_std double")
 
 
 def standardized(spark, sf):

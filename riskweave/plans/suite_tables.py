@@ -13,7 +13,7 @@ from riskweave.operators import registry as G
 from riskweave.operators import text as X
 from riskweave.plans import oracle as O
 from riskweave.plans.suite_policy import FRAMEWORKS
-from riskweave.session import scratch_path
+from riskweave.session import scratch_path, written
 from riskweave.sources import outputs, tables as T
 
 AS_OF = O.AS_OF
@@ -77,7 +77,9 @@ def ensure_table(spark, sf):
     wide = StructType.fromDDL("name string, vendor string, service_tier int")
     rows = T.read_table(spark, "supplier", sf).select(F.col("s_name").alias("name"), F.col("s_nationkey").alias("service_tier"))
     outputs.append_enforced(rows, name, wide)
-    return spark.table(name)
+    out = written(spark, spark.table(name), "ensured")
+    spark.sql(f"DROP TABLE {name}")
+    return out
 
 
 # -- maintenance -----------------------------------------------------------------------------------
@@ -445,7 +447,7 @@ def oracles():
  'r1' AS run_id FROM vuln GROUP BY service_name""",
         "raw_landing": O.with_(O.VULN) + f""" SELECT source, service_name, strftime(date_trunc('year', published_at), '%Y-%m-%d') AS ingest_date,
  count(*) AS n, {O.xsum('cvss_v3_score')} AS total FROM vuln GROUP BY ALL""",
-        "score_docs": """SELECT 'run/1' AS run_id, replace(replace(p_name || '/' || CAST(p_partkey AS VARCHAR), '/', '_'), ' ', '_') AS safe_name,
+        "score_docs": """SELECT 'run/1' AS run_id, replace(replace(p_name || '/' || CAST(p_partkey AS VARCHAR), '/', '_'), ' ', '_') || '-' || left(md5(p_name || '/' || CAST(p_partkey AS VARCHAR)), 8) AS safe_name,
  '{"run_id":"run/1","service_name":"' || p_name || '/' || CAST(p_partkey AS VARCHAR) || '","final_risk_score":' || CAST(p_size AS VARCHAR) || '}'
  AS document FROM part""",
         "ensure_table": "SELECT s_name AS name, CAST(NULL AS VARCHAR) AS vendor, s_nationkey AS service_tier FROM supplier",

@@ -10,9 +10,10 @@ def land_raw(df, path, by=("source", "ingest_date")):
     """Raw records as JSON lines by source and day, before any merge.
 
     The service stays a column: a folder per service does not hold up with many services. Add
-    `service_name` to `by` for that layout. Rows are written where they are, without a shuffle.
+    `service_name` to `by` for that layout. Rows are clustered by folder first, big folders over several
+    tasks, so a folder gets few files and not one of every task.
     """
-    df.write.mode("append").partitionBy(*by).json(path)
+    df.hint("rebalance", *by).write.mode("append").partitionBy(*by).json(path)
 
 
 def read_raw(spark, path, schema):
@@ -47,7 +48,8 @@ def manifest_services(features, run_id):
 
 
 def safe_name(col):
-    return F.regexp_replace(col, "[/ ]", "_")
+    """A name without slashes and blanks, and eight digits of a hash so that `a/b` and `a b` stay apart."""
+    return F.concat(F.regexp_replace(col, "[/ ]", "_"), F.lit("-"), F.left(F.md5(col), F.lit(8)))
 
 
 def score_docs(scores):
@@ -57,10 +59,10 @@ def score_docs(scores):
 
 
 def write_score_docs(scores, path):
-    """A JSON document per service below its run."""
-    (scores.withColumn("safe_name", safe_name(F.col("service_name")))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("run_id", "safe_name").json(path))
+    """The documents of a run as JSON lines (safe_name, document) in the run's folder; a run written again
+    replaces only itself."""
+    (score_docs(scores).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_id").json(path))
 
 
 def dashboard(df, weights, as_of):
