@@ -53,21 +53,34 @@ def none(dtype):
     return F.lit(None).cast(dtype)
 
 
+CARRIED = ("raw_json", "collected_at")
+
+
+def with_record(raw, collected_at=None):
+    """Records with themselves as JSON text and the time they were collected; normalisers carry both on."""
+    when = F.lit(collected_at).cast("timestamp_ntz")
+    return raw.select("*", F.to_json(F.struct("*")).alias("raw_json"), when.alias("collected_at"))
+
+
+def carried(raw):
+    return [F.col(c) for c in CARRIED if c in raw.columns]
+
+
 def normalize_nvd(raw, service=None):
     """CVE items to vulnerability rows; without a service the vendor of the CPE names it."""
     cve = F.col("cve")
     name = F.lit(service) if service is not None else cpe_vendor(cve["configurations"])
     out = raw.select(
         F.lit("nvd").alias("source"), strip(F.upper(cve["id"])).alias("cve_id"), name.alias("service_name"),
-        pick_cvss(cve["metrics"]).alias("_m"), cwe_list(cve["weaknesses"]).alias("cwe_id"),
-        norm_timestamp(cve["published"]).alias("published_at"),
-        norm_timestamp(cve["lastModified"]).alias("modified_at"))
+        F.inline(F.array(pick_cvss(cve["metrics"]))),  # a generator, so that the choice is not repeated per column
+        cwe_list(cve["weaknesses"]).alias("cwe_id"), norm_timestamp(cve["published"]).alias("published_at"),
+        norm_timestamp(cve["lastModified"]).alias("modified_at"), *carried(raw))
     out = out.filter(F.coalesce("cve_id", F.lit("")) != "")
     return out.select(
         "source", "cve_id", F.col("cve_id").alias("advisory_id"), "service_name", F.lit("SaaS").alias("ecosystem"),
-        F.col("_m.severity").alias("severity"), F.col("_m.score").alias("cvss_v3_score"),
-        F.col("_m.vector").alias("cvss_v3_vector"), none("double").alias("epss_score"), F.lit(0).alias("is_kev"),
-        "cwe_id", "published_at", "modified_at")
+        "severity", F.col("score").alias("cvss_v3_score"), F.col("vector").alias("cvss_v3_vector"),
+        none("double").alias("epss_score"), F.lit(0).alias("is_kev"), "cwe_id", "published_at", "modified_at",
+        *carried(raw))
 
 
 def normalize_kev(raw, service=None):
@@ -79,7 +92,7 @@ def normalize_kev(raw, service=None):
         (F.lit(service) if service is not None else vendor).alias("service_name"), F.lit("SaaS").alias("ecosystem"),
         F.lit("CRITICAL").alias("severity"), none("double").alias("cvss_v3_score"),
         none("string").alias("cvss_v3_vector"), none("double").alias("epss_score"), F.lit(1).alias("is_kev"),
-        none("string").alias("cwe_id"), added.alias("published_at"), added.alias("modified_at"))
+        none("string").alias("cwe_id"), added.alias("published_at"), added.alias("modified_at"), *carried(raw))
     return out if service is None else out.drop("cwe_id")
 
 
@@ -101,7 +114,7 @@ def normalize_ghsa(nodes, service=None, ecosystem=None):
         adv["cvss"]["vectorString"].alias("cvss_v3_vector"), none("double").alias("epss_score"),
         F.lit(0).alias("is_kev"), filled(F.array_join(ids, ",")).alias("cwe_id"),
         norm_timestamp(adv["publishedAt"]).alias("published_at"),
-        norm_timestamp(adv["updatedAt"]).alias("modified_at"))
+        norm_timestamp(adv["updatedAt"]).alias("modified_at"), *carried(nodes))
 
 
 def normalize_osv(raw, service, ecosystem):
@@ -116,11 +129,12 @@ def normalize_osv(raw, service, ecosystem):
         map_severity(db["severity"], "osv").alias("severity"), score.alias("cvss_v3_score"),
         first_of(vectors)["score"].alias("cvss_v3_vector"), none("double").alias("epss_score"),
         F.lit(0).alias("is_kev"), filled(F.array_join(db["cwe_ids"], ",")).alias("cwe_id"),
-        norm_timestamp("published").alias("published_at"), norm_timestamp("modified").alias("modified_at"))
+        norm_timestamp("published").alias("published_at"), norm_timestamp("modified").alias("modified_at"),
+        *carried(raw))
 
 
 def normalize_epss(raw):
-    return raw.select(F.upper("cve").alias("cve_id"), F.col("epss").try_cast("double").alias("epss_score"))
+    return raw.select(F.upper("cve").alias("cve_id"), F.col("epss").try_cast("double").alias("epss_score"), *carried(raw))
 
 
 def minutes_between(start, end):
@@ -142,7 +156,7 @@ def normalize_statuspage(raw, service):
     names = F.array_join(F.transform("components", lambda c: F.coalesce(c["name"], F.lit(""))), ", ")
     return raw.select(*incident(
         F.lit(service), F.col("id"), severity, F.coalesce(filled("status"), F.lit("resolved")), start, end,
-        minutes_between(F.col("created_at"), F.col("resolved_at")), F.coalesce(names, F.lit(""))))
+        minutes_between(F.col("created_at"), F.col("resolved_at")), F.coalesce(names, F.lit(""))), *carried(raw))
 
 
 def normalize_aws(raw, service):
@@ -151,7 +165,7 @@ def normalize_aws(raw, service):
     return raw.select(*incident(
         F.lit(service), last, F.when(F.col("eventTypeCategory") == "issue", "major").otherwise("minor"),
         F.coalesce("statusCode", F.lit("resolved")), F.coalesce("startTime", F.lit("")),
-        F.coalesce("endTime", F.lit("")), none("int"), F.coalesce("service", F.lit(""))))
+        F.coalesce("endTime", F.lit("")), none("int"), F.coalesce("service", F.lit(""))), *carried(raw))
 
 
 def normalize_azure(entries):
@@ -160,7 +174,7 @@ def normalize_azure(entries):
     short = F.coalesce(filled(F.element_at(F.split(ref, "/"), -1)), ref)
     return entries.select(*incident(
         F.lit("azure"), short, F.lit("major"), F.lit("resolved"), norm_timestamp("published"),
-        none("timestamp_ntz"), none("int"), F.coalesce("title", F.lit(""))))
+        none("timestamp_ntz"), none("int"), F.coalesce("title", F.lit(""))), *carried(entries))
 
 
 def normalize_salesforce(raw, service):
@@ -174,14 +188,14 @@ def normalize_salesforce(raw, service):
         F.lit(service), F.col("id"),
         F.when(F.lower("messageType").isin("major", "core", "incident"), "major").otherwise("minor"),
         F.when(filled("resolvedAt").isNotNull(), "resolved").otherwise("investigating"), start, end,
-        minutes_between(created, ended), affected))
+        minutes_between(created, ended), affected), *carried(raw))
 
 
 def normalize_gcp(raw):
     return raw.select(*incident(
         F.lit("gcp"), F.col("id"), F.when(F.col("severity") == "high", "major").otherwise("minor"),
         F.when(filled("end").isNotNull(), "resolved").otherwise("investigating"), norm_timestamp("begin"),
-        norm_timestamp("end"), none("int"), F.coalesce(F.array_join("affected_products", ", "), F.lit(""))))
+        norm_timestamp("end"), none("int"), F.coalesce(F.array_join("affected_products", ", "), F.lit(""))), *carried(raw))
 
 
 def normalize_commits(raw):

@@ -10,6 +10,7 @@ from riskweave.operators import aggregates as A
 from riskweave.operators import model_features as M
 from riskweave.operators import scoring as S
 from riskweave.operators import text as X
+from riskweave.operators.merge import flag_kev, union_feeds, upsert
 from riskweave.operators.ranking import latest, top_categories
 
 TEXT_ZEROS = {"doc_quality_score": 0.0, "security_guidance_score": 0.0, "trust_coverage_score": 0.0,
@@ -74,6 +75,18 @@ def service_features(services, vulns, repo, incidents, docs, frameworks, lexicon
     return S.data_confidence(df).withColumn("run_id", F.lit(run_id)).drop("has_repo", "has_incidents", "has_docs")
 
 
+def ingest(target, feeds, kev, since=None, keys=("source", "advisory_id"), order=("modified_at", "service_name", "cve_id")):
+    """Normalised feeds into the vulnerability table: recent rows of all feeds, latest wins, then the flags.
+
+    Flags come last, so a row that a feed brings unflagged is flagged again. `since` keeps rows modified then or later
+    and rows without a time.
+    """
+    batch = union_feeds(*feeds)
+    if since is not None:
+        batch = batch.filter(F.col("modified_at").isNull() | (F.col("modified_at") >= F.lit(since).cast("timestamp_ntz")))
+    return flag_kev(upsert(target, batch, list(keys), list(order)), kev)
+
+
 def policy_scores(features, policy, as_of):
     """Score rows of a run under its policy, best first left to the report."""
     return S.score_run(features, policy, as_of)

@@ -6,6 +6,7 @@ from riskweave.operators import filters as D
 from riskweave.operators import aggregates as A
 from riskweave.operators import normalize as N
 from riskweave.operators import text as X
+from riskweave.plans import flow
 from riskweave.plans import oracle as O
 from riskweave.plans.suite_text import strip
 from riskweave.session import scratch_path
@@ -134,6 +135,19 @@ def osv_normalize(spark, sf):
     return flat_vulns(N.normalize_osv(osv_records(spark, sf), "acme", "PyPI"))
 
 
+def ingest_all(spark, sf):
+    """Three feeds into a table that holds an older state of one, flagged after the merge; descriptions come along."""
+    record = lambda df: N.with_record(df, "2024-02-01 00:00:00")
+    old = N.normalize_osv(record(osv_records(spark, sf)), "before", "PyPI")
+    feeds_ = [N.normalize_kev(record(kev_entries(spark, sf))), N.normalize_ghsa(record(ghsa_nodes(spark, sf))),
+              N.normalize_osv(record(osv_records(spark, sf)), "acme", "PyPI")]
+    urgent = T.read_table(spark, "orders", sf).filter(F.col("o_orderpriority") == "1-URGENT").select(
+        F.concat(F.lit("CVE-"), text("o_orderkey")).alias("cve_id"))
+    out = flow.ingest(old, feeds_, urgent)
+    return out.select("source", "advisory_id", "cve_id", "service_name", F.col("is_kev").cast("bigint").alias("is_kev"),
+                      (F.length("raw_json") > 2).alias("recorded"))
+
+
 def epss_normalize(spark, sf):
     e = T.read_table(spark, "orders", sf).select(
         F.concat(F.lit("cve-"), text("o_orderkey")).alias("cve"),
@@ -258,7 +272,7 @@ def github_activity(spark, sf):
 QUERIES = {f.__name__: f for f in (
     nvd_normalize, feed_json, nested_filter, kev_normalize, ghsa_normalize, osv_normalize, epss_normalize, statuspage_normalize,
     aws_normalize, feed_atom, feed_salesforce, gcp_normalize, policy_files,
-    incident_texts, advisory_texts, github_activity)}
+    incident_texts, advisory_texts, github_activity, ingest_all)}
 
 
 def oracles():
@@ -284,7 +298,7 @@ def oracles():
     p = "o_orderpriority"
     odate = "CAST(o_orderdate AS TIMESTAMP)"
     eid = "CAST(event_id AS VARCHAR)"
-    return {
+    made = {
         "nvd_normalize": nvd("CASE WHEN l_linenumber = 3 OR l_returnflag = 'A' THEN 'unknown' ELSE 'v' || CAST(l_suppkey % 10 AS VARCHAR) END"),
         "feed_json": nvd("'acme'"),
         "nested_filter": "SELECT CAST(CASE WHEN l_linenumber = 3 THEN -1 ELSE 2 END AS BIGINT) AS matches, count(*) AS n FROM lineitem GROUP BY 1",
@@ -340,3 +354,9 @@ def oracles():
  FROM c FULL JOIN i USING (k) FULL JOIN r USING (k)""",
         "policy_files": "SELECT c_name AS org_name, CAST(CASE WHEN c_custkey % 4 = 0 THEN 0 ELSE 1 END AS BIGINT) AS valid FROM customer",
     }
+    ids = "source, advisory_id, cve_id, service_name, is_kev"
+    feeds_ = " UNION ALL ".join(f"SELECT {ids} FROM ({made[n]})" for n in ("kev_normalize", "ghsa_normalize", "osv_normalize"))
+    made["ingest_all"] = f"""WITH u AS ({feeds_}), kv AS (SELECT 'CVE-' || CAST(o_orderkey AS VARCHAR) AS id FROM orders
+ WHERE o_orderpriority = '1-URGENT') SELECT source, advisory_id, cve_id, service_name,
+ CAST(CASE WHEN cve_id IN (SELECT id FROM kv) THEN 1 ELSE is_kev END AS BIGINT) AS is_kev, true AS recorded FROM u"""
+    return made
