@@ -21,7 +21,7 @@ def _runs(sym, row, size):
     at = np.flatnonzero(fresh)
     times = np.diff(np.append(at, len(sym)))
     named = np.where(times > 1, words.mix(sym[at] + words.mix(times.astype(np.uint64))), sym[at])
-    return named, row[at], np.add.reduceat(size, at), np.cumsum(fresh) - 1
+    return named, row[at], np.add.reduceat(size, at), np.cumsum(fresh, dtype=np.int32) - np.int32(1)
 
 
 def _pairs(sym, row, size, turn):
@@ -33,7 +33,7 @@ def _pairs(sym, row, size, turn):
     joined = np.diff(np.append(at, len(sym))) == 2
     named = sym[at].copy()
     named[joined] = words.mix(words.mix(named[joined] + _U(turn + 1)) + sym[at[joined] + 1])
-    return (named, row[at], np.add.reduceat(size, at), np.cumsum(fresh) - 1), right
+    return (named, row[at], np.add.reduceat(size, at), np.cumsum(fresh, dtype=np.int32) - np.int32(1)), right
 
 
 def window_symbols(w, length, rounds=ROUNDS):
@@ -48,31 +48,34 @@ def window_symbols(w, length, rounds=ROUNDS):
     start, own = w.grams(length)
     if not len(start):
         return start, own, own
-    sym, row, size = w.hash, np.repeat(np.arange(w.rows), w.counts()), np.ones(len(w.hash), dtype=np.int64)
+    sym, row = w.hash, np.repeat(np.arange(w.rows, dtype=np.int32), w.counts())
+    size = np.ones(len(w.hash), dtype=np.int32)
     symbol = own.copy()
     sym, row, size, to = _runs(sym, row, size)
-    live = np.arange(len(start))
-    first, last = to[start] + 1, to[start + length - 1] - 1
+    live = np.arange(len(start), dtype=np.int32)
+    first, last = to[start] + np.int32(1), to[start + length - 1] - np.int32(1)
     for turn in range(rounds):
         some = first <= last
-        live, first, last = live[some], first[some], last[some]
+        if not some.all():
+            live, first, last = live[some], first[some], last[some]
         above, right = _pairs(sym, row, size, turn)
         to = above[3]
         up_first, up_last = to[first] + right[first], to[last] - ~right[last]
         settled = (up_first > up_last) | (turn + 1 == rounds)
         # long symbols first, then the least hash, so that neighbouring windows tend to the same one
-        rank = (words.mix(sym + _U(99)) >> _U(12)) // size.astype(np.uint64) ** _U(2)
-        name = words.mix(sym + words.mix(np.full(1, turn + 77, dtype=np.uint64)))
+        rank_of = lambda x, n: (words.mix(x + _U(99)) >> _U(12)) // n.astype(np.uint64) ** _U(2)
+        whole = rank_of(sym, size) if settled.sum() > len(sym) else None
+        rank = (lambda i: whole[i]) if whole is not None else (lambda i: rank_of(sym[i], size[i]))
         at, end = first[settled], last[settled]
-        best = at.copy()
-        while True:
-            at = at + 1
-            inside = at <= end
-            if not inside.any():
-                break
-            better = inside & (rank[np.minimum(at, end)] < rank[best])
-            best[better] = at[better]
-        symbol[live[settled]] = name[best]
+        best, low = at.copy(), rank(at)
+        open_ = np.flatnonzero(at < end)
+        while len(open_):
+            at[open_] += 1
+            value = rank(at[open_])
+            better = value < low[open_]
+            best[open_[better]], low[open_[better]] = at[open_[better]], value[better]
+            open_ = open_[at[open_] < end[open_]]
+        symbol[live[settled]] = words.mix(sym[best] + words.mix(np.full(1, turn + 77, dtype=np.uint64)))
         live, first, last = live[~settled], up_first[~settled], up_last[~settled]
         sym, row, size = above[:3]
     return start, own, symbol
@@ -85,20 +88,29 @@ def _rows(w, start):
 
 def _again(own):
     """Windows of one row that repeat an earlier one of the row."""
-    again = np.ones(len(own), dtype=bool)
-    again[np.unique(own, return_index=True)[1]] = False
+    again = np.zeros(len(own), dtype=bool)
+    ranked = np.sort(own)
+    if (ranked[1:] == ranked[:-1]).any():
+        again[:] = True
+        again[np.unique(own, return_index=True)[1]] = False
     return again
 
 
-def _kept(w, i, starts, length):
-    """(removed, kept words) of row i when the windows at `starts` are taken out."""
-    a, b = int(w.ptr[i]), int(w.ptr[i + 1])
-    edge = np.zeros(b - a + 1, dtype=np.int64)
-    np.add.at(edge, starts - a, 1)
-    np.add.at(edge, starts - a + length, -1)
-    keep = np.flatnonzero(np.cumsum(edge[:-1]) == 0) + a
-    data, s, e = w.data, w.start, w.end
-    return b - a - len(keep), b" ".join([data[s[j]:e[j]].tobytes() for j in keep])
+def _distinct(symbols):
+    """Distinct symbols of one row; neighbouring windows mostly share theirs."""
+    fresh = np.ones(len(symbols), dtype=bool)
+    fresh[1:] = symbols[1:] != symbols[:-1]
+    return np.unique(symbols[fresh])
+
+
+def _kept(w, starts, length):
+    """(removed words, SHA-256 of the kept words) per row when the windows at `starts` are taken out."""
+    edge = np.zeros(len(w.hash) + 1, dtype=np.int64)
+    edge[starts] += 1
+    edge[starts + length] -= 1
+    keep = np.cumsum(edge[:-1]) == 0
+    left = np.concatenate(([0], np.cumsum(keep)))[w.ptr]
+    return w.counts() - np.diff(left), [hashlib.sha256(t).hexdigest() for t in w.joined(keep)]
 
 
 def _class_names(w):
@@ -119,12 +131,10 @@ def _described(df, length):
             for part in words.slices(batch, 1):
                 w = words.Words(part.column(1))
                 start, own = w.grams(length)
-                cut, removed, sha = _rows(w, start), [], []
-                for i in range(w.rows):
-                    lo, hi = cut[i], cut[i + 1]
-                    gone, text = _kept(w, i, start[lo:hi][_again(own[lo:hi])], length)
-                    removed.append(gone)
-                    sha.append(hashlib.sha256(text).hexdigest())
+                cut, gone = _rows(w, start), np.zeros(len(start), dtype=bool)
+                for lo, hi in zip(cut[:-1], cut[1:]):
+                    gone[lo:hi] = _again(own[lo:hi])
+                removed, sha = _kept(w, start[gone], length)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(words.signed(_class_names(w))), pa.array(w.counts(), pa.int64()),
                      pa.array(removed, pa.int64()), pa.array(sha)], names=["key", "cls", "n", "removed", "sha"])
@@ -145,7 +155,7 @@ def _symbols(df, length):
                 for i in range(w.rows):
                     if cut[i] < cut[i + 1] and names[i] not in seen:
                         seen.add(names[i])
-                        found.append(np.unique(symbol[cut[i]:cut[i + 1]]))
+                        found.append(_distinct(symbol[cut[i]:cut[i + 1]]))
                         owner.append(np.full(len(found[-1]), names[i]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(words.signed(np.concatenate(found))), pa.array(words.signed(np.concatenate(owner)))],
@@ -165,7 +175,7 @@ def _bodies(df, length):
                 for i, text in enumerate(part.column(1).to_pylist()):
                     if counts[i] >= length and names[i] not in seen:
                         seen.add(names[i])
-                        out.append((names[i], zlib.compress(text.encode(), 6)))
+                        out.append((names[i], zlib.compress(text.encode(), 1)))
                 cols = list(zip(*out)) or [[], []]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary())], names=["cls", "body"])
@@ -210,13 +220,11 @@ def _cleaned(texts, length):
                 w = _opened(part, 1)
                 start, own = w.grams(length)
                 cut, hit = _rows(w, start), part.column(2)
-                removed, sha = [], []
+                gone = np.zeros(len(start), dtype=bool)
                 for i in range(w.rows):
                     lo, hi = cut[i], cut[i + 1]
-                    elsewhere = words.unsigned(hit[i].values.to_numpy()) if hit[i].is_valid else np.zeros(0, np.uint64)
-                    gone, text = _kept(w, i, start[lo:hi][_again(own[lo:hi]) | np.isin(own[lo:hi], elsewhere)], length)
-                    removed.append(gone)
-                    sha.append(hashlib.sha256(text).hexdigest())
+                    gone[lo:hi] = _again(own[lo:hi]) | np.isin(own[lo:hi], words.unsigned(hit[i].values.to_numpy()))
+                removed, sha = _kept(w, start[gone], length)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(removed, pa.int64()), pa.array(sha)], names=["cls", "removed", "sha"])
 
@@ -248,7 +256,7 @@ def remove_repeats(spark, df, key="doc_id", text="text", length=20):
     bodies = _bodies(rows, length).groupBy("cls").agg(F.min("body").alias("body"))
     texts = tables.store(spark, bodies.join(per_text, "cls").join(order, "cls").select(
         "cls", F.coalesce("least", F.lit(_LAST)).cast("bigint").alias("at"), "body", "symbols"), "texts")
-    windows = _candidates(texts, length)
+    windows = tables.store(spark, _candidates(texts, length), "windows")
     first = windows.groupBy("window").agg(F.min("at").alias("low"), F.max("at").alias("high")).where("low < high")
     later = windows.join(first.select("window", "low"), "window").where("at > low").groupBy("at").agg(
         F.collect_set("window").alias("windows"))

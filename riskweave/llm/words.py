@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 4 << 20  # texts are handled in slices of about this size, a longer text alone
+CHUNK_BYTES = 1 << 19  # texts are handled in slices of about this size, a longer text alone
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -21,10 +21,11 @@ _powers = {}
 def mix(x):
     """Bijective scrambling of 64-bit values."""
     x = x ^ (x >> _U(30))
-    x = x * _U(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> _U(27))
-    x = x * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
+    x *= _U(0xBF58476D1CE4E5B9)
+    x ^= x >> _U(27)
+    x *= _U(0x94D049BB133111EB)
+    x ^= x >> _U(31)
+    return x
 
 
 _VALUES = mix(np.arange(1, 257, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))
@@ -75,7 +76,7 @@ class Words:
             edge[offsets] = True
             first[1:] &= ~word[:-1] | edge[1:-1]
             last[:-1] &= ~word[1:] | edge[1:-1]
-        self.data, self.rows = data, len(column)
+        self.data, self.rows, self.offsets = data, len(column), offsets
         self.start = np.flatnonzero(first)
         self.end = np.flatnonzero(last) + 1
         self.ptr = np.searchsorted(self.start, offsets)
@@ -101,7 +102,8 @@ class Words:
         at = np.flatnonzero(np.arange(n) + k <= self.row_end()[:n])
         acc = np.zeros(n, dtype=np.uint64)
         for j in range(k):
-            acc = acc * _STEP + self.hash[j:j + n]
+            acc *= _STEP
+            acc += self.hash[j:j + n]
         return at, mix(acc[at] ^ _U(k))
 
     def sequence(self, a, b):
@@ -111,8 +113,37 @@ class Words:
             acc = acc * _STEP + h
         return mix(acc ^ _U(b - a))[0]
 
-    def text(self, a, b):
-        return self.data[self.start[a]:self.end[b - 1]].tobytes() if b > a else b""
+    def joined(self, keep):
+        """Per row, the kept words joined by one space, as memory views."""
+        n, kept = len(self.data), np.flatnonzero(keep)
+        if not len(kept):
+            return [b""] * self.rows
+        data, edge = self.data.copy(), np.zeros(n + 1, dtype=np.int8)
+        edge[self.start[kept]] += 1
+        edge[self.end[kept]] -= 1
+        use = np.cumsum(edge[:-1], dtype=np.int8) > 0
+        row = np.repeat(np.arange(self.rows), self.counts())[kept]
+        space = self.end[kept[:-1]][row[1:] == row[:-1]]  # the white byte after a kept word that another follows
+        data[space], use[space] = 32, True
+        bounds = np.concatenate(([0], np.cumsum(use)))[self.offsets]
+        out = memoryview(data[use])
+        return [out[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+
+
+def string_hashes(column):
+    """64-bit hashes of the strings of an array."""
+    out = []
+    for first in range(0, len(column), 50_000):
+        part = column.slice(first, 50_000).cast(pa.large_string())
+        bounds = np.frombuffer(part.buffers()[1], dtype=np.int64)[part.offset:part.offset + len(part) + 1]
+        raw = part.buffers()[2]
+        data = np.frombuffer(raw, dtype=np.uint8)[bounds[0]:bounds[-1]] if raw is not None else np.zeros(0, np.uint8)
+        bounds, n = bounds - bounds[0], len(data)
+        sums = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(_VALUES[data] * _power(_BASE, n), out=sums[1:])
+        inverse = _power(_INVERSE, n + 1)
+        out.append(mix((sums[bounds[1:]] - sums[bounds[:-1]]) * inverse[bounds[:-1]] ^ mix(np.diff(bounds).astype(np.uint64))))
+    return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
 
 def signed(x):
