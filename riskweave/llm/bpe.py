@@ -1,10 +1,12 @@
 """Byte-level BPE: ranked merges folded by Spark over distinct words, ids applied to whole texts."""
 
 import base64
+import itertools
 import json
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,7 +15,7 @@ from riskweave.llm import tables, words
 COMMON_WORDS = 1 << 20
 COMMON_BYTES = 48
 SLOTS = 1 << 19
-NONE = 2147483647
+NONE = 1 << 40
 _FIRST, _SECOND = (40503, 1), (2654435, 7919)
 
 
@@ -44,7 +46,7 @@ class RankMap:
                     self._place(slots, a, b, rank)
         packed = [self._packed(*slots[i]) if i in slots else -1 for i in range(SLOTS)]
         self.slots = F.from_json(F.lit(json.dumps(packed, separators=(",", ":"))), "array<bigint>")
-        self.bytes = F.from_json(F.lit(json.dumps([ids[bytes([i])] for i in range(256)])), "array<int>")
+        self.bytes = F.from_json(F.lit(json.dumps([ids[bytes([i])] for i in range(256)])), "array<bigint>")
 
     def _packed(self, a, b, rank):
         return (a * self.size + b) << 20 | rank
@@ -61,13 +63,12 @@ class RankMap:
         raise ValueError("the rank map needs more slots")
 
     def rank(self, slots, a, b):
-        a, b = a.cast("bigint"), b.cast("bigint")
         key = a * self.size + b
-        place = lambda m: F.get(slots, ((a * m[0] + b * m[1]) % SLOTS).cast("int"))
-        found = lambda e: F.shiftright(e, 20) == key
-        value = lambda e: e.bitwiseAND(F.lit((1 << 20) - 1)).cast("int")
+        place = lambda m: F.get(slots, (a * m[0] + b * m[1]).bitwiseAND(F.lit(SLOTS - 1)))
         first, second = place(_FIRST), place(_SECOND)
-        return F.when(found(first), value(first)).when(found(second), value(second)).otherwise(F.lit(NONE))
+        value = lambda e: e.bitwiseAND(F.lit((1 << 20) - 1))
+        return F.when(F.shiftright(first, 20) == key, value(first)).when(
+            F.shiftright(second, 20) == key, value(second)).otherwise(F.lit(NONE))
 
 
 def _let(value, body):
@@ -87,7 +88,7 @@ def _fold(word, ranks, slots):
     rank = lambda a, b: ranks.rank(slots, a, b)
     latin = F.decode(F.encode(word, "utf-8"), "ISO-8859-1")
     first = F.transform(F.split(latin, ""), lambda c: F.get(ranks.bytes, F.ascii(c)))
-    edge, none = F.lit(ranks.edge), F.lit(NONE)
+    edge, none = F.lit(ranks.edge).cast("bigint"), F.lit(NONE)
     start = _let(first, lambda b: F.struct(
         F.concat(F.array(edge), b, F.array(edge)).alias("p"),
         F.concat(F.array(none), F.zip_with(b, F.slice(b, 2, F.size(b)), 
@@ -105,33 +106,108 @@ def _fold(word, ranks, slots):
             _let(F.array_position(s["r"], low).cast("int"), lambda at: merge(s, low, at))))
 
     steps = F.sequence(F.lit(1), F.greatest(F.octet_length(word) - 1, F.lit(1)))
-    return F.aggregate(steps, start, step, lambda s: F.slice(s["p"], 2, F.size(s["p"]) - 2))
+    return F.aggregate(steps, start, step, lambda s: F.slice(s["p"], 2, F.size(s["p"]) - 2)).cast(
+        "array<int>")
+
+
+FIRST = "\0"
+_ASCII_WHITE = np.zeros(256, dtype=bool)
+_ASCII_WHITE[[*range(9, 14), *range(28, 33)]] = True
+
+
+def odd_rows(column):
+    """Rows of a string array in which a space meets another white character, or that have a white character
+    beyond ASCII or a null byte."""
+    column = column.fill_null("").cast(pa.large_string())
+    bounds = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset:column.offset + len(column) + 1]
+    raw = column.buffers()[2]
+    data = np.frombuffer(raw, dtype=np.uint8)[bounds[0]:bounds[-1]] if raw is not None else np.zeros(0, dtype=np.uint8)
+    if len(data) < 3:
+        return np.ones(len(column), dtype=bool)
+    space, white = data == 32, _ASCII_WHITE[data]
+    odd = data == 0
+    odd[1:] |= (space[1:] & white[:-1]) | (white[1:] & space[:-1])
+    odd[1:] |= (data[:-1] == 0xC2) & ((data[1:] == 0x85) | (data[1:] == 0xA0))
+    a, b, c = data[:-2], data[1:-1], data[2:]
+    lead = np.flatnonzero((a == 0xE1) | (a == 0xE2) | (a == 0xE3))
+    b, c = b[lead], c[lead]
+    wide = ((b == 0x80) & ((c <= 0x8A) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF))) | ((b == 0x81) & (c == 0x9F)) | (
+        (b == 0x9A) & (c == 0x80))
+    odd[lead[wide]] = True
+    hits = np.concatenate(([0], np.cumsum(odd)))[bounds - bounds[0]]
+    return np.diff(hits) > 0
+
+
+def chunked(column):
+    """(chunks, stops): texts cut before every space that stands alone, the space left out, first chunks marked.
+
+    No match of the split pattern goes over a space between two characters that are not white, so chunks can be
+    split apart from each other, or joined by spaces in any order. A text in which white characters meet
+    a space is one chunk.
+    """
+    chunks, stops = [], [0]
+    for text, odd in zip(column.to_pylist(), odd_rows(column).tolist()):
+        parts = [text or ""] if odd else (text or "").split(" ")
+        parts[0] = FIRST + parts[0]
+        chunks += parts
+        stops.append(len(chunks))
+    return chunks, stops
+
+
+def split_chunks(chunks, split):
+    """(words, begins, counts) of distinct chunks: plain ones in one go, joined by spaces, of which each starts a chunk."""
+    plain = np.array([c != "" and c[0] != FIRST for c in chunks], dtype=bool)
+    found = split(" " + " ".join(itertools.compress(chunks, plain.tolist()))) if plain.any() else []
+    begins = pa.compute.starts_with(pa.array(found, pa.string()), " ").to_numpy(zero_copy_only=False)
+    count = np.zeros(len(chunks), dtype=np.int64)
+    count[plain] = np.diff(np.append(np.flatnonzero(begins), len(found)))
+    special = [split(chunks[i][1:] if chunks[i] else " ") for i in np.flatnonzero(~plain)]
+    count[~plain] = [len(x) for x in special]
+    # plain chunks first, then the others: where each chunk's words begin
+    order = np.concatenate((np.flatnonzero(plain), np.flatnonzero(~plain)))
+    begin = np.empty(len(chunks), dtype=np.int64)
+    begin[order] = np.cumsum(count[order]) - count[order]
+    return found + list(itertools.chain.from_iterable(special)), begin, count
+
+
+def expanded(begin, size, code=None):
+    """(positions, stops): the ranges begin..begin+size one after the other, those of `code` if given."""
+    if code is not None:
+        begin, size = begin[code], size[code]
+    stop = np.concatenate(([0], np.cumsum(size)))
+    return np.repeat(begin - stop[:-1], size) + np.arange(stop[-1]), stop
 
 
 class Known:
-    """Words with known ids, as shipped to tasks; the lookup table is built once per worker."""
-
-    def __init__(self, table):
-        self.words = table.column("word")
-        ids = table.column("ids").combine_chunks()
-        self.ids = np.asarray(ids.values if not isinstance(ids, pa.ChunkedArray) else ids.flatten(), dtype=np.int32)
-        self.ends = np.cumsum(np.asarray(pa.compute.list_value_length(table.column("ids"))), dtype=np.int64)
-        self._place = None
-
-    def place(self):
-        if self._place is None:
-            self._place = {w: i for i, w in enumerate(self.words.to_pylist())}
-            self.words = None
-        return self._place
-
-    def __reduce__(self):
-        return _known, (self.words, self.ids, self.ends)
+    """Words with known ids, as shipped to tasks: arrays in the order of the words' hashes, found by bisection.
 
+    The entry after the last has the one id -1 and stands for a word that is not known.
+    """
 
-def _known(words_, ids, ends):
-    made = Known.__new__(Known)
-    made.words, made.ids, made.ends, made._place = words_, ids, ends, None
-    return made
+    def __init__(self, table):
+        table = table.combine_chunks()
+        made = table.num_rows > 0
+        names = table.column("word").combine_chunks() if made else pa.array([], pa.string())
+        lists = table.column("ids").combine_chunks() if made else pa.array([], pa.list_(pa.int32()))
+        hashes = words.string_hashes(names)
+        order = pa.array(np.argsort(hashes, kind="stable"))
+        lists, self.words, self.hashes = lists.take(order), names.take(order), hashes[order.to_numpy()]
+        self.ids = np.append(lists.flatten().to_numpy(), np.int32(-1)).astype(np.int32)
+        sizes = np.asarray(pa.compute.list_value_length(lists), dtype=np.int32)
+        self.sizes = np.append(sizes, np.int32(1)).astype(np.int32)
+        self.begins = np.cumsum(self.sizes, dtype=np.int32) - self.sizes
+
+    def find(self, found):
+        """Place of every word of a list."""
+        n = len(self.hashes)
+        if not n or not found:
+            return np.full(len(found), n, dtype=np.int64)
+        column = pa.array(found, pa.string())
+        hashes = words.string_hashes(column)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), n - 1)
+        same = self.hashes[at] == hashes
+        same &= pa.compute.equal(column, self.words.take(pa.array(at))).to_numpy(zero_copy_only=False)
+        return np.where(same, at, n)
 
 
 def word_counts(df, text, pattern):
@@ -150,7 +226,7 @@ def common_words(spark, df, text, pattern, most, longest):
         if total > most:
             break
         least = n
-    return counts.where(F.col("n") >= least).select("word")
+    return counts.where(F.col("n") >= least)
 
 
 def encode(spark, df, tokens, pattern, key="doc_id", text="text", most=COMMON_WORDS, longest=COMMON_BYTES):
@@ -164,10 +240,12 @@ def encode(spark, df, tokens, pattern, key="doc_id", text="text", most=COMMON_WO
     A null text counts as empty and has no ids. Null and repeated keys pass through; other columns are not
     read. An empty table gives no rows. A very long word costs time by its square, never memory beyond it.
     """
+    tables.short_batches(spark)
     ranks = RankMap(tokens)
     small = common_words(spark, df.select(F.col(text).alias("text")), "text", pattern, most, longest)
-    known = spark.sparkContext.broadcast(Known(small.withColumn("ids", merged_ids(F.col("word"), ranks)).toArrow()))
-    pieces = spark.sparkContext.broadcast([tokens.get(i, b"") for i in range(max(tokens) + 1)])
+    table = small.withColumn("ids", merged_ids(F.col("word"), ranks)).toArrow()
+    known = spark.sparkContext.broadcast(Known(table))
+    pieces = spark.sparkContext.broadcast(pa.array([tokens.get(i, b"") for i in range(max(tokens) + 1)], pa.binary()))
     picked = df.select(F.col(key).alias("_k"), F.col(text).alias("_t"))
     kind = picked.schema["_k"].dataType
     parts = T.StructType([
@@ -178,63 +256,52 @@ def encode(spark, df, tokens, pattern, key="doc_id", text="text", most=COMMON_WO
         T.StructField("decoded", T.BinaryType())])
 
     def lookup(batches):
+        """Ids of known words at once per slice, worked out per distinct chunk; -1 stands for a word not known."""
         import regex
 
         split = regex.compile(pattern).findall
-        table = known.value
-        place, ids, ends = table.place(), table.ids, table.ends
-        sizes = np.diff(ends, prepend=0)
+        find, ids, begins, sizes = known.value.find, known.value.ids, known.value.begins, known.value.sizes
         for batch in batches:
-            for part in words.slices(batch, 1):
-                all_ids, all_rare, lengths = [], [], []
-                for value in part.column(1).to_pylist():
-                    found = split(value or "")
-                    at = np.fromiter((place.get(w, -1) for w in found), dtype=np.int64, count=len(found))
-                    unknown = np.flatnonzero(at < 0)
-                    rare = {}
-                    holes = [-1 - rare.setdefault(found[i], len(rare)) for i in unknown]
-                    size = np.where(at < 0, 1, sizes[at]) if len(sizes) else np.ones(len(at), dtype=np.int64)
-                    stop = np.cumsum(size)
-                    n = int(stop[-1]) if len(stop) else 0
-                    # position inside its word plus where the ids of the word begin
-                    inside = np.arange(n) - np.repeat(stop - size, size)
-                    begin = np.where(at < 0, 0, ends[at] - size) if len(sizes) else np.zeros(len(at), dtype=np.int64)
-                    row = ids[np.repeat(begin, size) + inside] if len(ids) else np.zeros(n, dtype=np.int32)
-                    row[(stop - size)[unknown]] = holes
-                    all_ids.append(row)
-                    lengths.append(n)
-                    all_rare.append(list(rare))
-                offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
-                flat = pa.array(np.concatenate(all_ids) if all_ids else np.zeros(0, np.int32), pa.int32())
+            for part in words.slices(batch, 1, 1 << 20):
+                chunks, row_at = chunked(part.column(1))
+                coded = pa.array(chunks, pa.string()).dictionary_encode()
+                code = coded.indices.to_numpy()
+                found, first, count = split_chunks(coded.dictionary.to_pylist(), split)
+                at = find(found)
+                unknown = at == len(sizes) - 1
+                flat, stops = expanded(begins[at], sizes[at])
+                token_at, token_ends = expanded(stops[first], stops[first + count] - stops[first], code)
+                rare_stops = np.concatenate(([0], np.cumsum(unknown)))
+                rare_at, rare_ends = expanded(rare_stops[first], rare_stops[first + count] - rare_stops[first], code)
+                rare = pa.array([found[i] for i in np.flatnonzero(unknown)], pa.string()).take(pa.array(rare_at))
+                lists = lambda stop, values: pa.ListArray.from_arrays(pa.array(stop[row_at].astype(np.int32)), values)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.ListArray.from_arrays(pa.array(offsets), flat),
-                     pa.array(all_rare, pa.list_(pa.string()))], names=["k", "ids", "rare"])
+                    [part.column(0), lists(token_ends, pa.array(ids[flat[token_at]], pa.int32())), lists(rare_ends, rare)],
+                    names=["k", "ids", "rare"])
 
     def fill(batches):
+        """Put the ids of the words that were folded in their row into its holes, and decode."""
         token = pieces.value
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                rows, decoded, lengths = [], [], []
-                lists = part.column(1)
-                bounds, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-                for i, rare in enumerate(part.column(2).to_pylist()):
-                    row = flat[bounds[i]:bounds[i + 1]]
-                    holes = np.flatnonzero(row < 0)
-                    if len(holes):
-                        filled, last = [], 0
-                        for h in holes:
-                            filled += [row[last:h], np.array(rare[-1 - row[h]], dtype=np.int32)]
-                            last = h + 1
-                        row = np.concatenate(filled + [row[last:]])
-                    rows.append(row)
-                    lengths.append(len(row))
-                    decoded.append(b"".join([token[t] for t in row.tolist()]))
-                offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
-                flat = pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int32), pa.int32())
+            for begin in range(0, batch.num_rows, 300):
+                part = batch.slice(begin, 300)
+                lists, folded = part.column(1), part.column(2).flatten()
+                flat, bounds = lists.flatten().to_numpy(), lists.offsets.to_numpy()
+                bounds = bounds - bounds[0]
+                size = np.ones(len(flat), dtype=np.int64)
+                holes = flat < 0
+                size[holes] = pa.compute.list_value_length(folded).to_numpy(zero_copy_only=False)
+                stop = np.concatenate(([0], np.cumsum(size)))
+                ids = np.repeat(flat, size)
+                ids[ids < 0] = folded.flatten().to_numpy()
+                offsets = stop[bounds]
+                joined = token.take(pa.array(ids))
+                ends = np.frombuffer(joined.buffers()[1], dtype=np.int32)[:len(joined) + 1]
+                decoded = pa.Array.from_buffers(pa.binary(), len(part), [
+                    None, pa.py_buffer(ends[offsets].astype(np.int32).tobytes()), joined.buffers()[2]])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.ListArray.from_arrays(pa.array(offsets), flat),
-                     pa.array(decoded, pa.binary())], names=[key, "ids", "decoded"])
+                    [part.column(0), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids)),
+                     decoded], names=[key, "ids", "decoded"])
 
     looked = picked.mapInArrow(lookup, parts)
     folded = looked.select("k", "ids", _let(ranks.slots, lambda slots: F.transform(

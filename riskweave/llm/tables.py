@@ -10,3 +10,9 @@ def read(spark, sf_dir, name):
 def store(spark, df, label):
     """Write to the shared folder and read back: later steps neither recompute nor depend on executors."""
     return session.written(spark, df, label)
+
+
+def short_batches(spark, rows=1000):
+    """Texts and word lists go to Python whole, so Arrow batches are kept short, as `session.build` sets them."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
