@@ -96,6 +96,26 @@ def _again(own):
     return again
 
 
+def _repeated(w, own, cut):
+    """`_again` for all rows of a slice; only rows with equal windows are looked at one by one."""
+    gone = np.zeros(len(own), dtype=bool)
+    row = np.repeat(np.arange(w.rows), np.diff(cut))
+    keyed = own ^ words.mix(row.astype(np.uint64) + _U(5))
+    ranked = np.sort(keyed)
+    twice = ranked[1:][ranked[1:] == ranked[:-1]]
+    if len(twice):
+        for i in np.unique(row[_among(keyed, np.unique(twice))]):
+            gone[cut[i]:cut[i + 1]] = _again(own[cut[i]:cut[i + 1]])
+    return gone
+
+
+def _among(values, ranked):
+    """Which values are in a sorted array."""
+    if not len(ranked):
+        return np.zeros(len(values), dtype=bool)
+    return ranked[np.minimum(np.searchsorted(ranked, values), len(ranked) - 1)] == values
+
+
 def _distinct(symbols):
     """Distinct symbols of one row; neighbouring windows mostly share theirs."""
     fresh = np.ones(len(symbols), dtype=bool)
@@ -131,10 +151,7 @@ def _described(df, length):
             for part in words.slices(batch, 1):
                 w = words.Words(part.column(1))
                 start, own = w.grams(length)
-                cut, gone = _rows(w, start), np.zeros(len(start), dtype=bool)
-                for lo, hi in zip(cut[:-1], cut[1:]):
-                    gone[lo:hi] = _again(own[lo:hi])
-                removed, sha = _kept(w, start[gone], length)
+                removed, sha = _kept(w, start[_repeated(w, own, _rows(w, start))], length)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(words.signed(_class_names(w))), pa.array(w.counts(), pa.int64()),
                      pa.array(removed, pa.int64()), pa.array(sha)], names=["key", "cls", "n", "removed", "sha"])
@@ -199,9 +216,9 @@ def _candidates(texts, length):
                 cut, shared = _rows(w, start), part.column(2)
                 found, owner = [np.zeros(0, np.uint64)], []
                 for i in range(w.rows):
-                    mine = words.unsigned(shared[i].values.to_numpy())
+                    mine = np.sort(words.unsigned(shared[i].values.to_numpy()))
                     lo, hi = cut[i], cut[i + 1]
-                    found.append(np.unique(own[lo:hi][np.isin(symbol[lo:hi], mine)]))
+                    found.append(np.unique(own[lo:hi][_among(symbol[lo:hi], mine)]))
                     owner.append(len(found[-1]))
                 at = np.repeat(part.column(0).to_numpy(), owner)
                 yield pa.RecordBatch.from_arrays(
@@ -220,10 +237,10 @@ def _cleaned(texts, length):
                 w = _opened(part, 1)
                 start, own = w.grams(length)
                 cut, hit = _rows(w, start), part.column(2)
-                gone = np.zeros(len(start), dtype=bool)
+                gone = _repeated(w, own, cut)
                 for i in range(w.rows):
                     lo, hi = cut[i], cut[i + 1]
-                    gone[lo:hi] = _again(own[lo:hi]) | np.isin(own[lo:hi], words.unsigned(hit[i].values.to_numpy()))
+                    gone[lo:hi] |= _among(own[lo:hi], np.sort(words.unsigned(hit[i].values.to_numpy())))
                 removed, sha = _kept(w, start[gone], length)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(removed, pa.int64()), pa.array(sha)], names=["cls", "removed", "sha"])
