@@ -10,7 +10,7 @@ import __spark_entry__ as entry
 import check
 import corpus_pipeline
 from riskweave.llm import queries, tables
-from test_operators import near_by_hand, words_of
+from test_llm_operators import near_by_hand, words_of
 
 SF = "/root/testdata/sf0.001"
 
