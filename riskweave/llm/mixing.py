@@ -1,6 +1,7 @@
 """Mixing sources to target weights: blocks of equal token counts apportioned by highest quotients (Sainte-Lague)."""
 
 import heapq
+import math
 
 import numpy as np
 from pyspark.sql import Window as W
@@ -76,9 +77,25 @@ def _quota(frame):
     return frame[["source_key", "shard", "quota"]]
 
 
+def _whole(size, taken, low, high, place):
+    """Times that every document is taken whole, `low` to `high`, so that all words come near those taken.
+
+    From the longest document to the shortest each is taken as often as brings the words so far nearest to those
+    taken of them, so that shorter ones make up what longer ones leave. The longest is rounded by its digest: a
+    document without others is taken in the mean as often as its words are.
+    """
+    order = np.argsort(-size, kind="stable")
+    up = (int(place[order[0]]) & ((1 << 64) - 1)) / 2.0**64
+    times, missing = np.empty(len(size), dtype=np.int64), 0
+    for i, n, words in zip(order.tolist(), size[order].tolist(), taken[order].tolist()):
+        t = min(max(math.floor((words + missing) / n + up), low), high)
+        times[i], missing, up = t, missing + words - t * n, 0.5
+    return times
+
+
 def _select(frame):
     """Words taken of every document of a shard: its words in seeded order are cut in blocks; every block is taken
-    quota // blocks times and, in seeded order, the first quota % blocks once more."""
+    quota // blocks times and, in seeded order, the first quota % blocks once more. `times`: the same in whole documents."""
     frame = frame.sort_values(["place", "key_text"])
     size = frame["size"].to_numpy().astype(np.int64)
     stop = np.cumsum(size)
@@ -89,8 +106,10 @@ def _select(frame):
     times[np.argsort(mix(np.arange(blocks, dtype=np.uint64) + seed), kind="stable")[:quota % blocks]] += 1
     before = np.concatenate(([0], np.cumsum(times[:-1] * BLOCK)))
     upto = lambda x: before[x // BLOCK] + times[x // BLOCK] * (x % BLOCK)
-    frame["taken"] = upto(stop) - upto(stop - size)
-    return frame[["source_key", "key_text", "size", "taken"]]
+    taken = upto(stop) - upto(stop - size)
+    frame["taken"] = taken
+    frame["times"] = _whole(size, taken, quota // blocks, -(-quota // blocks), frame["place"].to_numpy())
+    return frame[["source_key", "key_text", "size", "taken", "times"]]
 
 
 def mix_sources(spark, df, key="doc_id", text="text", source="source", seed=7):
@@ -105,6 +124,11 @@ def mix_sources(spark, df, key="doc_id", text="text", source="source", seed=7):
     dealt, so no shard has more rows than words. Rows that repeat key and text may swap results. Reruns agree.
     Other columns are not read. An empty table gives no rows.
     """
+    return _mixed(spark, df, key, text, source, seed).drop("times")
+
+
+def _mixed(spark, df, key, text, source, seed):
+    """The rows of `mix_sources` and times, how often each document is taken whole."""
     body = F.coalesce(F.col(text), F.lit(""))
     rows = tables.store(spark, df.select(
         F.col(key).alias("key"), F.col(source).alias("source"),
@@ -124,21 +148,24 @@ def mix_sources(spark, df, key="doc_id", text="text", source="source", seed=7):
     def select(frame):
         out = _select(frame)
         out["key"], out["place"] = frame.loc[out.index, "key"], frame.loc[out.index, "place"]
-        return out[["source_key", "key", "size", "place", "taken"]]
+        return out[["source_key", "key", "size", "place", "taken", "times"]]
 
     chosen = dealt.join(quotas, ["source_key", "shard"]).select(
         "source_key", "shard", "key", "key_text", "size", "place", "quota").groupBy("source_key", "shard").applyInPandas(
-            select, f"source_key string, key {kind}, size bigint, place bigint, taken bigint")
-    none = keyed.where("size = 0").select("source_key", "key", "size", "place", F.lit(0).cast("long").alias("taken"))
+            select, f"source_key string, key {kind}, size bigint, place bigint, taken bigint, times bigint")
+    zero = F.lit(0).cast("long")
+    none = keyed.where("size = 0").select("source_key", "key", "size", "place", zero.alias("taken"), zero.alias("times"))
     return chosen.unionByName(none).join(sources, "source_key").select(
         F.col("key").alias(key), "size", F.col("words").alias("source_size"), "target", "taken",
-        F.col("place").alias("digest"))
+        F.col("place").alias("digest"), "times")
 
 
 def mixed_documents(spark, df, key="doc_id", text="text", source="source", seed=7):
-    """The rows of `df`, each as often as the mix takes it: words taken over own words, rounded half up."""
-    times = mix_sources(spark, df, key, text, source, seed).where("size > 0").select(
-        F.col("digest").alias("_digest"), F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("_times"))
+    """The rows of `df`, each as often as the mix takes it whole, 0 to 3 times: words taken over own words, rounded down
+    or up so that the words of a shard, and with them of a source, come near its target. A source misses it by
+    about half of a shard's shortest documents, a source of few documents by up to one of them."""
+    times = _mixed(spark, df, key, text, source, seed).where("size > 0").select(
+        F.col("digest").alias("_digest"), F.col("times").cast("int").alias("_times"))
     times = times.groupBy("_digest").agg(F.max("_times").alias("_times")).where("_times > 0")
     tagged = df.select(F.struct("*").alias("_row"), F.xxhash64(
         F.lit(seed), F.col(key).cast("string"), F.coalesce(F.col(text), F.lit(""))).alias("_digest"))

@@ -298,6 +298,29 @@ def test_mix_caps_targets_and_null_source(spark):
     assert got == {1: (3, 3, 9.0), 2: (1000, 1000, 986.0), 3: (0, 0, 0.0), 4: (2, 4, 12.0), None: (2, 4, 12.0)}
 
 
+def test_whole_documents_meet_every_target(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 8000)  # the hot source is dealt to several shards
+    rng = random.Random(11)
+    rows = []
+    for source, words in (("a", 60_000), ("b", 20_000), ("c", 20_000)):
+        while words > 0:
+            n = min(words, rng.randint(40, 400))
+            rows.append((len(rows), "w " * n, source))
+            words -= n
+    rows += [(len(rows), "w " * 4000, "a"), (len(rows) + 1, "", "a"), (len(rows) + 2, None, "b")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(4)
+    source = {i: s for i, _, s in rows}
+    goal = {source[r.doc_id]: r.target for r in mixing.mix_sources(spark, df).collect()}
+    kept, times = collections.Counter(), collections.Counter()
+    for r in mixing.mixed_documents(spark, df).collect():
+        kept[r.source] += len(words_of(r.text))
+        times[r.doc_id] += 1
+    assert goal["a"] < 0.3 * 64_000  # taken whole by the nearest number, no document of it would stay
+    assert all(abs(kept[s] - goal[s]) < 0.03 * goal[s] for s in "abc"), (kept, goal)
+    assert {times[i] for i, t, s in rows if t and s == "a"} == {0, 1}
+    assert {times[i] for i, t, s in rows if t and s == "b"} == {1, 2} and max(times.values()) == 3
+
+
 # -- tokens, pages, languages, neighbours ----------------------------------------------------------
 
 
