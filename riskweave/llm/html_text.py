@@ -1,5 +1,6 @@
 """Main text of web pages: parser events, text-to-tag ratio per line, smoothing and threshold regions."""
 
+import collections
 import re
 from html.parser import HTMLParser
 
@@ -25,11 +26,14 @@ FURNITURE = frozenset(
 ARTICLE = frozenset("article main".split())
 READERS = frozenset("comment comments reply replies".split())
 WHITE = re.compile(r"\s+")
+HEADS = frozenset("h1 h2 h3 h4 h5 h6".split())
+PROSE = 100  # characters a tag from which a block counts as long, however long it is
 FEED = 1 << 16
 
 
 class Lines(HTMLParser):
-    """Turns events into lines: text of one block, tags seen in it, furniture or not, article number or 0.
+    """Turns events into lines: text of one block, tags seen in it, furniture or not, article number or 0. `around`
+    has the open block elements of every line from the outermost on, `links` its links if they make most of its text.
 
     Text inside silent or furniture elements gives lines that are marked as such. End tags close
     the nearest open element of their name; a missing end tag is closed by its parent.
@@ -39,13 +43,17 @@ class Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.stack, self.lines, self.parts = [], [], []
         self.tags = self.silent = self.outside = self.article = self.articles = 0
-        self.inside = []
+        self.inside, self.blocks, self.around, self.links = [], [], [], []
+        self.opened = self.anchors = self.seen = self.linked = 0
 
     def flush(self):
         text = WHITE.sub(" ", "".join(self.parts)).strip()
         if text or self.tags:
             self.lines.append((text, self.tags, self.outside > 0, self.inside[-1] if self.inside else 0))
-        self.parts, self.tags = [], 0
+            self.around.append(tuple(i for i, _ in self.blocks))
+            head = bool(self.blocks) and self.blocks[-1][1] in HEADS
+            self.links.append(self.seen if 2 * self.linked > len(text) and not head else 0)
+        self.parts, self.tags, self.linked, self.seen = [], 0, 0, int(self.anchors > 0)
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCKS:
@@ -65,6 +73,11 @@ class Lines(HTMLParser):
         if article:
             self.articles += 1
             self.inside.append(self.articles)
+        if tag in BLOCKS:
+            self.opened += 1
+            self.blocks.append((self.opened, tag))
+        self.anchors += tag == "a"
+        self.seen += tag == "a"
         self.silent += silent
         self.outside += outside
         self.stack.append((tag, silent, outside, article))
@@ -81,6 +94,9 @@ class Lines(HTMLParser):
 
     def pop(self):
         tag, silent, outside, article = self.stack.pop()
+        if tag in BLOCKS:
+            self.blocks.pop()
+        self.anchors -= tag == "a"
         self.silent -= silent
         self.outside -= outside
         if article:
@@ -117,15 +133,21 @@ class Lines(HTMLParser):
     def handle_data(self, data):
         if not self.silent:
             self.parts.append(data)
+            if self.anchors:
+                self.linked += len(data.strip())
 
 
-def lines_of(html):
+def parsed(html):
     parser = Lines()
     for i in range(0, len(html), FEED):
         parser.feed(html[i:i + FEED])
     parser.close()
     parser.flush()
-    return parser.lines
+    return parser
+
+
+def lines_of(html):
+    return parsed(html).lines
 
 
 def smoothed(values, radius):
@@ -148,9 +170,31 @@ def two_means(values, rounds=20):
     return (low + high) / 2
 
 
+def menus(links, usable):
+    """Lines in a row of lines of link text with two links or more."""
+    found, run = np.zeros(len(links), dtype=bool), []
+    for i in np.flatnonzero(usable).tolist() + [None]:
+        if i is not None and links[i]:
+            run.append(i)
+            continue
+        if sum(links[j] for j in run) > 1:
+            found[run] = True
+        run = []
+    return found
+
+
+def grown(core, usable, around):
+    """The core's lines and all usable ones in the elements around its blocks: in the parent of each, or, where that has no
+    other usable line, in the nearest element that has."""
+    held = collections.Counter(i for line in np.flatnonzero(usable) for i in around[line])
+    homes = {next((i for i in reversed(around[line][:-1]) if held[i] > 1), 0) for line in np.flatnonzero(core)}
+    return core | usable & np.array([0 in homes or not homes.isdisjoint(a) for a in around])
+
+
 def main_text(html, radius=1.0):
     """The article's blocks joined by newlines, and the share of lines chosen by their ratio alone."""
-    lines = lines_of(html or "")
+    page = parsed(html or "")
+    lines = page.lines
     if not lines:
         return ""
     ratio = np.array([0.0 if out else len(text) / max(tags, 1) for text, tags, out, _ in lines])
@@ -163,8 +207,11 @@ def main_text(html, radius=1.0):
     hit = set(inside[core & usable & (inside > 0)].tolist()) or set(inside[usable & (inside > 0)].tolist())
     if hit:  # a region that meets an article grows to the whole of it
         keep = usable & np.isin(inside, list(hit))
-    else:  # otherwise from the first to the last line above the threshold
-        found = np.flatnonzero(core & usable)
+    else:  # otherwise from the first to the last line around those above a threshold that no single block can lift
+        scale = smoothed(np.log1p(np.minimum(ratio, PROSE)), radius)
+        text = usable & ~menus(page.links, usable)
+        core = (scale > two_means(scale)) & usable
+        found = np.flatnonzero(grown(core & text if (core & text).any() else core, text, page.around))
         keep = usable.copy()
         keep[:found[0]] = False
         keep[found[-1] + 1:] = False
@@ -176,7 +223,8 @@ def extract_main_text(df, key="page_id", url="url", html="html"):
 
     Pages stream through the standard-library parser in pieces. Lines are blocks; their text-to-tag ratio
     is smoothed and cut in two clusters; regions above the cut are kept, whole articles where one
-    is met. Furniture (menus, page headers, footers, sidebars, notices, adverts, forms, reader comments)
+    is met. Pages without article are cut by the logarithm of the ratio, above PROSE all alike, and a region grows
+    over the other blocks of its parent but rows of links. Furniture (menus, page headers, footers, sidebars, notices, adverts, forms, reader comments)
     has ratio 0 and never stays. White space in a block becomes one space; `br` counts as a space.
 
     A null or empty page, or one without text, gives an empty text with n_chars 0. Null keys and urls pass

@@ -376,6 +376,18 @@ def test_pages(spark):
     assert by[6][1] == ("Some long sentence of content. " * 5).strip() + "\n" + ("More of it. " * 9).strip()
 
 
+@pytest.mark.parametrize("lengths", [
+    (30, 400, 350, 2500, 300, 420), (30, 300, 300, 300, 20000, 300, 300, 300), (30, 400, 350, 500, 300, 420, 60)])
+@pytest.mark.parametrize("block", ["<p>%s</p>", "<div>%s</div>", "<div><div>%s</div></div>", "<section><h2>Part</h2><p>%s</p></section>"])
+def test_one_long_block_cuts_no_others(lengths, block):
+    texts = [("%d " % i + "word " * n)[:n].strip() for i, n in enumerate(lengths)]
+    menu = "<ul><li><a href=/a>Home</a><li><a href=/b>About us</a><li><a href=/c>Contact</a></ul>"
+    page = f"<body><nav>Site</nav>{menu}<div>" + "".join(block % t for t in texts) + f"</div>{menu}<footer>us</footer>"
+    assert [t for t in html_text.main_text(page).split("\n") if t != "Part"] == texts
+    bare = "<body><nav>Site</nav>" + menu + "".join(block % t for t in texts) + "<footer>us</footer>"
+    assert [t for t in html_text.main_text(bare).split("\n") if t != "Part"] == texts
+
+
 def test_language_held_out(spark, none):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = language.fit(spark, docs.where("doc_id % 2 = 0"))
