@@ -69,11 +69,9 @@ def targets(spark, sources, most=3, cycle=3):
 
 
 def _quota(frame):
-    """Blocks per shard of one source: its target in blocks, apportioned by the shards' words."""
+    """Words per shard of one source: its target in whole words, apportioned by the shards' words."""
     frame = frame.sort_values("shard")
-    seats = int(round(frame["target"].iloc[0] / BLOCK))
-    blocks = -(-frame["held"].to_numpy() // BLOCK)
-    frame["quota"] = sainte_lague(frame["held"], seats, 3 * blocks)
+    frame["quota"] = sainte_lague(frame["held"], int(round(frame["target"].iloc[0])), 3 * frame["held"].to_numpy())
     return frame[["source_key", "shard", "quota"]]
 
 
@@ -94,21 +92,26 @@ def _whole(size, taken, low, high, place):
 
 
 def _select(frame):
-    """Words taken of every document of a shard: its words in seeded order are cut in blocks; every block is taken
-    quota // blocks times and, in seeded order, the first quota % blocks once more. `times`: the same in whole documents."""
+    """Words taken of every document of a shard: its words in seeded order are cut in blocks; all words are taken
+    quota // words times and blocks in seeded order once more, of the last one as many words as the quota lacks.
+    `times`: the same in whole documents."""
     frame = frame.sort_values(["place", "key_text"])
     size = frame["size"].to_numpy().astype(np.int64)
     stop = np.cumsum(size)
-    blocks = int(-(-stop[-1] // BLOCK))
+    words = int(stop[-1])
+    blocks = -(-words // BLOCK)
     quota = int(frame["quota"].iloc[0])
-    times = np.full(blocks + 1, quota // blocks, dtype=np.int64)
+    low, more = divmod(quota, words)
     seed = np.uint64(int(frame["place"].iloc[0]) & ((1 << 64) - 1))
-    times[np.argsort(mix(np.arange(blocks, dtype=np.uint64) + seed), kind="stable")[:quota % blocks]] += 1
-    before = np.concatenate(([0], np.cumsum(times[:-1] * BLOCK)))
-    upto = lambda x: before[x // BLOCK] + times[x // BLOCK] * (x % BLOCK)
+    order = np.argsort(mix(np.arange(blocks, dtype=np.uint64) + seed), kind="stable")
+    length = np.minimum(BLOCK, words - BLOCK * order)  # the last block may be shorter
+    again = np.zeros(blocks + 1, dtype=np.int64)  # words of each block that are taken once more
+    again[order] = np.minimum(length, (more - (np.cumsum(length) - length)).clip(0))
+    before = np.concatenate(([0], np.cumsum(again[:-1])))
+    upto = lambda x: low * x + before[x // BLOCK] + np.minimum(again[x // BLOCK], x % BLOCK)
     taken = upto(stop) - upto(stop - size)
     frame["taken"] = taken
-    frame["times"] = _whole(size, taken, quota // blocks, -(-quota // blocks), frame["place"].to_numpy())
+    frame["times"] = _whole(size, taken, low, low + (more > 0), frame["place"].to_numpy())
     return frame[["source_key", "key_text", "size", "taken", "times"]]
 
 
@@ -116,9 +119,9 @@ def mix_sources(spark, df, key="doc_id", text="text", source="source", seed=7):
     """Per row: key, size, source_size, target, taken, and digest (of key and text), which tells rows apart.
 
     Sizes are counts of words (null text: 0). A source's documents are dealt by hash to shards of about
-    SHARD_WORDS words; blocks of BLOCK words are apportioned to the shards by highest quotients; within a
-    shard blocks are selected in seeded order. No block is taken more than 3 times, so no document is. A source misses
-    its target by less than a block and the last, shorter block of each shard.
+    SHARD_WORDS words; the target's words are apportioned to the shards by highest quotients; within a
+    shard blocks of BLOCK words are selected in seeded order, the last one in part. No word is taken more than 3 times,
+    so no document is. A source's words taken are its target, rounded to a whole number.
 
     Null and empty sources are sources like others. Documents without words are taken 0 times and are not
     dealt, so no shard has more rows than words. Rows that repeat key and text may swap results. Reruns agree.

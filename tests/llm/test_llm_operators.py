@@ -298,6 +298,17 @@ def test_mix_caps_targets_and_null_source(spark):
     assert got == {1: (3, 3, 9.0), 2: (1000, 1000, 986.0), 3: (0, 0, 0.0), 4: (2, 4, 12.0), None: (2, 4, 12.0)}
 
 
+def test_mix_takes_the_target_of_small_sources(spark):
+    rows = [(1, "a b c", "a"), (2, "w " * 1000, "b"), (3, "", "c"), (4, "x y", None), (None, "z z", None), (5, "v", "d")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = {r.doc_id: r for r in mixing.mix_sources(spark, df).collect()}
+    assert [got[i].taken for i in (1, 3, 4, None, 5)] == [9, 0, 6, 6, 3]
+    assert got[2].taken == round(got[2].target)
+    # targets 1.67, 3.33 and 3.0, of less than half a block
+    small = spark.createDataFrame([(1, "a b c d e", "a"), (2, "w w", "b"), (3, "v", "c")], df.schema)
+    assert {(r.source_size, r.taken) for r in mixing.mix_sources(spark, small).collect()} == {(5, 2), (2, 3), (1, 3)}
+
+
 def test_whole_documents_meet_every_target(spark, monkeypatch):
     monkeypatch.setattr(mixing, "SHARD_WORDS", 8000)  # the hot source is dealt to several shards
     rng = random.Random(11)
