@@ -148,20 +148,20 @@ def search(spark, df, queries, key="vec_id", vector="embedding", k=20, sample=SA
     vectors by `block` queries, so a hot partition is many tasks; each keeps the k best of its queries and the
     best of these remain. Scores are sums of double products of the stored values; ties go to the smaller key.
 
-    Null, zero and non-finite vectors, and those of another length than the first of the sample, take no part. Fewer
+    Null, zero and non-finite vectors, and those of another length than the most frequent (the least of equals), take no part. Fewer
     candidates than k give fewer rows. Rows that repeat a key are candidates like others, but never of a query of
     that key. Other columns are not read. An empty table gives no rows.
     """
     rows = usable(df, key, vector)
     kind = rows.schema["key"].dataType.simpleString()
     schema = f"query_id {kind}, key {kind}, score double"
-    fit = rows.orderBy(F.xxhash64("key"), "key").limit(sample).toPandas()
-    if not len(fit):
+    common = rows.groupBy(F.size("v").alias("size")).count().orderBy(F.col("count").desc(), "size").first()
+    if common is None:
         return spark.createDataFrame([], f"query_id {kind}, rank int, {key} {kind}, score double")
-    size = len(fit["v"].iloc[0])
-    x = np.unique(np.array([v for v in fit["v"] if len(v) == size]), axis=0)
+    rows = rows.where(F.size("v") == common["size"])
+    fit = rows.orderBy(F.xxhash64("key"), "key").limit(sample).toPandas()
+    x = np.unique(np.array(fit["v"].tolist()), axis=0)
     x = unit(x)[np.random.default_rng(3).permutation(len(x))]
-    rows = rows.where(F.size("v") == size)
     net, probes = fitted(x, parts, recall)
     router = spark.sparkContext.broadcast(net)
     indexed = tables.store(spark, _routed(rows, router, 1), "indexed")

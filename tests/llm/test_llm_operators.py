@@ -452,6 +452,15 @@ def test_neighbours_recall(spark):
     assert hit >= 0.9 * len(got)
 
 
+def test_neighbours_of_the_most_frequent_length(spark):
+    rows = [(i, [1.0, float(i)]) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    first = df.orderBy(F.xxhash64(F.col("vec_id"))).first().vec_id  # the first of the sample is the odd one out
+    odd = df.withColumn("embedding", F.when(F.col("vec_id") == first, F.array(F.lit(1.0).cast("float"))).otherwise(F.col("embedding")))
+    got = ann.search(spark, odd, F.lit(True), k=3, sample=200, parts=2, recall=1.0).collect()
+    assert len(got) == 59 * 3 and first not in {r.query_id for r in got} | {r.vec_id for r in got}
+
+
 def test_neighbours_few_or_none(spark):
     kind = "vec_id bigint, embedding array<float>"
     one = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5])], kind)
