@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from riskweave.llm import ann, bpe, exact_dedup, html_text, jaccard, language, line_dedup, mixing, sharding, substring_dedup, tables
+from riskweave.llm import (ann, bpe, exact_dedup, html_text, jaccard, language, line_dedup, mixing, phrases, sharding,
+                           substring_dedup, tables)
 
 
 def op1_html_extraction(spark, sf):
@@ -85,8 +86,32 @@ def op10_nearest_neighbours(spark, sf):
     return ann.search(spark, tables.read(spark, sf, "embeddings"), F.pmod(F.col("key"), F.lit(20)) == 0)
 
 
+def op12_phrase_collocations(spark, sf):
+    return phrases.collocations(spark, tables.read(spark, sf, "documents"), longest=3, least=10, share=50, top=2000)
+
+
+OP12_SQL = r"""WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+ 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+g AS (SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+ FROM w, (SELECT unnest([1, 2, 3]) AS m)),
+f AS (SELECT lang, m, phrase, count(*)::HUGEINT AS f, string_split(phrase, ' ') AS w FROM g GROUP BY lang, m, phrase),
+n AS (SELECT lang, sum(f) AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE m > 1 AND f >= 10),
+o AS (SELECT lang, phrase, max(f) AS most FROM (SELECT lang, f, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')])
+ AS phrase FROM c WHERE m = 3) GROUP BY lang, phrase),
+k AS (SELECT c.lang, c.phrase, c.f, c.w, unnest(range(1, m)) AS k FROM c LEFT JOIN o USING (lang, phrase)
+ WHERE most IS NULL OR 100 * most < 50 * c.f),
+s AS (SELECT k.lang, k.phrase, k.f AS a, k.k, l.f AS l, r.f AS r, (1000000 * k.f * k.f) // (l.f * r.f) AS score FROM k
+ JOIN f l ON l.lang = k.lang AND l.phrase = array_to_string(k.w[1:k.k], ' ')
+ JOIN f r ON r.lang = k.lang AND r.phrase = array_to_string(k.w[k.k + 1:], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a::BIGINT AS a,
+ l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM b JOIN n USING (lang) QUALIFY rank <= 2000"""
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_exact_dedup, op3_ngram_jaccard_join, op4_sharding, op5_substring_dedup, op6_language_id,
     op7_byte_bpe,
-    op8_source_mixing, op9_line_dedup, op10_nearest_neighbours)}
-ORACLES = {"op2_exact_dedup": OP2_SQL, "op9_line_dedup": OP9_SQL}
+    op8_source_mixing, op9_line_dedup, op10_nearest_neighbours, op12_phrase_collocations)}
+ORACLES = {"op2_exact_dedup": OP2_SQL, "op9_line_dedup": OP9_SQL, "op12_phrase_collocations": OP12_SQL}
