@@ -5,53 +5,150 @@ first words to the node of its last. Runs cut short by the end of their piece ar
 correction that turns the flow out of a node into its own count.
 """
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
-from riskweave.llm import tables
+from riskweave.llm import lexicon, tables, words
 
 STRETCH = 4096  # edges of one row of `paths`
 NO_LANG = "und"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+BLANKS, BREAKS = b" \t", b".,;:!?\n\x0b\f\r"
+BITS = 20  # of a word's number; three numbers fit in 64 bits
+COMMON = (1 << BITS) - 2  # words that get a number; 0 stands for no word, OTHER for a word without one
+OTHER = (1 << BITS) - 1
+LITERAL = "\t"  # before a word without a number where words are written out
 
 
-def runs(docs, text, lang, longest):
-    """(lang, run, size): for every word the words from it on within its piece, `longest` at most, joined by a space.
+def joined(parts, by):
+    """Strings joined element by element, nulls left out."""
+    return pc.binary_join_element_wise(*parts, pa.scalar(by, pa.large_string()), null_handling="skip")
 
-    A run of fewer words was cut by the end of its piece.
+
+def emitted(docs, text, lang, longest, names, spelled):
+    """(lang, key, run) for every word of all texts: the words from it on within its piece, `longest` at most.
+
+    A run of fewer words was cut by the end of its piece. `key` has the run as numbers; if `spelled`, a run that holds a
+    word without a number, or longer than three words, comes a second time as words joined by a space in `run`, its key null.
     """
-    low = F.translate(F.coalesce(F.col(text), F.lit("")), UPPER, LOWER)
-    pieces = docs.select(F.coalesce(F.col(lang), F.lit(NO_LANG)).alias("lang"),
-                         F.explode(F.split(low, "[.,;:!?\\n\\x0B\\f\\r]")).alias("piece"))
-    listed = pieces.select("lang", F.array_remove(F.split("piece", "[ \\t]+"), "").alias("w"))
-    # arrays of different lengths are filled with nulls, which concat_ws leaves out
-    shifted = [F.slice("w", i + 1, F.greatest(F.size("w"), F.lit(1))) for i in range(longest)]
-    names = [f"w{i}" for i in range(longest)]
-    each = listed.select("lang", F.inline(F.arrays_zip(*[s.alias(n) for s, n in zip(shifted, names)])).alias(*names))
-    size = sum((F.col(n).isNotNull().cast("int") for n in names[1:]), F.lit(1))
-    return each.select("lang", F.concat_ws(" ", *names).alias("run"), size.alias("size"))
-
-
-def flows(docs, text, lang, longest, least):
-    """(lang, size, phrase, f) of all phrases of 1 to `longest` words that occur `least` times; size 0: all words of a lang.
 
-    The longest runs are counted once. A shorter phrase has the sum of the edges that leave its node, plus the
-    runs that end with it at the end of a piece. One plan in which every shuffle is read twice and made once.
+    def emit(batches):
+        known = lexicon.Lexicon(names.value)
+        for batch in batches:
+            for part in words.slices(batch, 0, 1 << 20):
+                found = lexicon.Tokens(part.column(0), BLANKS, BREAKS)
+                if not found.n:
+                    continue
+                spoken = pc.fill_null(part.column(1), NO_LANG).cast(pa.string()).take(pa.array(found.row))
+                vocabulary, code = lexicon.distinct(found.words)
+                place = known.find(vocabulary)
+                number = np.where(place >= 0, place + 1, OTHER)[code]
+                at = np.arange(found.n)
+                after = [np.minimum(at + step, found.n - 1) for step in range(longest)]
+                ends = [(at + step >= found.n) | (found.piece[i] != found.piece) for step, i in enumerate(after)]
+                if longest <= 3:
+                    key = np.zeros(found.n, dtype=np.int64)
+                    for i, end in zip(after, ends):
+                        key = (key << BITS) | np.where(end, 0, number[i])
+                    yield pa.RecordBatch.from_arrays([spoken, pa.array(key), pa.nulls(found.n, pa.string())],
+                                                     names=["lang", "key", "run"])
+                if not spelled:
+                    continue
+                other = np.zeros(found.n, dtype=bool) if longest <= 3 else np.ones(found.n, dtype=bool)
+                for i, end in zip(after, ends):
+                    other |= ~end & (number[i] == OTHER)
+                rows = np.flatnonzero(other)
+                mark = pa.array(np.where(place >= 0, "", LITERAL), pa.large_string()) if longest <= 3 else pa.scalar(
+                    LITERAL, pa.large_string())
+                word = joined([mark, vocabulary], "").take(pa.array(code))
+                run = joined([word.take(pa.array(i[rows], mask=end[rows])) for i, end in zip(after, ends)], " ")
+                yield pa.RecordBatch.from_arrays([spoken.take(pa.array(rows)), pa.nulls(len(rows), pa.int64()),
+                                                  run.cast(pa.string())], names=["lang", "key", "run"])
+
+    return docs.select(F.col(text).alias("t"), F.col(lang).alias("l")).mapInArrow(emit, "lang string, key bigint, run string")
+
+
+def numbered_flows(runs, least, longest, names):
+    """(lang, size, phrase, f) of the phrases of numbered words that occur `least` times; size 0: all words of a lang.
+
+    One plan in which every shuffle is read twice and made once.
     """
-    level = runs(docs, text, lang, longest).groupBy("lang", "run", "size").agg(F.count("*").alias("f"))
+    level = runs.groupBy("lang", "key").agg(F.count("*").alias("f"))
     found = []
-    for m in range(longest, 0, -1):
-        found.append(level.where((F.col("size") == m) & (F.col("f") >= least)).select(
-            "lang", F.lit(m).alias("size"), F.col("run").alias("phrase"), "f"))
-        shorter = F.when(F.col("size") == m, F.substring_index("run", " ", m - 1) if m > 1 else F.lit("")).otherwise(F.col("run"))
-        level = level.select("lang", shorter.alias("run"), F.least("size", F.lit(m - 1)).alias("size"), "f").groupBy(
-            "lang", "run", "size").agg(F.sum("f").alias("f"))
-    found.append(level.select("lang", F.lit(0).alias("size"), F.col("run").alias("phrase"), "f"))
+    for m in range(longest, -1, -1):
+        here = [F.shiftrightunsigned("key", BITS * i).bitwiseAND(F.lit(OTHER)) for i in range(m)]
+        proper = F.lit(True)
+        for number in here:
+            proper &= (number > 0) & (number < OTHER)
+        # the count stands in the condition so that it is not moved below the shuffle, which both readers share
+        found.append(level.where(F.when(F.col("f") >= (least if m else 1), proper)).select(
+            "lang", F.lit(m).alias("size"), "key", "f"))
+        if m:
+            level = level.select("lang", F.shiftrightunsigned("key", BITS).alias("key"), "f").groupBy("lang", "key").agg(
+                F.sum("f").alias("f"))
     out = found[0]
     for part in found[1:]:
         out = out.unionByName(part)
+
+    def spell(batches):
+        for batch in batches:
+            key, size = batch.column(2).to_numpy(), batch.column(1).to_numpy()
+            parts = []
+            for i in range(longest - 1, -1, -1):
+                number = (key >> (BITS * i)) & OTHER
+                parts.append(names.value.take(pa.array(number - 1, mask=size <= i)).cast(pa.large_string()))
+            parts[-1] = pc.fill_null(parts[-1], "")  # a row of nothing but nulls would be left out
+            phrase = joined(parts, " ").cast(pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), phrase, batch.column(3)],
+                                             names=["lang", "size", "phrase", "f"])
+
+    return out.mapInArrow(spell, "lang string, size int, phrase string, f bigint")
+
+
+def spelled_flows(runs, least, longest):
+    """(lang, size, phrase, f) of the phrases with a marked word that occur `least` times."""
+    run = F.col("run")
+    size = F.when(run == "", F.lit(0)).otherwise(F.regexp_count(run, F.lit(" ")) + 1)
+    level = runs.groupBy("lang", "run").agg(F.count("*").alias("f"))
+    found = []
+    for m in range(longest, 0, -1):
+        found.append(level.where(F.when(F.col("f") >= least, (size == m) & F.contains(run, F.lit(LITERAL)))).select(
+            "lang", F.lit(m).alias("size"), F.replace(run, F.lit(LITERAL), F.lit("")).alias("phrase"), "f"))
+        shorter = F.when(size == m, F.substring_index(run, " ", m - 1) if m > 1 else F.lit("")).otherwise(run)
+        level = level.select("lang", shorter.alias("run"), "f").groupBy("lang", "run").agg(F.sum("f").alias("f"))
+    if longest > 3:
+        found.append(level.select("lang", F.lit(0).alias("size"), "run", "f"))
+    out = found[0]
+    for part in found[1:]:
+        out = out.union(part)
     return out
 
 
+def flows(spark, docs, text, lang, longest, least, common):
+    """(lang, size, phrase, f) of all phrases of 1 to `longest` words that occur `least` times; size 0: all words of a lang.
+
+    The longest runs are counted once. A shorter phrase has the sum of the edges that leave its node, plus the
+    runs that end with it at the end of a piece. Of the words that occur `least` times in all texts at most `common` of
+    the most frequent have numbers (the bound of the broadcast). If others are left over, runs that hold one are counted
+    spelled out as well; a word that occurs less often is in no phrase asked for.
+    """
+    counted = tables.store(spark, lexicon.counts(docs, text, BLANKS, BREAKS).where(F.col("n") >= least), "words")
+    chosen = lexicon.frequent(counted, min(common, COMMON)).column("word").combine_chunks()
+    spelled = longest > 3 or counted.count() > len(chosen)
+    names = spark.sparkContext.broadcast(chosen)
+    runs = emitted(docs, text, lang, longest, names, spelled)
+    parts = []
+    if longest <= 3:
+        # without spelled runs there is nothing to take apart: each of the two is read by one plan
+        parts.append(numbered_flows(runs.where("run IS NULL").select("lang", "key"), least, longest, names))
+    if spelled:
+        parts.append(spelled_flows(runs.where("run IS NOT NULL").select("lang", "run"), least, longest))
+    made = tables.store(spark, parts[0] if len(parts) == 1 else parts[0].union(parts[1]), "flows")
+    names.destroy()
+    return made
+
+
 def paths(spark, edges, longest):
     """Edges (lang, phrase, f) compacted: one row (lang, words, counts) for each path through unary nodes.
 
@@ -92,7 +189,7 @@ def exact_score(a, l, r):
     return F.floor(F.call_function("div", F.lit(1000000).cast("decimal(7,0)") * n(a, 16) * n(a, 16), n(l, 19) * n(r, 19)))
 
 
-def collocations(spark, docs, text="text", lang="lang", longest=3, least=10, share=50, top=2000):
+def collocations(spark, docs, text="text", lang="lang", longest=3, least=10, share=50, top=2000, common=COMMON):
     """The first `top` phrases of 2 to `longest` words of each lang: lang, rank, phrase, a, l, r, n, score.
 
     Texts are lower-cased in A-Z, cut into pieces at `.,;:!?` and line ends and into words at spaces and tabs. `a` is how
@@ -100,14 +197,16 @@ def collocations(spark, docs, text="text", lang="lang", longest=3, least=10, sha
     the lang, score floor(1000000 a a / (l r)). A phrase inside a longer candidate that has `share` percent of its
     occurrences is dropped. Order: score, a descending, phrase in byte order.
 
-    Counts are sums before they are shuffled, so a frequent phrase is one row per task; candidates meet their parts by
+    At most `common` of the most frequent words have numbers in what is shuffled (a bounded broadcast); runs with others
+    are counted as strings, with the same result. Counts are sums before they are shuffled, so a frequent phrase is one row per task; candidates meet their parts by
     equality in tables of phrases that occur `least` times. A longer candidate of more than one word more need not be
     looked at: the phrase one word longer inside it occurs at least as often and is a candidate too.
 
     A null text counts as empty and a null lang as `und`; keys are not read, so repeated rows count each time. Empty
     texts and tables give no rows; very long texts are only rows of words. Other columns are not read.
     """
-    known = tables.store(spark, flows(docs, text, lang, longest, least), "flows")
+    tables.short_batches(spark)
+    known = flows(spark, docs, text, lang, longest, least, common)
     made = tables.store(spark, paths(spark, known.where(F.col("size") == longest), longest), "paths")
     at = made.select("lang", "words", F.posexplode("counts").alias("i", "a"))
     edges = at.select("lang", F.concat_ws(" ", F.slice("words", F.col("i") + 1, F.lit(longest))).alias("phrase"),
