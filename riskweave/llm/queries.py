@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from riskweave.llm import (ann, bpe, exact_dedup, html_text, jaccard, language, line_dedup, mixing, phrases, sharding,
-                           substring_dedup, tables)
+from riskweave.llm import (alignment, ann, bpe, exact_dedup, html_text, jaccard, language, line_dedup, mixing, phrases,
+                           sharding, substring_dedup, tables)
 
 
 def op1_html_extraction(spark, sf):
@@ -110,8 +110,16 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p
  l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM b JOIN n USING (lang) QUALIFY rank <= 2000"""
 
 
+def op13_tokenizer_alignment(spark, sf):
+    import public_tokenizers
+
+    first, second = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align(spark, tables.read(spark, sf, "documents"), lambda: alignment.ByteLevel(first),
+                           lambda: alignment.Pieces(second))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_exact_dedup, op3_ngram_jaccard_join, op4_sharding, op5_substring_dedup, op6_language_id,
     op7_byte_bpe,
-    op8_source_mixing, op9_line_dedup, op10_nearest_neighbours, op12_phrase_collocations)}
+    op8_source_mixing, op9_line_dedup, op10_nearest_neighbours, op12_phrase_collocations, op13_tokenizer_alignment)}
 ORACLES = {"op2_exact_dedup": OP2_SQL, "op9_line_dedup": OP9_SQL, "op12_phrase_collocations": OP12_SQL}
