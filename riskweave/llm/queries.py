@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from riskweave.llm import (alignment, ann, bpe, exact_dedup, html_text, jaccard, language, line_dedup, mixing, phrases,
-                           sharding, substring_dedup, tables)
+from riskweave.llm import (alignment, ann, bpe, exact_dedup, html_text, jaccard, language, language_model,
+                           line_dedup, mixing, phrases, sharding, substring_dedup, tables)
 
 
 def op1_html_extraction(spark, sf):
@@ -86,6 +86,10 @@ def op10_nearest_neighbours(spark, sf):
     return ann.search(spark, tables.read(spark, sf, "embeddings"), F.pmod(F.col("key"), F.lit(20)) == 0)
 
 
+def op11_lm_scoring(spark, sf):
+    return language_model.score_texts(spark, tables.read(spark, sf, "documents"))
+
+
 def op12_phrase_collocations(spark, sf):
     return phrases.collocations(spark, tables.read(spark, sf, "documents"), longest=3, least=10, share=50, top=2000)
 
@@ -121,5 +125,5 @@ def op13_tokenizer_alignment(spark, sf):
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_exact_dedup, op3_ngram_jaccard_join, op4_sharding, op5_substring_dedup, op6_language_id,
     op7_byte_bpe,
-    op8_source_mixing, op9_line_dedup, op10_nearest_neighbours, op12_phrase_collocations, op13_tokenizer_alignment)}
+    op8_source_mixing, op9_line_dedup, op10_nearest_neighbours, op11_lm_scoring, op12_phrase_collocations, op13_tokenizer_alignment)}
 ORACLES = {"op2_exact_dedup": OP2_SQL, "op9_line_dedup": OP9_SQL, "op12_phrase_collocations": OP12_SQL}
