@@ -2,6 +2,7 @@
 
 import hashlib
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -9,10 +10,13 @@ import pyarrow.compute as pc
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskweave.llm import tables, words
+from riskweave.llm import bpe, tables, words
 
+CACHED = 1 << 18  # stretches of text whose ids a task keeps
+LONE = re.compile(r"(?<=\S) (?=\S)")
 COMMON_PAIRS = 1 << 20
-SHIFT = 1 << 17  # a pair of ids as one number: a * SHIFT + b
+SHIFT = 1 << 21  # a pair of ids as one number: a * SHIFT + b
+PAIR_BITS = 42
 
 
 def byte_alphabet():
@@ -23,13 +27,17 @@ def byte_alphabet():
 
 
 class ByteLevel:
-    """A byte-level BPE vocabulary file; it encodes a space and the text."""
+    """A byte-level BPE vocabulary file; it encodes a space and the text.
+
+    `apart`: a stretch of text after a lone space has the ids it has by itself, as no match of the split pattern of
+    such vocabularies goes over a space between two characters that are not white.
+    """
 
     def __init__(self, path):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.model = Tokenizer.from_file(path)
+        self.model, self.apart = Tokenizer.from_file(path), True
         self.model.encode_special_tokens = True
 
     def encode(self, texts):
@@ -44,12 +52,17 @@ class ByteLevel:
 
 
 class Pieces:
-    """A sentence piece model with byte fallback; it puts a space before the text by itself."""
+    """A sentence piece model with byte fallback; it puts a space before the text by itself.
+
+    `apart` where no piece holds a space after another character: then no merge goes over a lone space.
+    """
 
     def __init__(self, path):
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
+        self.apart = not any("▁" in piece.lstrip("▁") for piece in pieces)
 
     def encode(self, texts):
         return self.model.encode(texts, num_threads=1)
@@ -60,6 +73,44 @@ class Pieces:
                 else model.id_to_piece(i).replace("▁", " ").encode() for i in range(model.get_piece_size())]
 
 
+def stretches(column):
+    """(stretches, stops): texts cut at every space between two characters that are not white, the space left out."""
+    made, stops = [], [0]
+    for text, odd in zip(column.to_pylist(), bpe.odd_rows(column).tolist()):
+        if text:
+            made += LONE.split(text) if odd or text[0] == " " or text[-1] == " " else text.split(" ")
+        stops.append(len(made))
+    return made, np.array(stops)
+
+
+class Cached:
+    """Ids of stretches, each encoded once as long as it is kept; at most CACHED are."""
+
+    def __init__(self, make):
+        self.make, self.place = make, {}
+        self.ids, self.stops = np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64)
+
+    def lists(self, distinct):
+        """(ids, begins, sizes) of a list of distinct stretches."""
+        new = [c for c in distinct if c not in self.place]
+        if new and len(self.place) + len(new) > CACHED:
+            self.__init__(self.make)
+            new = distinct
+        if new:
+            self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
+            ids, stops = flat(self.make.encode(new))
+            self.stops = np.concatenate((self.stops, stops[1:] + self.stops[-1]))
+            self.ids = np.concatenate((self.ids, ids))
+        at = np.fromiter((self.place[c] for c in distinct), dtype=np.int64, count=len(distinct))
+        return self.ids, self.stops[at], self.stops[at + 1] - self.stops[at]
+
+    def encode(self, coded, stops):
+        """(ids, stops) of texts given as codes of distinct stretches."""
+        ids, begins, sizes = self.lists(coded.dictionary.to_pylist())
+        places, ends = bpe.expanded(begins, sizes, coded.indices.to_numpy())
+        return ids[places], ends[stops]
+
+
 class Sizes:
     """Bytes of every token of a vocabulary, and the bytes that a list of ids stands for."""
 
@@ -79,9 +130,10 @@ def flat(lists):
 
 def same_bytes(vocabulary, ids, stops, texts):
     """Whether the bytes of each row's ids are a space and its text."""
-    lengths = np.add.reduceat(np.append(vocabulary.size[ids], 0), stops[:-1]) * (np.diff(stops) > 0) if len(stops) > 1 else np.zeros(0)
+    total = np.concatenate(([0], np.cumsum(vocabulary.size[ids])))
+    lengths = total[stops[1:]] - total[stops[:-1]]
     data, at, right = vocabulary.joined(ids).tobytes(), 0, []
-    for text, length in zip(texts, lengths.astype(int).tolist()):
+    for text, length in zip(texts, lengths.tolist()):
         right.append(length == len(text) + 1 and data[at:at + length] == b" " + text)
         at += length
     return right
@@ -149,20 +201,23 @@ def tokenized(df, first, second, key, text):
 
     def encode(batches):
         make = (first(), second())
-        known = [Sizes(m.bytes()) for m in make]
+        known, cached = [Sizes(m.bytes()) for m in make], [Cached(m) for m in make]
         for batch in batches:
             for part in words.slices(batch, 1):
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 raw = [t.encode() for t in texts]
-                right, lists = [len(t) > 0 for t in raw], []
-                for m, vocabulary in zip(make, known):
-                    lists.append(m.encode(texts))
-                    ids, stops = flat(lists[-1])
-                    right = [x and y for x, y in zip(right, same_bytes(vocabulary, ids, stops, raw))]
+                cut, ends = stretches(part.column(1))
+                coded = pa.array(cut, pa.large_string()).dictionary_encode()
+                right, found = np.array([len(t) > 0 for t in raw], dtype=bool), []
+                for m, vocabulary, cache in zip(make, known, cached):
+                    ids, stops = cache.encode(coded, ends) if m.apart else flat(m.encode(texts))
+                    right &= np.array(same_bytes(vocabulary, ids, stops, raw), dtype=bool)
+                    found.append((ids, stops))
                 cols = []
-                for found in lists:
-                    ids, stops = flat([x if y else [] for x, y in zip(found, right)])
-                    cols.append(pa.ListArray.from_arrays(pa.array(stops, pa.int32()), pa.array(ids)))
+                for ids, stops in found:
+                    sizes = np.diff(stops)
+                    ids, sizes = ids[np.repeat(right, sizes)], np.where(right, sizes, 0)
+                    cols.append(pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(ids)))
                 yield pa.RecordBatch.from_arrays([part.column(0), *cols], names=["k", "a", "b"])
 
     return df.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInArrow(encode, out)
@@ -194,12 +249,9 @@ class Linked:
 
     def distinct(self):
         """(row, pair, times) of the distinct pairs of every row."""
-        order = np.lexsort((self.pair, self.row))
-        row, pair = self.row[order], self.pair[order]
-        new = np.ones(len(row), dtype=bool)
-        new[1:] = (row[1:] != row[:-1]) | (pair[1:] != pair[:-1])
-        at = np.flatnonzero(new)
-        return row[at], pair[at], np.diff(np.append(at, len(row)))
+        keys = np.sort((self.row << PAIR_BITS) | self.pair)  # a slice has fewer than 2^20 rows
+        at = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, dtype=np.int64)
+        return keys[at] >> PAIR_BITS, keys[at] & ((1 << PAIR_BITS) - 1), np.diff(np.append(at, len(keys)))
 
 
 def pair_counts(spark, tokens, size_a, size_b):
