@@ -4,6 +4,7 @@ import numpy as np
 
 END = 0  # stands after every text and before the first token of the next, where the state starts anew
 F32 = np.float32
+LIMIT = 60  # of the size of a logit
 
 
 class Shape:
@@ -15,7 +16,10 @@ class Shape:
         self.units = self.first + head
         self.classes = self.first + -(-head // side)
         groups = max(self.classes - self.first, 1)
-        self.sizes = {"E": (self.units, width), "W": (width, 3 * hidden), "R": (hidden, 3 * hidden), "Wc": (hidden, self.classes),
+        units = np.arange(self.units)
+        self.class_of = np.where(units < self.first, units, self.first + (units - self.first) // side).astype(
+            np.int16 if self.units < 1 << 15 else np.int32)
+        self.sizes = {"E": (self.units, width), "W": (3, width, hidden), "R": (3, hidden, hidden), "Wc": (hidden, self.classes),
                       "bc": (self.classes,), "Ww": (groups, hidden, side), "bw": (groups, side)}
 
     def views(self, flat):
@@ -44,8 +48,6 @@ class Shape:
         p["bw"][:] -= p["bw"].max(axis=1, keepdims=True)
         return flat
 
-    def class_of(self, units):
-        return np.where(units < self.first, units, self.first + (units - self.first) // self.side)
 
 
 def sigmoid(x):
@@ -58,53 +60,43 @@ def sigmoid(x):
 
 
 def steps(p, x, h, keep=None):
-    """States after each of the T inputs of x (T, B); `keep` collects what the gradient needs."""
-    H = h.shape[1]
+    """States after each of the T inputs of x (T, B); `keep` collects what the gradient needs. Gates stand apart: z, r, n."""
     out = np.empty((len(x), *h.shape), dtype=F32)
-    given, live = p["E"][x] @ p["W"], (x != END).astype(h.dtype)
+    given, live = np.matmul(p["E"][x][:, None], p["W"]), (x != END).astype(h.dtype)
     for t in range(len(x)):
         h = h * live[t][:, None]
-        g, a = given[t], h @ p["R"]
-        gate = g[:, :2 * H]
-        gate += a[:, :2 * H]
-        gate = sigmoid(gate)
-        z, r = gate[:, :H], gate[:, H:]
-        n = r * a[:, 2 * H:]
-        n += g[:, 2 * H:]
+        g, a = given[t], np.matmul(h, p["R"])
+        gate = g[:2]
+        gate += a[:2]
+        z, r = sigmoid(gate)
+        n = r * a[2]
+        n += g[2]
         np.tanh(n, out=n)
         np.subtract(h, n, out=out[t])
         out[t] *= z
         out[t] += n
         if keep is not None:
-            keep.append((h, a[:, 2 * H:], z, r, n))
+            keep.append((h, a[2], z, r, n))
         h = out[t]
     return out
 
 
-def largest(x):
-    """Largest value of each row, halving the columns."""
-    while x.shape[1] > 1:
-        half = (x.shape[1] + 1) // 2
-        x = np.maximum(x[:, :half], x[:, x.shape[1] - half:])
-    return x
-
-
 def softmax(x):
-    """(x less its largest value by row, its exponentials, their sums); x is overwritten."""
-    x -= largest(x)
+    """(x within +-LIMIT, in its place, its exponentials, their sums by row): no row can overflow or come to nothing."""
+    np.clip(x, -LIMIT, LIMIT, out=x)
     e = np.exp(x)
     return x, e, e @ np.ones(x.shape[1], dtype=x.dtype)
 
 
 def outputs(p, shape, states, y, gradient=False):
     """Natural logarithms of the probabilities of y; with `gradient` also those of states and parameters."""
-    classes = shape.class_of(y)
+    classes = shape.class_of[y]
     logits = states @ p["Wc"]
     logits += p["bc"]
     logits, chance, total = softmax(logits)
     at = np.arange(len(y))
     found = logits[at, classes].astype(np.float64) - np.log(total)
-    order = np.argsort(classes.astype(np.int16), kind="stable")
+    order = np.argsort(classes, kind="stable")
     order = order[np.searchsorted(classes[order], shape.first):]
     bounds = np.searchsorted(classes[order], np.arange(shape.first, shape.classes + 1)).tolist()
     ranges = [(g, a, b) for g, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])) if b > a]
@@ -142,24 +134,33 @@ def window_gradient(p, shape, x, y, h):
     states = steps(p, x, h, keep)
     found, back, grads = outputs(p, shape, states.reshape(T * B, H), y.reshape(-1), gradient=True)
     back = back.reshape(T, B, H)
-    dg = np.empty((T, B, 3 * H), dtype=F32)
-    R, dR, after = p["R"], np.zeros_like(p["R"]), np.zeros((B, H), dtype=F32)
+    dg = np.empty((T, 3, B, H), dtype=F32)
+    R, dR, after = p["R"].transpose(0, 2, 1), np.zeros_like(p["R"]), np.zeros((B, H), dtype=F32)
     for t in range(T - 1, -1, -1):
         before, a_n, z, r, n = keep[t]
         dh = back[t] + after
         pre = dg[t]
-        pre[:, 2 * H:] = dh * (1 - z) * (1 - n * n)
-        pre[:, :H] = dh * (before - n) * z * (1 - z)
-        pre[:, H:2 * H] = pre[:, 2 * H:] * a_n * r * (1 - r)
+        u = 1 - z
+        np.multiply(dh * u, 1 - n * n, out=pre[2])
+        u *= z
+        u *= before - n
+        np.multiply(u, dh, out=pre[0])
+        v = r * (1 - r)
+        v *= a_n
+        np.multiply(v, pre[2], out=pre[1])
         da = pre.copy()
-        da[:, 2 * H:] *= r
-        dR += before.T @ da
-        after = (dh * z + da @ R.T) * (x[t] != END)[:, None]
-    flat, dg = x.reshape(-1), dg.reshape(T * B, 3 * H)
-    grads["R"], grads["E"], grads["W"] = dR, np.zeros_like(p["E"]), p["E"][flat].T @ dg
+        da[2] *= r
+        dR += np.matmul(before.T, da)
+        after = dh * z
+        after += np.matmul(da, R).sum(axis=0)
+        after *= (x[t] != END)[:, None]
+    flat = x.reshape(-1)
+    grads["R"], grads["E"] = dR, np.zeros_like(p["E"])
+    grads["W"] = np.matmul(p["E"][x].transpose(0, 2, 1)[:, None], dg).sum(axis=0)
+    into = np.matmul(dg, p["W"].transpose(0, 2, 1)).sum(axis=1).reshape(T * B, -1)
     order = np.argsort(flat.astype(np.int16 if shape.units < 1 << 15 else np.int32), kind="stable")
     units, first = np.unique(flat[order], return_index=True)
-    grads["E"][units] = np.add.reduceat((dg @ p["W"].T)[order], first, axis=0)
+    grads["E"][units] = np.add.reduceat(into[order], first, axis=0)
     for g in grads.values():
         g /= T * B
     return float(found.sum()), grads, states[-1]
@@ -204,7 +205,7 @@ def train(flat, shape, stream, rate, window=32, most=256, updates=100):
     return flat
 
 
-def score(flat, shape, texts, window=64, most=256):
+def score(flat, shape, texts, window=32, most=512):
     """Natural logarithm of the probability of every text, a list of arrays of units with their END.
 
     Whole texts are dealt to lanes, the longest first to the shortest lane; a lane carries its state from window to window.
