@@ -83,26 +83,62 @@ def stretches(column):
     return made, np.array(stops)
 
 
+TOGETHER = 2000  # stretches encoded as one text
+
+
+def encoded(make, sizes, made):
+    """(ids, stops) of stretches. Those without white space at their ends are joined by lone spaces and encoded together.
+
+    Every stretch ends where a token ends, so the bytes of the tokens show which are whose. Where the bytes are not those
+    of the text, each of its stretches is encoded by itself.
+    """
+    ids, counts = [], np.zeros(len(made), dtype=np.int64)
+    whole = [i for i, c in enumerate(made) if c and not c[0].isspace() and not c[-1].isspace()]
+    inside, alone = set(whole), []
+    alone += [i for i in range(len(made)) if i not in inside]
+    parts = [whole[a:a + TOGETHER] for a in range(0, len(whole), TOGETHER)]
+    texts = [" ".join([made[i] for i in part]) for part in parts]
+    order = []
+    for part, text, found in zip(parts, texts, make.encode(texts) if texts else []):
+        found, raw = np.array(found, dtype=np.int32), text.encode()
+        ends = np.cumsum(sizes.size[found])
+        if sizes.joined(found).tobytes() != b" " + raw:
+            alone += part
+            continue
+        stops = np.searchsorted(ends, np.cumsum([len(made[i].encode()) + 1 for i in part])) + 1
+        counts[part] = np.diff(stops, prepend=0)
+        ids.append(found)
+        order += part
+    for i, found in zip(alone, make.encode([made[i] for i in alone]) if alone else []):
+        counts[i] = len(found)
+        ids.append(np.array(found, dtype=np.int32))
+    order = np.array(order + alone, dtype=np.int64)
+    joined = np.concatenate(ids) if ids else np.zeros(0, dtype=np.int32)
+    begins = np.empty(len(made), dtype=np.int64)
+    begins[order] = np.cumsum(counts[order]) - counts[order]
+    places, stops = bpe.expanded(begins, counts)
+    return joined[places], stops
+
+
 class Cached:
-    """Ids of stretches, each encoded once as long as it is kept; at most CACHED are."""
+    """Ids of stretches; the first ones, CACHED at most, are kept and not encoded again."""
 
-    def __init__(self, make):
-        self.make, self.place = make, {}
+    def __init__(self, make, sizes):
+        self.make, self.sizes, self.place = make, sizes, {}
         self.ids, self.stops = np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64)
 
     def lists(self, distinct):
-        """(ids, begins, sizes) of a list of distinct stretches."""
-        new = [c for c in distinct if c not in self.place]
-        if new and len(self.place) + len(new) > CACHED:
-            self.__init__(self.make)
-            new = distinct
-        if new:
-            self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
-            ids, stops = flat(self.make.encode(new))
-            self.stops = np.concatenate((self.stops, stops[1:] + self.stops[-1]))
-            self.ids = np.concatenate((self.ids, ids))
-        at = np.fromiter((self.place[c] for c in distinct), dtype=np.int64, count=len(distinct))
-        return self.ids, self.stops[at], self.stops[at + 1] - self.stops[at]
+        """(ids, begins, sizes) of a list of distinct stretches; those that come when the place is full are not kept."""
+        at = np.fromiter((self.place.get(c, -1) for c in distinct), dtype=np.int64, count=len(distinct))
+        missing = np.flatnonzero(at < 0)
+        new = [distinct[i] for i in missing.tolist()]
+        ids, stops = encoded(self.make, self.sizes, new)
+        all_ids, all_stops = np.concatenate((self.ids, ids)), np.concatenate((self.stops, stops[1:] + self.stops[-1]))
+        at[missing] = len(self.stops) - 1 + np.arange(len(new))
+        if len(self.place) + len(new) <= CACHED:
+            self.place.update(zip(new, at[missing].tolist()))
+            self.ids, self.stops = all_ids, all_stops
+        return all_ids, all_stops[at], all_stops[at + 1] - all_stops[at]
 
     def encode(self, coded, stops):
         """(ids, stops) of texts given as codes of distinct stretches."""
@@ -201,9 +237,10 @@ def tokenized(df, first, second, key, text):
 
     def encode(batches):
         make = (first(), second())
-        known, cached = [Sizes(m.bytes()) for m in make], [Cached(m) for m in make]
+        known = [Sizes(m.bytes()) for m in make]
+        cached = [Cached(m, sizes) for m, sizes in zip(make, known)]
         for batch in batches:
-            for part in words.slices(batch, 1):
+            for part in words.slices(batch, 1, 1 << 20):
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 raw = [t.encode() for t in texts]
                 cut, ends = stretches(part.column(1))
