@@ -234,5 +234,5 @@ def score(flat, shape, texts, window=32, most=512):
     total = np.zeros(len(texts))
     for row, own in zip(logp, lists):
         ends = np.cumsum([len(texts[i]) for i in own])
-        total[own] = np.add.reduceat(row, np.concatenate(([0], ends[:-1])))
+        total[own] = np.add.reduceat(row[:ends[-1]], np.concatenate(([0], ends[:-1])))  # without the rest of the lane
     return total

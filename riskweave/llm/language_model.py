@@ -231,7 +231,7 @@ def averaged(spark, sequences, turn, flat, shape, rate):
     return (flat + move).astype(np.float32)
 
 
-def fit(spark, sequences, counts, hidden=HIDDEN, side=SIDE, width=WIDTH, rates=(0.02, 0.02, 0.02, 0.015, 0.01, 0.008, 0.006)):
+def fit(spark, sequences, counts, hidden=HIDDEN, side=SIDE, width=WIDTH, rates=(0.01, 0.01, 0.01, 0.01, 0.008, 0.006, 0.004)):
     """(parameters, shape) after every training text has been learnt from once."""
     shape = gru.Shape(counts.shape_bands, counts.head, side, hidden, width)
     first = counts.n[:counts.head]
