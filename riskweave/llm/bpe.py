@@ -71,6 +71,18 @@ class RankMap:
             F.shiftright(second, 20) == key, value(second)).otherwise(F.lit(NONE))
 
 
+_maps = {}
+
+
+def rank_map(spark, tokens):
+    """The map of these tokens, made once in a session."""
+    of = (spark.sparkContext.applicationId, len(tokens), max(tokens), hash(frozenset(tokens.items())))
+    if of not in _maps:
+        _maps.clear()
+        _maps[of] = RankMap(tokens)
+    return _maps[of]
+
+
 def _let(value, body):
     return F.get(F.transform(F.array(value), body), 0)
 
@@ -241,7 +253,8 @@ def encode(spark, df, tokens, pattern, key="doc_id", text="text", most=COMMON_WO
     read. An empty table gives no rows. A very long word costs time by its square, never memory beyond it.
     """
     tables.short_batches(spark)
-    ranks = RankMap(tokens)
+    tables.short_plans(spark)
+    ranks = rank_map(spark, tokens)
     small = common_words(spark, df.select(F.col(text).alias("text")), "text", pattern, most, longest)
     table = small.withColumn("ids", merged_ids(F.col("word"), ranks)).toArrow()
     known = spark.sparkContext.broadcast(Known(table))

@@ -21,6 +21,11 @@ def short_batches(spark, rows=1000):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def short_plans(spark, characters=1 << 16):
+    """Spark keeps the text of every plan it runs; a plan with a large literal is cut there, not in what it does."""
+    spark.conf.set("spark.sql.maxPlanStringLength", str(characters))
+
+
 def first_of_each(df, by, order, n, name="rank"):
     """The first `n` rows of each key by `order`, numbered from 1; Spark cuts to `n` in every task before it shuffles."""
     ranked = df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
