@@ -119,6 +119,20 @@ def upsert_stream(spark, sf):
     return table.read().select("source", "advisory_id", "service_name", "cvss_v3_score", F.col("is_kev").cast("bigint").alias("is_kev"))
 
 
+def catalogue_growth_stream(spark, sf):
+    """Flags of stored rows after the catalogue came in two polls, the second once all rows were stored."""
+    path, schema = stream_input(spark, sf)
+    table = N.KeyedTable(spark, scratch_path(spark, "target"), schema, ["source", "advisory_id"])
+    listed, seen, rows = scratch_path(spark, "listed"), scratch_path(spark, "cp"), scratch_path(spark, "cp")
+    kev = catalogue(spark, sf).select("cve_id").distinct()
+    for part in (0, 1):
+        kev.filter(F.pmod(F.xxhash64("cve_id"), F.lit(2)) == part).write.mode("append").parquet(listed)
+        N.catalogue_stream(N.land_stream(spark, listed, "cve_id string", "parquet"), table, seen).awaitTermination()
+        N.upsert_stream(N.land_stream(spark, path, schema, "parquet"), table, list(UPDATE_ORDER), rows,
+                        kev=lambda: spark.read.schema("cve_id string").parquet(listed)).awaitTermination()
+    return table.read().select("source", "advisory_id", "cve_id", F.col("is_kev").cast("bigint").alias("is_kev"))
+
+
 def flag_stream(spark, sf):
     """Stream rows flagged against the catalogue."""
     path, schema = stream_input(spark, sf)
@@ -131,7 +145,7 @@ def flag_stream(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     model_scores, forest_importances, boosted_scores, boosted_importances, neural_scores, cross_validation, standardized, split_sizes,
-    isolation_trees, landed_stream, dedup_stream, upsert_stream, flag_stream)}
+    isolation_trees, landed_stream, dedup_stream, upsert_stream, catalogue_growth_stream, flag_stream)}
 
 
 def oracles():
@@ -143,6 +157,8 @@ def oracles():
         "landed_stream": O.with_(O.VULN) + " SELECT source, count(*) AS n FROM vuln GROUP BY source",
         "dedup_stream": O.with_(O.VULN) + " SELECT DISTINCT source, advisory_id FROM vuln",
         "upsert_stream": O.with_(O.VULN, kv) + f""" SELECT source, advisory_id, service_name, cvss_v3_score, CAST({flag} AS BIGINT) AS is_kev FROM vuln
+ QUALIFY row_number() OVER (PARTITION BY source, advisory_id ORDER BY {order}) = 1""",
+        "catalogue_growth_stream": O.with_(O.VULN, kv) + f""" SELECT source, advisory_id, cve_id, CAST({flag} AS BIGINT) AS is_kev FROM vuln
  QUALIFY row_number() OVER (PARTITION BY source, advisory_id ORDER BY {order}) = 1""",
         "flag_stream": O.with_(O.VULN, kv) + f" SELECT source, count(*) AS n, CAST(sum({flag}) AS BIGINT) AS kev FROM vuln GROUP BY source",
     }
