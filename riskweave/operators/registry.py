@@ -1,5 +1,6 @@
 """Service registry: facets, lookups, alias matching, URL and window derivation."""
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from riskweave import constants as C
@@ -72,26 +73,58 @@ def enrich_epss(vulns, epss, sources=("osv",), order=("epss_score",)):
     )
 
 
-GRAM = 3
+BLOCK_NEEDLES = 50_000  # patterns of one automaton
+PAIR = "text string, needle string"
 
 
-def grams(text, size):
-    last = F.length(text) - size + 1
-    return F.when(last >= 1, F.transform(F.sequence(F.lit(1), last), lambda i: F.substr(text, i, F.lit(size)))
-                  ).otherwise(F.array().cast("array<string>"))
+def automaton(needles):
+    """One automaton that finds all of the patterns in a single pass over a text."""
+    import ahocorasick
 
+    made = ahocorasick.Automaton()
+    for needle in needles:
+        if needle:
+            made.add_word(needle, needle)
+    if len(made):
+        made.make_automaton()
+    return made
 
-def contained(haystacks, needles):
-    """(text, needle) for every needle that is a substring of a text, by key join.
 
-    A needle can only occur where its first (up to three) characters do, so both sides meet on
-    those and the full test follows. Both inputs are distinct texts.
+def hits(made, texts):
+    """(text, needle) of every pattern in every text, each pair once."""
+    found = [(t, n) for t in texts for n in ({m for _, m in made.iter(t)} if len(made) and t else ())]
+    return pd.DataFrame({"text": [t for t, _ in found], "needle": [n for _, n in found]}, dtype="object")
+
+
+def contained(haystacks, needles, block=BLOCK_NEEDLES):
+    """(text, needle) for every needle, not empty, that is a substring of a text. Both inputs are distinct texts.
+
+    Up to `block` needles are one automaton, shipped to where the texts are scanned: nothing is shuffled and no part of a
+    text is a key. Beyond, needles are dealt into blocks of about that size, texts into as many shares as there are
+    shuffle partitions, and every share meets every block in one cogroup; a task holds one automaton at a time.
     """
-    text = F.col("text")
-    keys = F.array_distinct(F.flatten(F.array(*[grams(text, n) for n in range(1, GRAM + 1)])))
-    left = haystacks.select("text", F.explode(keys).alias("_k"))
-    right = needles.select("needle", F.left("needle", F.lit(GRAM)).alias("_k"))
-    return left.join(right, "_k").filter(F.contains("text", F.col("needle"))).select("text", "needle")
+    spark, some = needles.sparkSession, needles.select("needle").filter("needle <> ''")
+    n = some.count()
+    if n <= block:
+        shipped = [r[0] for r in some.collect()]  # at most `block`
+        shared = spark.sparkContext.broadcast(shipped)
+
+        def scan(batches):
+            made = automaton(shared.value)
+            for batch in batches:
+                yield hits(made, batch["text"])
+
+        return haystacks.select("text").filter("text IS NOT NULL").mapInPandas(scan, PAIR)
+    blocks, shares = -(-n // block), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    every = lambda k, name: F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias(name)
+    of = lambda c, k, name: F.pmod(F.xxhash64(c), F.lit(k)).cast("int").alias(name)
+    left = haystacks.filter("text IS NOT NULL").select("text", of("text", shares, "_s"), every(blocks, "_b"))
+    right = some.select("needle", of("needle", blocks, "_b"), every(shares, "_s"))
+
+    def meet(texts, words):
+        return hits(automaton(words["needle"]), texts["text"])
+
+    return left.groupBy("_s", "_b").cogroup(right.groupBy("_s", "_b")).applyInPandas(meet, PAIR)
 
 
 def match_aliases(kev, aliases):
@@ -106,17 +139,17 @@ def match_aliases(kev, aliases):
                             "_p": F.lower(F.coalesce("product", F.lit("")))})
     texts = rows.select(F.explode(F.array("_v", "_p")).alias("text")).distinct()
     words = aliases.join(takers, "service", "left_anti").select("service", F.lower("alias").alias("needle")).distinct()
-    hits = contained(texts, words.select("needle").distinct()).join(words, "needle").select("text", "service").distinct()
+    named = contained(texts, words.select("needle").distinct()).join(words, "needle").select("text", "service").distinct()
     pairs = rows.select("_v", "_p").distinct()
     tagged = (
-        pairs.join(hits.withColumnRenamed("text", "_v"), "_v").select("_v", "_p", "service")
-        .union(pairs.join(hits.withColumnRenamed("text", "_p"), "_p").select("_v", "_p", "service"))
+        pairs.join(named.withColumnRenamed("text", "_v"), "_v").select("_v", "_p", "service")
+        .union(pairs.join(named.withColumnRenamed("text", "_p"), "_p").select("_v", "_p", "service"))
         .distinct()
     )
-    named = rows.join(tagged, ["_v", "_p"]).select(*kev.columns, "service")
+    matched = rows.join(tagged, ["_v", "_p"]).select(*kev.columns, "service")
     everyone = takers.agg(F.collect_set("service").alias("_s")).select("_s").scalar()
     rest = kev.withColumn("service", F.explode(everyone))
-    return named.unionByName(rest)
+    return matched.unionByName(rest)
 
 
 def windows(span, max_days=C.WINDOW_DAYS, start="start", end="end"):

@@ -6,6 +6,7 @@ from riskweave import constants as C
 from riskweave.functions.coerce import literal_map, safe_num
 from riskweave.functions.risk import as_of_lit
 from riskweave.functions.rounding import clamp, round_exact
+from riskweave.operators.joins import fragment_join
 
 REPO_ZEROS = {
     "repo_maturity_score": 0.0, "mean_sec_close_days_norm": 0.0, "days_since_release_norm": 0.0,
@@ -174,7 +175,7 @@ def score(features, policies, as_of):
     `policies` names the run each organisation's policy applies to. Weights are composed on the
     policy rows, before the join.
     """
-    return _scored(features.join(compose_weights(policies).select("run_id", *TERMS), "run_id"), as_of)
+    return _scored(fragment_join(features, compose_weights(policies).select("run_id", *TERMS), ["run_id"]), as_of)
 
 
 def score_run(features, policy, as_of):
@@ -209,14 +210,14 @@ def bind_policies(policies, run_id):
 
 
 def per_policy(features, policies):
-    """Feature rows with the policy or policies of their run, joined on run_id."""
-    return features.join(policies, "run_id")
+    """Feature rows with the policy or policies of their run, joined on run_id; one run may hold all rows."""
+    return fragment_join(features, policies, ["run_id"])
 
 
 def attach_tier(df, policies, name="service_tier"):
     """Tier 1..3 of a service from its run's policy map; NULL when not listed."""
     tiers = policies.select("run_id", "org_name", "service_tiers")
-    return df.join(tiers, "run_id").withColumn(
+    return fragment_join(df, tiers, ["run_id"]).withColumn(
         name, F.try_element_at("service_tiers", F.col("service_name"))).drop("service_tiers")
 
 

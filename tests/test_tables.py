@@ -134,7 +134,27 @@ def test_aliases_match_vendor_or_product(spark):
 def test_contained_equals_brute_force(spark, texts, needles):
     h = spark.createDataFrame([(t,) for t in texts], "text string")
     n = spark.createDataFrame([(x,) for x in needles], "needle string")
-    assert sorted(rows(G.contained(h, n))) == sorted((t, x) for t in texts for x in needles if x in t)
+    want = sorted((t, x) for t in texts for x in needles if x in t)
+    assert sorted(rows(G.contained(h, n))) == want
+    assert sorted(rows(G.contained(h, n, block=2))) == want  # several automata
+
+
+def test_contained_with_nulls_empty_and_no_rows(spark):
+    h = spark.createDataFrame([("",), (None,), ("aé",), ("x" * 100000 + "aé",)], "text string")
+    n = spark.createDataFrame([("",), (None,), ("é",), ("aé",)], "needle string")
+    for block in (50, 1):
+        assert sorted((len(t), x) for t, x in rows(G.contained(h, n, block=block))) == [
+            (2, "aé"), (2, "é"), (100002, "aé"), (100002, "é")]
+        assert G.contained(h.limit(0), n, block=block).count() == 0
+    assert G.contained(h, n.limit(0)).count() == 0
+
+
+def test_one_automaton_needs_no_shuffle(spark):
+    h = spark.range(1000).selectExpr("concat('common prefix ', id) AS text")
+    n = spark.range(500).selectExpr("concat('common prefix ', id) AS needle")
+    out = G.contained(h, n)
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.count() == sum(str(i).startswith(str(j)) for i in range(1000) for j in range(500))
 
 
 def test_registry_fallbacks(spark):
