@@ -240,7 +240,7 @@ def tokenized(df, first, second, key, text):
         known = [Sizes(m.bytes()) for m in make]
         cached = [Cached(m, sizes) for m, sizes in zip(make, known)]
         for batch in batches:
-            for part in words.slices(batch, 1, 1 << 20):
+            for part in words.slices(batch, 1):
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 raw = [t.encode() for t in texts]
                 cut, ends = stretches(part.column(1))
@@ -260,7 +260,7 @@ def tokenized(df, first, second, key, text):
     return df.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInArrow(encode, out)
 
 
-def parts_of(batch, limit=1 << 19):
+def parts_of(batch, limit=1 << 17):
     """Row slices of a batch of id lists with about `limit` tokens of A, one row at least."""
     sizes = pc.list_value_length(batch.column("a")).to_numpy(zero_copy_only=False)
     total, start = np.cumsum(sizes), 0
