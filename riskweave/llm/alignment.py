@@ -185,8 +185,9 @@ class Overlaps:
     def __init__(self, size_a, size_b):
         end_a, end_b = np.cumsum(size_a), np.cumsum(size_b)
         start_a, start_b = end_a - size_a, end_b - size_b
-        order = np.lexsort((np.concatenate((end_a, end_b)), np.concatenate((start_a, start_b))))
-        start, end = np.concatenate((start_a, start_b))[order], np.concatenate((end_a, end_b))[order]
+        start, end = np.concatenate((start_a, start_b)), np.concatenate((end_a, end_b))
+        order = np.lexsort((start,))  # two sorted runs, which are merged
+        start, end = start[order], end[order]
         reach = np.maximum.accumulate(end)
         begins = np.ones(len(start), dtype=bool)
         begins[1:] = start[1:] >= reach[:-1]
@@ -363,8 +364,8 @@ def align(spark, df, first, second, key="doc_id", text="text", common=COMMON_PAI
                 hit = pairs[at] == pair if len(pairs) else np.zeros(len(pair), dtype=bool)
                 at = at[hit]
                 total = lambda r, w: np.bincount(r, weights=w, minlength=x.rows).astype(np.int64)
-                exact = np.zeros(x.rows, dtype=np.int64)
-                np.add.at(exact, row[hit], n[at] * times[hit])
+                sums = np.concatenate(([0], np.cumsum(n[at] * times[hit], dtype=np.int64)))  # rows are in order
+                exact = np.diff(sums[np.searchsorted(row[hit], np.arange(x.rows + 1))])
                 groups = np.zeros(x.rows, dtype=np.int64)
                 if len(x.row_a):
                     new = np.append(True, x.met.group_a[1:] != x.met.group_a[:-1])
