@@ -71,16 +71,12 @@ class RankMap:
             F.shiftright(second, 20) == key, value(second)).otherwise(F.lit(NONE))
 
 
-_maps = {}
-
-
 def rank_map(spark, tokens):
-    """The map of these tokens, made once in a session."""
-    of = (spark.sparkContext.applicationId, len(tokens), max(tokens), hash(frozenset(tokens.items())))
-    if of not in _maps:
-        _maps.clear()
-        _maps[of] = RankMap(tokens)
-    return _maps[of]
+    """The map of these tokens, made once in a session and kept with it: columns stay out of what tasks are sent."""
+    of, kept = (len(tokens), max(tokens), hash(frozenset(tokens.items()))), getattr(spark, "_rank_map", None)
+    if kept is None or kept[0] != of:
+        kept = spark._rank_map = (of, RankMap(tokens))
+    return kept[1]
 
 
 def _let(value, body):
