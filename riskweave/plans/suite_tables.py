@@ -293,9 +293,9 @@ def missing_keys(spark, sf):
 
 
 def unregistered(spark, sf):
-    """Services named by documents that are not among the suppliers of even number."""
-    even = T.services(spark, sf).filter(F.col("service_name").rlike("[02468]$"))
-    return G.unregistered(T.documents(spark, sf), even)
+    """Services and sources named by documents that are not among the suppliers."""
+    sources = T.read_table(spark, "documents", sf).select(F.col("source").alias("service_name"))
+    return G.unregistered(T.documents(spark, sf).select("service_name").unionByName(sources), T.services(spark, sf))
 
 
 def framework_intersect(spark, sf):
@@ -513,7 +513,7 @@ def oracles():
  UNION ALL SELECT 'epss', count(*), 0, 0, count(*) FROM orders""",
         "distinct_ids": O.with_(O.VULN, mixed) + " SELECT DISTINCT cve_id FROM mx",
         "missing_keys": O.with_(O.VULN, cat) + " SELECT cve_id FROM vuln EXCEPT SELECT cve_id FROM kv",
-        "unregistered": O.with_(O.DOCS) + " SELECT service_name FROM docs EXCEPT SELECT s_name FROM supplier WHERE regexp_matches(s_name, '[02468]$')",
+        "unregistered": O.with_(O.DOCS) + " SELECT service_name FROM docs UNION SELECT source FROM documents EXCEPT SELECT s_name FROM supplier",
         "framework_intersect": O.with_(O.DOCS, O.policy_view()) + f""", fd AS (SELECT s_nationkey, list_filter([{det}], lambda x: x IS NOT NULL) AS det
  FROM docs JOIN supplier ON service_name = s_name GROUP BY s_nationkey), rq AS (SELECT org_name, list_append(fws, 'license') AS req, det FROM pol
  JOIN fd ON c_nationkey = s_nationkey) SELECT org_name, array_to_string(list_filter(list_distinct_in_order, lambda f: list_contains(det, f)), ',') AS matched,
