@@ -68,13 +68,15 @@ def op9_line_dedup(spark, sf):
         "doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-OP9_SQL = """WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+OP9_SQL = r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
  unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents WHERE text <> ''),
-r AS (SELECT doc_id, pos, line, lead(line, 1) OVER w AS b, lead(line, 2) OVER w AS c FROM l
- WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
-s AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY line, b, c ORDER BY doc_id, pos) AS nth FROM r
- WHERE c IS NOT NULL),
-g AS (SELECT DISTINCT doc_id, pos + k AS pos FROM s, (SELECT unnest(range(3)) AS k) WHERE nth > 1),
+r AS (SELECT doc_id, pos, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS w, lead(line, 1) OVER d AS b,
+ lead(line, 2) OVER d AS c FROM l WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
+m AS (SELECT doc_id, pos, 3 AS n, line, b, c FROM r WHERE c IS NOT NULL
+ UNION ALL SELECT doc_id, pos, 2, line, b, NULL FROM (SELECT *, w + lead(w) OVER (PARTITION BY doc_id ORDER BY pos) AS two FROM r)
+ WHERE two >= 50 UNION ALL SELECT doc_id, pos, 1, line, NULL, NULL FROM r WHERE w >= 50),
+s AS (SELECT doc_id, pos, n, row_number() OVER (PARTITION BY n, line, b, c ORDER BY doc_id, pos) AS nth FROM m),
+g AS (SELECT DISTINCT doc_id, pos + k AS pos FROM s, (SELECT unnest(range(3)) AS k) WHERE nth > 1 AND k < n),
 j AS (SELECT l.doc_id, l.pos, l.line, g.pos IS NOT NULL AS gone FROM l LEFT JOIN g USING (doc_id, pos)),
 a AS (SELECT doc_id, count(*) AS n, count(*) FILTER (WHERE gone) AS r,
  coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS kept FROM j GROUP BY doc_id)

@@ -210,14 +210,21 @@ def test_repeated_lines(spark, none):
     run = [f"boiler {i}" for i in range(5)]
     rows = [(i, "\n".join([rng.choice("abc") for _ in range(rng.randint(0, 6))] + run[rng.randint(0, 2):] + [str(i)] * 4))
             for i in range(40)] + [(50, None), (51, ""), (52, "\n\n\n\n\n"), (53, "one"), (54, "x\n" * 300)]
+    long, short = " ".join(f"w{i}" for i in range(50)), " ".join(f"v{i}" for i in range(49))
+    rows += [(60, long), (61, long), (62, f"{long}\nz"), (63, short), (64, short), (65, f"{short}\nend"), (66, f"y\n{short}\nend"),
+             (67, f"{long}\n{long}")]
     seen, want = set(), {}
     for i, t in rows:
         lines = t.split("\n") if t else []
         gone = set()
-        for p in range(len(lines) - 2):
-            if (g := tuple(lines[p:p + 3])) in seen:
-                gone |= {p, p + 1, p + 2}
-            seen.add(g)
+        for p in range(len(lines)):
+            for n in (1, 2, 3):
+                g = tuple(lines[p:p + n])
+                if len(g) < n or (n < 3 and sum(len(x.split()) for x in g) < 50):
+                    continue
+                if g in seen:
+                    gone |= set(range(p, p + n))
+                seen.add(g)
         want[i] = (len(lines), len(gone), "\n".join(x for j, x in enumerate(lines) if j not in gone))
     df = spark.createDataFrame([(*r, 0) for r in rows], "doc_id bigint, text string, print int").repartition(4)
     out = line_dedup.repeated_lines(df)
