@@ -2,9 +2,10 @@
 
 import statistics
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import (
-    GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier)
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -71,24 +72,6 @@ def rf_estimator():
                                   maxDepth=3, minInstancesPerNode=3, featureSubsetStrategy="sqrt", seed=SEED)
 
 
-def gbt_estimator():
-    return GBTClassifier(featuresCol="features", labelCol="label", weightCol="class_weight", maxIter=100, maxDepth=2,
-                         stepSize=0.05, subsamplingRate=0.6, featureSubsetStrategy="0.5", minInstancesPerNode=3,
-                         seed=SEED)
-
-
-def mlp_pipeline(width):
-    return Pipeline(stages=[
-        StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True),
-        MultilayerPerceptronClassifier(featuresCol="scaled", labelCol="label", layers=[width, 32, 16, 2],
-                                       maxIter=500, seed=SEED)])
-
-
-def estimators(n, width):
-    return {"Logistic Regression": lr_pipeline(n), "Random Forest": rf_estimator(),
-            "Boosted Trees": gbt_estimator(), "Neural Network": mlp_pipeline(width)}
-
-
 def with_score(model, df, name):
     """Probability of class 1 as a plain column."""
     out = model.transform(df)
@@ -96,6 +79,19 @@ def with_score(model, df, name):
     return out.withColumn(name, vector_to_array("probability")[1]).drop("probability", *extra)
 
 
+def score_rows(df, model, name, fold=None):
+    """Probability of class 1 by a `Boosted` or `Network` model; with `fold`, by the one that has not seen the row's fold."""
+
+    @F.pandas_udf("double")
+    def of(x: pd.Series, which: pd.Series) -> pd.Series:
+        x, which, out = np.array(x.tolist(), dtype=float), which.to_numpy(), np.zeros(len(x))
+        for m in np.unique(which):
+            out[which == m] = 1 / (1 + np.exp(-model.margins(x[which == m], int(m))))
+        return pd.Series(out)
+
+    return df.withColumn(name, of(vector_to_array("features"), F.col(fold) if fold else F.lit(0)))
+
+
 def score_all(models, df):
     """Class-1 probability of each fitted model as a column; `models` maps column name to model."""
     for name, model in models.items():
@@ -103,27 +99,32 @@ def score_all(models, df):
     return df
 
 
-def cv_auc(df, makers, key, label="label", k=5):
+def cv_auc(df, makers, key, label="label", k=5, together=()):
     """(model, mean, standard deviation) of the fold AUCs of every model.
 
     `makers` maps a name to a function from the number of training rows to an estimator: penalty and class weights
-    are those of the four fifths that a fit sees. The folds are written once for all fits.
+    are those of the four fifths that a fit sees. `together` maps a name to a module whose `fit` learns all folds in
+    the same jobs (`boosting`, `network`). The folds are written once for all fits.
     """
     folded = written(df.sparkSession, stratified_folds(df.select(*key, "features", label), label, key, k), "folds")
-    judge, scores = BinaryClassificationEvaluator(labelCol=label), {name: [] for name in makers}
+    judge, scores = BinaryClassificationEvaluator(labelCol=label), {name: [] for name in (*makers, *together)}
     for fold in range(k):
         train = balance(folded.filter(F.col("fold") != fold), label).cache()
         n, test = train.count(), folded.filter(F.col("fold") == fold)
         for name, make in makers.items():
             scores[name].append(judge.evaluate(make(n).fit(train).transform(test)))
         train.unpersist()
+    for name in together:
+        model = together[name].fit(folded, key, label, "fold", k)
+        judged = written(df.sparkSession, score_rows(folded, model, "rawPrediction", "fold"), "judged")
+        scores[name] = [judge.evaluate(judged.filter(F.col("fold") == fold)) for fold in range(k)]
     return [(name, statistics.fmean(s), statistics.pstdev(s)) for name, s in scores.items()]
 
 
-def importances(spark, model, cols, n=15):
+def ranked_importances(spark, values, cols, n=15):
     """The n most important inputs with their display names."""
-    pairs = sorted(zip(cols, model.featureImportances.toArray().tolist()), key=lambda p: (-p[1], p[0]))[:n]
-    rows = spark.createDataFrame([(i + 1, c, v) for i, (c, v) in enumerate(pairs)],
+    pairs = sorted(zip(cols, values), key=lambda p: (-p[1], p[0]))[:n]
+    rows = spark.createDataFrame([(i + 1, c, float(v)) for i, (c, v) in enumerate(pairs)],
                                  "rank int, feature string, importance double")
     return with_display_names(rows).select("rank", "feature", "display", "importance")
 

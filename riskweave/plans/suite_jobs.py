@@ -4,7 +4,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from riskweave.functions import risk
+from riskweave.models import boosting, network
 from riskweave.models import isolation as I
+from riskweave.models import metrics as Q
 from riskweave.models import training as L
 from riskweave.plans import oracle as O
 from riskweave.plans.suite_model import WEIGHTS, frame
@@ -39,29 +41,31 @@ def model_scores(spark, sf):
 
 def forest_importances(spark, sf):
     df, cols = prepared(spark, sf)
-    return L.importances(spark, L.rf_estimator().fit(df), cols)
+    return L.ranked_importances(spark, L.rf_estimator().fit(df).featureImportances.toArray(), cols)
 
 
 def boosted_scores(spark, sf):
     df, _ = prepared(spark, sf)
-    return L.with_score(L.gbt_estimator().fit(df), df, "gbt_risk_score").select("service_name", "gbt_risk_score")
+    return L.score_rows(df, boosting.fit(df, KEY), "gbt_risk_score").select("service_name", "gbt_risk_score")
 
 
 def boosted_importances(spark, sf):
     df, cols = prepared(spark, sf)
-    return L.importances(spark, L.gbt_estimator().fit(df), cols)
+    return L.ranked_importances(spark, boosting.fit(df, KEY).importances(), cols)
 
 
 def neural_scores(spark, sf):
-    df, cols = prepared(spark, sf)
-    return L.with_score(L.mlp_pipeline(len(cols)).fit(df), df, "nn_risk_score").select("service_name", "nn_risk_score")
+    df, _ = prepared(spark, sf)
+    return L.score_rows(df, network.fit(df, KEY), "nn_risk_score").select("service_name", "nn_risk_score")
 
 
 def cross_validation(spark, sf):
-    """Fold AUC of the logistic regression and the random forest."""
+    """Fold AUC of all four models, and which of them is chosen."""
     df, _ = prepared(spark, sf)
     makers = {"Logistic Regression": L.lr_pipeline, "Random Forest": lambda n: L.rf_estimator()}
-    return spark.createDataFrame(L.cv_auc(df, makers, KEY), "model string, cv_auc double, cv_std double")
+    judged = spark.createDataFrame(L.cv_auc(df, makers, KEY, together={"Boosted Trees": boosting, "Neural Network": network}),
+                                   "model string, cv_auc double, cv_std double")
+    return judged.withColumn("chosen", F.col("model") == Q.choose_model(judged).scalar())
 
 
 def standardized(spark, sf):

@@ -59,3 +59,8 @@ def written(spark, df, label):
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def packed(df, rows, bytes_per_row, task_bytes=32 << 20):
+    """The frame in no more partitions than its size calls for, so that many short jobs over it start few tasks."""
+    return df.coalesce(max(1, -(-rows * bytes_per_row // task_bytes)))

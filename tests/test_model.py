@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from riskweave import constants as C
 from riskweave.functions import risk
 from riskweave.functions.ordered import hashed_row_number, running_sums
+from riskweave.models import boosting, network
 from riskweave.models import isolation as I
 from riskweave.models import metrics as Q
 from riskweave.models import training as L
@@ -164,3 +165,70 @@ def test_logistic_regression_matches_the_penalised_optimum(spark, points):
     assert np.abs(grad).max() < 2e-2 * np.abs(wz).max()
     scored = L.with_score(model, points, "p")
     assert Q.rank_auc(scored, "p", "label").first()["auc"] > .95
+
+
+def test_boosted_trees_against_plain_python(spark, points):
+    """Leaf weights with L1, L2 and least child weight, cuts and margins of a few trees on all rows and inputs."""
+    s = boosting.Settings(trees=12, rows=1.0, cols=1.0, bins=16)
+    model = boosting.fit(points, ["service_name"], settings=s)
+    data = np.array([[*r["features"], r["label"]] for r in points.collect()])
+    x, y = data[:, :3], data[:, 3]
+    weight, margin = np.where(y == 1, (y == 0).sum() / (y == 1).sum(), 1.0), np.zeros(len(y))
+
+    def worth(g, h):
+        return max(abs(g) - s.alpha, 0) ** 2 / (h + s.lam)
+
+    def grow(rows, depth, g, h):
+        best, best_gain = None, 1e-6
+        for f in range(3) if depth else ():
+            for cut in model.edges[f]:
+                low = rows[x[rows, f] <= cut]
+                high = rows[x[rows, f] > cut]
+                if h[low].sum() >= s.child and h[high].sum() >= s.child:
+                    gain = .5 * (worth(g[low].sum(), h[low].sum()) + worth(g[high].sum(), h[high].sum()) - worth(
+                        g[rows].sum(), h[rows].sum()))
+                    if gain > best_gain + 1e-5:
+                        best, best_gain = (low, high), gain
+        if best is None:
+            total = g[rows].sum()
+            return {int(i): -np.sign(total) * max(abs(total) - s.alpha, 0) / (h[rows].sum() + s.lam) for i in rows}
+        return grow(best[0], depth - 1, g, h) | grow(best[1], depth - 1, g, h)
+
+    for _ in range(s.trees):
+        p = 1 / (1 + np.exp(-margin))
+        value = grow(np.arange(len(y)), 2, weight * (p - y), weight * p * (1 - p))
+        margin += s.rate * np.array([value[i] for i in range(len(y))])
+    assert np.abs(model.margins(x) - margin).max() < 1e-4
+    assert model.importances().sum() == pytest.approx(1) and model.importances().argmax() == 0
+
+
+def test_boosted_folds_equal_fits_of_their_own(spark, points):
+    folded = points.withColumn("fold", F.pmod(F.xxhash64("service_name"), F.lit(2)).cast("int"))
+    s = boosting.Settings(trees=3)
+    both = boosting.fit(folded, ["service_name"], fold="fold", folds=2, settings=s)
+    x = np.array([r["features"].toArray() for r in points.collect()])
+    for m in (0, 1):
+        alone = boosting.fit(folded.filter(F.col("fold") != m), ["service_name"], settings=s)
+        got, want = both.margins(x, m), alone.margins(x)
+        assert np.corrcoef(got, want)[0, 1] > .8
+    scored = L.score_rows(folded, both, "p", "fold")
+    assert Q.rank_auc(scored, "p", "label").first()["auc"] > .85
+    assert boosting.fit(folded.limit(0), ["service_name"], settings=s).trees == [[]]
+
+
+def test_network_gradient_and_learning(spark, points):
+    rng, s = np.random.default_rng(2), network.Settings(hidden=(4, 3))
+    x, y, theta = rng.normal(size=(9, 3)), rng.integers(0, 2, 9).astype(float), network.start(3, s)
+    grad, loss = network.gradient(theta, x, y, s)
+    for i in range(len(theta)):
+        step = np.zeros(len(theta))
+        step[i] = 1e-6
+        assert (network.gradient(theta + step, x, y, s)[1] - network.gradient(theta - step, x, y, s)[1]) / 2e-6 == pytest.approx(
+            grad[i], abs=1e-4)
+    folded = points.withColumn("fold", F.pmod(F.xxhash64("service_name"), F.lit(2)).cast("int"))
+    model = network.fit(folded, ["service_name"], fold="fold", folds=2, settings=network.Settings(steps=40))
+    first, last = model.history[0], model.history[-1]
+    assert all(b[1] < .7 * a[1] for a, b in zip(first, last))
+    assert Q.rank_auc(L.score_rows(folded, model, "p", "fold"), "p", "label").first()["auc"] > .95
+    empty = network.fit(points.limit(0), ["service_name"], settings=network.Settings(steps=3))
+    assert len(empty.thetas) == 1
