@@ -180,6 +180,25 @@ def test_similarity_equals_brute_force_over_blocks(spark, block_bytes):
     assert sorted(got) == sorted(want)
 
 
+def test_similarity_skips_pivots_on_clustered_vectors(spark):
+    """Clustered vectors with copies and zeros, more than one cluster of blocks: all ties kept, most pivots not looked at."""
+    rng = np.random.default_rng(4)
+    x = np.repeat(rng.normal(size=(40, 8)), 25, axis=0) + rng.normal(size=(1000, 8)) * .02
+    x[:6], x[100:103] = x[0], 0.0
+    ask = np.vstack([x[[0, 30, 500, 999]] + .001, np.zeros((1, 8))])
+    unit = lambda m: np.divide(m, n := np.linalg.norm(m, axis=1, keepdims=True), out=np.zeros_like(m), where=n > 0)
+    sims = np.round(unit(ask) @ unit(x).T, 9)
+    frame = lambda m, name: spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(m)], f"{name} bigint, embedding array<double>")
+    got, visits = S.search(frame(ask, "query_id"), frame(x, "vec_id").repartition(4), 7, block_bytes=64 * 50)
+    want = [(i, r + 1, int(j)) for i in range(5) for r, j in enumerate(np.lexsort((np.arange(1000), -sims[i]))[:7])]
+    assert sorted(rows(got, "query_id", "rank", "vec_id")) == want
+    per = dict(rows(visits.groupBy("query_id").count()))
+    pivots = max(per.values())
+    assert per[4] == pivots > 40 and all(per[i] < pivots / 3 for i in range(4))
+    assert visits.distinct().count() == visits.count()
+    assert S.topk_similar(frame(ask, "query_id"), frame(x, "vec_id").limit(0), 3).count() == 0
+
+
 def test_incident_and_issue_texts(spark):
     df = spark.createDataFrame([("n", [("s", "b"), (None, "c")])], "name string, u array<struct<status:string,body:string>>")
     assert rows(df.select(X.statuspage_text(F.col("name"), F.col("u"))))[0][0] == "Incident: n\n\n[s] b\n\n[] c"
