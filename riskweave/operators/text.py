@@ -141,19 +141,84 @@ def doc_compound(docs, lexicon, group=("service_name",), key="doc_id"):
     return sums.withColumn("compound", F.col("s") / F.sqrt(F.col("s") * F.col("s") + 15.0))
 
 
-def compound_sums(docs, lexicon, group=("service_name",), key="doc_id"):
-    return doc_compound(docs, lexicon, group, key).groupBy(*group).agg(
+# Fixed values of the usual valence rules.
+BOOST, CAPITALS, NEGATED, EXCLAIMED, QUESTIONED = 0.293, 0.733, -0.74, 0.292, 0.18
+FADE = (1.0, 0.95, 0.9)  # of a booster one, two, three words ahead
+RULES = {
+    "boosters": {
+        "absolutely": BOOST, "amazingly": BOOST, "completely": BOOST, "deeply": BOOST, "entirely": BOOST, "especially": BOOST,
+        "extremely": BOOST, "fully": BOOST, "greatly": BOOST, "highly": BOOST, "hugely": BOOST, "incredibly": BOOST,
+        "intensely": BOOST, "more": BOOST, "most": BOOST, "particularly": BOOST, "quite": BOOST, "really": BOOST,
+        "so": BOOST, "thoroughly": BOOST, "totally": BOOST, "unusually": BOOST, "utterly": BOOST, "very": BOOST,
+        "almost": -BOOST, "barely": -BOOST, "hardly": -BOOST, "less": -BOOST, "little": -BOOST, "marginally": -BOOST,
+        "occasionally": -BOOST, "partly": -BOOST, "scarcely": -BOOST, "slightly": -BOOST, "somewhat": -BOOST},
+    "negations": ("cannot", "neither", "never", "none", "nope", "nor", "not", "nothing", "nowhere", "rarely", "seldom",
+                  "despite", "without"),
+    "contrast": "but",
+}
+
+
+def position_compound(docs, lexicon, group=("service_name",), key="doc_id", rules=RULES):
+    """Compound valence of the documents that hold any lexicon word, by rules on the words around each of them.
+
+    Words are `[A-Za-z']+`; each takes its three predecessors along, so the lexicon meets single rows and no text is put
+    together again. Nearest first, a predecessor that boosts adds its value in the direction of the word, less
+    the further it is, and one that negates (or ends in n't) turns and damps the word; "never so" and "never this" raise it,
+    "without doubt" leaves it. A word in capitals among others weighs more. Words before the first `contrast` count
+    half, those after it half as much again. Up to four exclamation marks, and two question marks or more, push the sum away from 0.
+    A booster is never counted as a lexicon word. A null or empty text has no words.
+    """
+    words = F.regexp_extract_all("text", F.lit("[A-Za-z']+"), F.lit(0))
+    shout = lambda w: (F.length(w) > 1) & (w == F.upper(w))
+    times = lambda mark: F.length("text") - F.length(F.replace(F.col("text"), F.lit(mark)))
+    texts = docs.select(*group, key, words.alias("_t"), times("!").alias("_loud"), times("?").alias("_asked")).withColumns({
+        "_mixed": F.exists("_t", shout) & ~F.forall("_t", shout),
+        "_turn": F.array_position(F.transform("_t", F.lower), rules["contrast"])})
+    around = F.transform("_t", lambda w, i: F.struct(
+        F.lower(w).alias("word"), w.alias("_w0"), *[F.get("_t", i - d).alias(f"_w{d}") for d in (1, 2, 3)],
+        (i + 1).alias("_at")))
+    one = texts.select(*group, key, "_loud", "_asked", "_mixed", "_turn", F.inline(around))
+    one = one.filter(~F.col("word").isin(list(rules["boosters"]))).join(lexicon, "word")
+    sign = lambda v: F.when(v < 0, -1.0).otherwise(1.0)
+    louder = lambda w: F.when(F.col("_mixed") & shout(F.col(w)), CAPITALS).otherwise(0.0)
+    low = lambda d: F.lower(F.col(f"_w{d}"))
+    near = lambda test: lambda d: F.lit(False) if d == 1 else F.coalesce(
+        test(low(1)) if d == 2 else test(low(1)) | test(low(2)), F.lit(False))
+    raised, certain = near(lambda w: w.isin("so", "this")), near(lambda w: w == "doubt")
+    one = one.withColumn("_v", F.col("valence") + sign(F.col("valence")) * louder("_w0"))
+    for d, fade in zip((1, 2, 3), FADE):
+        value = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for pair in rules["boosters"].items() for x in pair]), low(d)), F.lit(0.0))
+        boost = F.when(value != 0, (value + louder(f"_w{d}")) * fade).otherwise(0.0)
+        one = one.withColumn("_v", F.col("_v") + sign(F.col("_v")) * boost)
+        denied = low(d).isin(list(rules["negations"])) | low(d).endswith("n't")
+        one = one.withColumn("_v", F.when(raised(d) & (low(d) == "never"), F.col("_v") * 1.25).when(
+            certain(d) & (low(d) == "without"), F.col("_v")).when(denied, F.col("_v") * NEGATED).otherwise(F.col("_v")))
+    half = F.when(F.col("_turn") == 0, 1.0).when(F.col("_at") < F.col("_turn"), 0.5).when(
+        F.col("_at") > F.col("_turn"), 1.5).otherwise(1.0)
+    sums = one.groupBy(*group, key).agg(
+        F.sum((F.col("_v") * half).cast("decimal(18,9)")).cast("double").alias("_s"),
+        F.max("_loud").alias("_loud"), F.max("_asked").alias("_asked"))
+    push = F.least("_loud", F.lit(4)) * EXCLAIMED + F.when(F.col("_asked") < 2, 0.0).when(
+        F.col("_asked") < 4, F.col("_asked") * QUESTIONED).otherwise(0.96)
+    s = F.col("_s") + F.when(F.col("_s") == 0, 0.0).otherwise(sign(F.col("_s")) * push)
+    return sums.select(*group, key, s.alias("s")).withColumn(
+        "compound", F.col("s") / F.sqrt(F.col("s") * F.col("s") + 15.0))
+
+
+def compound_sums(docs, lexicon, group=("service_name",), key="doc_id", rules=None):
+    each = position_compound(docs, lexicon, group, key, rules) if rules else doc_compound(docs, lexicon, group, key)
+    return each.groupBy(*group).agg(
         F.sum(F.col("compound").cast("decimal(18,9)")).cast("double").alias("compound_sum"))
 
 
-def sentiment_risk(docs, lexicon, group=("service_name",), key="doc_id", name="incident_sentiment_score"):
+def sentiment_risk(docs, lexicon, group=("service_name",), key="doc_id", name="incident_sentiment_score", rules=None):
     """(1 - mean compound) / 2 per group over its non-blank documents, clamped, 4 places.
 
-    Documents without any lexicon word count as neutral.
+    Documents without any lexicon word count as neutral. With `rules` (RULES), the words around a lexicon word count.
     """
     live = docs.filter(F.length(strip(F.coalesce("text", F.lit("")))) > 0)
     counts = live.groupBy(*group).agg(F.count("*").alias("_n"))
-    out = counts.join(compound_sums(live, lexicon, group, key), list(group), "left")
+    out = counts.join(compound_sums(live, lexicon, group, key, rules), list(group), "left")
     mean = F.coalesce("compound_sum", F.lit(0.0)) / F.col("_n")
     return out.withColumn("_r", clamp((F.lit(1.0) - mean) / 2.0, 0, 1)).select(
         *group, round_exact("_r", 4).alias(name))

@@ -63,6 +63,16 @@ def sentiment_risk(spark, sf):
     return X.sentiment_risk(T.documents(spark, sf), X.lexicon_frame(spark, LEXICON), GROUP)
 
 
+# frequent words of the shared texts in the place of boosters and negations
+POSITIONS = {"boosters": {"the": .293, "la": .293, "of": -.293}, "negations": ("in", "and", "que"), "contrast": "is"}
+
+
+def sentiment_rules(spark, sf):
+    """Sentiment of a service's documents with the rules on neighbouring words."""
+    docs, words = T.documents(spark, sf), X.lexicon_frame(spark, LEXICON)
+    return X.sentiment_risk(docs, words, GROUP, rules=POSITIONS)
+
+
 def statuspage_text(spark, sf):
     talk = T.read_table(spark, "conversations", sf)
     text = X.statuspage_text(F.col("role"), F.array(
@@ -154,7 +164,7 @@ def incident_blocks(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     keyword_density, keyword_sets, keyword_hits, framework_coverage, framework_tags, service_blobs, line_filter, topic_gate,
-    length_floor, sentiment_risk, statuspage_text, issue_text, description_fallback, topk_similar, similar_in_service,
+    length_floor, sentiment_risk, sentiment_rules, statuspage_text, issue_text, description_fallback, topk_similar, similar_in_service,
     page_text, trust_pages, page_links, incident_blocks)}
 
 
@@ -246,6 +256,29 @@ def oracles():
  c AS (SELECT service_name, collection, CAST(sum(CAST(s / sqrt(s * s + 15.0::DOUBLE) AS DECIMAL(18,9))) AS DOUBLE) AS cs FROM m GROUP BY ALL),
  n AS (SELECT service_name, collection, count(*) AS n FROM lv GROUP BY ALL)
  SELECT service_name, collection, {O.rnd('greatest(0.0::DOUBLE, least(1.0::DOUBLE, (1.0::DOUBLE - coalesce(cs, 0) / n) / 2.0::DOUBLE))', 4)}
+ AS incident_sentiment_score FROM n LEFT JOIN c USING (service_name, collection)""",
+        "sentiment_rules": O.with_(O.DOCS) + f""", lex AS (SELECT * FROM (VALUES {lex}) t(word, valence)),
+ lv AS (SELECT * FROM docs WHERE length({strip('text')}) > 0),
+ tk AS (SELECT *, unnest(regexp_extract_all(text, '[A-Za-z'']+')) AS raw, unnest(range(len(regexp_extract_all(text, '[A-Za-z'']+')))) AS pos FROM lv),
+ pv AS (SELECT *, lag(lower(raw), 1) OVER d AS w1, lag(lower(raw), 2) OVER d AS w2, lag(lower(raw), 3) OVER d AS w3,
+ lag(raw, 1) OVER d AS r1, lag(raw, 2) OVER d AS r2, lag(raw, 3) OVER d AS r3,
+ min(CASE WHEN lower(raw) = 'is' THEN pos END) OVER (PARTITION BY doc_id) AS turn,
+ bool_or(length(raw) > 1 AND raw = upper(raw)) OVER (PARTITION BY doc_id) AND NOT bool_and(length(raw) > 1 AND raw = upper(raw)) OVER (PARTITION BY doc_id)
+ AS mixed FROM tk WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
+ a0 AS (SELECT pv.*, valence::DOUBLE + sign(valence) * CASE WHEN mixed AND length(raw) > 1 AND raw = upper(raw) THEN 0.733::DOUBLE ELSE 0 END AS v
+ FROM pv JOIN lex ON lower(raw) = lex.word WHERE lower(raw) NOT IN ('the', 'la', 'of')),
+ """ + ",\n ".join(f"""a{d} AS (SELECT * EXCLUDE (v), CASE WHEN w{d} IN ('in', 'and', 'que') OR w{d} LIKE '%n''t' THEN v * -0.74::DOUBLE ELSE v END AS v FROM
+ (SELECT * REPLACE (v + CASE WHEN v < 0 THEN -1 ELSE 1 END * CASE WHEN w{d} IN ('the', 'la', 'of') THEN (CASE w{d} WHEN 'of' THEN -0.293::DOUBLE ELSE 0.293::DOUBLE END
+ + CASE WHEN mixed AND length(r{d}) > 1 AND r{d} = upper(r{d}) THEN 0.733::DOUBLE ELSE 0 END) * {fade}::DOUBLE ELSE 0 END AS v) FROM a{d - 1}))"""
+                 for d, fade in ((1, 1.0), (2, 0.95), (3, 0.9))) + """,
+ sm AS (SELECT service_name, collection, doc_id, any_value(text) AS text, CAST(sum(CAST(v * CASE WHEN turn IS NULL OR pos = turn THEN 1.0::DOUBLE
+ WHEN pos < turn THEN 0.5::DOUBLE ELSE 1.5::DOUBLE END AS DECIMAL(18,9))) AS DOUBLE) AS s0 FROM a3 GROUP BY ALL),
+ m AS (SELECT *, s0 + sign(s0) * (least(length(text) - length(replace(text, '!', '')), 4) * 0.292::DOUBLE + CASE
+ WHEN length(text) - length(replace(text, '?', '')) < 2 THEN 0.0::DOUBLE WHEN length(text) - length(replace(text, '?', '')) < 4
+ THEN (length(text) - length(replace(text, '?', ''))) * 0.18::DOUBLE ELSE 0.96::DOUBLE END) AS s FROM sm),
+ c AS (SELECT service_name, collection, CAST(sum(CAST(s / sqrt(s * s + 15.0::DOUBLE) AS DECIMAL(18,9))) AS DOUBLE) AS cs FROM m GROUP BY ALL),
+ n AS (SELECT service_name, collection, count(*) AS n FROM lv GROUP BY ALL)""" + f"""
+ SELECT service_name, collection, {O.rnd('greatest(0.0::DOUBLE, least(1.0::DOUBLE, (1.0::DOUBLE - coalesce(cs, 0) / n) / 2.0::DOUBLE))', 4)}
  AS incident_sentiment_score FROM n LEFT JOIN c USING (service_name, collection)""",
         "statuspage_text": f"""WITH t AS (SELECT conv_id, turn, {strip("'Incident: ' || role || chr(10) || chr(10) || '[' || role || '] ' || text || chr(10) || chr(10) || '[] done'")} AS x
  FROM conversations) SELECT conv_id, turn, md5(x) AS digest FROM t WHERE length(x) > 100""",

@@ -73,6 +73,20 @@ def test_sentiment_direction(spark, texts, low, high):
     assert low <= got <= high
 
 
+def test_rules_on_neighbouring_words(spark):
+    """One text per rule, sums by hand: good 2, bad -2."""
+    want = {
+        "good": 2.0, "very good": 2.293, "very big good": 2 + .293 * .95, "slightly bad": -1.707, "not good": -1.48,
+        "not a very good": (2 + .293) * -.74, "isn't good": -1.48, "good!!": 2 + .584, "bad!!!!!!": -2 - 1.168,
+        "bad??": -2.36, "bad????": -2.96, "GOOD day": 2.733, "GOOD DAY": 2.0, "VERY good day": 2 + .293 + .733,
+        "good but bad": 1 - 3, "never so good": (2 + .293) * 1.25, "without doubt good": 2.0, "far away not one good": -1.48,
+        "not in any way good": 2.0, "very": None, "": None}
+    lexicon = X.lexicon_frame(spark, {"good": 2.0, "bad": -2.0, "very": 1.0})
+    got = dict(rows(X.position_compound(docs(spark, *want, None), lexicon), "doc_id", "s"))
+    for i, (text, value) in enumerate(want.items()):
+        assert got.get(i) == (None if value is None else pytest.approx(value, abs=1e-6)), text
+
+
 def test_sentiment_of_no_documents(spark):
     assert rows(X.sentiment_risk(docs(spark, " ", None), X.lexicon_frame(spark))) == []
 
