@@ -32,8 +32,8 @@ def exact_dedup(df, key="doc_id", text="text", hashed=content_hash, largest=True
     groups = rows.groupBy("_hash").agg(F.count("*").alias("_n"), best.alias("_best")).where("_n > 1")
     variants = rows.join(salted(groups.select("_hash")), ["_hash", "_salt"]).groupBy("_hash", "_text").agg(
         F.count("*").alias("_vn"), best.alias("_vbest"))
-    collided = variants.groupBy("_hash").agg(F.count("*").alias("_k")).where("_k > 1").select("_hash")
-    exact = variants.join(collided, "_hash").select("_hash", F.sha2("_text", 256).alias("_sha"), "_vn", "_vbest")
+    found = F.collect_list(F.struct(F.sha2("_text", 256).alias("_sha"), "_vn", "_vbest")).alias("_found")
+    exact = variants.groupBy("_hash").agg(found).where(F.size("_found") > 1).select("_hash", F.inline("_found"))
     classes = groups.join(exact, "_hash", "left").select(
         "_hash", "_sha", F.coalesce("_vn", "_n").alias("_size"),
         F.when(F.col("_vn").isNotNull(), F.col("_vbest")).otherwise(F.col("_best")).alias("_keep"))
