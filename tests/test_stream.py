@@ -1,3 +1,5 @@
+import datetime
+
 from conftest import rows
 
 from riskweave.operators.merge import flag_kev, upsert
@@ -94,3 +96,15 @@ def test_repeated_records_pass_once(spark):
         s = N.dedup_stream(N.land_stream(spark, path, SCHEMA), ["k"])
         N.append_stream(s, out, cp).awaitTermination()
     assert sorted(r[0] for r in rows(spark.read.parquet(out), "k")) == ["a", "b"]
+
+
+def test_overlap_dedup_forgets_after_the_delay(spark):
+    """Polls with a repeat inside the overlap, one after its state is gone, and a row older than the watermark."""
+    path, out, cp = (scratch_path(spark, n) for n in ("in", "out", "cp"))
+    at = lambda day: datetime.datetime(2024, 1, day)
+    row = lambda k, day: (k, "C", 1, 0, 1, at(day))
+    for data in ([row("a", 1), row("b", 1)], [row("a", 2), row("c", 10)], [row("a", 9), row("d", 2), row("c", 11)]):
+        land(spark, path, data)
+        s = N.dedup_stream(N.land_stream(spark, path, SCHEMA), ["k"], "2 days")
+        N.append_stream(s, out, cp).awaitTermination()
+    assert sorted(rows(spark.read.parquet(out).selectExpr("k", "day(modified_at)"))) == [("a", 1), ("a", 9), ("b", 1), ("c", 10)]
