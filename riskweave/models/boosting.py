@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from riskweave.session import packed, written
+from riskweave.session import packed, tasks_for, written
 
 SCALE = 1 << 24  # gradients are summed as whole multiples of 1 / SCALE, so that sums do not depend on their order
 REWRITE = 10  # trees after which the margins are written
@@ -144,7 +144,8 @@ def fit(df, key, label="label", fold=None, folds=1, settings=None):
     trees = [[] for _ in range(folds)]
     if not counts or not width:
         return Boosted(edges, trees, s)
-    small = packed(flat, sum(counts.values()), 8 * (width + folds))
+    extent = sum(counts.values()), 8 * (width + folds)
+    small, alone = packed(flat, *extent), tasks_for(*extent) == 1  # one task's sums need no shuffle
     table, since = written(spark, small.mapInPandas(prepared, state), "boost-state"), 0
 
     def margins_of(pdf, fresh):
@@ -179,11 +180,12 @@ def fit(df, key, label="label", fold=None, folds=1, settings=None):
             yield pd.DataFrame({**dict(zip(("model", "node", "feature", "bin"), found.T.astype(np.int32))),
                                 "g": got[:, 0].astype(np.int64), "h": got[:, 1].astype(np.int64)})
 
-        out = table.mapInPandas(run, PARTIAL).groupBy("model", "node", "feature", "bin").agg(
-            F.sum("g").alias("g"), F.sum("h").alias("h")).toPandas()
+        parts = table.mapInPandas(run, PARTIAL)
+        out = (parts if alone else parts.groupBy("model", "node", "feature", "bin").agg(
+            F.sum("g").alias("g"), F.sum("h").alias("h"))).toPandas()
         sums = np.zeros((folds, nodes, width, s.bins, 2))
-        sums[tuple(out[c].to_numpy() for c in ("model", "node", "feature", "bin"))] = out[["g", "h"]].to_numpy() / SCALE
-        return sums
+        np.add.at(sums, tuple(out[c].to_numpy() for c in ("model", "node", "feature", "bin")), out[["g", "h"]].to_numpy())
+        return sums / SCALE
 
     for number in range(s.trees):
         few = max(1, int(s.cols * width))

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from riskweave.session import packed, written
+from riskweave.session import packed, tasks_for, written
 
 SCALE = 1 << 20  # sums of a task are added as whole multiples of 1 / SCALE, so that their order does not matter
 EXTRA = 4  # after the gradient: training loss and rows, held-out loss and rows
@@ -121,7 +121,7 @@ def fit(df, key, label="label", fold=None, folds=1, settings=None):
         (F.col(fold) if fold else F.lit(-1)).cast("int").alias("_fold"),
         vector_to_array("features").alias("_x")), "network-rows")
     n, width = flat.agg(F.count("*"), F.coalesce(F.max(F.size("_x")), F.lit(0))).first()
-    flat = written(spark, packed(flat, n, 8 * width), "network-packed")
+    flat, alone = written(spark, packed(flat, n, 8 * width), "network-packed"), tasks_for(n, 8 * width) == 1
     means, scales = moments(flat, width, folds)
     thetas = np.array([start(width, s)] * folds)
     size, decay = thetas.shape[1], is_weight(width, s)
@@ -142,11 +142,11 @@ def fit(df, key, label="label", fold=None, folds=1, settings=None):
             yield pd.DataFrame({"model": m.astype(np.int32), "at": at.astype(np.int32),
                                 "v": np.rint(total[m, at] * SCALE).astype(np.int64)})
 
-        got = flat.mapInPandas(run, "model int, at int, v bigint").groupBy("model", "at").agg(
-            F.sum("v").alias("v")).toPandas()
+        parts = flat.mapInPandas(run, "model int, at int, v bigint")  # one task's sums need no shuffle
+        got = (parts if alone else parts.groupBy("model", "at").agg(F.sum("v").alias("v"))).toPandas()
         total = np.zeros((folds, size + EXTRA))
-        total[got["model"], got["at"]] = got["v"] / SCALE
-        return total
+        np.add.at(total, (got["model"].to_numpy(), got["at"].to_numpy()), got["v"].to_numpy())
+        return total / SCALE
 
     best, best_loss, waited, history = thetas.copy(), np.full(folds, np.inf), np.zeros(folds, dtype=int), []
     first, second = np.zeros_like(thetas), np.zeros_like(thetas)

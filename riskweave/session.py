@@ -61,6 +61,13 @@ def written(spark, df, label):
     return spark.read.schema(df.schema).parquet(path)
 
 
-def packed(df, rows, bytes_per_row, task_bytes=32 << 20):
+TASK_BYTES = 32 << 20
+
+
+def tasks_for(rows, bytes_per_row):
+    return max(1, -(-rows * bytes_per_row // TASK_BYTES))
+
+
+def packed(df, rows, bytes_per_row):
     """The frame in no more partitions than its size calls for, so that many short jobs over it start few tasks."""
-    return df.coalesce(max(1, -(-rows * bytes_per_row // task_bytes)))
+    return df.coalesce(tasks_for(rows, bytes_per_row))

@@ -202,6 +202,15 @@ def test_boosted_trees_against_plain_python(spark, points):
     assert model.importances().sum() == pytest.approx(1) and model.importances().argmax() == 0
 
 
+def test_sums_of_many_tasks_equal_those_of_one(spark, points, monkeypatch):
+    s, t = boosting.Settings(trees=2), network.Settings(steps=3)
+    trees, net = boosting.fit(points, ["service_name"], settings=s), network.fit(points, ["service_name"], settings=t)
+    monkeypatch.setattr("riskweave.session.TASK_BYTES", 2048)
+    x = np.array([r["features"].toArray() for r in points.collect()])
+    assert np.array_equal(boosting.fit(points, ["service_name"], settings=s).margins(x), trees.margins(x))
+    assert np.allclose(network.fit(points, ["service_name"], settings=t).margins(x), net.margins(x), atol=1e-4)
+
+
 def test_boosted_folds_equal_fits_of_their_own(spark, points):
     folded = points.withColumn("fold", F.pmod(F.xxhash64("service_name"), F.lit(2)).cast("int"))
     s = boosting.Settings(trees=3)
