@@ -1,7 +1,10 @@
 """Approximate nearest neighbours by learned partitions: balanced cuts of a neighbour graph, a classifier routes."""
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -11,15 +14,18 @@ SAMPLE = 8192  # vectors that the partitions and the classifier are fitted on
 NEIGHBOURS = 12
 PARTS = 64
 RECALL = 0.93
+LENGTHS = 4  # numbers of components that get learned partitions; vectors of rarer ones are searched exactly
 BLOCK = 20_000  # vectors, and queries, that one search task holds
 
 
-def neighbour_graph(x, k=NEIGHBOURS):
-    """Indexes of the k nearest others by cosine, in blocks."""
-    out = np.empty((len(x), min(k, len(x) - 1)), dtype=np.int64)
-    for a in range(0, len(x), 1024):
-        score = x[a:a + 1024] @ x.T
-        score[np.arange(len(score)), np.arange(a, a + len(score))] = -np.inf
+def nearest_by_product(asks, x, k, own=False):
+    """Indexes of the k rows of `x` of largest inner product with every row of `asks`, in blocks; `own`: both are the
+    same rows and none finds itself."""
+    out = np.empty((len(asks), min(k, len(x) - own)), dtype=np.int64)
+    for a in range(0, len(asks), 1024):
+        score = asks[a:a + 1024] @ x.T
+        if own:
+            score[np.arange(len(score)), np.arange(a, a + len(score))] = -np.inf
         out[a:a + 1024] = np.argpartition(-score, out.shape[1] - 1, axis=1)[:, :out.shape[1]]
     return out
 
@@ -56,11 +62,14 @@ def balanced_partition(graph, parts, seed=1, rounds=60):
 
 
 class Router:
-    """One hidden layer that names the partition of a vector; trained here with Adam on softmax loss."""
+    """One hidden layer from a vector to the probabilities of partitions; trained here with Adam on softmax loss.
+
+    `target` holds the share of every partition for every training vector.
+    """
 
-    def __init__(self, x, part, parts, hidden=128, epochs=60, batch=256, rate=0.003, seed=2):
+    def __init__(self, x, target, hidden=128, epochs=60, batch=256, rate=0.003, seed=2):
         rng = np.random.default_rng(seed)
-        d = x.shape[1]
+        d, parts = x.shape[1], target.shape[1]
         self.w = [rng.standard_normal((d, hidden)) * (2 / d) ** 0.5, np.zeros(hidden),
                   rng.standard_normal((hidden, parts)) * (1 / hidden) ** 0.5, np.zeros(parts)]
         m, v, t = [np.zeros_like(w) for w in self.w], [np.zeros_like(w) for w in self.w], 0
@@ -70,8 +79,7 @@ class Router:
                 rows = order[i:i + batch]
                 h = np.maximum(x[rows] @ self.w[0] + self.w[1], 0)
                 p = self._softmax(h @ self.w[2] + self.w[3])
-                p[np.arange(len(rows)), part[rows]] -= 1
-                p /= len(rows)
+                p = (p - target[rows]) / len(rows)
                 back = (p @ self.w[2].T) * (h > 0)
                 t += 1
                 for j, g in enumerate((x[rows].T @ back, back.sum(0), h.T @ p, p.sum(0))):
@@ -88,19 +96,56 @@ class Router:
         return self._softmax(np.maximum(x @ self.w[0] + self.w[1], 0) @ self.w[2] + self.w[3])
 
 
-def fitted(x, parts, recall, k=20):
-    """A router over `parts` partitions (16 vectors each at least) and the visits that reach `recall` on held-out ones."""
-    parts = 2 ** int(np.log2(max(1, min(parts, len(x) // 16))))
-    held, known = x[:len(x) // 5], x[len(x) // 5:]
-    part = balanced_partition(neighbour_graph(known), parts) if parts > 1 else np.zeros(len(known), dtype=np.int64)
-    router = Router(known, part, parts)
-    if parts == 1 or len(known) <= k:
-        return router, parts
-    home = router.probabilities(known).argmax(axis=1)
-    near = np.argpartition(-(held @ known.T), k, axis=1)[:, :k]
-    turn = np.argsort(np.argsort(-router.probabilities(held), axis=1), axis=1)
-    visits = np.sort(np.take_along_axis(turn, home[near], axis=1).ravel())
-    return router, int(visits[min(len(visits) - 1, int(np.ceil(recall * len(visits))))]) + 1
+class Partitions:
+    """Partitions of the vectors of one length, learned from a sample: where a row lies and which ones a query visits.
+
+    Nearness is the inner product throughout: the graph joins each vector, as a query, with the rows of largest
+    product. A row is placed by its direction and its length (a row of great length is near to many queries). A query
+    is placed by its direction alone; its network learns where the neighbours of the known vectors lie. `visits`
+    is the number of partitions in which held-out queries find `recall` of their neighbours.
+    """
+
+    def __init__(self, x, parts=PARTS, recall=RECALL, k=20):
+        x = np.unique(x, axis=0)
+        x = x[np.random.default_rng(3).permutation(len(x))]
+        self.parts = 2 ** int(np.log2(max(1, min(parts, len(x) // (4 * k)))))
+        self.visits = self.parts
+        if self.parts == 1:
+            return
+        held, known = x[:len(x) // 5], x[len(x) // 5:]
+        size = np.log(np.linalg.norm(known, axis=1))
+        self.scale = size.mean(), max(size.std(), 1e-6)
+        share = lambda part: np.eye(self.parts)[part]
+        part = balanced_partition(nearest_by_product(known, known, NEIGHBOURS, own=True), self.parts)
+        self.row_net = Router(self._placed(known), share(part))
+        home = self.homes(known)
+        near = home[nearest_by_product(known, known, k, own=True)]
+        self.query_net = Router(unit(known), np.stack([share(n).mean(axis=0) for n in near]))
+        turn = np.argsort(self._order(held), axis=1)
+        found = np.sort(np.take_along_axis(turn, home[nearest_by_product(held, known, k)], axis=1).ravel())
+        self.visits = int(found[min(len(found) - 1, int(np.ceil(recall * len(found))))]) + 1
+
+    def _placed(self, x):
+        size = np.log(np.linalg.norm(x, axis=1))
+        return np.column_stack((unit(x), (size - self.scale[0]) / self.scale[1]))
+
+    def _order(self, x):
+        return np.argsort(-self.query_net.probabilities(unit(x)), axis=1, kind="stable")
+
+    def homes(self, x):
+        """Partition of every row."""
+        if self.parts == 1:
+            return np.zeros(len(x), dtype=np.int64)
+        return self.row_net.probabilities(self._placed(x)).argmax(axis=1)
+
+    def visited(self, x, held, least):
+        """Partitions that every query visits, the most probable first: `visits`, and more until they hold `least` rows.
+        `held` is the number of rows of each partition."""
+        if self.parts == 1:
+            return [[0]] * len(x)
+        order = self._order(x)
+        enough = (np.cumsum(held[order], axis=1) < least).sum(axis=1) + 1
+        return [o[:max(self.visits, n)].tolist() for o, n in zip(order, enough)]
 
 
 def unit(x):
@@ -119,53 +164,78 @@ def _matrix(column):
     return flat.reshape(len(column), -1)
 
 
-def _routed(rows, router, probes):
-    """Rows once per partition among their `probes` most probable."""
+def _placed_by(rows, places):
+    """(key, v, parts) by a function that maps a matrix of vectors of one length to lists of partitions."""
     kind = rows.schema["key"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            p = router.value.probabilities(unit(_matrix(batch.column(1))))
-            top = np.argpartition(-p, probes - 1, axis=1)[:, :probes] if probes < p.shape[1] else np.tile(
-                np.arange(p.shape[1]), (len(p), 1))
-            index = pa.array(np.repeat(np.arange(len(p)), top.shape[1]))
-            again = batch.take(index)
-            yield pa.RecordBatch.from_arrays(
-                [again.column(0), again.column(1), pa.array(top.ravel(), pa.int32())], names=["key", "v", "part"])
+            if batch.num_rows:
+                parts = pa.array(places(_matrix(batch.column(1))), pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), parts], names=["key", "v", "parts"])
+
+    return rows.mapInArrow(run, f"key {kind}, v array<double>, parts array<bigint>")
+
+
+def _kept(rows):
+    """Rows of lengths that are searched exactly: one partition for each length, named below 0."""
+    return rows.select("key", "v", F.array(-F.size("v").cast("bigint")).alias("parts"))
+
+
+def _indexed_and_asked(spark, rows, queries, sample, parts, recall, lengths, k):
+    """Every row with its partition and every query with the partitions that it visits, as stored tables."""
+    counts = rows.groupBy(F.size("v").alias("size")).count().orderBy(F.col("count").desc(), "size").limit(
+        lengths + 1).collect()
+    learned, index, asked, seen = [r["size"] for r in counts[:lengths]], [], [], []
+    for i, size in enumerate(learned):
+        own = rows.where(F.size("v") == size)
+        fit = own.orderBy(F.xxhash64("key"), "key", "v").limit(sample).toPandas()
+        net = Partitions(np.array(fit["v"].tolist()), parts, recall, k)
+        shipped = spark.sparkContext.broadcast(net)  # bounded by the two small networks
+        first = i * parts
+        index.append(_placed_by(own, lambda x, n=shipped, f=first: [[f + h] for h in n.value.homes(x).tolist()]))
+        seen.append((own, shipped, net, first))
+    rest = rows.where(~F.size("v").isin(learned)) if len(counts) > lengths else None
+    if rest is not None:
+        index.append(_kept(rest))
+    index = tables.store(spark, reduce(DataFrame.unionByName, index).select(
+        "key", "v", F.col("parts")[0].alias("part")), "indexed")
+    held = {r["part"]: r["count"] for r in index.where("part >= 0").groupBy("part").count().collect()}  # lengths * parts
+    for own, shipped, net, first in seen:
+        size = np.array([held.get(first + p, 0) for p in range(net.parts)])
+
+        def places(x, n=shipped, f=first, size=size):
+            return [[f + p for p in visited] for visited in n.value.visited(x, size, k + 1)]
 
-    return rows.mapInArrow(run, f"key {kind}, v array<double>, part int")
+        asked.append(_placed_by(own.where(queries), places))
+    if rest is not None:
+        asked.append(_kept(rest.where(queries)))
+    return index, tables.store(spark, reduce(DataFrame.unionByName, asked), "asked")
 
 
 def search(spark, df, queries, key="vec_id", vector="embedding", k=20, sample=SAMPLE, parts=PARTS, recall=RECALL,
-           block=BLOCK):
+           block=BLOCK, lengths=LENGTHS):
     """(query_id, rank, key, score): the k rows of largest inner product found for every query, itself left out.
 
-    Fitted on at most `sample` vectors, the least by a hash of their key: a neighbour graph is cut in `parts` balanced
-    partitions and a small network learns them; vectors held out tell how many partitions a query must visit to find
-    `recall` of its neighbours. Every row is indexed under its most probable partition. A partition is searched in blocks of about `block`
-    vectors by `block` queries, so a hot partition is many tasks; each keeps the k best of its queries and the
-    best of these remain. Scores are sums of double products of the stored values; ties go to the smaller key.
+    Vectors meet those of their own number of components. For each of the `lengths` most frequent numbers at most
+    `sample` vectors, the least by a hash of their key, are learned from: a neighbour graph by inner product is cut in
+    `parts` balanced partitions, one small network learns them and another the partitions where a query's neighbours
+    lie; held-out queries tell how many partitions a query must visit to find `recall` of its neighbours. Vectors of rarer lengths are
+    searched exactly, a length by itself. Every row is indexed under its most probable partition. A partition is
+    searched in blocks of about `block` vectors by `block` queries, so a hot partition is many tasks; each keeps the k
+    best of its queries and the best of these remain. Scores are sums of double products of the stored values; ties
+    go to the smaller key.
 
-    Null, zero and non-finite vectors, and those of another length than the most frequent (the least of equals), take no part. Fewer
-    candidates than k give fewer rows. Rows that repeat a key are candidates like others, but never of a query of
-    that key. Other columns are not read. An empty table gives no rows.
+    Null, zero and non-finite vectors take no part. Fewer candidates than k give fewer rows. Rows that repeat a key are
+    candidates like others, but never of a query of that key. Other columns are not read. An empty table gives no rows.
     """
     rows = usable(df, key, vector)
     kind = rows.schema["key"].dataType.simpleString()
     schema = f"query_id {kind}, key {kind}, score double"
-    common = rows.groupBy(F.size("v").alias("size")).count().orderBy(F.col("count").desc(), "size").first()
-    if common is None:
+    if rows.isEmpty():
         return spark.createDataFrame([], f"query_id {kind}, rank int, {key} {kind}, score double")
-    rows = rows.where(F.size("v") == common["size"])
-    fit = rows.orderBy(F.xxhash64("key"), "key").limit(sample).toPandas()
-    x = np.unique(np.array(fit["v"].tolist()), axis=0)
-    x = unit(x)[np.random.default_rng(3).permutation(len(x))]
-    net, probes = fitted(x, parts, recall)
-    router = spark.sparkContext.broadcast(net)
-    indexed = tables.store(spark, _routed(rows, router, 1), "indexed")
-    asked = tables.store(spark, _routed(rows.where(queries), router, probes), "asked")
+    indexed, asked = _indexed_and_asked(spark, rows, queries, sample, parts, recall, lengths, k)
+    asked = asked.select("key", "v", F.explode("parts").alias("part"))
     sizes = indexed.groupBy("part").agg(F.ceil(F.count("*") / block).cast("int").alias("slabs")).join(
         asked.groupBy("part").agg(F.ceil(F.count("*") / block).cast("int").alias("crowds")), "part")
     own = lambda n: F.pmod(F.xxhash64("key"), F.col(n)).cast("int")

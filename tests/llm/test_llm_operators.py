@@ -473,3 +473,34 @@ def test_neighbours_few_or_none(spark):
     one = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5])], kind)
     assert [tuple(r) for r in ann.search(spark, one, F.col("key") % 20 == 0).collect()] == [(0, 1, 1, 0.5)]
     assert ann.search(spark, spark.createDataFrame([], kind), F.col("key") % 20 == 0).count() == 0
+
+
+def by_brute_force(rows, asked, k):
+    """{query: keys} of the largest inner products among vectors of the same length; ties to the smaller key."""
+    out = {}
+    for q, v in rows:
+        if q in asked:
+            scores = [(-float(np.dot(v, w)), i) for i, w in rows if i != q and len(w) == len(v)]
+            out[q] = [i for _, i in sorted(scores)[:k]]
+    return out
+
+
+def test_neighbours_of_every_length(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.standard_normal((6, 6, 6, 4, 4, 3)[i % 6]).tolist()) for i in range(240)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = collections.defaultdict(list)
+    for r in ann.search(spark, df, F.col("key") % 5 == 0, k=4, lengths=2, recall=1.0, block=16).orderBy("rank").collect():
+        got[r.query_id].append(r.vec_id)
+    assert got == by_brute_force(rows, set(range(0, 240, 5)), 4)
+
+
+def test_neighbours_recall_with_uneven_norms(spark):
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((3000, 16)) * np.exp(0.7 * rng.standard_normal(3000))[:, None]
+    rows = [(i, v) for i, v in enumerate(x.tolist())]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = ann.search(spark, df, F.col("key") % 20 == 0).toPandas().groupby("query_id").vec_id.agg(set)
+    want = by_brute_force(rows, set(range(0, 3000, 20)), 20)
+    assert all(len(got[q]) == 20 for q in want)
+    assert sum(len(got[q] & set(w)) for q, w in want.items()) >= 0.9 * 20 * len(want)
