@@ -12,6 +12,9 @@ from riskweave.operators import scoring as S
 from riskweave.operators import text as X
 from riskweave.operators.merge import flag_kev, union_feeds, upsert
 from riskweave.operators.ranking import latest, top_categories
+from riskweave.session import written
+from riskweave.sources import records as R
+from riskweave.sources.outputs import land_raw
 
 TEXT_ZEROS = {"doc_quality_score": 0.0, "security_guidance_score": 0.0, "trust_coverage_score": 0.0,
               "incident_sentiment_score": 0.0, "has_docs": False}
@@ -87,6 +90,29 @@ def ingest(target, feeds, kev, since=None, keys=("source", "advisory_id"), order
     return flag_kev(upsert(target, batch, list(keys), list(order)), kev)
 
 
+def ingest_records(target, landed, collected_at=None, since=None):
+    """Records of landed files into the vulnerability table, and those that were rejected.
+
+    `landed` maps feeds to (records, normaliser): records of `sources.records.read_records`, best written once since good
+    and broken ones are read apart. The catalogue that flags rows is the `kev` feed among them; a stored row whose
+    new record is broken keeps its state.
+    """
+    feeds = {name: normalise(R.accepted(records, collected_at)) for name, (records, normalise) in landed.items()}
+    kev = feeds["kev"] if "kev" in feeds else target.filter(F.col("source") == "kev")
+    return ingest(target, list(feeds.values()), kev, since), R.rejected(*[records for records, _ in landed.values()])
+
+
+def ingest_files(spark, target, landed, reject_path=None, multi_line=True, **options):
+    """Landed files into the vulnerability table. `landed` maps feeds to (path, normaliser). Files are parsed once;
+    rejected records are added below `reject_path`, by feed. Returns the table and the rejected records."""
+    read = {name: (written(spark, R.read_records(spark, path, name, multi_line), f"{name}-records"), normalise)
+            for name, (path, normalise) in landed.items()}
+    table, bad = ingest_records(target, read, **options)
+    if reject_path is not None:
+        land_raw(bad, reject_path, by=("feed",))
+    return table, bad
+
+
 def policy_scores(features, policy, as_of):
     """Score rows of a run under its policy, best first left to the report."""
     return S.score_run(features, policy, as_of)

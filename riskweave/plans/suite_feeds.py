@@ -9,8 +9,8 @@ from riskweave.operators import text as X
 from riskweave.plans import flow
 from riskweave.plans import oracle as O
 from riskweave.plans.suite_text import strip
-from riskweave.session import scratch_path
-from riskweave.sources import feeds, policies as P, tables as T
+from riskweave.session import scratch_path, written
+from riskweave.sources import feeds, policies as P, records as R, tables as T
 
 def text(c):
     return F.col(c).cast("string")
@@ -148,35 +148,44 @@ def ingest_all(spark, sf):
                       (F.length("raw_json") > 2).alias("recorded"))
 
 
-def epss_normalize(spark, sf):
-    e = T.read_table(spark, "orders", sf).select(
+def epss_rows(spark, sf):
+    return T.read_table(spark, "orders", sf).select(
         F.concat(F.lit("cve-"), text("o_orderkey")).alias("cve"),
         F.when(F.col("o_orderpriority") == "5-LOW", "n/a").otherwise(((F.col("o_custkey") % 100) / 100.0).cast("string")).alias("epss"))
-    return N.normalize_epss(e)
 
 
-def statuspage_normalize(spark, sf):
+def epss_normalize(spark, sf):
+    return N.normalize_epss(epss_rows(spark, sf))
+
+
+def statuspage_incidents(spark, sf):
     ev = T.read_table(spark, "events", sf)
     kind = F.col("event_type")
     end = F.col("ts") + F.make_dt_interval(mins=F.floor("value").cast("int"))
-    raw = ev.select(
+    return ev.select(
         text("event_id").alias("id"), F.lit("n").alias("name"), F.when(kind == "view", "").otherwise("closed").alias("status"),
         F.when(kind == "error", "critical").when(kind == "click", "minor").when(kind == "signup", "major").otherwise("none").alias("impact"),
         F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")).alias("created_at"),
         F.when(kind != "purchase", F.concat(F.date_format(end, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))).alias("resolved_at"),
         F.array(st(name=kind), st(name=text("user_id"))).alias("components"),
         F.array(st(status=kind, body=F.lit("b"))).alias("incident_updates"))
-    return flat_incidents(N.normalize_statuspage(raw, "acme"))
 
 
-def aws_normalize(spark, sf):
+def statuspage_normalize(spark, sf):
+    return flat_incidents(N.normalize_statuspage(statuspage_incidents(spark, sf), "acme"))
+
+
+def aws_events(spark, sf):
     ev = T.read_table(spark, "events", sf)
     kind = F.col("event_type")
-    raw = ev.select(
+    return ev.select(
         F.concat(F.lit("arn:aws:health::event/EC2/"), text("event_id")).alias("eventArn"),
         F.when(kind == "error", "issue").otherwise("note").alias("eventTypeCategory"), F.when(kind != "view", "open").alias("statusCode"),
         text("user_id").alias("startTime"), F.lit(None).cast("string").alias("endTime"), kind.alias("service"))
-    return flat_incidents(N.normalize_aws(raw, "aws"))
+
+
+def aws_normalize(spark, sf):
+    return flat_incidents(N.normalize_aws(aws_events(spark, sf), "aws"))
 
 
 def feed_atom(spark, sf):
@@ -212,15 +221,75 @@ def feed_salesforce(spark, sf):
     return flat_incidents(N.normalize_salesforce(feeds.read_salesforce(spark, path, whole=False), "salesforce"))
 
 
-def gcp_normalize(spark, sf):
+def gcp_incidents(spark, sf):
     ev = T.read_table(spark, "events", sf)
     kind = F.col("event_type")
-    raw = ev.select(
+    return ev.select(
         text("event_id").alias("id"), F.when(kind == "error", "high").otherwise("low").alias("severity"),
         F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00")).alias("begin"),
         F.when(kind == "view", F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))).alias("end"),
         F.array(kind, text("user_id")).alias("affected_products"))
-    return flat_incidents(N.normalize_gcp(raw))
+
+
+def gcp_normalize(spark, sf):
+    return flat_incidents(N.normalize_gcp(gcp_incidents(spark, sf)))
+
+
+def github_issue_items(spark, sf):
+    o = T.read_table(spark, "orders", sf)
+    return o.select(F.col("o_orderkey").alias("number"), F.lit("t").alias("title"), F.lit("open").alias("state"),
+                    F.array(st(name=F.col("o_orderpriority"))).alias("labels"))
+
+
+# items of each feed and the text that ends in their number
+LANDED = {
+    "nvd": (nvd_items, "cve.id"), "kev": (kev_entries, "cveID"), "ghsa": (ghsa_nodes, "advisory.ghsaId"),
+    "osv": (osv_records, "id"), "epss": (epss_rows, "cve"), "statuspage": (statuspage_incidents, "id"),
+    "aws": (aws_events, "eventArn"), "gcp": (gcp_incidents, "id"), "github_issues": (github_issue_items, "number")}
+
+
+def landed_records(spark, sf, feed):
+    """Documents of a feed, one per line, some of them broken, read back as records and written once.
+
+    By the item's number modulo 13: 3 is cut off, 5 has a second item that is no object, 7 has its list under another
+    field (where the feed has no envelope: is the bare object).
+    """
+    make, ident = LANDED[feed]
+    field = feeds.ENVELOPES[feed][0]
+    wrap = lambda body: F.concat(F.lit(f'{{"{field}":[' if field else "["), body, F.lit("]}" if field else "]"))
+    rest = F.regexp_extract(text(ident), r"(\d+)$", 1).try_cast("bigint") % 13
+    lines = make(spark, sf).select(rest.alias("rest"), F.to_json(F.struct("*")).alias("item")).select(
+        F.when(F.col("rest") == 3, F.regexp_replace(wrap(F.col("item")), "(?s).{3}$", ""))
+        .when(F.col("rest") == 5, wrap(F.concat("item", F.lit(',"no object"'))))
+        .when(F.col("rest") == 7, F.concat(F.lit('{"other":['), "item", F.lit("]}")) if field else F.col("item"))
+        .otherwise(wrap(F.col("item"))).alias("value"))
+    path = scratch_path(spark, feed)
+    lines.write.text(path)
+    return written(spark, R.read_records(spark, path, feed, multi_line=False), f"{feed}-records")
+
+
+def feed_records(spark, sf):
+    """Good and broken records of nine feeds."""
+    return R.record_counts(*[landed_records(spark, sf, feed) for feed in LANDED])
+
+
+def feed_rejects(spark, sf):
+    """Items that are no objects, with where they stood, and broken documents, of three feeds."""
+    bad = R.rejected(*[landed_records(spark, sf, feed) for feed in ("kev", "aws", "osv")])
+    return bad.groupBy("feed", "error", F.col("position").cast("bigint").alias("position"),
+                       F.when(F.col("error") == "item", F.col("raw")).alias("text")).agg(F.count("*").alias("n"))
+
+
+def ingest_files(spark, sf):
+    """Three feeds from landed files, some records broken, into a table with an older state of one."""
+    old = N.normalize_osv(N.with_record(osv_records(spark, sf)), "before", "PyPI")
+    table, _ = flow.ingest_records(old, {
+        "kev": (landed_records(spark, sf, "kev"), N.normalize_kev),
+        "ghsa": (landed_records(spark, sf, "ghsa"), N.normalize_ghsa),
+        "osv": (landed_records(spark, sf, "osv"), lambda raw: N.normalize_osv(raw, "acme", "PyPI"))},
+        collected_at="2024-02-01 00:00:00")
+    return table.select("source", "advisory_id", "cve_id", "service_name", F.col("is_kev").cast("bigint").alias("is_kev"),
+                        F.coalesce(F.col("collected_at").isNotNull(), F.lit(False)).alias("collected"))
 
 
 def policy_files(spark, sf):
@@ -272,7 +341,7 @@ def github_activity(spark, sf):
 QUERIES = {f.__name__: f for f in (
     nvd_normalize, feed_json, nested_filter, kev_normalize, ghsa_normalize, osv_normalize, epss_normalize, statuspage_normalize,
     aws_normalize, feed_atom, feed_salesforce, gcp_normalize, policy_files,
-    incident_texts, advisory_texts, github_activity, ingest_all)}
+    incident_texts, advisory_texts, github_activity, ingest_all, feed_records, feed_rejects, ingest_files)}
 
 
 def oracles():
@@ -359,4 +428,25 @@ def oracles():
     made["ingest_all"] = f"""WITH u AS ({feeds_}), kv AS (SELECT 'CVE-' || CAST(o_orderkey AS VARCHAR) AS id FROM orders
  WHERE o_orderpriority = '1-URGENT') SELECT source, advisory_id, cve_id, service_name,
  CAST(CASE WHEN cve_id IN (SELECT id FROM kv) THEN 1 ELSE is_kev END AS BIGINT) AS is_kev, true AS recorded FROM u"""
+    keys = {"nvd": ("l_linenumber", "lineitem", "l_linenumber <> 7"), "osv": ("p_partkey", "part", "true"),
+            "kev": ("o_orderkey", "orders", "o_orderstatus <> 'P'")}
+    keys |= {f: ("o_orderkey", "orders", "true") for f in ("ghsa", "epss", "github_issues")}
+    keys |= {f: ("event_id", "events", "true") for f in ("statuspage", "aws", "gcp")}
+    states = []
+    for feed, (key, table, numbered) in keys.items():
+        seven = "['envelope']" if feeds.ENVELOPES[feed][0] else "['accepted']"
+        states.append(f"""SELECT '{feed}' AS feed, unnest(CASE k WHEN 3 THEN ['document'] WHEN 5 THEN ['accepted', 'item']
+ WHEN 7 THEN {seven} ELSE ['accepted'] END) AS error FROM (SELECT CASE WHEN {numbered} THEN {key} % 13 END AS k FROM {table})""")
+    all_states = " UNION ALL ".join(states)
+    made["feed_records"] = f"SELECT feed, error, count(*) AS n FROM ({all_states}) GROUP BY 1, 2"
+    made["feed_rejects"] = f"""SELECT feed, error, CAST(CASE WHEN error = 'item' THEN 1 ELSE -1 END AS BIGINT) AS position,
+ CASE WHEN error = 'item' THEN 'no object' END AS text, count(*) AS n FROM ({all_states})
+ WHERE error <> 'accepted' AND feed IN ('kev', 'aws', 'osv') GROUP BY 1, 2"""
+    num = "CAST(regexp_extract(advisory_id, '([0-9]+)$', 1) AS BIGINT) % 13"
+    made["ingest_files"] = f"""WITH k AS (SELECT {ids}, true AS collected FROM ({made["kev_normalize"]}) WHERE {num} NOT IN (3, 7)),
+ g AS (SELECT {ids}, true AS collected FROM ({made["ghsa_normalize"]}) WHERE {num} NOT IN (3, 7)),
+ o AS (SELECT source, advisory_id, cve_id, CASE WHEN {num} = 3 THEN 'before' ELSE service_name END AS service_name, is_kev,
+ {num} <> 3 AS collected FROM ({made["osv_normalize"]})), u AS (SELECT * FROM k UNION ALL SELECT * FROM g UNION ALL SELECT * FROM o)
+ SELECT source, advisory_id, cve_id, service_name, CAST(CASE WHEN cve_id IN (SELECT cve_id FROM k) THEN 1 ELSE is_kev END AS BIGINT) AS is_kev,
+ collected FROM u"""
     return made

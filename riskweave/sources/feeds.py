@@ -92,7 +92,7 @@ def read_salesforce(spark, path, whole=True):
     One document per file, or with `whole=False` one per line.
     """
     items = f"array<{as_struct(SALESFORCE_INCIDENT)}>"
-    text = spark.read.option("wholetext", str(whole).lower()).text(path)
+    text = spark.read.text(path, wholetext=whole)
     doc = text.select(F.try_parse_json("value").alias("v"))
     pick = lambda where: F.try_variant_get("v", where, "variant")
     body = F.coalesce(pick("$.data"), pick("$.incidents"), F.col("v"))

@@ -67,6 +67,11 @@ def test_salesforce_shapes(spark, doc):
     assert rows(N.normalize_salesforce(feeds.read_feed(spark, path, "salesforce"), "s"), "incident_id", "status") == [("1", "investigating")]
 
 
+def test_salesforce_document_over_several_lines(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"data":\n [{"id":"1"},\n {"id":"2"}]}\n')
+    assert sorted(rows(feeds.read_feed(spark, str(tmp_path), "salesforce"), "id")) == [("1",), ("2",)]
+
+
 @pytest.mark.parametrize("feed,doc,want", [
     ("nvd", '{"vulnerabilities":[{"cve":{"id":"a"}},{"cve":{"id":"b"}}]}', 2), ("kev", '{"vulnerabilities":[{"cveID":"a"}]}', 1),
     ("epss", '{"data":[{"cve":"a","epss":"0.5"}]}', 1), ("gcp", '[{"id":"1"},{"id":"2"}]', 2), ("osv", '{"id":"x"}', 1),
