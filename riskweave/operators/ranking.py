@@ -95,9 +95,13 @@ def top_by_volume(vulns, k):
     )
 
 
-def minmax(df, col, eps=1e-9, name="scaled"):
-    """(x - min) / (max - min + eps) over the whole frame; the extremes come as a scalar subquery."""
-    ends = df.agg(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi")).alias("e")).scalar()
+def minmax(df, col, eps=1e-9, name="scaled", ends=None):
+    """(x - min) / (max - min + eps) over the whole frame. The extremes are `ends`, if they are known, or else a
+    scalar subquery, which computes the frame once more."""
+    if ends is None:
+        ends = df.agg(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi")).alias("e")).scalar()
+    else:
+        ends = F.struct(*[F.lit(v).cast(df.schema[col].dataType).alias(n) for n, v in zip(("lo", "hi"), ends)])
     return (
         df.withColumn("_e", ends)
         .withColumn(name, (F.col(col) - F.col("_e.lo")) / (F.col("_e.hi") - F.col("_e.lo") + F.lit(eps)))

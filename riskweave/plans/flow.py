@@ -12,7 +12,7 @@ from riskweave.operators import scoring as S
 from riskweave.operators import text as X
 from riskweave.operators.merge import flag_kev, union_feeds, upsert
 from riskweave.operators.ranking import latest, top_categories
-from riskweave.session import written
+from riskweave.session import written, written_with
 from riskweave.sources import records as R
 from riskweave.sources.outputs import land_raw
 
@@ -126,3 +126,13 @@ def model_frame(vulns, repo, incidents, entity_order, top, thresholds=C.HIGH_RIS
                          A.vuln_agg(vulns, casefold, names))
     df = M.high_risk(M.compound_features(df), thresholds)
     return M.encode_flags(M.encode(df, ["ecosystem", "vendor"])) if codes else df
+
+
+def settled_frame(spark, df, scaled=()):
+    """A model frame written once: (table, maxima for the drill-down, {column: (least, greatest)} of `scaled`).
+
+    The extremes are taken while it is written, so reports compute the frame once however many of them they need.
+    """
+    ends = {f"{c}|{n}": f(c) for c in scaled for n, f in (("lo", F.min), ("hi", F.max))}
+    table, facts = written_with(spark, df, "frame", **M.scale_facts(), **ends)
+    return table, {n: facts[n] for n in M.SCALED_BY_MAX}, {c: (facts[f"{c}|lo"], facts[f"{c}|hi"]) for c in scaled}

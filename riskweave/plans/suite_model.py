@@ -98,10 +98,16 @@ def weighted_features(spark, sf):
     return df.select("service_name", *[f for f in C.MODEL_FEATURES if not f.endswith("_enc")])
 
 
+def settled(spark, sf):
+    """The frame written once, with the maxima and ends that drill-down and scaling need."""
+    return flow.settled_frame(spark, frame(spark, sf), ("mean_epss",))
+
+
 def scored(spark, sf):
     """The frame with a simple stand-in score, so that reports can be checked without a fitted model."""
-    df = frame(spark, sf).withColumn("lr_risk_score", F.col("mean_cvss") / 10.0)
-    df = R.minmax(df, "mean_epss", name="anomaly_score")
+    df, _, ends = settled(spark, sf)
+    df = R.minmax(df.withColumn("lr_risk_score", F.col("mean_cvss") / 10.0), "mean_epss", name="anomaly_score",
+                  ends=ends["mean_epss"])
     return df.withColumns({"anomaly_flag": (F.col("anomaly_score") >= 0.5).cast("int"),
                            "risk_level": risk.risk_band("lr_risk_score", 0.5, 0.52)})
 
@@ -122,11 +128,13 @@ def label_band_counts(spark, sf):
 
 
 def risk_area_drilldown(spark, sf):
-    return M.risk_areas(frame(spark, sf), WEIGHTS)
+    df, maxima, _ = settled(spark, sf)
+    return M.risk_areas(df, WEIGHTS, maxima)
 
 
 def risk_drivers_top10(spark, sf):
-    d = M.risk_drivers(frame(spark, sf), WEIGHTS)
+    df, maxima, _ = settled(spark, sf)
+    d = M.risk_drivers(df, WEIGHTS, maxima=maxima)
     return longs(d.select("service_name", "area", "feature", "value", "weighted", "rank", "level"), "rank")
 
 

@@ -5,7 +5,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -61,6 +61,16 @@ def written(spark, df, label):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written_with(spark, df, label, **facts):
+    """As `written`, with aggregates over all rows taken while they are written: (table, {name: value}).
+
+    A task that runs twice may be seen twice, so the facts should be ones that this does not change, such as extremes.
+    """
+    seen = Observation()
+    table = written(spark, df.observe(seen, *[column.alias(name) for name, column in facts.items()]), label)
+    return table, seen.get
+
+
 TASK_BYTES = 32 << 20
 
 

@@ -12,6 +12,8 @@ from riskweave.models import isolation as I
 from riskweave.models import metrics as Q
 from riskweave.models import training as L
 from riskweave.operators import model_features as M
+from riskweave.operators import ranking as R
+from riskweave.plans import flow
 
 WEIGHTS = dict(zip(C.RISK_CATEGORIES, (.3, .2, .2, .1, .1, .1)))
 
@@ -61,6 +63,31 @@ def test_risk_areas_against_plain_python(spark, frame):
     assert ("s1", "CWE-79", "Cross-Site Scripting (XSS)") in named and not any(c == "CWE-1" for _, c, _ in named)
 
 
+def scans(df):
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return plan.count("Relation ") + plan.count("LogicalRDD")
+
+
+def test_settled_frame_is_read_once_and_gives_the_same(spark, frame):
+    _, _, df = frame
+    table, maxima, ends = flow.settled_frame(spark, df, ("mean_epss",))
+    assert maxima == {n: df.agg(F.max(n)).first()[0] for n in M.SCALED_BY_MAX}
+    assert ends == {"mean_epss": tuple(df.agg(F.min("mean_epss"), F.max("mean_epss")).first())}
+    for make in (M.risk_areas, M.risk_drivers):
+        once = make(table, WEIGHTS, maxima=maxima)
+        assert sorted(once.collect()) == sorted(make(df, WEIGHTS).collect())
+        assert scans(once) == 1 and "scalar-subquery" not in once._jdf.queryExecution().optimizedPlan().toString()
+    scaled = R.minmax(table, "mean_epss", ends=ends["mean_epss"])
+    assert scans(scaled) == 1 and sorted(scaled.collect()) == sorted(R.minmax(df, "mean_epss").collect())
+
+
+def test_settled_frame_without_rows(spark, frame):
+    _, _, df = frame
+    table, maxima, ends = flow.settled_frame(spark, df.limit(0), ("mean_epss",))
+    assert set(maxima.values()) == {None} and ends == {"mean_epss": (None, None)}
+    assert M.risk_areas(table, WEIGHTS, maxima).count() == 0 == R.minmax(table, "mean_epss", ends=ends["mean_epss"]).count()
+
+
 def test_names_and_weights(spark):
     names = spark.createDataFrame([("cwe_id_CWE-79,CWE-9",), ("open_vulns",), ("x",)], "feature string")
     assert [r[0] for r in rows(M.with_display_names(names), "display")] == [
