@@ -9,7 +9,7 @@ from riskweave.models import isolation as I
 from riskweave.models import metrics as Q
 from riskweave.models import training as L
 from riskweave.plans import oracle as O
-from riskweave.plans.suite_model import WEIGHTS, frame
+from riskweave.plans.suite_model import FRAME_CTES, WEIGHTS, frame
 from riskweave.plans.suite_tables import UPDATE_ORDER, catalogue
 from riskweave.session import scratch_path, written
 from riskweave.sources import tables as T
@@ -31,7 +31,10 @@ def prepared(spark, sf):
 
 def model_scores(spark, sf):
     """Logistic regression score, band and anomaly score of every service."""
-    df, _ = prepared(spark, sf)
+    return scored_services(prepared(spark, sf)[0])
+
+
+def scored_services(df):
     train, _ = L.stratified_split(df, "label", KEY)
     train = L.balance(train.drop("class_weight"))  # weights of the rows that are fitted
     scored = L.with_score(L.lr_pipeline(train.count()).fit(train), df, "lr_risk_score")
@@ -85,6 +88,27 @@ def isolation_trees(spark, sf):
     return I.fit_iforest(df)
 
 
+def isolation_facts(spark, sf):
+    """Rows at the root and in the leaves of every tree: each tree divides its whole sample."""
+    root, leaf = F.col("node") == 0, F.col("left").isNull() | (F.col("left") < 0)
+    rows_in = lambda which: F.coalesce(F.sum(F.when(which, F.col("size"))), F.lit(0)).cast("bigint")
+    return isolation_trees(spark, sf).groupBy(F.col("tree").cast("bigint").alias("tree")).agg(
+        rows_in(root).alias("root_rows"), rows_in(leaf).alias("leaf_rows"))
+
+
+def model_facts(spark, sf):
+    """What holds of logistic regression and anomaly scores whatever the fit: a row per service, values in range,
+    positives ranked above negatives more often than by chance."""
+    df, _ = prepared(spark, sf)
+    scores = scored_services(df).join(df.select("service_name", "label"), "service_name")
+    inside = lambda c: F.col(c).between(0.0, 1.0)
+    area = Q.rank_auc(scores, "lr_risk_score", "label").select("auc").scalar()
+    return scores.agg(
+        F.count("*").alias("services"), F.bool_and(inside("lr_risk_score")).alias("scores_inside"),
+        F.bool_and(inside("anomaly_score")).alias("anomalies_inside"),
+        F.count_if(F.col("risk_level").isNull()).alias("without_level")).withColumn("ranks", area > 0.5)
+
+
 STREAM_COLS = ("source", "advisory_id", "cve_id", "service_name", "severity", "cvss_v3_score", "epss_score", "is_kev", "published_at")
 
 
@@ -149,7 +173,7 @@ def flag_stream(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     model_scores, forest_importances, boosted_scores, boosted_importances, neural_scores, cross_validation, standardized, split_sizes,
-    isolation_trees, landed_stream, dedup_stream, upsert_stream, catalogue_growth_stream, flag_stream)}
+    isolation_trees, isolation_facts, model_facts, landed_stream, dedup_stream, upsert_stream, catalogue_growth_stream, flag_stream)}
 
 
 def oracles():
@@ -157,7 +181,16 @@ def oracles():
     kv = "kv AS (SELECT DISTINCT 'CVE-' || CAST(o_orderkey AS VARCHAR) AS cve_id FROM orders WHERE o_orderpriority = '1-URGENT')"
     order = ", ".join(f"{c} DESC" for c in UPDATE_ORDER)
     flag = "CASE WHEN cve_id IN (SELECT cve_id FROM kv) THEN 1 ELSE is_kev END"
+    label = """lab AS (SELECT service_name, CAST(mean_epss >= (SELECT quantile_disc(mean_epss, 0.5) FROM fr) AS DOUBLE) AS label FROM fr),
+ n AS (SELECT label, count(*) AS n, (SELECT count(*) FROM lab) AS everyone FROM lab GROUP BY label),
+ s AS (SELECT label, n, everyone < 20 AS few, CAST(round(n * 0.3) AS BIGINT) AS test FROM n)"""
     return {
+        "split_sizes": O.with_(*FRAME_CTES, label) + """ SELECT label, n, part FROM (SELECT label, CASE WHEN few THEN n ELSE n - test END AS n, 'train' AS part
+ FROM s UNION ALL SELECT label, CASE WHEN few THEN n ELSE test END, 'test' FROM s) WHERE n > 0""",
+        "isolation_facts": O.with_(*FRAME_CTES) + """ SELECT tree, least(256, n) AS root_rows, least(256, n) AS leaf_rows
+ FROM range(100) t(tree), (SELECT count(*) AS n FROM fr)""",
+        "model_facts": O.with_(*FRAME_CTES) + """ SELECT count(*) AS services, true AS scores_inside, true AS anomalies_inside,
+ CAST(0 AS BIGINT) AS without_level, true AS ranks FROM fr""",
         "landed_stream": O.with_(O.VULN) + " SELECT source, count(*) AS n FROM vuln GROUP BY source",
         "dedup_stream": O.with_(O.VULN) + " SELECT DISTINCT source, advisory_id FROM vuln",
         "upsert_stream": O.with_(O.VULN, kv) + f""" SELECT source, advisory_id, service_name, cvss_v3_score, CAST({flag} AS BIGINT) AS is_kev FROM vuln

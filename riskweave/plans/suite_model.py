@@ -318,8 +318,11 @@ def label_case(col):
 LEVEL = "CASE WHEN {0} >= 0.7::DOUBLE THEN 'HIGH' WHEN {0} >= 0.4::DOUBLE THEN 'MEDIUM' ELSE 'LOW' END AS level"
 
 
+FRAME_CTES = [O.VULN, O.INC, O.REPO, ENT, RAGG, IAGG, VAGG, FRAME]
+
+
 def oracles():
-    fr = [O.VULN, O.INC, O.REPO, ENT, RAGG, IAGG, VAGG, FRAME]
+    fr = FRAME_CTES
     frame_sql, scored_sql = O.with_(*fr), O.with_(*fr, SCORED)
     wts = M.feature_weights([f for f in C.MODEL_FEATURES if not f.endswith("_enc")], WEIGHTS)
     area_rows, driver_rows, pos = [], [], 0
