@@ -131,7 +131,7 @@ def model_frame(vulns, repo, incidents, entity_order, top, thresholds=C.HIGH_RIS
 def settled_frame(spark, df, scaled=()):
     """A model frame written once: (table, maxima for the drill-down, {column: (least, greatest)} of `scaled`).
 
-    The extremes are taken while it is written, so reports compute the frame once however many of them they need.
+    The extremes are read from the written columns, so reports compute the frame once however many of them they need.
     """
     ends = {f"{c}|{n}": f(c) for c in scaled for n, f in (("lo", F.min), ("hi", F.max))}
     table, facts = written_with(spark, df, "frame", **M.scale_facts(), **ends)

@@ -100,7 +100,7 @@ def model_facts(spark, sf):
     """What holds of logistic regression and anomaly scores whatever the fit: a row per service, values in range,
     positives ranked above negatives more often than by chance."""
     df, _ = prepared(spark, sf)
-    scores = scored_services(df).join(df.select("service_name", "label"), "service_name")
+    scores = written(spark, scored_services(df).join(df.select("service_name", "label"), "service_name"), "scores")
     inside = lambda c: F.col(c).between(0.0, 1.0)
     area = Q.rank_auc(scores, "lr_risk_score", "label").select("auc").scalar()
     return scores.agg(

@@ -5,7 +5,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -62,13 +62,13 @@ def written(spark, df, label):
 
 
 def written_with(spark, df, label, **facts):
-    """As `written`, with aggregates over all rows taken while they are written: (table, {name: value}).
+    """As `written`, with aggregates over all rows of the written table: (table, {name: value}).
 
-    A task that runs twice may be seen twice, so the facts should be ones that this does not change, such as extremes.
+    They are read from the table and not observed while it is written: a session that has observed once holds a part that
+    cannot be serialised, and later jobs that ship the session fail.
     """
-    seen = Observation()
-    table = written(spark, df.observe(seen, *[column.alias(name) for name, column in facts.items()]), label)
-    return table, seen.get
+    table = written(spark, df, label)
+    return table, table.agg(*[column.alias(name) for name, column in facts.items()]).first().asDict()
 
 
 TASK_BYTES = 32 << 20
