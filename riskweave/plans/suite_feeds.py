@@ -10,7 +10,7 @@ from riskweave.plans import flow
 from riskweave.plans import oracle as O
 from riskweave.plans.suite_text import strip
 from riskweave.session import scratch_path, written
-from riskweave.sources import feeds, policies as P, records as R, tables as T
+from riskweave.sources import feeds, outputs as S, policies as P, records as R, tables as T
 
 def text(c):
     return F.col(c).cast("string")
@@ -70,7 +70,7 @@ def nvd_normalize(spark, sf):
 def feed_json(spark, sf):
     """The same items through landed files: one envelope per line, read back and normalised."""
     path = scratch_path(spark, "nvd")
-    nvd_items(spark, sf).select(F.array(st(cve=F.col("cve"))).alias("vulnerabilities")).write.json(path)
+    S.land_payloads(nvd_items(spark, sf).select(F.array(st(cve=F.col("cve"))).alias("vulnerabilities")), path, "json")
     return flat_vulns(N.normalize_nvd(feeds.read_feed(spark, path, "nvd", multi_line=False), "acme"))
 
 
@@ -217,7 +217,7 @@ def feed_salesforce(spark, sf):
     doc = F.when(F.col("o_orderstatus") == "O", F.to_json(one)).when(F.col("o_orderstatus") == "F", F.to_json(st(data=one))).otherwise(
         F.to_json(st(incidents=one)))
     path = scratch_path(spark, "salesforce")
-    o.select(doc.alias("value")).write.text(path)
+    S.land_payloads(o.select(doc.alias("value")), path)
     return flat_incidents(N.normalize_salesforce(feeds.read_salesforce(spark, path, whole=False), "salesforce"))
 
 
