@@ -264,8 +264,8 @@ def landed_records(spark, sf, feed):
         .when(F.col("rest") == 7, F.concat(F.lit('{"other":['), "item", F.lit("]}")) if field else F.col("item"))
         .otherwise(wrap(F.col("item"))).alias("value"))
     path = scratch_path(spark, feed)
-    lines.write.text(path)
-    return written(spark, R.read_records(spark, path, feed, multi_line=False), f"{feed}-records")
+    S.land_payloads(lines, path)
+    return written(spark, R.read_records(spark, path, feed, multi_line=False), f"{feed}-records", compression="zstd")
 
 
 def feed_records(spark, sf):

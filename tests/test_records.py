@@ -1,10 +1,11 @@
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from riskweave.operators import normalize as N
-from riskweave.plans import flow
+from riskweave.plans import flow, suite_feeds
 from riskweave.session import scratch_path, written
-from riskweave.sources import feeds
+from riskweave.sources import feeds, outputs
 from riskweave.sources import records as R
 
 
@@ -89,3 +90,24 @@ def test_ingest_files_keeps_state_of_broken_rows_and_lands_rejects(spark, tmp_pa
     assert bad.count() == 2
     again = spark.read.schema("file string, position int, error string, raw string, feed string").json(rejects)
     assert sorted(rows(again, "feed", "error", "position", "raw")) == [("kev", "item", 0 + 1, "false"), ("osv", "document", -1, '{"id":"CVE-2"')]
+
+
+def folder_bytes(path):
+    return sum(f.stat().st_size for f in path.rglob("*") if f.is_file())
+
+
+def test_landed_payloads_take_less_disk_than_the_items_text(spark, tmp_path, monkeypatch):
+    items = spark.range(4000).select(
+        F.col("id").alias("l_orderkey"), (F.col("id") % 7 + 1).cast("int").alias("l_linenumber"), F.col("id").alias("l_partkey"),
+        (F.col("id") % 100).alias("l_suppkey"), (F.col("id") % 50).cast("double").alias("l_quantity"),
+        F.lit("A").alias("l_returnflag"), F.lit("F").alias("l_linestatus"), F.lit("1998-01-02").cast("timestamp_ntz").alias("l_shipdate"))
+    items.write.parquet(str(tmp_path / "lineitem.parquet"))
+    folders = iter("abc")
+    monkeypatch.setattr(suite_feeds, "scratch_path", lambda spark, label: str(tmp_path / next(folders)))
+    monkeypatch.setattr(outputs, "PACKED_ROWS", 1000)
+    text = suite_feeds.nvd_items(spark, str(tmp_path)).select(F.sum(F.length(F.to_json("cve")))).first()[0]
+    assert suite_feeds.feed_json(spark, str(tmp_path)).count() == 4000 - 4000 // 7
+    assert R.record_counts(suite_feeds.landed_records(spark, str(tmp_path), "nvd")).agg(F.sum("n")).first()[0] > 4000
+    for made in "ab":
+        assert folder_bytes(tmp_path / made) < text / 8
+        assert len(list((tmp_path / made).glob("part-*"))) >= 4
