@@ -51,8 +51,7 @@ class Shape:
 
 
 def sigmoid(x):
-    """The logistic function, in the place of x."""
-    x *= 0.5
+    """The logistic function of twice x, in the place of x."""
     np.tanh(x, out=x)
     x += 1
     x *= 0.5
@@ -62,10 +61,13 @@ def sigmoid(x):
 def steps(p, x, h, keep=None):
     """States after each of the T inputs of x (T, B); `keep` collects what the gradient needs. Gates stand apart: z, r, n."""
     out = np.empty((len(x), *h.shape), dtype=F32)
-    given, live = np.matmul(p["E"][x][:, None], p["W"]), (x != END).astype(h.dtype)
+    live = (x != END).astype(h.dtype)
+    halves = np.array([0.5, 0.5, 1], dtype=F32)[:, None, None]  # gates take half of their sums, which is exact
+    given, R, ends = np.matmul(p["E"][x][:, None], p["W"] * halves), p["R"] * halves, (live == 0).any(axis=1).tolist()
     for t in range(len(x)):
-        h = h * live[t][:, None]
-        g, a = given[t], np.matmul(h, p["R"])
+        if ends[t]:
+            h = h * live[t][:, None]
+        g, a = given[t], np.matmul(h, R)
         gate = g[:2]
         gate += a[:2]
         z, r = sigmoid(gate)
@@ -136,6 +138,8 @@ def window_gradient(p, shape, x, y, h):
     back = back.reshape(T, B, H)
     dg = np.empty((T, 3, B, H), dtype=F32)
     R, dR, after = p["R"].transpose(0, 2, 1), np.zeros_like(p["R"]), np.zeros((B, H), dtype=F32)
+    live = (x != END).astype(F32)
+    ends = (live == 0).any(axis=1).tolist()
     for t in range(T - 1, -1, -1):
         before, a_n, z, r, n = keep[t]
         dh = back[t] + after
@@ -153,7 +157,8 @@ def window_gradient(p, shape, x, y, h):
         dR += np.matmul(before.T, da)
         after = dh * z
         after += np.matmul(da, R).sum(axis=0)
-        after *= (x[t] != END)[:, None]
+        if ends[t]:
+            after *= live[t][:, None]
     flat = x.reshape(-1)
     grads["R"], grads["E"] = dR, np.zeros_like(p["E"])
     grads["W"] = np.matmul(p["E"][x].transpose(0, 2, 1)[:, None], dg).sum(axis=0)

@@ -183,6 +183,20 @@ def texts_of(batch, bands, loo):
     return np.insert(flat, stops, gru.END), stops + np.arange(1, len(sizes) + 1)
 
 
+def chunks_of(batches, tokens):
+    """Batches put together until they hold `tokens` tokens or more: a long text then keeps its lane busy once for many others."""
+    held, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += len(batch.column("units").flatten()) + batch.num_rows
+        if size >= tokens:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def averaged(spark, sequences, turn, flat, shape, rate):
     """Parameters after the texts of one pass: each task trains from `flat`, results are averaged by tokens.
 
@@ -271,9 +285,7 @@ def score_texts(spark, docs, key="doc_id", text="text", head=HEAD, known=KNOWN):
         T.StructField(n, T.DoubleType()) for n in ("base_score", "score")]])
 
     def judge(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in chunks_of(batches, CHUNK):
             stream, stops = texts_of(batch, shape.bands, loo=False)
             found = gru.score(model.value, shape, np.split(stream, stops[:-1]))
             sizes = np.diff(np.concatenate(([0], stops)))

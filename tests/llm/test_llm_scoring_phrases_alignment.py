@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -240,3 +241,20 @@ def test_empty_tables(spark, none):
     assert language_model.score_texts(spark, none).count() == 0
     assert phrases.collocations(spark, none).count() == 0
     assert alignment.align(spark, none, lambda: alignment.ByteLevel(FIRST), lambda: alignment.Pieces(SECOND)).count() == 0
+
+
+def test_texts_of_short_batches_are_scored_together():
+    rng, shape = np.random.default_rng(5), gru.Shape(4, 40, 8, 16, 16)
+    flat = shape.initial(np.ones(shape.classes), np.arange(40, 0, -1))
+    flat += rng.normal(0, 0.1, len(flat)).astype(np.float32)
+    texts = [rng.integers(1, shape.units, n).tolist() for n in (0, 3, 700, 5, 1, 90, 2, 0, 60)]
+    batch = lambda ids: pa.RecordBatch.from_arrays(
+        [pa.array(ids, pa.int64()), pa.array([texts[i] for i in ids], pa.list_(pa.int32()))], names=["k", "units"])
+    dealt = [batch([0, 1]), batch([]), batch([2]), batch([3, 4, 5]), batch([6]).slice(0, 0), batch([6, 7, 8])]
+    whole = list(language_model.chunks_of(iter(dealt), 1 << 20))
+    assert [b.column("k").to_pylist() for b in whole] == [list(range(9))]
+    parts = list(language_model.chunks_of(iter(dealt), 100))
+    assert [b.column("k").to_pylist() for b in parts] == [[0, 1, 2], [3, 4, 5, 6, 7, 8]]
+    assert list(language_model.chunks_of(iter([batch([])]), 100)) == []
+    score = lambda b: gru.score(flat, shape, [np.array([*u, gru.END]) for u in b.column("units").to_pylist()])
+    np.testing.assert_allclose(np.concatenate([score(b) for b in parts]), score(whole[0]), rtol=1e-5)
