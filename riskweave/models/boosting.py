@@ -3,7 +3,7 @@
 import dataclasses
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -92,6 +92,31 @@ def drawn(hashes, tree, s):
     return ((z ^ (z >> np.uint64(31))) >> np.uint64(11)).astype(float) < s.rows * 2.0 ** 53
 
 
+def matrix(column, width):
+    """A column of lists of one length as the rows of a matrix, without a Python object for each number."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), width)
+
+
+def lists(rows, kind):
+    """A matrix as a column of lists."""
+    stops = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
+    return pa.ListArray.from_arrays(pa.array(stops, pa.int32()), pa.array(rows.reshape(-1), kind))
+
+
+def gathered(batches, rows=1 << 14):
+    """Batches put together to about `rows` rows, so that the work of a batch is not lost in its calls."""
+    held, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.num_rows
+        if size >= rows:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 @dataclasses.dataclass
 class Boosted:
     edges: list
@@ -134,11 +159,15 @@ def fit(df, key, label="label", fold=None, folds=1, settings=None):
     seen = lambda m, y: sum(n for (f, v), n in counts.items() if f != m and v == y)
     weight = [seen(m, 0.0) / seen(m, 1.0) if seen(m, 1.0) and seen(m, 0.0) else 1.0 for m in range(folds)]
 
+    def state_of(batch, bins, margins):
+        return pa.RecordBatch.from_arrays([
+            *[batch.column(c) for c in ("_h", "_y", "_fold")], lists(bins, pa.int32()), lists(margins, pa.float64())],
+            names=["_h", "_y", "_fold", "_b", "_m"])
+
     def prepared(batches):
-        for pdf in batches:
-            x = np.array(pdf.pop("_x").tolist(), dtype=float).reshape(len(pdf), width)
-            pdf["_b"], pdf["_m"] = list(binned(x, edges).astype(np.int32)), list(np.zeros((len(pdf), folds)))
-            yield pdf
+        for batch in gathered(batches):
+            bins = binned(matrix(batch.column("_x"), width).astype(float), edges).astype(np.int32)
+            yield state_of(batch, bins, np.zeros((len(bins), folds)))
 
     state = "_h bigint, _y double, _fold int, _b array<int>, _m array<double>"
     trees = [[] for _ in range(folds)]
@@ -146,11 +175,11 @@ def fit(df, key, label="label", fold=None, folds=1, settings=None):
         return Boosted(edges, trees, s)
     extent = sum(counts.values()), 8 * (width + folds)
     small, alone = packed(flat, *extent), tasks_for(*extent) == 1  # one task's sums need no shuffle
-    table, since = written(spark, small.mapInPandas(prepared, state), "boost-state"), 0
+    table, since = written(spark, small.mapInArrow(prepared, state), "boost-state"), 0
 
-    def margins_of(pdf, fresh):
-        bins = np.array(pdf["_b"].tolist(), dtype=int)
-        margins = np.array(pdf["_m"].tolist(), dtype=float)
+    def margins_of(batch, fresh):
+        bins = matrix(batch.column("_b"), width).astype(int)
+        margins = matrix(batch.column("_m"), folds).astype(float)
         for m, done in enumerate(fresh):
             for t in done:
                 margins[:, m] += s.rate * t.value[t.leaves(bins)]
@@ -162,9 +191,10 @@ def fit(df, key, label="label", fold=None, folds=1, settings=None):
 
         def run(batches):
             sums = np.zeros((folds, nodes, width, s.bins, 2))
-            for pdf in batches:
-                bins, margins = margins_of(pdf, fresh)
-                y, f, take = pdf["_y"].to_numpy(), pdf["_fold"].to_numpy(), drawn(pdf["_h"].to_numpy(), number, s)
+            for batch in gathered(batches):
+                bins, margins = margins_of(batch, fresh)
+                hashes, y, f = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_h", "_y", "_fold"))
+                take = drawn(hashes, number, s)
                 for m in range(folds):
                     at = growing[m].leaves(bins)
                     use = np.flatnonzero(take & (f != m) & (at >= first))
@@ -177,10 +207,11 @@ def fit(df, key, label="label", fold=None, folds=1, settings=None):
                             sums[m, :, i, :, c] += np.bincount(place, v, nodes * s.bins).reshape(nodes, s.bins)
             found = np.argwhere(sums[..., 1] > 0)
             got = sums[tuple(found.T)]
-            yield pd.DataFrame({**dict(zip(("model", "node", "feature", "bin"), found.T.astype(np.int32))),
-                                "g": got[:, 0].astype(np.int64), "h": got[:, 1].astype(np.int64)})
+            yield pa.RecordBatch.from_arrays(
+                [*[pa.array(c, pa.int32()) for c in found.T.astype(np.int32)], *[pa.array(c, pa.int64()) for c in got.T.astype(np.int64)]],
+                names=["model", "node", "feature", "bin", "g", "h"])
 
-        parts = table.mapInPandas(run, PARTIAL)
+        parts = table.mapInArrow(run, PARTIAL)
         out = (parts if alone else parts.groupBy("model", "node", "feature", "bin").agg(
             F.sum("g").alias("g"), F.sum("h").alias("h"))).toPandas()
         sums = np.zeros((folds, nodes, width, s.bins, 2))
@@ -215,9 +246,9 @@ def fit(df, key, label="label", fold=None, folds=1, settings=None):
             fresh = [done[-since:] for done in trees]
 
             def advanced(batches, fresh=fresh):
-                for pdf in batches:
-                    pdf["_m"] = list(margins_of(pdf, fresh)[1])
-                    yield pdf
+                for batch in gathered(batches):
+                    bins, margins = margins_of(batch, fresh)
+                    yield state_of(batch, bins, margins)
 
-            table, since = written(spark, table.mapInPandas(advanced, state), "boost-state"), 0
+            table, since = written(spark, table.mapInArrow(advanced, state), "boost-state"), 0
     return Boosted(edges, trees, s)

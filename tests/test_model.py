@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import rows
 from pyspark.ml.feature import VectorAssembler
@@ -268,3 +269,12 @@ def test_network_gradient_and_learning(spark, points):
     assert Q.rank_auc(L.score_rows(folded, model, "p", "fold"), "p", "label").first()["auc"] > .95
     empty = network.fit(points.limit(0), ["service_name"], settings=network.Settings(steps=3))
     assert len(empty.thetas) == 1
+
+
+def test_batches_pass_as_matrices_and_in_large_parts():
+    rows = np.arange(24, dtype=np.int32).reshape(8, 3)
+    batch = lambda part: pa.RecordBatch.from_arrays([boosting.lists(part, pa.int32())], names=["b"])
+    dealt = [batch(rows[:2]), batch(rows[:0]), batch(rows[2:5]), batch(rows[5:])]
+    parts = [boosting.matrix(b.column("b"), 3) for b in boosting.gathered(iter(dealt), 4)]
+    assert [len(p) for p in parts] == [5, 3] and np.array_equal(np.concatenate(parts), rows)
+    assert list(boosting.gathered(iter([batch(rows[:0])]))) == []
