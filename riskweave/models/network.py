@@ -3,10 +3,11 @@
 import dataclasses
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from riskweave.models.boosting import matrix
 from riskweave.session import packed, tasks_for, written
 
 SCALE = 1 << 20  # sums of a task are added as whole multiples of 1 / SCALE, so that their order does not matter
@@ -129,9 +130,9 @@ def fit(df, key, label="label", fold=None, folds=1, settings=None):
     def sums(now, live):
         def run(batches):
             total = np.zeros((folds, size + EXTRA))
-            for pdf in batches:
-                x = np.array(pdf["_x"].tolist(), dtype=float).reshape(len(pdf), width)
-                y, f, out = pdf["_y"].to_numpy(), pdf["_fold"].to_numpy(), pdf["_held"].to_numpy(dtype=bool)
+            for batch in batches:
+                x = matrix(batch.column("_x"), width).astype(float)
+                y, f, out = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_y", "_fold", "_held"))
                 for m in live:
                     z = (x - means[m]) / scales[m]
                     learn, judge = (f != m) & ~out, (f != m) & out
@@ -139,10 +140,11 @@ def fit(df, key, label="label", fold=None, folds=1, settings=None):
                     other = losses(forward(now[m], z[judge], s)[-1][:, 0], y[judge]).sum()
                     total[m] += np.concatenate([grad, [loss, learn.sum(), other, judge.sum()]])
             m, at = np.nonzero(total)
-            yield pd.DataFrame({"model": m.astype(np.int32), "at": at.astype(np.int32),
-                                "v": np.rint(total[m, at] * SCALE).astype(np.int64)})
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(m, pa.int32()), pa.array(at, pa.int32()), pa.array(np.rint(total[m, at] * SCALE).astype(np.int64))],
+                names=["model", "at", "v"])
 
-        parts = flat.mapInPandas(run, "model int, at int, v bigint")  # one task's sums need no shuffle
+        parts = flat.mapInArrow(run, "model int, at int, v bigint")  # one task's sums need no shuffle
         got = (parts if alone else parts.groupBy("model", "at").agg(F.sum("v").alias("v"))).toPandas()
         total = np.zeros((folds, size + EXTRA))
         np.add.at(total, (got["model"].to_numpy(), got["at"].to_numpy()), got["v"].to_numpy())
