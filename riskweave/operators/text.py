@@ -171,13 +171,17 @@ def position_compound(docs, lexicon, group=("service_name",), key="doc_id", rule
     words = F.regexp_extract_all("text", F.lit("[A-Za-z']+"), F.lit(0))
     shout = lambda w: (F.length(w) > 1) & (w == F.upper(w))
     times = lambda mark: F.length("text") - F.length(F.replace(F.col("text"), F.lit(mark)))
-    texts = docs.select(*group, key, words.alias("_t"), times("!").alias("_loud"), times("?").alias("_asked")).withColumns({
-        "_mixed": F.exists("_t", shout) & ~F.forall("_t", shout),
-        "_turn": F.array_position(F.transform("_t", F.lower), rules["contrast"])})
-    around = F.transform("_t", lambda w, i: F.struct(
-        F.lower(w).alias("word"), w.alias("_w0"), *[F.get("_t", i - d).alias(f"_w{d}") for d in (1, 2, 3)],
-        (i + 1).alias("_at")))
-    one = texts.select(*group, key, "_loud", "_asked", "_mixed", "_turn", F.inline(around))
+    # a word of capitals beside one that is none: words are ASCII, so upper case is the lack of a-z
+    mixed = F.rlike("text", F.lit("(?<![A-Za-z'])[A-Z']{2,}+(?![A-Za-z'])")) & F.rlike(
+        "text", F.lit("[a-z]|(?<![A-Za-z'])[A-Z'](?![A-Za-z'])"))
+    texts = docs.select(*group, key, words.alias("_t"), times("!").alias("_loud"), times("?").alias("_asked"), mixed.alias("_mixed"))
+    # whole lists are moved and lower-cased at once: a lambda for each word takes several times as long
+    texts = texts.filter(F.size("_t") > 0).withColumn("_l", F.split(F.lower(F.array_join("_t", " ")), " ")).withColumn(
+        "_turn", F.array_position("_l", rules["contrast"]))
+    behind = lambda d: F.concat(F.array(*[F.lit(None).cast("string")] * d), "_t").alias(f"_w{d}")
+    around = F.arrays_zip(F.col("_l").alias("word"), F.col("_t").alias("_w0"), *map(behind, (1, 2, 3)))
+    one = texts.select(*group, key, "_loud", "_asked", "_mixed", "_turn", F.posexplode(around).alias("_at", "_a")).select(
+        *group, key, "_loud", "_asked", "_mixed", "_turn", "_a.*", (F.col("_at") + 1).alias("_at"))
     one = one.filter(~F.col("word").isin(list(rules["boosters"]))).join(lexicon, "word")
     sign = lambda v: F.when(v < 0, -1.0).otherwise(1.0)
     louder = lambda w: F.when(F.col("_mixed") & shout(F.col(w)), CAPITALS).otherwise(0.0)

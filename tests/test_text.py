@@ -219,3 +219,12 @@ def test_incident_and_issue_texts(spark):
     issues = spark.createDataFrame([("r", i, "t" * (60 if i % 2 else 10), None) for i in range(80)], "repo string, number int, title string, body string")
     assert sorted(r[0] for r in rows(X.issue_text(issues, ["number"], 50), "number")) == [i for i in range(50) if i % 2]
     assert sorted(r[0] for r in rows(X.issue_text(issues), "number")) == [i for i in range(80) if i % 2]
+
+
+def test_rules_run_over_whole_lists(spark):
+    docs = spark.createDataFrame([("s", 1, t) for t in ("GREAT good", "GREAT")] + [("s", 2, "..."), ("s", 3, None), ("s", 4, "a 'GOOD' x")],
+                                 "service_name string, doc_id int, text string")
+    words = spark.createDataFrame([("great", 3.0), ("good", 2.0), ("", 1.0)], "word string, valence double")
+    out = X.position_compound(docs, words)
+    assert sorted((r.doc_id, round(r.s, 6)) for r in out.collect()) == [(1, 8.733)]
+    assert "lambdafunction" not in out._jdf.queryExecution().optimizedPlan().toString()
