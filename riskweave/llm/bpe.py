@@ -1,5 +1,6 @@
 """Byte-level BPE: ranked merges folded by Spark over distinct words, ids applied to whole texts."""
 
+import array
 import base64
 import itertools
 import json
@@ -38,28 +39,29 @@ class RankMap:
         ids = {token: rank for rank, token in tokens.items()}
         self.edge = max(tokens) + 1  # stands at both ends of a word and joins with nothing
         self.size = max(tokens) + 2
-        slots = {}
+        slots = array.array("q", [-1]) * SLOTS  # numbers and no tuples, for the driver's memory
         for token, rank in ids.items():
             for cut in range(1, len(token)):
                 a, b = ids.get(token[:cut]), ids.get(token[cut:])
                 if a is not None and b is not None:
                     self._place(slots, a, b, rank)
-        packed = [self._packed(*slots[i]) if i in slots else -1 for i in range(SLOTS)]
-        self.slots = F.from_json(F.lit(json.dumps(packed, separators=(",", ":"))), "array<bigint>")
+        text = "[" + ",".join(",".join(map(str, slots[i:i + (1 << 14)])) for i in range(0, SLOTS, 1 << 14)) + "]"
+        self.slots = F.from_json(F.lit(text), "array<bigint>")
         self.bytes = F.from_json(F.lit(json.dumps([ids[bytes([i])] for i in range(256)])), "array<bigint>")
 
     def _packed(self, a, b, rank):
         return (a * self.size + b) << 20 | rank
 
-    @staticmethod
-    def _place(slots, a, b, rank):
-        entry, (x, y) = (a, b, rank), _FIRST
+    def _place(self, slots, a, b, rank):
+        entry, (x, y) = self._packed(a, b, rank), _FIRST
         for _ in range(500):
-            at = (entry[0] * x + entry[1] * y) % SLOTS
-            entry, slots[at] = slots.get(at), entry
-            if entry is None:
+            a, b = divmod(entry >> 20, self.size)
+            at = (a * x + b * y) % SLOTS
+            entry, slots[at] = slots[at], entry
+            if entry < 0:
                 return
-            x, y = _SECOND if (entry[0] * _FIRST[0] + entry[1] * _FIRST[1]) % SLOTS == at else _FIRST
+            a, b = divmod(entry >> 20, self.size)
+            x, y = _SECOND if (a * _FIRST[0] + b * _FIRST[1]) % SLOTS == at else _FIRST
         raise ValueError("the rank map needs more slots")
 
     def rank(self, slots, a, b):
@@ -193,16 +195,24 @@ class Known:
     """
 
     def __init__(self, table):
-        table = table.combine_chunks()
+        """`table` is a list of one table, which is taken out of it: what is put in order is held once, and let go column by column."""
+        table = table.pop()
         made = table.num_rows > 0
         names = table.column("word").combine_chunks() if made else pa.array([], pa.string())
         lists = table.column("ids").combine_chunks() if made else pa.array([], pa.list_(pa.int32()))
+        del table
         hashes = words.string_hashes(names)
-        order = pa.array(np.argsort(hashes, kind="stable"))
-        lists, self.words, self.hashes = lists.take(order), names.take(order), hashes[order.to_numpy()]
-        self.ids = np.append(lists.flatten().to_numpy(), np.int32(-1)).astype(np.int32)
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, order = hashes[order], pa.array(order)
+        del hashes
+        self.words = names.take(order)
+        del names
+        lists = lists.take(order)
+        del order
+        self.ids = np.append(lists.flatten().to_numpy(), np.int32(-1)).astype(np.int32, copy=False)
         sizes = np.asarray(pa.compute.list_value_length(lists), dtype=np.int32)
-        self.sizes = np.append(sizes, np.int32(1)).astype(np.int32)
+        del lists
+        self.sizes = np.append(sizes, np.int32(1)).astype(np.int32, copy=False)
         self.begins = np.cumsum(self.sizes, dtype=np.int32) - self.sizes
 
     def find(self, found):
@@ -252,8 +262,8 @@ def encode(spark, df, tokens, pattern, key="doc_id", text="text", most=COMMON_WO
     tables.short_plans(spark)
     ranks = rank_map(spark, tokens)
     small = common_words(spark, df.select(F.col(text).alias("text")), "text", pattern, most, longest)
-    table = small.withColumn("ids", merged_ids(F.col("word"), ranks)).toArrow()
-    known = spark.sparkContext.broadcast(Known(table))
+    known = spark.sparkContext.broadcast(Known([small.withColumn("ids", merged_ids(F.col("word"), ranks)).toArrow()]))
+    pa.default_memory_pool().release_unused()  # the table's memory: a driver has other stages to run
     pieces = spark.sparkContext.broadcast(pa.array([tokens.get(i, b"") for i in range(max(tokens) + 1)], pa.binary()))
     picked = df.select(F.col(key).alias("_k"), F.col(text).alias("_t"))
     kind = picked.schema["_k"].dataType

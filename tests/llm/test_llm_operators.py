@@ -504,3 +504,14 @@ def test_neighbours_recall_with_uneven_norms(spark):
     want = by_brute_force(rows, set(range(0, 3000, 20)), 20)
     assert all(len(got[q]) == 20 for q in want)
     assert sum(len(got[q] & set(w)) for q, w in want.items()) >= 0.9 * 20 * len(want)
+
+
+def test_known_words_are_taken_out_of_their_table():
+    import pyarrow as pa
+    from riskweave.llm import bpe
+
+    held = [pa.table({"word": pa.array(["b", "a", "c"]), "ids": pa.array([[1], [2, 3], [4]], pa.list_(pa.int32()))})]
+    known = bpe.Known(held)
+    assert held == []
+    at = known.find(["a", "zz", "b", "c"])
+    assert [known.ids[known.begins[i]:known.begins[i] + known.sizes[i]].tolist() for i in at] == [[2, 3], [-1], [1], [4]]
