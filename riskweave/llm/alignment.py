@@ -230,11 +230,31 @@ class Written:
                 for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
 
 
+def width(size):
+    """Type of the ids of a vocabulary of that size where they are stored."""
+    return np.dtype(np.uint16 if size <= 1 << 16 else np.int32)
+
+
+def packed(ids, stops, kind):
+    """Lists of ids as an array of binary values, which Spark moves whole and not number by number."""
+    ends, data = stops * kind.itemsize, np.ascontiguousarray(ids, dtype=kind)
+    return pa.Array.from_buffers(pa.large_binary(), len(stops) - 1, [
+        None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)]).cast(pa.binary())
+
+
+def unpacked(column, kind):
+    """(all ids, number of each list) of `packed` lists."""
+    column = column.cast(pa.large_binary())
+    ends = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset:column.offset + len(column) + 1]
+    raw = column.buffers()[2]
+    data = np.frombuffer(raw, dtype=np.uint8)[ends[0]:ends[-1]] if raw is not None else np.zeros(0, dtype=np.uint8)
+    return data.view(kind).astype(np.int64), np.diff(ends) // kind.itemsize
+
+
 def tokenized(df, first, second, key, text):
-    """(key, a, b): ids of every whole text by both tokenizers; none where their bytes are not a space and the text."""
+    """(key, a, b): ids of every whole text by both tokenizers, packed; none where their bytes are not a space and the text."""
     kind = df.select(F.col(key).alias("k")).schema["k"].dataType
-    out = T.StructType([T.StructField("k", kind), T.StructField("a", T.ArrayType(T.IntegerType())),
-                        T.StructField("b", T.ArrayType(T.IntegerType()))])
+    out = T.StructType([T.StructField("k", kind), T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])
 
     def encode(batches):
         make = (first(), second())
@@ -252,18 +272,20 @@ def tokenized(df, first, second, key, text):
                     right &= np.array(same_bytes(vocabulary, ids, stops, raw), dtype=bool)
                     found.append((ids, stops))
                 cols = []
-                for ids, stops in found:
-                    sizes = np.diff(stops)
-                    ids, sizes = ids[np.repeat(right, sizes)], np.where(right, sizes, 0)
-                    cols.append(pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(ids)))
+                for (ids, stops), vocabulary in zip(found, known):
+                    if not right.all():
+                        sizes = np.diff(stops)
+                        ids, sizes = ids[np.repeat(right, sizes)], np.where(right, sizes, 0)
+                        stops = np.concatenate(([0], np.cumsum(sizes)))
+                    cols.append(packed(ids, stops, width(len(vocabulary.size))))
                 yield pa.RecordBatch.from_arrays([part.column(0), *cols], names=["k", "a", "b"])
 
     return df.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInArrow(encode, out)
 
 
-def parts_of(batch, limit=1 << 17):
-    """Row slices of a batch of id lists with about `limit` tokens of A, one row at least."""
-    sizes = pc.list_value_length(batch.column("a")).to_numpy(zero_copy_only=False)
+def parts_of(batch, kind, limit=1 << 17):
+    """Row slices of a batch of id lists with about `limit` tokens of A, which are of type `kind`, one row at least."""
+    sizes = pc.binary_length(batch.column("a")).to_numpy(zero_copy_only=False) // kind.itemsize
     total, start = np.cumsum(sizes), 0
     while start < len(sizes):
         before = total[start - 1] if start else 0
@@ -277,10 +299,10 @@ class Linked:
 
     def __init__(self, part, size_a, size_b):
         self.rows = part.num_rows
-        ids = [part.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("a", "b")]
-        self.counts = [pc.list_value_length(part.column(c)).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("a", "b")]
+        (self.a, count_a), (self.b, count_b) = (
+            unpacked(part.column(c), width(len(size))) for c, size in (("a", size_a), ("b", size_b)))
+        self.counts = [count_a, count_b]
         self.row_a, self.row_b = (np.repeat(np.arange(self.rows), n) for n in self.counts)
-        self.a, self.b = (x.astype(np.int64) for x in ids)
         self.met = Overlaps(size_a[self.a], size_b[self.b])
         self.row = self.row_a[self.met.a]
         self.pair = self.a[self.met.a] * SHIFT + self.b[self.met.b]
@@ -297,7 +319,7 @@ def pair_counts(spark, tokens, size_a, size_b):
 
     def count(batches):
         for batch in batches:
-            for part in parts_of(batch):
+            for part in parts_of(batch, width(len(size_a.value))):
                 pair, n = np.unique(Linked(part, size_a.value, size_b.value).distinct()[1], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(n)], names=["pair", "n"])
 
@@ -357,7 +379,7 @@ def align(spark, df, first, second, key="doc_id", text="text", common=COMMON_PAI
         pairs, n, best = known.value
         writer = Written(len(size_a.value), len(size_b.value))
         for batch in batches:
-            for part in parts_of(batch):
+            for part in parts_of(batch, width(len(size_a.value))):
                 x = Linked(part, size_a.value, size_b.value)
                 row, pair, times = x.distinct()
                 at = np.minimum(np.searchsorted(pairs, pair), max(len(pairs) - 1, 0))

@@ -258,3 +258,16 @@ def test_texts_of_short_batches_are_scored_together():
     assert list(language_model.chunks_of(iter([batch([])]), 100)) == []
     score = lambda b: gru.score(flat, shape, [np.array([*u, gru.END]) for u in b.column("units").to_pylist()])
     np.testing.assert_allclose(np.concatenate([score(b) for b in parts]), score(whole[0]), rtol=1e-5)
+
+
+@pytest.mark.parametrize("size", [1 << 16, (1 << 16) + 1])
+def test_token_ids_are_stored_as_one_value_for_each_text(spark, size):
+    kind, rows = alignment.width(size), [[0, 7, size - 1], [], [5]]
+    ids, stops = alignment.flat(rows)
+    column = alignment.packed(ids, stops, kind)
+    assert alignment.unpacked(column, kind)[0].tolist() == [0, 7, size - 1, 5]
+    found, counts = alignment.unpacked(column.slice(1, 2), kind)
+    assert found.tolist() == [5] and counts.tolist() == [0, 1]
+    docs = spark.createDataFrame([(1, "a text"), (2, None)], "doc_id long, text string")
+    made = alignment.tokenized(docs, lambda: alignment.ByteLevel(FIRST), lambda: alignment.Pieces(SECOND), "doc_id", "text")
+    assert [made.schema[c].dataType.simpleString() for c in ("a", "b")] == ["binary", "binary"]
