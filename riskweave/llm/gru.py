@@ -202,7 +202,7 @@ def train(flat, shape, stream, rate, window=32, most=256, updates=100):
     if not length:
         return flat
     y = stream[:lanes * length].reshape(lanes, length).T
-    x = np.concatenate(([END], stream[:-1]))[:lanes * length].reshape(lanes, length).T
+    x = np.concatenate((np.array([END], dtype=stream.dtype), stream[:-1]))[:lanes * length].reshape(lanes, length).T
     p, h, adam = shape.views(flat), np.zeros((lanes, shape.hidden), dtype=F32), Adam(len(flat), rate)
     for t in range(0, length, window):
         _, grads, h = window_gradient(p, shape, x[t:t + window], y[t:t + window], h)
@@ -224,11 +224,11 @@ def score(flat, shape, texts, window=32, most=512):
         load[lane] += sizes[i]
     order = np.argsort(-load, kind="stable")  # lanes that end first come last, so the ones at work are in front
     load, lists = load[order], [lists[i] for i in order.tolist()]
-    y = np.zeros((lanes, int(load[0])), dtype=np.int64)
+    y = np.zeros((lanes, int(load[0])), dtype=np.int32)
     for row, own in zip(y, lists):
         row[:sum(len(texts[i]) for i in own)] = np.concatenate([texts[i] for i in own])
     logp, h = np.zeros(y.shape), np.zeros((lanes, shape.hidden), dtype=F32)
-    last = np.full(lanes, END)
+    last = np.full(lanes, END, dtype=np.int32)
     for t in range(0, y.shape[1], window):
         busy = int(np.searchsorted(-load, -t, side="left"))  # lanes longer than t
         part = y[:busy, t:t + window].T

@@ -20,6 +20,7 @@ HEAD, SIDE, HIDDEN, WIDTH = 1024, 32, 16, 16
 KNOWN = 1 << 17  # words whose counts are shipped
 ROUNDS = 7  # passes between which parameters are averaged; the last has half of the texts, each before it half of the next
 CHUNK = 1 << 21  # tokens that a task trains on at once
+JUDGED = 1 << 20  # tokens that a task scores at once, about
 BLOCK, FAN = 1 << 14, 256
 LOG10 = np.log(10.0)
 
@@ -170,8 +171,12 @@ def resolved(spark, coded, counted, counts):
 
 def units_of(flat, bands, loo):
     """Units of the network: 0 the end, then bands, then words. `loo`: a word's own occurrence is left out of its count."""
-    n = -1 - flat.astype(np.int64) - (1 if loo else 0)
-    return np.where(flat > 0, flat + bands, 1 + np.minimum(band(np.maximum(n, 0)), bands - 1))
+    units = np.asarray(flat).astype(np.int32)
+    units += np.int32(bands)
+    rare = np.flatnonzero(flat <= 0)
+    n = -1 - flat[rare].astype(np.int64) - (1 if loo else 0)
+    units[rare] = 1 + np.minimum(band(np.maximum(n, 0)), bands - 1)
+    return units
 
 
 def texts_of(batch, bands, loo):
@@ -183,6 +188,13 @@ def texts_of(batch, bands, loo):
     return np.insert(flat, stops, gru.END), stops + np.arange(1, len(sizes) + 1)
 
 
+def together(held):
+    """The batches of a list as one, which are taken out of it."""
+    table = pa.Table.from_batches(held)
+    held.clear()
+    return table.combine_chunks().to_batches()[0]
+
+
 def chunks_of(batches, tokens):
     """Batches put together until they hold `tokens` tokens or more: a long text then keeps its lane busy once for many others."""
     held, size = [], 0
@@ -191,10 +203,17 @@ def chunks_of(batches, tokens):
             held.append(batch)
             size += len(batch.column("units").flatten()) + batch.num_rows
         if size >= tokens:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            held, size = [], 0
+            yield together(held)
+            size = 0
     if held:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        yield together(held)
+
+
+def joined(parts):
+    """The arrays of a list as one, which are taken out of it: they are not held beside what they make."""
+    whole = np.concatenate(parts)
+    parts.clear()
+    return whole
 
 
 def averaged(spark, sequences, turn, flat, shape, rate):
@@ -212,9 +231,9 @@ def averaged(spark, sequences, turn, flat, shape, rate):
                 chunk.append(texts_of(batch, bands, loo=True)[0])
                 held += len(chunk[-1])
             if held >= CHUNK:
-                params, chunk, held, seen = gru.train(params, shape, np.concatenate(chunk), rate), [], 0, seen + held
+                params, held, seen = gru.train(params, shape, joined(chunk), rate), 0, seen + held
         if held:
-            params, seen = gru.train(params, shape, np.concatenate(chunk), rate), seen + held
+            params, seen = gru.train(params, shape, joined(chunk), rate), seen + held
         if seen:
             task, blocks = TaskContext.get().partitionId(), range(0, len(params), BLOCK)
             move = params - start.value
@@ -285,7 +304,7 @@ def score_texts(spark, docs, key="doc_id", text="text", head=HEAD, known=KNOWN):
         T.StructField(n, T.DoubleType()) for n in ("base_score", "score")]])
 
     def judge(batches):
-        for batch in chunks_of(batches, CHUNK):
+        for batch in chunks_of(batches, JUDGED):
             stream, stops = texts_of(batch, shape.bands, loo=False)
             found = gru.score(model.value, shape, np.split(stream, stops[:-1]))
             sizes = np.diff(np.concatenate(([0], stops)))

@@ -271,3 +271,14 @@ def test_token_ids_are_stored_as_one_value_for_each_text(spark, size):
     docs = spark.createDataFrame([(1, "a text"), (2, None)], "doc_id long, text string")
     made = alignment.tokenized(docs, lambda: alignment.ByteLevel(FIRST), lambda: alignment.Pieces(SECOND), "doc_id", "text")
     assert [made.schema[c].dataType.simpleString() for c in ("a", "b")] == ["binary", "binary"]
+
+
+def test_streams_of_units_are_small_and_held_once():
+    held = [pa.record_batch({"units": pa.array([[3, -5, 0], []], pa.list_(pa.int32()))})] * 2
+    batch = language_model.together(held)
+    assert held == [] and batch.num_rows == 4
+    stream, stops = language_model.texts_of(batch, 4, loo=True)
+    assert stream.dtype == np.int32 and stream.tolist() == [7, 2, 1, 0, 0] * 2 and stops.tolist() == [4, 5, 9, 10]
+    parts = [stream, stream[:1]]
+    assert language_model.joined(parts).tolist() == [*stream.tolist(), 7] and parts == []
+    assert language_model.JUDGED < language_model.CHUNK
