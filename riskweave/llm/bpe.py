@@ -26,13 +26,18 @@ def read_ranks(path):
         return {int(rank): base64.b64decode(token) for token, rank in map(bytes.split, lines)}
 
 
+def _numbers(values):
+    return F.from_json(F.lit(json.dumps(values, separators=(",", ":"))), "array<bigint>")
+
+
 class RankMap:
     """Rank of two neighbouring tokens as a Spark expression over one literal map.
 
     The rank of a token is also its id, so the map has, for ids (a, b), the id of their joined bytes: every
     way to cut a token in two tokens is an entry. The literal is one array of numbers, each an entry
     (a, b, id), in which an entry stands in one of two places given by hashes of (a, b). It comes from
-    a JSON constant that the optimizer folds once and ships with the task.
+    JSON constants that the optimizer folds once and ships with the task. Two single bytes, which every word
+    begins with, are looked up in a table of their own by their values.
     """
 
     def __init__(self, tokens):
@@ -47,7 +52,8 @@ class RankMap:
                     self._place(slots, a, b, rank)
         text = "[" + ",".join(",".join(map(str, slots[i:i + (1 << 14)])) for i in range(0, SLOTS, 1 << 14)) + "]"
         self.slots = F.from_json(F.lit(text), "array<bigint>")
-        self.bytes = F.from_json(F.lit(json.dumps([ids[bytes([i])] for i in range(256)])), "array<bigint>")
+        self.bytes = _numbers([ids[bytes([i])] for i in range(256)])
+        self.pairs = _numbers([ids.get(bytes([a, b])) for a in range(256) for b in range(256)])
 
     def _packed(self, a, b, rank):
         return (a * self.size + b) << 20 | rank
@@ -97,12 +103,12 @@ def merged_ids(word, ranks):
 def _fold(word, ranks, slots):
     rank = lambda a, b: ranks.rank(slots, a, b)
     latin = F.decode(F.encode(word, "utf-8"), "ISO-8859-1")
-    first = F.transform(F.split(latin, ""), lambda c: F.get(ranks.bytes, F.ascii(c)))
+    first = F.transform(F.split(latin, ""), F.ascii)
     edge, none = F.lit(ranks.edge).cast("bigint"), F.lit(NONE)
     start = _let(first, lambda b: F.struct(
-        F.concat(F.array(edge), b, F.array(edge)).alias("p"),
-        F.concat(F.array(none), F.zip_with(b, F.slice(b, 2, F.size(b)), 
-            lambda x, y: F.coalesce(rank(x, y), none))).alias("r")))
+        F.concat(F.array(edge), F.transform(b, lambda x: F.get(ranks.bytes, x)), F.array(edge)).alias("p"),
+        F.concat(F.array(none), F.zip_with(b, F.slice(b, 2, F.size(b)),
+            lambda x, y: F.coalesce(F.get(ranks.pairs, x * 256 + y), none))).alias("r")))
 
     def merge(s, low, at):
         p, r = s["p"], s["r"]

@@ -515,3 +515,12 @@ def test_known_words_are_taken_out_of_their_table():
     assert held == []
     at = known.find(["a", "zz", "b", "c"])
     assert [known.ids[known.begins[i]:known.begins[i] + known.sizes[i]].tolist() for i in at] == [[2, 3], [-1], [1], [4]]
+
+
+def test_two_bytes_are_looked_up_by_their_values(spark):
+    tokens = {i: bytes([i]) for i in range(256)} | {256: b"ab", 257: "é".encode(), 258: b"abab"}
+    ranks = bpe.RankMap(tokens)
+    pair = lambda a, b: F.get(ranks.pairs, F.lit(a * 256 + b))
+    assert tuple(spark.range(1).select(pair(97, 98), pair(0xC3, 0xA9), pair(98, 97)).first()) == (256, 257, None)
+    words = spark.createDataFrame([("ababé",), ("z",)], "word string")
+    assert [r[0] for r in words.select(bpe.merged_ids(F.col("word"), ranks)).collect()] == [[258, 257], [122]]
