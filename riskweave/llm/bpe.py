@@ -50,8 +50,8 @@ class RankMap:
                 a, b = ids.get(token[:cut]), ids.get(token[cut:])
                 if a is not None and b is not None:
                     self._place(slots, a, b, rank)
-        text = "[" + ",".join(",".join(map(str, slots[i:i + (1 << 14)])) for i in range(0, SLOTS, 1 << 14)) + "]"
-        self.slots = F.from_json(F.lit(text), "array<bigint>")
+        # in short texts, so that neither half of the driver holds a long one
+        self.slots = F.concat(*[_numbers(slots[i:i + (1 << 14)].tolist()) for i in range(0, SLOTS, 1 << 14)])
         self.bytes = _numbers([ids[bytes([i])] for i in range(256)])
         self.pairs = _numbers([ids.get(bytes([a, b])) for a in range(256) for b in range(256)])
 
@@ -194,6 +194,11 @@ def expanded(begin, size, code=None):
     return np.repeat(begin - stop[:-1], size) + np.arange(stop[-1]), stop
 
 
+def release():
+    """Give back what Arrow keeps of arrays that are gone: beside the JVM's memory it counts in a driver's."""
+    pa.default_memory_pool().release_unused()
+
+
 class Known:
     """Words with known ids, as shipped to tasks: arrays in the order of the words' hashes, found by bisection.
 
@@ -207,17 +212,21 @@ class Known:
         names = table.column("word").combine_chunks() if made else pa.array([], pa.string())
         lists = table.column("ids").combine_chunks() if made else pa.array([], pa.list_(pa.int32()))
         del table
+        release()
         hashes = words.string_hashes(names)
         order = np.argsort(hashes, kind="stable")
         self.hashes, order = hashes[order], pa.array(order)
         del hashes
         self.words = names.take(order)
         del names
+        release()
         lists = lists.take(order)
         del order
+        release()
         self.ids = np.append(lists.flatten().to_numpy(), np.int32(-1)).astype(np.int32, copy=False)
         sizes = np.asarray(pa.compute.list_value_length(lists), dtype=np.int32)
         del lists
+        release()
         self.sizes = np.append(sizes, np.int32(1)).astype(np.int32, copy=False)
         self.begins = np.cumsum(self.sizes, dtype=np.int32) - self.sizes
 
@@ -269,8 +278,8 @@ def encode(spark, df, tokens, pattern, key="doc_id", text="text", most=COMMON_WO
     ranks = rank_map(spark, tokens)
     small = common_words(spark, df.select(F.col(text).alias("text")), "text", pattern, most, longest)
     known = spark.sparkContext.broadcast(Known([small.withColumn("ids", merged_ids(F.col("word"), ranks)).toArrow()]))
-    pa.default_memory_pool().release_unused()  # the table's memory: a driver has other stages to run
     pieces = spark.sparkContext.broadcast(pa.array([tokens.get(i, b"") for i in range(max(tokens) + 1)], pa.binary()))
+    release()  # a driver has other stages to run
     picked = df.select(F.col(key).alias("_k"), F.col(text).alias("_t"))
     kind = picked.schema["_k"].dataType
     parts = T.StructType([

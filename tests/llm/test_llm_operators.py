@@ -524,3 +524,20 @@ def test_two_bytes_are_looked_up_by_their_values(spark):
     assert tuple(spark.range(1).select(pair(97, 98), pair(0xC3, 0xA9), pair(98, 97)).first()) == (256, 257, None)
     words = spark.createDataFrame([("ababé",), ("z",)], "word string")
     assert [r[0] for r in words.select(bpe.merged_ids(F.col("word"), ranks)).collect()] == [[258, 257], [122]]
+
+
+def test_rank_map_is_sent_in_short_texts(spark, monkeypatch):
+    sent, lit = [], F.lit
+    monkeypatch.setattr(bpe.F, "lit", lambda x: sent.append(x) or lit(x))
+    bpe.RankMap({i: bytes([i]) for i in range(256)} | {256: b"ab"})
+    assert max(len(x) for x in sent if isinstance(x, str)) < 1 << 19
+
+
+def test_known_gives_back_what_arrow_keeps(monkeypatch):
+    import pyarrow as pa
+
+    calls = []
+    monkeypatch.setattr(bpe, "release", lambda: calls.append(1))
+    table = pa.table({"word": pa.array(["a", "b"]), "ids": pa.array([[1], [2, 3]], pa.list_(pa.int32()))})
+    known = bpe.Known([table])
+    assert calls and known.sizes[known.find(["a", "c", "b"])].tolist() == [1, 1, 2]
