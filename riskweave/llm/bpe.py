@@ -1,4 +1,4 @@
-"""Byte-level BPE: ranked merges folded by Spark over distinct words, ids applied to whole texts."""
+"""Byte-level BPE: ranked merges folded over distinct words, ids applied to whole texts."""
 
 import array
 import base64
@@ -17,6 +17,8 @@ COMMON_WORDS = 1 << 20
 COMMON_BYTES = 48
 SLOTS = 1 << 19
 NONE = 1 << 40
+NEVER = (1 << 31) - 1
+CELLS = 1 << 16  # bytes of words that are folded together, about
 _FIRST, _SECOND = (40503, 1), (2654435, 7919)
 
 
@@ -30,14 +32,13 @@ def _numbers(values):
     return F.from_json(F.lit(json.dumps(values, separators=(",", ":"))), "array<bigint>")
 
 
-class RankMap:
-    """Rank of two neighbouring tokens as a Spark expression over one literal map.
+class Merges:
+    """Ranks of neighbouring tokens in arrays of a fixed size, and the fold of ranked merges over a batch of words.
 
-    The rank of a token is also its id, so the map has, for ids (a, b), the id of their joined bytes: every
-    way to cut a token in two tokens is an entry. The literal is one array of numbers, each an entry
-    (a, b, id), in which an entry stands in one of two places given by hashes of (a, b). It comes from
-    JSON constants that the optimizer folds once and ships with the task. Two single bytes, which every word
-    begins with, are looked up in a table of their own by their values.
+    The rank of a token is also its id, so for ids (a, b) the arrays have the id of their joined bytes: every way to
+    cut a token in two tokens is an entry. `slots` has an entry (a, b, id) in one of two places given by hashes of
+    (a, b). Two single bytes, which every word begins with, are looked up in `pairs` by their values, `bytes` has
+    the ids of single bytes.
     """
 
     def __init__(self, tokens):
@@ -50,10 +51,9 @@ class RankMap:
                 a, b = ids.get(token[:cut]), ids.get(token[cut:])
                 if a is not None and b is not None:
                     self._place(slots, a, b, rank)
-        # in short texts, so that neither half of the driver holds a long one
-        self.slots = F.concat(*[_numbers(slots[i:i + (1 << 14)].tolist()) for i in range(0, SLOTS, 1 << 14)])
-        self.bytes = _numbers([ids[bytes([i])] for i in range(256)])
-        self.pairs = _numbers([ids.get(bytes([a, b])) for a in range(256) for b in range(256)])
+        self.slots = np.frombuffer(slots, dtype=np.int64)
+        self.bytes = np.array([ids[bytes([i])] for i in range(256)], dtype=np.int32)
+        self.pairs = np.array([ids.get(bytes([a, b]), NEVER) for a in range(256) for b in range(256)], dtype=np.int32)
 
     def _packed(self, a, b, rank):
         return (a * self.size + b) << 20 | rank
@@ -70,6 +70,87 @@ class RankMap:
             x, y = _SECOND if (a * _FIRST[0] + b * _FIRST[1]) % SLOTS == at else _FIRST
         raise ValueError("the rank map needs more slots")
 
+    def rank(self, a, b):
+        """Rank of each a joined with its b, NEVER where they do not join."""
+        key = a * np.int64(self.size) + b
+        out = np.full(len(key), NEVER, dtype=np.int32)
+        for x, y in (_FIRST, _SECOND):
+            entry = self.slots[(a * np.int64(x) + b * np.int64(y)) & (SLOTS - 1)]
+            np.copyto(out, entry & ((1 << 20) - 1), where=(entry >> 20) == key, casting="unsafe")
+        return out
+
+    def fold(self, column):
+        """(ids one after the other, how many each word has) of an array of words without nulls.
+
+        Words of about the same length are folded together in blocks of CELLS bytes, a longer word alone.
+        """
+        column = column.cast(pa.large_string())
+        count = len(column)
+        bounds = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset:column.offset + count + 1] if count else np.zeros(1, np.int64)
+        raw = column.buffers()[2]
+        data = np.frombuffer(raw, dtype=np.uint8) if raw is not None else np.zeros(0, dtype=np.uint8)
+        length = np.diff(bounds)
+        order = np.argsort(length, kind="stable")
+        found, sizes, first = [np.zeros(0, dtype=np.int32)], np.zeros(count, dtype=np.int64), 0
+        while first < count:
+            # the block's first word is its shortest: as many as fit at that length, then as many as fit at the longest of these
+            last = first + max(1, CELLS // (int(length[order[first]]) + 2))
+            last = first + max(1, CELLS // (int(length[order[min(last, count) - 1]]) + 2))
+            block = order[first:last]
+            ids, sizes[block] = self._fold_block(data, bounds[block], length[block])
+            found.append(ids)
+            first += len(block)
+        begin = np.empty(count, dtype=np.int64)
+        begin[order] = np.cumsum(sizes[order]) - sizes[order]
+        return np.concatenate(found)[expanded(begin, sizes)[0]], sizes
+
+    def _fold_block(self, data, begins, lengths):
+        """Each step merges the lowest-ranked, leftmost pair of every word that has one. A token stands at the place of
+        its first byte and knows the places of its neighbours; only the two ranks beside a merge change."""
+        count, stride = len(lengths), int(lengths.max()) + 2
+        start = np.arange(count, dtype=np.int64) * stride
+        at, _ = expanded(start + 1, lengths)
+        of = data[expanded(begins, lengths)[0]]
+        ids = np.full(count * stride, self.edge, dtype=np.int32)
+        ids[at] = self.bytes[of]
+        ranks = np.full(count * stride, NEVER, dtype=np.int32)
+        two = np.flatnonzero(np.diff(at) == 1)
+        ranks[at[two]] = self.pairs[of[two].astype(np.int32) * 256 + of[two + 1]]
+        after = np.arange(1, count * stride + 1, dtype=np.int64)
+        before = after - 2
+        table, live = ranks.reshape(count, stride), np.arange(count)
+        while True:
+            p = start[live] + (table if len(live) == count else table[live]).argmin(axis=1)
+            low = ranks[p]
+            some = low != NEVER
+            if not some.all():
+                live, p, low = live[some], p[some], low[some]
+            if not len(live):
+                break
+            gone, left = after[p], before[p]
+            right = after[gone]
+            ids[p], ids[gone], ranks[gone] = low, -1, NEVER
+            after[p], before[right] = right, p
+            ranks[p], ranks[left] = self.rank(low, ids[right]), self.rank(ids[left], low)
+        kept = (ids >= 0) & (ids != self.edge)
+        return ids[kept], kept.reshape(count, stride).sum(axis=1)
+
+
+class RankMap:
+    """The tables of `Merges` as literals of Spark expressions.
+
+    They come from JSON constants that the optimizer folds once and ships with the task, which costs the driver
+    many times their size: for a column of words without Python; `encode` folds by `Merges` itself.
+    """
+
+    def __init__(self, tokens):
+        merges = Merges(tokens)
+        self.edge, self.size = merges.edge, merges.size
+        # in short texts, so that neither half of the driver holds a long one
+        self.slots = F.concat(*[_numbers(merges.slots[i:i + (1 << 14)].tolist()) for i in range(0, SLOTS, 1 << 14)])
+        self.bytes = _numbers(merges.bytes.tolist())
+        self.pairs = _numbers([None if x == NEVER else x for x in merges.pairs.tolist()])
+
     def rank(self, slots, a, b):
         key = a * self.size + b
         place = lambda m: F.get(slots, (a * m[0] + b * m[1]).bitwiseAND(F.lit(SLOTS - 1)))
@@ -79,14 +160,6 @@ class RankMap:
             F.shiftright(second, 20) == key, value(second)).otherwise(F.lit(NONE))
 
 
-def rank_map(spark, tokens):
-    """The map of these tokens, made once in a session and kept with it: columns stay out of what tasks are sent."""
-    of, kept = (len(tokens), max(tokens), hash(frozenset(tokens.items()))), getattr(spark, "_rank_map", None)
-    if kept is None or kept[0] != of:
-        kept = spark._rank_map = (of, RankMap(tokens))
-    return kept[1]
-
-
 def _let(value, body):
     return F.get(F.transform(F.array(value), body), 0)
 
@@ -194,6 +267,10 @@ def expanded(begin, size, code=None):
     return np.repeat(begin - stop[:-1], size) + np.arange(stop[-1]), stop
 
 
+def _lists(stops, values):
+    return pa.ListArray.from_arrays(pa.array(stops.astype(np.int32)), pa.array(values, pa.int32()))
+
+
 def release():
     """Give back what Arrow keeps of arrays that are gone: beside the JVM's memory it counts in a driver's."""
     pa.default_memory_pool().release_unused()
@@ -267,33 +344,37 @@ def encode(spark, df, tokens, pattern, key="doc_id", text="text", most=COMMON_WO
 
     The words of all texts are counted; the most frequent ones (at most `most`, of at most `longest`
     bytes, so the broadcast has a fixed bound) are encoded once each by the fold and shipped to the tasks.
-    Texts are split by `pattern`; a word that was not shipped is encoded in its row by the same fold. The
-    ids are then put in order and decoded by joining the bytes of each. Nothing but word counts is shuffled.
+    Texts are split by `pattern`; a word that was not shipped is encoded by the same fold, once in about a megabyte of
+    texts. The ids are then put in order and decoded by joining the bytes of each. Nothing but word counts is shuffled.
 
     A null text counts as empty and has no ids. Null and repeated keys pass through; other columns are not
     read. An empty table gives no rows. A very long word costs time by its square, never memory beyond it.
     """
     tables.short_batches(spark)
     tables.short_plans(spark)
-    ranks = rank_map(spark, tokens)
+    merges = spark.sparkContext.broadcast(Merges(tokens))
     small = common_words(spark, df.select(F.col(text).alias("text")), "text", pattern, most, longest)
-    known = spark.sparkContext.broadcast(Known([small.withColumn("ids", merged_ids(F.col("word"), ranks)).toArrow()]))
+
+    def fold(batches):
+        for batch in batches:
+            ids, sizes = merges.value.fold(batch.column(0))
+            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(np.concatenate(([0], np.cumsum(sizes))), ids)], names=["word", "ids"])
+
+    known = spark.sparkContext.broadcast(Known([small.select("word").mapInArrow(fold, "word string, ids array<int>").toArrow()]))
     pieces = spark.sparkContext.broadcast(pa.array([tokens.get(i, b"") for i in range(max(tokens) + 1)], pa.binary()))
     release()  # a driver has other stages to run
     picked = df.select(F.col(key).alias("_k"), F.col(text).alias("_t"))
     kind = picked.schema["_k"].dataType
-    parts = T.StructType([
-        T.StructField("k", kind), T.StructField("ids", T.ArrayType(T.IntegerType())),
-        T.StructField("rare", T.ArrayType(T.StringType()))])
     out = T.StructType([
         T.StructField(key, kind), T.StructField("ids", T.ArrayType(T.IntegerType())),
         T.StructField("decoded", T.BinaryType())])
 
     def lookup(batches):
-        """Ids of known words at once per slice, worked out per distinct chunk; -1 stands for a word not known."""
+        """Ids of the words of a slice at once, worked out per distinct chunk: shipped words are found, each other word is
+        folded once."""
         import regex
 
-        split = regex.compile(pattern).findall
+        split, token = regex.compile(pattern).findall, pieces.value
         find, ids, begins, sizes = known.value.find, known.value.ids, known.value.begins, known.value.sizes
         for batch in batches:
             for part in words.slices(batch, 1, 1 << 20):
@@ -302,42 +383,22 @@ def encode(spark, df, tokens, pattern, key="doc_id", text="text", most=COMMON_WO
                 code = coded.indices.to_numpy()
                 found, first, count = split_chunks(coded.dictionary.to_pylist(), split)
                 at = find(found)
-                unknown = at == len(sizes) - 1
-                flat, stops = expanded(begins[at], sizes[at])
+                rare = np.flatnonzero(at == len(sizes) - 1)
+                rare_words = pa.array([found[i] for i in rare.tolist()], pa.string()).dictionary_encode()
+                folded, folded_sizes = merges.value.fold(rare_words.dictionary)
+                of = rare_words.indices.to_numpy()
+                begin, size = begins[at].astype(np.int64), sizes[at].astype(np.int64)
+                begin[rare], size[rare] = (len(ids) + np.cumsum(folded_sizes) - folded_sizes)[of], folded_sizes[of]
+                place, stops = expanded(begin, size)  # in the shipped ids, or beyond them in the folded ones
+                flat, beyond = ids.take(place, mode="clip"), place >= len(ids)
+                flat[beyond] = folded[place[beyond] - len(ids)]
                 token_at, token_ends = expanded(stops[first], stops[first + count] - stops[first], code)
-                rare_stops = np.concatenate(([0], np.cumsum(unknown)))
-                rare_at, rare_ends = expanded(rare_stops[first], rare_stops[first + count] - rare_stops[first], code)
-                rare = pa.array([found[i] for i in np.flatnonzero(unknown)], pa.string()).take(pa.array(rare_at))
-                lists = lambda stop, values: pa.ListArray.from_arrays(pa.array(stop[row_at].astype(np.int32)), values)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), lists(token_ends, pa.array(ids[flat[token_at]], pa.int32())), lists(rare_ends, rare)],
-                    names=["k", "ids", "rare"])
-
-    def fill(batches):
-        """Put the ids of the words that were folded in their row into its holes, and decode."""
-        token = pieces.value
-        for batch in batches:
-            for begin in range(0, batch.num_rows, 300):
-                part = batch.slice(begin, 300)
-                lists, folded = part.column(1), part.column(2).flatten()
-                flat, bounds = lists.flatten().to_numpy(), lists.offsets.to_numpy()
-                bounds = bounds - bounds[0]
-                size = np.ones(len(flat), dtype=np.int64)
-                holes = flat < 0
-                size[holes] = pa.compute.list_value_length(folded).to_numpy(zero_copy_only=False)
-                stop = np.concatenate(([0], np.cumsum(size)))
-                ids = np.repeat(flat, size)
-                ids[ids < 0] = folded.flatten().to_numpy()
-                offsets = stop[bounds]
-                joined = token.take(pa.array(ids))
-                ends = np.frombuffer(joined.buffers()[1], dtype=np.int32)[:len(joined) + 1]
+                flat, offsets = flat[token_at], token_ends[row_at]
+                joined = token.take(pa.array(flat))
+                ends = np.frombuffer(joined.buffers()[1], dtype=np.int32)[joined.offset:joined.offset + len(joined) + 1] if len(
+                    joined) else np.zeros(1, dtype=np.int32)
                 decoded = pa.Array.from_buffers(pa.binary(), len(part), [
                     None, pa.py_buffer(ends[offsets].astype(np.int32).tobytes()), joined.buffers()[2]])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids)),
-                     decoded], names=[key, "ids", "decoded"])
-
-    looked = picked.mapInArrow(lookup, parts)
-    folded = looked.select("k", "ids", _let(ranks.slots, lambda slots: F.transform(
-        "rare", lambda w: _fold(w, ranks, slots))).alias("rare"))
-    return folded.mapInArrow(fill, out)
+                yield pa.RecordBatch.from_arrays([part.column(0), _lists(offsets, flat), decoded], names=[key, "ids", "decoded"])
+
+    return picked.mapInArrow(lookup, out)

@@ -541,3 +541,43 @@ def test_known_gives_back_what_arrow_keeps(monkeypatch):
     table = pa.table({"word": pa.array(["a", "b"]), "ids": pa.array([[1], [2, 3]], pa.list_(pa.int32()))})
     known = bpe.Known([table])
     assert calls and known.sizes[known.find(["a", "c", "b"])].tolist() == [1, 1, 2]
+
+
+def small_tokens():
+    return {i: bytes([i]) for i in range(256)} | {256: b"ab", 257: "é".encode(), 258: b"abab", 259: b" ab", 260: b"ba", 261: b"aba"}
+
+
+def test_words_fold_in_blocks_like_one_by_one(monkeypatch):
+    import pyarrow as pa
+    rng, tokens = random.Random(3), small_tokens()
+    ranks = {token: rank for rank, token in tokens.items()}
+
+    def plain(word):
+        parts = [bytes([x]) for x in word.encode()]
+        while True:
+            low, at = min(((ranks.get(a + b, 1 << 30), i) for i, (a, b) in enumerate(zip(parts, parts[1:]))), default=(1 << 30, 0))
+            if low == 1 << 30:
+                return [ranks[x] for x in parts]
+            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+
+    words = ["".join(rng.choice(" aabbé") for _ in range(rng.randint(1, 12))) for _ in range(400)] + ["ab" * 90, "", "a", "漢\0"]
+    rng.shuffle(words)
+    merges = bpe.Merges(tokens)
+    for cells in (1, 50, bpe.CELLS):
+        monkeypatch.setattr(bpe, "CELLS", cells)
+        ids, sizes = merges.fold(pa.array(["left out"] + words).slice(1))
+        stops = np.concatenate(([0], np.cumsum(sizes)))
+        assert [ids[a:b].tolist() for a, b in zip(stops, stops[1:])] == [plain(w) for w in words]
+    assert [len(x) for x in merges.fold(pa.array([], pa.string()))] == [0, 0]
+
+
+def test_encode_puts_no_map_into_its_plans(spark, monkeypatch):
+    def no_literal(values):
+        raise AssertionError("a map went into a plan")
+
+    monkeypatch.setattr(bpe, "_numbers", no_literal)
+    texts = ["abab é", "abab ab", None, "", "once"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: (r.ids, bytes(r.decoded)) for r in bpe.encode(spark, df, small_tokens(), r" ?\w+|\s+", most=1).collect()}
+    assert {i: d.decode() for i, (_, d) in got.items()} == {i: t or "" for i, t in enumerate(texts)}
+    assert [got[i][0] for i in range(4)] == [[258, 32, 257], [258, 259], [], []] and got[4][0] == list(b"once")
