@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from riskweave.llm import (ann, bpe, exact_dedup, html_text, jaccard, language, line_dedup, mixing, queries, sharding,
                            substring_dedup)
+from riskweave.llm.components import components
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, key string, cls string, size string, _key string"
 
@@ -124,6 +125,23 @@ def test_jaccard_large_bucket_of_unlinked_members(spark):
     assert got == near_by_hand(rows, 3, 90)
 
 
+def test_component_rounds_write_few_files(spark):
+    """Few links are one task's work in every round, also where shuffles have many partitions that are not coalesced."""
+    links = spark.createDataFrame([(i, i + 3) for i in range(40)] + [(7, 7), (3, 0), (90, 91), (90, 91)], "a bigint, b bigint")
+    held = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        labels = components(spark, links)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(labels.inputFiles()) == 1
+    assert sorted(map(tuple, labels.collect())) == [(i, i % 3) for i in range(43)] + [(90, 90), (91, 90)]
+    assert components(spark, links.where("a < 0")).collect() == []
+
+
 def test_sketch_bounds_the_difference():
     rng = np.random.default_rng(5)
     for n, gone in ((40, 3), (400, 30), (3, 1)):
