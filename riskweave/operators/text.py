@@ -4,6 +4,7 @@ from functools import reduce
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from riskweave import constants as C
@@ -129,7 +130,10 @@ DEFAULT_LEXICON = {
 
 
 def lexicon_frame(spark, words=None):
-    return spark.createDataFrame(list((words or DEFAULT_LEXICON).items()), "word string, valence double")
+    """A lexicon as a local table: Spark knows its size, so it goes to the words and the words of the texts are not shuffled."""
+    pairs = words or DEFAULT_LEXICON
+    return spark.createDataFrame(pa.table({
+        "word": pa.array(pairs.keys(), pa.string()), "valence": pa.array(pairs.values(), pa.float64())}))
 
 
 def doc_compound(docs, lexicon, group=("service_name",), key="doc_id"):

@@ -87,6 +87,22 @@ def test_rules_on_neighbouring_words(spark):
         assert got.get(i) == (None if value is None else pytest.approx(value, abs=1e-6)), text
 
 
+@pytest.mark.parametrize("rules", [None, X.RULES])
+def test_words_of_texts_are_not_shuffled_to_the_lexicon(spark, rules):
+    """One exchange of sums by document, one by group; none of the words below the lexicon's join."""
+    found = X.compound_sums(docs(spark, "good but bad"), X.lexicon_frame(spark, {"good": 2.0, "bad": -2.0}), rules=rules)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_lexicon_frame_keeps_words_and_values(spark):
+    frame = X.lexicon_frame(spark, {"good": 2, "bad": -2.5, "odd": None})
+    assert dict(frame.dtypes) == {"word": "string", "valence": "double"}
+    assert sorted(rows(frame.na.fill(0.0))) == [("bad", -2.5), ("good", 2.0), ("odd", 0.0)]
+    assert dict(rows(X.lexicon_frame(spark))) == X.DEFAULT_LEXICON
+
+
 def test_sentiment_of_no_documents(spark):
     assert rows(X.sentiment_risk(docs(spark, " ", None), X.lexicon_frame(spark))) == []
 
