@@ -125,6 +125,50 @@ def test_jaccard_large_bucket_of_unlinked_members(spark):
     assert got == near_by_hand(rows, 3, 90)
 
 
+def links_by_hand(rows, k, p, q=100):
+    """Per row the number of other distinct sets that its set links with."""
+    sets = {}
+    for i, t, *_ in rows:
+        w = words_of((t or "").lower())
+        sets[i] = frozenset(tuple(w[j:j + k]) for j in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)] if w else [])
+    kinds = set(sets.values())
+    return {i: sum(1 for o in kinds if s and o and s != o and q * len(s & o) >= p * len(s | o)) for i, s in sets.items()}
+
+
+@pytest.mark.parametrize("block,shingles", [(1024, 1 << 20), (5, 1 << 20), (1024, 500)])
+def test_jaccard_counts_every_link(spark, monkeypatch, block, shingles):
+    """Copies most of whose pairs link, a chain where only neighbours do, a pair, equal sets and loners."""
+    monkeypatch.setattr(jaccard, "LINK_BLOCK", block)
+    monkeypatch.setattr(jaccard, "LINK_SHINGLES", shingles)
+    rng, texts = random.Random(4), []
+    base = ["w%d" % i for i in range(80)]
+    for _ in range(24):  # copies of one component with up to four words changed: not all pairs link
+        w = list(base)
+        for _ in range(rng.choice([0, 1, 2, 3, 4])):
+            w[rng.randrange(80)] = "e%d" % rng.randrange(10**6)
+        texts.append(" ".join(w))
+    texts += [" ".join("c%d" % j for j in range(5 * i, 5 * i + 60)) for i in range(12)]  # a chain
+    texts += ["p " * 3 + " ".join("p%d" % j for j in range(n)) for n in (40, 41)]  # a pair
+    texts += [texts[3], texts[3] + " tail", texts[30], None, "", "alone in the world", "two words"]
+    rows = list(enumerate(texts))
+    got = {r.doc_id: r.n_links for r in jaccard.near_duplicates(
+        spark, spark.createDataFrame(rows, "doc_id bigint, text string"), k=2, p=80).collect()}
+    want = links_by_hand(rows, 2, 80)
+    assert max(want.values()) > 12 and {0, 1, 2} <= set(want.values())
+    assert got == want
+
+
+def test_linked_counts_both_sides():
+    rng = np.random.default_rng(3)
+    pool = np.unique(rng.integers(1, 2**63, 40).astype(np.uint64))
+    sets = [np.sort(rng.choice(pool, rng.integers(1, 40), replace=False)) for _ in range(60)]
+    one, two = sets[:25], sets[25:]
+    fit = np.array([[100 * len(np.intersect1d(a, b)) >= 50 * len(np.union1d(a, b)) for b in two] for a in one])
+    left, right = jaccard.linked(one, two, 50, 100)
+    assert fit.any() and left.tolist() == fit.sum(1).tolist() and right.tolist() == fit.sum(0).tolist()
+    assert [x.tolist() for x in jaccard.linked([], two[:2], 50, 100)] == [[], [0, 0]]
+
+
 def test_component_rounds_write_few_files(spark):
     """Few links are one task's work in every round, also where shuffles have many partitions that are not coalesced."""
     links = spark.createDataFrame([(i, i + 3) for i in range(40)] + [(7, 7), (3, 0), (90, 91), (90, 91)], "a bigint, b bigint")
